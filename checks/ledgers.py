@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from checks.registry import read, register
+from tidelane.frames import JSON_TIMES
 from tidelane.operators import ledger as L
-from tidelane.operators.ledger import JSON_TIMES
 from tidelane.session import new_folder
 
 # Errors are failed runs, purchases completed ones, all else starts.

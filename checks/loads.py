@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from checks.registry import read, register
+from tidelane.frames import small_frame
 from tidelane.functions.text import format_bytes
 from tidelane.operators import dedup, jsonl, schema
 from tidelane.operators import ledger as L
@@ -122,9 +123,9 @@ def write_result(spark, sf_dir):
     results = []
     for load, status in (("l_open", "O"), ("l_filled", "F"), ("l_empty", "none")):
         done = table.append(lines.where(F.col("l_linestatus") == status), load, "l_shipdate")
-        results.append((load, done.rows, done.max_cursor and done.max_cursor.value))
-    frame = spark.createDataFrame(results, "load string, rows bigint, cursor string")
-    return frame.withColumn("cursor", F.col("cursor").cast("timestamp_ntz"))
+        results.append({"load": load, "rows": done.rows, "cursor": done.max_cursor and done.max_cursor.value})
+    columns = T.StructType().add("load", "string").add("rows", "bigint").add("cursor", "string")
+    return small_frame(spark, results, columns).withColumn("cursor", F.col("cursor").cast("timestamp_ntz"))
 
 
 @register("SELECT doc_id, text, lang, source, CASE WHEN n_chars > 500 THEN n_chars END AS n_chars FROM documents")

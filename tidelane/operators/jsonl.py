@@ -7,8 +7,8 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidelane.frames import JSON_TIMES
 from tidelane.functions.text import format_bytes
-from tidelane.operators.ledger import JSON_TIMES
 
 
 def append_jsonl(rows: DataFrame, path: str, load_id: str | None = None) -> None:

@@ -13,6 +13,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelane.frames import JSON_TIMES, empty_frame, small_frame
 from tidelane.operators.table import read_if_exists
 
 STARTED, COMPLETED, FAILED = "started", "completed", "failed"
@@ -32,10 +33,6 @@ LEDGER = T.StructType([
     T.StructField("error", T.StringType()),
 ])
 _CORRUPT = "_corrupt_record"
-# The default JSON format keeps milliseconds only; events are ordered by microseconds.
-JSON_TIMES = {
-    "timestampFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]XXX", "timestampNTZFormat": "yyyy-MM-dd'T'HH:mm:ss[.SSSSSS]",
-}
 
 
 class LedgerNeedsConfirmation(Exception):
@@ -50,15 +47,14 @@ def ledger_append(ledger: str, events: DataFrame) -> None:
 
 def event_rows(spark: SparkSession, events: Iterable[dict]) -> DataFrame:
     """A few events of the running driver as a one-file DataFrame."""
-    rows = [tuple(e.get(name) for name in LEDGER.names) for e in events]
-    return spark.createDataFrame(rows, LEDGER).coalesce(1)
+    return small_frame(spark, events, LEDGER)
 
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     """All events; none when there is no ledger yet. A corrupt ledger is an error, not an empty one."""
     reader = spark.read.schema(LEDGER).options(**JSON_TIMES, recursiveFileLookup="true", mode="FAILFAST")
     found = read_if_exists(lambda: reader.json(ledger))
-    return spark.createDataFrame([], LEDGER) if found is None else found
+    return empty_frame(spark, LEDGER) if found is None else found
 
 
 def split_corrupt(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:

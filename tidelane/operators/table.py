@@ -26,12 +26,17 @@ from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelane.frames import empty_frame, small_frame
 from tidelane.operators.schema import align_batch
 from tidelane.sources.files import child_names, delete_folder
 from tidelane.sources.scan import Cursor, encode_cursor
 from tidelane.types import stored_schema
 
-_LOG = "seq int, data string, epoch int, schema string, version long"
+_LOG_ROW = T.StructType([
+    T.StructField("seq", T.IntegerType()), T.StructField("data", T.StringType()),
+    T.StructField("epoch", T.IntegerType()), T.StructField("schema", T.StringType()),
+])
+_LOG = T.StructType([*_LOG_ROW.fields, T.StructField("version", T.LongType())])
 
 
 @dataclass(frozen=True)
@@ -97,9 +102,8 @@ class SyncTable:
         return _State(rows[-1]["version"], rows[-1]["seq"], rows[-1]["data"], epochs)
 
     def _publish(self, state: _State) -> None:
-        row = (state.seq, state.data, state.epoch, state.schema.json())
-        entry = self.spark.createDataFrame([row], "seq int, data string, epoch int, schema string")
-        entry.coalesce(1).write.mode("append").json(f"{self.path}/log/version={state.version}")
+        row = {"seq": state.seq, "data": state.data, "epoch": state.epoch, "schema": state.schema.json()}
+        small_frame(self.spark, [row], _LOG_ROW).write.mode("append").json(f"{self.path}/log/version={state.version}")
         self._known = state
 
     def refresh(self) -> SyncTable:
@@ -125,7 +129,7 @@ class SyncTable:
         parts = [self._read_epoch(state.data, k, s) for k, s in sorted(state.epochs.items())]
         parts = [align_batch(p, state.schema) for p in parts if p is not None]
         if not parts:
-            return self.spark.createDataFrame([], state.schema)
+            return empty_frame(self.spark, state.schema)
         return functools.reduce(DataFrame.unionAll, parts)
 
     def _read_epoch(self, data: str, epoch: int, schema: T.StructType) -> DataFrame | None:

@@ -15,6 +15,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelane.frames import small_frame
 from tidelane.functions.text import is_fatal_message
 from tidelane.operators import ledger as L
 from tidelane.operators.monitor import CURSOR_MODES, SYNC_MODES
@@ -156,8 +157,7 @@ def sync_tables(
 
 def results_frame(spark: SparkSession, run_id: str, results: Iterable[TableResult]) -> DataFrame:
     """Results in the form ``failure_report`` takes."""
-    rows = [(run_id, r.table_name, r.success, r.rows, r.duration_us, r.error) for r in results]
-    return spark.createDataFrame(rows, RESULTS)
+    return small_frame(spark, [{"run_id": run_id, **vars(r)} for r in results], RESULTS)
 
 
 @dataclass

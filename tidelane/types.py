@@ -12,6 +12,8 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from tidelane.frames import small_frame
+
 # Canonical type names.
 CANONICAL_TYPES = (
     "STRING", "INT64", "FLOAT64", "BOOL", "TIMESTAMP", "DATE", "NUMERIC", "JSON", "BYTES", "REPEATED",
@@ -110,11 +112,11 @@ def as_json(column: str, alias: str | None = None) -> Column:
 def schema_rows(spark: SparkSession, schemas: Mapping[str, T.StructType]) -> DataFrame:
     """Schema-rows of the given tables. Only metadata passes through the driver."""
     rows = [
-        (table, position, f.name, *canonical(f), f.nullable)
+        dict(zip(SCHEMA_ROWS.names, (table, position, f.name, *canonical(f), f.nullable)))
         for table, schema in schemas.items()
         for position, f in enumerate(schema.fields, 1)
     ]
-    return spark.createDataFrame(rows, SCHEMA_ROWS)
+    return small_frame(spark, rows, SCHEMA_ROWS)
 
 
 def schema_from_rows(rows: Iterable[Mapping]) -> T.StructType:
