@@ -124,7 +124,7 @@ def write_result(spark, sf_dir):
     for load, status in (("l_open", "O"), ("l_filled", "F"), ("l_empty", "none")):
         done = table.append(lines.where(F.col("l_linestatus") == status), load, "l_shipdate")
         results.append({"load": load, "rows": done.rows, "cursor": done.max_cursor and done.max_cursor.value})
-    columns = T.StructType().add("load", "string").add("rows", "bigint").add("cursor", "string")
+    columns = T.StructType().add("load", "string").add("rows", "long").add("cursor", "string")
     return small_frame(spark, results, columns).withColumn("cursor", F.col("cursor").cast("timestamp_ntz"))
 
 

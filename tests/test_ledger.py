@@ -1,0 +1,104 @@
+import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
+
+import pytest
+
+from tidelane.operators import ledger as L
+from tidelane.session import new_folder
+
+T0 = dt.datetime(2025, 4, 20, 10)
+
+
+def events(spark, *steps, table="users"):
+    """Ledger rows from ``(event, run, cursor)`` steps, a minute apart."""
+    return L.event_rows(spark, [
+        {"connection": "prod", "table_name": table, "run_id": f"r{run}", "event": event,
+         "at": T0 + dt.timedelta(minutes=i, microseconds=1), "cursor_old": "old", "cursor_new": cursor,
+         "cursor_type": "string", "rows": 500 if event == L.COMPLETED else None}
+        for i, (event, run, cursor) in enumerate(steps)
+    ])
+
+
+def state(frame):
+    return L.ledger_state(frame).head().asDict()
+
+
+def test_first_run_is_empty(spark):
+    ledger = L.read_ledger(spark, new_folder(spark, "ledger"))
+    assert ledger.schema == L.LEDGER and ledger.count() == 0
+    assert L.safe_cursor(ledger).count() == L.ledger_state(ledger).count() == 0
+
+
+def test_crash_after_start_resumes_at_the_completed_cursor(spark):
+    frame = events(spark, (L.STARTED, 1, None), (L.COMPLETED, 1, "c1"), (L.STARTED, 2, None))
+    assert L.safe_cursor(frame).head()["cursor_value"] == "c1"
+    assert L.needs_resume(frame).head()["needs_resume"] is True
+    found = state(frame)
+    assert (found["status"], found["cursor_value"], found["cursor_in_progress"]) == ("running", "c1", "old")
+    assert found["last_sync_completed"] is None
+
+
+def test_failures_count_up_and_success_resets_them(spark):
+    steps = [(L.STARTED, 1, None), (L.FAILED, 1, "bad"), (L.STARTED, 2, None), (L.FAILED, 2, "bad")]
+    failing = state(events(spark, *steps))
+    assert (failing["status"], failing["consecutive_failures"], failing["cursor_value"]) == ("failed", 2, None)
+    assert L.needs_resume(events(spark, *steps)).head()["needs_resume"] is True
+    healed = state(events(spark, *steps, (L.STARTED, 3, None), (L.COMPLETED, 3, "c3")))
+    assert (healed["status"], healed["consecutive_failures"], healed["cursor_value"]) == ("success", 0, "c3")
+    assert (healed["rows_synced_last_run"], healed["cursor_in_progress"]) == (500, None)
+
+
+def test_failure_never_moves_the_cursor(spark):
+    frame = events(spark, (L.STARTED, 1, None), (L.COMPLETED, 1, "c1"), (L.STARTED, 2, None), (L.FAILED, 2, "c2"))
+    assert L.safe_cursor(frame).head()["cursor_value"] == "c1"
+
+
+def test_start_and_end_at_the_same_instant(spark):
+    rows = [{"connection": "p", "table_name": "t", "run_id": "r", "event": e, "at": T0, "cursor_new": "c"}
+            for e in (L.COMPLETED, L.STARTED)]
+    frame = L.event_rows(spark, rows)
+    assert state(frame)["status"] == "success"
+    assert L.needs_resume(frame).head()["needs_resume"] is False
+
+
+def test_many_failures_of_one_table_are_all_counted(spark):
+    done = events(spark, (L.COMPLETED, 0, "c"))
+    failed = spark.range(5000).selectExpr(
+        "'prod' AS connection", "'users' AS table_name", "concat('f', id) AS run_id", "'failed' AS event",
+        "TIMESTAMP_NTZ '2025-05-01' + make_interval(0, 0, 0, 0, 0, 0, id) AS at", "NULL AS cursor_old",
+        "NULL AS cursor_new", "NULL AS cursor_type", "NULL AS rows", "NULL AS duration_us", "NULL AS error",
+    )
+    assert L.consecutive_failures(done.unionAll(failed)).head()["consecutive_failures"] == 5000
+
+
+def test_concurrent_appends_are_all_kept_to_the_microsecond(spark):
+    path = new_folder(spark, "ledger")
+    with ThreadPoolExecutor(10) as pool:
+        list(pool.map(lambda i: L.ledger_append(path, events(spark, (L.STARTED, i, None), table=f"t{i}")), range(10)))
+    rows = L.read_ledger(spark, path).collect()
+    assert {r["table_name"] for r in rows} == {f"t{i}" for i in range(10)}
+    assert {r["at"] for r in rows} == {T0 + dt.timedelta(microseconds=1)}
+
+
+def test_corrupt_ledger_is_an_error_until_repaired(spark):
+    root = new_folder(spark, "ledger")
+    L.ledger_append(f"{root}/l", events(spark, (L.STARTED, 1, None), (L.COMPLETED, 1, "c1")))
+    bad = ["not json at all {{{", '{"connection":"prod"', '{"connection":"prod","event":"started"}']
+    spark.createDataFrame([(b,) for b in bad], "value string").write.text(f"{root}/l/bad")
+    with pytest.raises(Exception, match="Malformed|MALFORMED|FAILED_READ"):
+        L.read_ledger(spark, f"{root}/l").collect()
+    L.repair_ledger(spark, f"{root}/l", f"{root}/new", f"{root}/quarantine")
+    assert L.safe_cursor(L.read_ledger(spark, f"{root}/new")).head()["cursor_value"] == "c1"
+    kept = spark.read.option("recursiveFileLookup", "true").text(f"{root}/quarantine")
+    assert {r["value"] for r in kept.collect()} == set(bad)
+
+
+def test_fresh_ledger_needs_confirmation_and_keeps_a_backup(spark):
+    root = new_folder(spark, "ledger")
+    assert "nothing to repair" in L.repair_ledger(spark, f"{root}/l", f"{root}/new", f"{root}/q")
+    spark.createDataFrame([("not json at all {{{",)], "value string").write.text(f"{root}/l")
+    with pytest.raises(L.LedgerNeedsConfirmation):
+        L.repair_ledger(spark, f"{root}/l", f"{root}/new", f"{root}/q")
+    assert "re-sync" in L.repair_ledger(spark, f"{root}/l", f"{root}/new", f"{root}/q", confirm_fresh=True)
+    assert L.read_ledger(spark, f"{root}/new").count() == 0
+    assert spark.read.option("recursiveFileLookup", "true").text(f"{root}/q").count() == 2

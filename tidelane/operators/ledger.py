@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelane.frames import JSON_TIMES, empty_frame, small_frame
-from tidelane.operators.table import read_if_exists
+from tidelane.sources.files import path_exists
 
 STARTED, COMPLETED, FAILED = "started", "completed", "failed"
 KEYS = ["connection", "table_name"]
@@ -52,9 +52,10 @@ def event_rows(spark: SparkSession, events: Iterable[dict]) -> DataFrame:
 
 def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     """All events; none when there is no ledger yet. A corrupt ledger is an error, not an empty one."""
-    reader = spark.read.schema(LEDGER).options(**JSON_TIMES, recursiveFileLookup="true", mode="FAILFAST")
-    found = read_if_exists(lambda: reader.json(ledger))
-    return empty_frame(spark, LEDGER) if found is None else found
+    if not path_exists(spark, ledger):
+        return empty_frame(spark, LEDGER)
+    options = {**JSON_TIMES, "recursiveFileLookup": "true", "mode": "FAILFAST"}
+    return spark.read.schema(LEDGER).options(**options).json(ledger)
 
 
 def split_corrupt(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
@@ -78,11 +79,9 @@ def repair_ledger(spark: SparkSession, ledger: str, repaired: str, quarantine: s
     When no event survives, an empty ledger is started only if confirmed; destinations then have to be
     published as new versions, because every table is read again from its start.
     """
-    reader = spark.read.option("recursiveFileLookup", "true")
-    lines = read_if_exists(lambda: reader.text(ledger))
-    if lines is None:
+    if not path_exists(spark, ledger):
         return "no ledger yet: nothing to repair"
-    good, bad = split_corrupt(lines)
+    good, bad = split_corrupt(spark.read.option("recursiveFileLookup", "true").text(ledger))
     bad.write.text(f"{quarantine}/{uuid.uuid4().hex}")
     survivors = good.limit(1).count()
     if not survivors and not confirm_fresh:

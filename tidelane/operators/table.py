@@ -21,14 +21,13 @@ import json
 import uuid
 from dataclasses import dataclass, replace
 
-from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelane.frames import empty_frame, small_frame
 from tidelane.operators.schema import align_batch
-from tidelane.sources.files import child_names, delete_folder
+from tidelane.sources.files import child_names, delete_folder, path_exists
 from tidelane.sources.scan import Cursor, encode_cursor
 from tidelane.types import stored_schema
 
@@ -64,16 +63,6 @@ class _State:
         return self.epochs[self.epoch]
 
 
-def read_if_exists(load) -> DataFrame | None:
-    """The DataFrame ``load()`` gives, or ``None`` where its path does not exist yet."""
-    try:
-        return load()
-    except AnalysisException as error:
-        if error.getCondition() == "PATH_NOT_FOUND":
-            return None
-        raise
-
-
 class SyncTable:
     def __init__(self, spark: SparkSession, root: str, name: str):
         self.spark = spark
@@ -89,10 +78,9 @@ class SyncTable:
         return self._known
 
     def _read_log(self) -> _State | None:
-        reader = self.spark.read.schema(_LOG).option("mode", "FAILFAST")
-        log = read_if_exists(lambda: reader.json(f"{self.path}/log"))
-        if log is None:
+        if not path_exists(self.spark, f"{self.path}/log"):
             return None
+        log = self.spark.read.schema(_LOG).option("mode", "FAILFAST").json(f"{self.path}/log")
         # Only the rows of the current version come back: one, and one more for each schema change.
         newest = self.spark.sql("SELECT * FROM {log} WHERE version = (SELECT max(version) FROM {log})", log=log)
         rows = sorted(newest.collect(), key=lambda r: r["seq"])
@@ -133,9 +121,11 @@ class SyncTable:
         return functools.reduce(DataFrame.unionAll, parts)
 
     def _read_epoch(self, data: str, epoch: int, schema: T.StructType) -> DataFrame | None:
+        path = self._epoch_path(data, epoch)
+        if not path_exists(self.spark, path):
+            return None
         # Listing files recursively keeps the load folders from being read as a column.
-        reader = self.spark.read.schema(schema).option("recursiveFileLookup", "true")
-        return read_if_exists(lambda: reader.parquet(self._epoch_path(data, epoch)))
+        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
 
     # -- schema changes ---------------------------------------------------------------------------
 

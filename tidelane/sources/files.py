@@ -1,4 +1,4 @@
-"""The three file-system calls Spark's readers and writers do not offer, on whatever store a path names."""
+"""The few file-system calls Spark's readers and writers do not offer, on whatever store a path names."""
 
 from __future__ import annotations
 
@@ -10,6 +10,11 @@ def _handle(spark: SparkSession, path: str):
     return hadoop_path.getFileSystem(spark._jsparkSession.sessionState().newHadoopConf()), hadoop_path
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    store, hadoop_path = _handle(spark, path)
+    return store.exists(hadoop_path)
+
+
 def child_names(spark: SparkSession, folder: str) -> list[str]:
     """Names directly under a folder, hidden ones left out; empty when the folder is absent."""
     store, path = _handle(spark, folder)
