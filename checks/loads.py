@@ -393,6 +393,21 @@ def sync_tables(spark, sf_dir):
     return L.read_ledger(spark, f"{root}/ledger").select("table_name", "event", "rows", "error")
 
 
+@register(f"""
+    SELECT table_name, 'started' AS event, CAST(NULL AS BIGINT) AS rows, CAST(NULL AS VARCHAR) AS error FROM ({_COUNTS})
+    UNION ALL SELECT table_name, CASE table_name WHEN 'lineitem' THEN 'failed' ELSE 'completed' END,
+           CASE WHEN table_name <> 'lineitem' THEN CAST(n AS BIGINT) END,
+           CASE table_name WHEN 'lineitem' THEN 'deadline exceeded after 0.006 s' END
+    FROM ({_COUNTS})
+""")
+def table_timeout(spark, sf_dir):
+    """One table has no time to load; the others are not held up by it."""
+    root = new_folder(spark, "loads")
+    plan = [TablePlan(t, "full_refresh", timeout_minutes=0.0001 if t == "lineitem" else 0) for t in _SYNCED]
+    sync(spark, plan, FileSource(spark, sf_dir), f"{root}/tables", f"{root}/ledger", "check", run_id="r0")
+    return L.read_ledger(spark, f"{root}/ledger").select("table_name", "event", "rows", "error")
+
+
 @register(_EVENTS)
 def retry_load(spark, sf_dir):
     """A load whose first attempt dies after it wrote: the second replaces what the first left."""

@@ -80,6 +80,16 @@ def test_concurrent_appends_are_all_kept_to_the_microsecond(spark):
     assert {r["at"] for r in rows} == {T0 + dt.timedelta(microseconds=1)}
 
 
+def test_compaction_keeps_every_event_in_fewer_files(spark):
+    root = new_folder(spark, "ledger")
+    for i in range(5):
+        L.ledger_append(f"{root}/l", events(spark, (L.STARTED, i, None), (L.COMPLETED, i, f"c{i}")))
+    L.compact_ledger(spark, f"{root}/l", f"{root}/new")
+    before, after = L.read_ledger(spark, f"{root}/l"), L.read_ledger(spark, f"{root}/new")
+    assert sorted(before.collect()) == sorted(after.collect())
+    assert len(after.inputFiles()) == 1 < len(before.inputFiles())
+
+
 def test_corrupt_ledger_is_an_error_until_repaired(spark):
     root = new_folder(spark, "ledger")
     L.ledger_append(f"{root}/l", events(spark, (L.STARTED, 1, None), (L.COMPLETED, 1, "c1")))

@@ -116,6 +116,8 @@ def test_batches(spark):
     rows = spark.sql("SELECT IF(id < 200, 'a', 'b') AS k FROM range(251)")
     found = sorted(tuple(r) for r in modes.batch_slices(rows, 100, ["k"]).collect())
     assert found == [("a", 1, 100), ("a", 2, 100), ("b", 1, 51)]
+    one_each = modes.batch_slices(spark.range(25_001).selectExpr("'a' AS k"), 1, ["k"])
+    assert sorted(r["batch_no"] for r in one_each.collect()) == list(range(1, 25_002))
 
 
 def test_latest_rows_of_a_hot_key_shrink_before_the_shuffle(spark):

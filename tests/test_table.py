@@ -39,7 +39,8 @@ def test_create_is_idempotent_and_empty(spark, table):
 
 def test_repeated_load_replaces_itself_even_with_no_rows(spark, table):
     table.create(spark.range(0).schema)
-    assert table.append(spark.range(5), "l_1", "id").rows == 5
+    written = table.append(spark.range(5), "l_1", "id")
+    assert written.rows == 5 and written.bytes > 100
     table.append(spark.range(3), "l_1", "id")
     table.append(spark.range(10, 12), "l_2", "id")
     assert ids(table) == [0, 1, 2, 10, 11]

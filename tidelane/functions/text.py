@@ -50,13 +50,16 @@ def _any_of(text: Column, patterns: tuple[str, ...]) -> Column:
 
 def classify_error(message: Column) -> Column:
     """``fatal``, ``retryable`` or ``other``; a fatal pattern outranks a retryable one."""
-    text = F.lower(message)
-    return (
-        F.when(message.isNull(), None)
-        .when(_any_of(text, FATAL_PATTERNS), "fatal")
-        .when(_any_of(text, RETRYABLE_PATTERNS), "retryable")
-        .otherwise("other")
-    )
+    def kind(text: Column) -> Column:
+        return (
+            F.when(text.isNull(), None)
+            .when(_any_of(text, FATAL_PATTERNS), "fatal")
+            .when(_any_of(text, RETRYABLE_PATTERNS), "retryable")
+            .otherwise("other")
+        )
+
+    # Bound to a variable, the lower-case text is made once and not again for each pattern.
+    return F.transform(F.array(F.lower(message)), kind)[0]
 
 
 def is_fatal_message(message: str) -> bool:

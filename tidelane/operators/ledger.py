@@ -90,6 +90,11 @@ def repair_ledger(spark: SparkSession, ledger: str, repaired: str, quarantine: s
     return "recovered the valid events" if survivors else "started an empty ledger: all tables re-sync from scratch"
 
 
+def compact_ledger(spark: SparkSession, ledger: str, compacted: str) -> None:
+    """Copy all events into a new ledger of few files, once many runs have left many small ones."""
+    ledger_append(compacted, read_ledger(spark, ledger).hint("rebalance"))
+
+
 # -- folds ----------------------------------------------------------------------------------------
 
 

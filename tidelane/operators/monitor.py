@@ -129,7 +129,7 @@ def validate_plan(plan: DataFrame) -> DataFrame:
 
 def missing_tables(plan: DataFrame, tables: DataFrame) -> DataFrame:
     """Planned tables that the source does not have."""
-    return plan.join(tables.select(F.col("table_name").alias("name")), "name", "left_anti")
+    return plan.join(tables.select(F.col("table_name").alias("name")).distinct(), "name", "left_anti")
 
 
 def mask_columns(df: DataFrame, *columns: str) -> DataFrame:

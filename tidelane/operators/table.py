@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from tidelane.frames import empty_frame, small_frame
 from tidelane.operators.schema import align_batch
-from tidelane.sources.files import child_names, delete_folder, path_exists
+from tidelane.sources.files import child_names, delete_folder, folder_bytes, path_exists
 from tidelane.sources.scan import Cursor, encode_cursor
 from tidelane.types import stored_schema
 
@@ -40,9 +40,10 @@ _LOG = T.StructType([*_LOG_ROW.fields, T.StructField("version", T.LongType())])
 
 @dataclass(frozen=True)
 class WriteResult:
-    """Counts of one load, measured in the same pass as the write."""
+    """What one load wrote; rows and cursors are counted in the same pass as the write."""
 
     rows: int
+    bytes: int = 0
     max_cursor: Cursor | None = None
     null_cursors: int = 0
 
@@ -184,6 +185,7 @@ class SyncTable:
         best = seen.get("max_cursor")
         return WriteResult(
             seen["rows"] or 0,
+            folder_bytes(self.spark, path),
             None if best is None else Cursor(best, schema[cursor].dataType.simpleString()),
             seen.get("null_cursors") or 0,
         )

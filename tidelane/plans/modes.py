@@ -72,8 +72,13 @@ def batch_slices(df: DataFrame, batch_size: int, by: list[str]) -> DataFrame:
     """
     counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
     last = batch_count(F.col("n"), batch_size)
+    # Numbered in two steps, so that no single array is as long as the largest group has batches.
+    block = F.lit(10_000).cast("bigint")
+    blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((last - 1) / block))
+    numbers = F.sequence(F.col("_block") * block + 1, F.least(last, (F.col("_block") + 1) * block))
     return (
-        counted.withColumn("batch_no", F.explode(F.sequence(F.lit(1).cast("bigint"), last)))
+        counted.withColumn("_block", F.explode(blocks))
+        .withColumn("batch_no", F.explode(numbers))
         .withColumn("batch_rows", F.least(F.lit(batch_size), F.col("n") - (F.col("batch_no") - 1) * batch_size))
-        .drop("n")
+        .drop("n", "_block")
     )

@@ -24,7 +24,7 @@ from tidelane.operators.table import SyncTable
 from tidelane.plans.modes import EXACTLY_ONCE, LoadResult, full_refresh, incremental_load
 from tidelane.sources.connectors import Source
 from tidelane.sources.scan import Cursor
-from tidelane.types import schema_rows
+from tidelane.types import schema_rows, stored_schema
 
 DEFAULT_TIMEOUT_MINUTES = 30
 DEFAULT_ATTEMPTS = 3
@@ -122,13 +122,15 @@ class _Deadline:
             raise TableTimeout(f"deadline exceeded after {self._seconds:g} s")
 
     def run(self, step: Callable):
-        """One step of a load, none of which begins after the deadline."""
+        """One step of a load, which counts only if it ends before the deadline."""
         self.check()
         try:
-            return step()
+            done = step()
         except Exception:
             self.check()
             raise
+        self.check()
+        return done
 
 
 def sync_tables(
@@ -201,7 +203,10 @@ class _Run:
 
     def compare(self, prepared: list[_Prepared]) -> None:
         """Find the drift of all tables in one job over their schemas."""
-        existing = {p.plan.name: p for p in prepared if p.table.schema() is not None}
+        existing = {
+            p.plan.name: p for p in prepared
+            if p.table.schema() is not None and p.table.schema() != stored_schema(p.rows.schema)
+        }
         if not existing:
             return
         changes = schema_diff(

@@ -24,6 +24,11 @@ def child_names(spark: SparkSession, folder: str) -> list[str]:
     return sorted(n for n in names if not n.startswith(("_", ".")))
 
 
+def folder_bytes(spark: SparkSession, folder: str) -> int:
+    store, path = _handle(spark, folder)
+    return store.getContentSummary(path).getLength()
+
+
 def delete_folder(spark: SparkSession, folder: str) -> None:
     store, path = _handle(spark, folder)
     store.delete(path, True)
