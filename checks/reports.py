@@ -73,7 +73,7 @@ _MESSAGE = """
         WHEN 0 THEN concat('dial ', url, ' failed') WHEN 1 THEN concat('"', url, '" refused, then ', url)
         WHEN 2 THEN url WHEN 3 THEN concat('cannot parse ', chr(39), url, chr(39))
         WHEN 4 THEN concat('no host in ', replace(url, '://', ':'))
-        ELSE concat(left(html, 400), url, ' ', html) END
+        ELSE concat(html, ' ', url, ' ', html) END
 """
 
 

@@ -31,6 +31,16 @@ def test_gaps_match_brute_force(spark):
     assert len([w for w in wanted if w[0].startswith("e")]) == 3
 
 
+def test_gaps_do_not_depend_on_the_sessions_time_zone(spark):
+    # The clocks of New York skip an hour at 2024-03-10 02:00.
+    frame = completed(spark, [("t", dt.datetime(2024, 3, 10, 1, 30)), ("t", dt.datetime(2024, 3, 10, 3, 30))])
+    spark.conf.set("spark.sql.session.timeZone", "America/New_York")
+    try:
+        assert [r["gap_us"] for r in monitor.sync_gaps(frame, 1800).collect()] == [7_200_000_000]
+    finally:
+        spark.conf.set("spark.sql.session.timeZone", "UTC")
+
+
 def test_overdue_is_strictly_more_than_twice_the_interval(spark):
     frame = completed(spark, [("late", T0), ("due", T0 + dt.timedelta(seconds=1))])
     now = F.lit("2024-01-01 00:20:01").cast("timestamp_ntz")

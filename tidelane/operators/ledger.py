@@ -126,28 +126,34 @@ def needs_resume(ledger: DataFrame) -> DataFrame:
     return _ends(ledger).select(*KEYS, unfinished.alias("needs_resume"))
 
 
-def consecutive_failures(ledger: DataFrame, salts: int = 8) -> DataFrame:
-    """Failures since each table's last completed run.
+def _with_failures(folded: DataFrame, ledger: DataFrame, salts: int) -> DataFrame:
+    """Add each table's failures after its last completed run, ``completed_order`` of ``folded``.
 
-    The last completed run is joined back to the failures. Both sides carry a salt, so that a table
-    with very many failures is spread over several tasks and only its counts come together.
+    The folded rows are joined back to the failures. Both sides carry a salt, so that a table with very
+    many failures is spread over several tasks and only its counts come together.
     """
-    ends = ledger.groupBy(KEYS).agg(_last(COMPLETED).alias("c"))
+    columns = folded.columns
+    spread = folded.withColumn("salt", F.explode(F.array(*map(F.lit, range(salts)))))
     failed = ledger.where(F.col("event") == FAILED).select(
-        *KEYS, event_order().alias("o"), F.pmod(F.xxhash64("at", "run_id"), F.lit(salts)).alias("salt")
+        *(F.col(k).alias(f"failed_{k}") for k in KEYS), event_order().alias("failed_order"),
+        F.pmod(F.xxhash64("at", "run_id"), F.lit(salts)).cast("int").alias("failed_salt"),
     )
-    salted = ends.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("bigint"), F.lit(salts - 1).cast("bigint"))))
-    counts = (
-        failed.join(salted, [*KEYS, "salt"])
-        .where(F.col("c").isNull() | (F.col("o") > F.col("c")))
-        .groupBy(KEYS).agg(F.count(F.lit(1)).alias("n"))
-    )
-    return ends.join(counts, KEYS, "left").select(
-        *KEYS, F.coalesce("n", F.lit(0)).cast("bigint").alias("consecutive_failures")
+    later = F.col("completed_order").isNull() | (F.col("failed_order") > F.col("completed_order"))
+    same = (F.col("salt") == F.col("failed_salt")) & later
+    for k in KEYS:
+        same &= F.col(k) == F.col(f"failed_{k}")
+    return spread.join(failed, same, "left").groupBy(columns).agg(
+        F.count("failed_order").alias("consecutive_failures")
     )
 
 
-def ledger_state(ledger: DataFrame) -> DataFrame:
+def consecutive_failures(ledger: DataFrame, salts: int = 16) -> DataFrame:
+    """Failures since each table's last completed run."""
+    folded = ledger.groupBy(KEYS).agg(_last(COMPLETED).alias("completed_order"))
+    return _with_failures(folded, ledger, salts).drop("completed_order")
+
+
+def ledger_state(ledger: DataFrame, salts: int = 16) -> DataFrame:
     """Current state of each table: status, times, cursors, rows of the last success, failure streak."""
     running = (F.col("event") == STARTED)
     done = (F.col("event") == COMPLETED)
@@ -170,5 +176,6 @@ def ledger_state(ledger: DataFrame) -> DataFrame:
         F.col("c.cursor_new").alias("cursor_value"), F.col("c.cursor_type").alias("cursor_type"),
         F.when(F.col("last.event") == STARTED, F.col("s.cursor_old")).alias("cursor_in_progress"),
         F.coalesce("c.rows", F.lit(0)).cast("bigint").alias("rows_synced_last_run"),
+        F.col("c.o").alias("completed_order"),
     )
-    return state.join(consecutive_failures(ledger), KEYS)
+    return _with_failures(state, ledger, salts).drop("completed_order")
