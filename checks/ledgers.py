@@ -118,20 +118,35 @@ def ledger_append(spark, sf_dir):
 _BROKEN = "event_type = 'view' OR event_type = 'click'"
 
 
-@register(f"SELECT * FROM ({LEDGER_SQL}) WHERE run_id NOT IN (SELECT lpad(CAST(event_id AS VARCHAR), 12, '0') FROM events WHERE {_BROKEN})")
-def quarantine_corrupt_ledger(spark, sf_dir):
-    root = new_folder(spark, "ledger")
+def _broken_ledger(spark, sf_dir):
     events = read(spark, sf_dir, "events")
     told = events.select("event_type", F.struct(*ledger_columns()).alias("e"))
     line = F.to_json("e", JSON_TIMES)
-    lines = told.select(
-        F.when(F.col("event_type") == "view", F.left(line, F.lit(20)))
+    return told.select(
+        F.when(F.col("event_type") == "view", F.left(line, F.lit(24)))
         .when(F.col("event_type") == "click", "not json at all {{{")
         .otherwise(line).alias("value")
     )
-    lines.write.text(f"{root}/ledger")
-    L.repair_ledger(spark, f"{root}/ledger", f"{root}/repaired", f"{root}/quarantine")
-    return L.read_ledger(spark, f"{root}/repaired")
+
+
+@register(f"SELECT * FROM ({LEDGER_SQL}) WHERE run_id NOT IN (SELECT lpad(CAST(event_id AS VARCHAR), 12, '0') FROM events WHERE {_BROKEN})")
+def quarantine_corrupt_ledger(spark, sf_dir):
+    root = new_folder(spark, "ledger")
+    _broken_ledger(spark, sf_dir).write.text(f"{root}/ledger")
+    return L.read_ledger(spark, L.repair_ledger(spark, f"{root}/ledger", f"{root}/repaired").ledger)
+
+
+@register(f"""
+    SELECT CASE event_type WHEN 'click' THEN 'not json at all {{{{{{'
+           ELSE '{{"connection":"' || CASE WHEN user_id < 50 THEN 'prod' ELSE 'test' END || '","ta' END AS line
+    FROM events WHERE {_BROKEN}
+""")
+def quarantined_lines(spark, sf_dir):
+    """What was set aside, as it stood in the ledger."""
+    root = new_folder(spark, "ledger")
+    _broken_ledger(spark, sf_dir).write.text(f"{root}/ledger")
+    kept = spark.read.text(L.repair_ledger(spark, f"{root}/ledger", f"{root}/repaired").quarantine)
+    return kept.withColumnRenamed("value", "line")
 
 
 @register("""

@@ -25,7 +25,8 @@ def read(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
 
 def pick(values: list, number: str) -> Column:
     """The value at position ``number`` modulo the list's length; ``pick_sql`` is its SQL twin."""
-    return F.element_at(F.array(*map(F.lit, values)), (F.pmod(F.col(number), F.lit(len(values))) + 1).cast("int"))
+    listed = ", ".join(map(repr, values))
+    return F.expr(f"element_at(array({listed}), CAST(pmod({number}, {len(values)}) + 1 AS INT))")
 
 
 def pick_sql(values: list, number: str) -> str:

@@ -97,18 +97,18 @@ def test_corrupt_ledger_is_an_error_until_repaired(spark):
     spark.createDataFrame([(b,) for b in bad], "value string").write.text(f"{root}/l/bad")
     with pytest.raises(Exception, match="Malformed|MALFORMED|FAILED_READ"):
         L.read_ledger(spark, f"{root}/l").collect()
-    L.repair_ledger(spark, f"{root}/l", f"{root}/new", f"{root}/quarantine")
-    assert L.safe_cursor(L.read_ledger(spark, f"{root}/new")).head()["cursor_value"] == "c1"
-    kept = spark.read.option("recursiveFileLookup", "true").text(f"{root}/quarantine")
-    assert {r["value"] for r in kept.collect()} == set(bad)
+    repaired = L.repair_ledger(spark, f"{root}/l", f"{root}/new")
+    assert L.safe_cursor(L.read_ledger(spark, repaired.ledger)).head()["cursor_value"] == "c1"
+    assert {r["value"] for r in spark.read.text(repaired.quarantine).collect()} == set(bad)
+    L.ledger_append(repaired.ledger, events(spark, (L.COMPLETED, 2, "c2")))
+    assert L.read_ledger(spark, repaired.ledger).count() == 3
 
 
 def test_fresh_ledger_needs_confirmation_and_keeps_a_backup(spark):
     root = new_folder(spark, "ledger")
-    assert "nothing to repair" in L.repair_ledger(spark, f"{root}/l", f"{root}/new", f"{root}/q")
     spark.createDataFrame([("not json at all {{{",)], "value string").write.text(f"{root}/l")
     with pytest.raises(L.LedgerNeedsConfirmation):
-        L.repair_ledger(spark, f"{root}/l", f"{root}/new", f"{root}/q")
-    assert "re-sync" in L.repair_ledger(spark, f"{root}/l", f"{root}/new", f"{root}/q", confirm_fresh=True)
-    assert L.read_ledger(spark, f"{root}/new").count() == 0
-    assert spark.read.option("recursiveFileLookup", "true").text(f"{root}/q").count() == 2
+        L.repair_ledger(spark, f"{root}/l", f"{root}/first")
+    fresh = L.repair_ledger(spark, f"{root}/l", f"{root}/second", confirm_fresh=True)
+    assert L.read_ledger(spark, fresh.ledger).count() == 0
+    assert [r["value"] for r in spark.read.text(fresh.quarantine).collect()] == ["not json at all {{{"]

@@ -135,6 +135,13 @@ def test_files_are_cut_at_the_batch_size(spark, table):
     assert len(table.read().inputFiles()) == 4
 
 
+def test_files_can_be_sorted_by_the_cursor(spark, table):
+    table.create(spark.range(0).schema)
+    shuffled = spark.range(0, 1000, 1, 1).orderBy(F.xxhash64("id")).coalesce(1)
+    table.append(shuffled, "l_1", "id", sort_by_cursor=True)
+    assert [r["id"] for r in table.read().collect()] == list(range(1000))
+
+
 def test_small_increment_of_a_wide_scan_is_one_file(spark, table):
     table.create(spark.range(0).schema)
     table.append(spark.range(0, 10_000, 1, 64).where("id % 100 = 0"), "l_1", "id", rebalance=True)

@@ -8,6 +8,7 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Iterable
+from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -58,36 +59,32 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     return spark.read.schema(LEDGER).options(**options).json(ledger)
 
 
-def split_corrupt(lines: DataFrame, column: str = "value") -> tuple[DataFrame, DataFrame]:
-    """Ledger text into valid events and the lines that are not, which come back as they were."""
+def is_valid_event(line: Column) -> Column:
+    """Whether a ledger line is JSON of the ledger's columns and names a table and an event."""
     schema = T.StructType([*LEDGER.fields, T.StructField(_CORRUPT, T.StringType())])
-    options = {**JSON_TIMES, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT}
-    parsed = lines.select(F.col(column).alias("line"), F.from_json(column, schema, options).alias("e"))
-    # An event without its key says nothing about any table, so it counts as corrupt too.
-    valid = (
-        F.col(f"e.{_CORRUPT}").isNull() & F.col("e.table_name").isNotNull()
-        & F.col("e.event").isin(STARTED, COMPLETED, FAILED)
-    )
-    flagged = parsed.withColumn("valid", F.coalesce(valid, F.lit(False)))
-    good = flagged.where("valid").select([F.col(f"e.{n}").alias(n) for n in LEDGER.names])
-    return good, flagged.where("NOT valid").select("line")
+    event = F.from_json(line, schema, {**JSON_TIMES, "mode": "PERMISSIVE", "columnNameOfCorruptRecord": _CORRUPT})
+    whole = event[_CORRUPT].isNull() & event["table_name"].isNotNull() & event["at"].isNotNull()
+    return F.coalesce(whole & event["event"].isin(STARTED, COMPLETED, FAILED), F.lit(False))
+
 
+class Repaired(NamedTuple):
+    ledger: str
+    quarantine: str
+    has_events: bool
 
-def repair_ledger(spark: SparkSession, ledger: str, repaired: str, quarantine: str, confirm_fresh: bool = False) -> str:
-    """Keep the valid events in a new ledger and the corrupt lines, unchanged, in quarantine.
 
-    When no event survives, an empty ledger is started only if confirmed; destinations then have to be
-    published as new versions, because every table is read again from its start.
+def repair_ledger(spark: SparkSession, ledger: str, target: str, confirm_fresh: bool = False) -> Repaired:
+    """Split a ledger's lines, unchanged and in one pass, into a new ledger and a quarantine below ``target``.
+
+    When no valid event is left, the new ledger is empty. That is accepted only if confirmed, since every
+    table is then read again from its start; destinations have to be published as new versions first.
     """
-    if not path_exists(spark, ledger):
-        return "no ledger yet: nothing to repair"
-    good, bad = split_corrupt(spark.read.option("recursiveFileLookup", "true").text(ledger))
-    bad.write.text(f"{quarantine}/{uuid.uuid4().hex}")
-    survivors = good.limit(1).count()
-    if not survivors and not confirm_fresh:
-        raise LedgerNeedsConfirmation(f"no valid event in {ledger}; corrupt lines are kept in {quarantine}")
-    ledger_append(repaired, good)
-    return "recovered the valid events" if survivors else "started an empty ledger: all tables re-sync from scratch"
+    lines = spark.read.option("recursiveFileLookup", "true").text(ledger)
+    lines.withColumn("valid", is_valid_event(F.col("value"))).write.partitionBy("valid").text(target)
+    repaired = Repaired(f"{target}/valid=true", f"{target}/valid=false", path_exists(spark, f"{target}/valid=true"))
+    if not repaired.has_events and not confirm_fresh:
+        raise LedgerNeedsConfirmation(f"no valid event in {ledger}; its lines are kept in {repaired.quarantine}")
+    return repaired
 
 
 def compact_ledger(spark: SparkSession, ledger: str, compacted: str) -> None:

@@ -149,9 +149,13 @@ class SyncTable:
 
     def append(
         self, batch: DataFrame, load_id: str, cursor: str | None = None,
-        records_per_file: int = 0, rebalance: bool = False,
+        records_per_file: int = 0, rebalance: bool = False, sort_by_cursor: bool = False,
     ) -> WriteResult:
-        """Add one load. The same ``load_id`` again replaces that load, also with no rows at all."""
+        """Add one load. The same ``load_id`` again replaces that load, also with no rows at all.
+
+        ``sort_by_cursor`` sorts within each file, without a shuffle, so that later filters on the cursor
+        can skip parts of files.
+        """
         state = self._state()
         for epoch in state.epochs:
             # An attempt that died before a column was widened left its rows in an earlier epoch.
@@ -159,12 +163,12 @@ class SyncTable:
                 delete_folder(self.spark, f"{self._epoch_path(state.data, epoch)}/load_id={load_id}")
         return self._write(
             batch, state.schema, f"{self._epoch_path(state.data, state.epoch)}/load_id={load_id}",
-            cursor, records_per_file, rebalance,
+            cursor, records_per_file, rebalance, sort_by_cursor,
         )
 
     def _write(
         self, batch: DataFrame, schema: T.StructType, path: str,
-        cursor: str | None = None, records_per_file: int = 0, rebalance: bool = False,
+        cursor: str | None = None, records_per_file: int = 0, rebalance: bool = False, sort_by_cursor: bool = False,
     ) -> WriteResult:
         metrics = [F.count(F.lit(1)).alias("rows")]
         if cursor is not None:
@@ -177,6 +181,8 @@ class SyncTable:
         if rebalance:
             # A small increment of a large scan would otherwise leave one tiny file per scan task.
             rows = rows.hint("rebalance")
+        if sort_by_cursor:
+            rows = rows.sortWithinPartitions(cursor)
         writer = rows.observe(observed, *metrics).write.mode("overwrite")
         if records_per_file:
             writer = writer.option("maxRecordsPerFile", records_per_file)

@@ -42,7 +42,7 @@ def full_refresh(source: DataFrame, table: SyncTable, records_per_file: int = 0)
 
 def incremental_load(
     source: DataFrame, table: SyncTable, cursor: str, after: Cursor | None = None, *, connection: str = "default",
-    lookback: Any = None, delivery: str = EXACTLY_ONCE, records_per_file: int = 0,
+    lookback: Any = None, delivery: str = EXACTLY_ONCE, records_per_file: int = 0, sort_by_cursor: bool = False,
 ) -> LoadResult:
     """Append the rows past ``after`` and return the new cursor, which stays at ``after`` without rows.
 
@@ -51,7 +51,7 @@ def incremental_load(
     """
     rows = incremental_scan(source, cursor, after, lookback)
     name = load_id(connection, table.name, after) if delivery == EXACTLY_ONCE else "r_" + uuid.uuid4().hex
-    written = table.append(rows, name, cursor, records_per_file, rebalance=after is not None)
+    written = table.append(rows, name, cursor, records_per_file, after is not None, sort_by_cursor)
     return LoadResult(written.rows, written.max_cursor or after, written.null_cursors)
 
 
