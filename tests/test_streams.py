@@ -1,3 +1,5 @@
+import time
+
 import pytest
 from pyspark.sql import functions as F
 
@@ -70,6 +72,27 @@ def test_scheduled_load_picks_up_new_files(spark, place):
     assert sorted(r["id"] for r in table.refresh().read().collect()) == list(range(7))
 
 
+def test_scheduled_runs_never_overlap(spark, place):
+    _, checkpoint, _ = place
+    running, begun, most = [], [], []
+
+    def sync():
+        running.append(1)
+        begun.append(1)
+        most.append(len(running))
+        time.sleep(1.5)
+        running.pop()
+
+    query = loads.scheduled_sync(spark, sync, "1 second", checkpoint)
+    try:
+        deadline = time.monotonic() + 60
+        while len(begun) < 3 and time.monotonic() < deadline:
+            time.sleep(0.2)
+    finally:
+        query.stop()
+    assert len(begun) >= 3 and max(most) == 1
+
+
 def test_latest_rows_over_several_arrivals(spark, place):
     folder, checkpoint, table = place
     schema = spark.sql("SELECT 1L AS id, 1 AS version").schema

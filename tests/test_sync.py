@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from tidelane.operators import ledger as L
 from tidelane.operators.monitor import failure_report
 from tidelane.operators.table import SyncTable
+from tidelane.plans import inspect
 from tidelane.plans import sync as sync_module
 from tidelane.plans.modes import LoadResult
 from tidelane.plans.sync import TablePlan, TableTimeout, results_frame, sync_tables, with_retry
@@ -197,6 +198,39 @@ def test_deadline_is_never_retried():
     assert len(calls) == 1
 
 
+def test_a_destination_is_written_by_one_table_of_a_plan(spark, setup):
+    plan = [TablePlan("t", "full_refresh"), TablePlan("u", "full_refresh", destination_table="t")]
+    first, second = setup.run(plan, Tables(t=spark.range(3), u=spark.range(5)))
+    assert (first.success, second.success, second.error) == (True, False, "destination t is planned twice")
+    assert setup.rows("t").count() == 3
+
+
+def test_looking_at_a_plan_moves_nothing(spark, setup):
+    plan = [TablePlan("t", "incremental", "id"), TablePlan("u", "full_refresh", destination_table="dim_u")]
+    setup.run(plan, Tables(t=spark.range(2), u=spark.range(2)))
+    source = Tables(t=spark.sql("SELECT id, array('x') AS tags FROM range(4)"), u=spark.sql("SELECT true AS id"))
+    lines = {(r["name"], r["destination"], r["line"]) for r in inspect.dry_run(spark, plan, source).collect()}
+    assert lines == {
+        ("t", "t", "- id                   INT64"), ("t", "t", "- tags                 REPEATED [items: STRING]"),
+        ("u", "dim_u", "- id                   BOOL"),
+    }
+    changes = inspect.pending_changes(spark, plan, source, f"{setup.root}/tables").collect()
+    assert {(c["table_name"], c["name"], c["change_type"]) for c in changes} == {
+        ("t", "tags", "add_column"), ("dim_u", "id", "type_incompatible"),
+    }
+    assert setup.rows("t").count() == 2
+
+
+def test_validation_lists_every_problem(spark):
+    plan = [TablePlan("t", "incremental"), TablePlan("lost", "full_refresh"), TablePlan("u", "merge")]
+    found = inspect.validate(spark, plan, Tables(t=None, u=None)).collect()
+    assert {tuple(r) for r in found} == {
+        ("t", "sync.tables[0] (t): cursor_field is required for incremental mode"),
+        ("lost", "not found in source"),
+        ("u", 'sync.tables[2].sync_mode "merge" is invalid (valid: incremental, full_refresh, append_only)'),
+    }
+
+
 def test_clock_is_the_callers(spark, setup):
     setup.run(ID, Tables(t=spark.range(1)), clock=lambda: dt.datetime(2020, 1, 1, 0, 0, 0, 5))
     assert {r["at"] for r in L.read_ledger(spark, setup.ledger).collect()} == {dt.datetime(2020, 1, 1, 0, 0, 0, 5)}

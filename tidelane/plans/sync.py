@@ -152,6 +152,11 @@ def sync_tables(
                attempts, wait, delivery, records_per_file)
     with ThreadPoolExecutor(parallel_tables) as pool:
         prepared = list(pool.map(inheritable_thread_target(spark)(run.prepare), plan))
+        taken = set()
+        for p in prepared:
+            if p.plan.destination in taken:
+                p.error = p.error or f"destination {p.plan.destination} is planned twice"
+            taken.add(p.plan.destination)
         run.compare([p for p in prepared if p.error is None])
         run.record_starts(prepared)
         return list(pool.map(inheritable_thread_target(spark)(run.load), prepared))
@@ -204,7 +209,7 @@ class _Run:
     def compare(self, prepared: list[_Prepared]) -> None:
         """Find the drift of all tables in one job over their schemas."""
         existing = {
-            p.plan.name: p for p in prepared
+            p.plan.destination: p for p in prepared
             if p.table.schema() is not None and p.table.schema() != stored_schema(p.rows.schema)
         }
         if not existing:
@@ -215,9 +220,9 @@ class _Run:
         )
         for row in changes.collect():
             existing[row["table_name"]].changes += (row.asDict(),)
-        for name, p in existing.items():
+        for p in existing.values():
             if any(c["change_type"] == TYPE_INCOMPATIBLE for c in p.changes):
-                p.error = f"incompatible schema change on {name}: incompatible schema change detected"
+                p.error = f"incompatible schema change on {p.plan.name}: incompatible schema change detected"
 
     def _event(self, p: _Prepared, event: str, **more) -> dict:
         old = p.cursor or Cursor(None, None)
@@ -232,6 +237,9 @@ class _Run:
             L.ledger_append(self.ledger, L.event_rows(self.spark, starts))
 
     def load(self, p: _Prepared) -> TableResult:
+        # Under fair scheduling each table has a pool of its own, so a large one does not starve the rest.
+        self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", p.plan.destination)
+        self.spark.sparkContext.setJobDescription(f"sync {p.plan.name}")
         try:
             if p.error is not None:
                 raise RuntimeError(p.error)

@@ -2,7 +2,9 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from collections.abc import Callable
+
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -38,6 +40,17 @@ def stream_scheduled_load(
     return _start(stream, table, checkpoint, name, processingTime=interval)
 
 
+def scheduled_sync(spark: SparkSession, run: Callable[[], object], interval: str, checkpoint: str) -> StreamingQuery:
+    """Call ``run``, such as a ``sync_tables`` over a whole plan, on an interval until stopped.
+
+    A slow run delays the next one instead of overlapping it. An error stops the schedule and shows in the
+    query; errors of single tables do not, since ``sync_tables`` keeps them with their table.
+    """
+    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
+    writer = ticks.writeStream.foreachBatch(lambda batch, batch_id: run())
+    return writer.option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
+
+
 def drop_repeats(stream: DataFrame, keys: list[str], cursor: str, delay: str) -> DataFrame:
     """Drop exact repeats of a delivery that arrive within ``delay`` of each other.
 
