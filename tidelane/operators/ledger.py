@@ -127,7 +127,8 @@ def _with_failures(folded: DataFrame, ledger: DataFrame, salts: int) -> DataFram
     """Add each table's failures after its last completed run, ``completed_order`` of ``folded``.
 
     The folded rows are joined back to the failures. Both sides carry a salt, so that a table with very
-    many failures is spread over several tasks and only its counts come together.
+    many failures is spread over several tasks and only its counts come together. The folded side has
+    one row per table and salt, so a task's share of it is hashed and the failures need no sort.
     """
     columns = folded.columns
     spread = folded.withColumn("salt", F.explode(F.array(*map(F.lit, range(salts)))))
@@ -139,7 +140,7 @@ def _with_failures(folded: DataFrame, ledger: DataFrame, salts: int) -> DataFram
     same = (F.col("salt") == F.col("failed_salt")) & later
     for k in KEYS:
         same &= F.col(k) == F.col(f"failed_{k}")
-    return spread.join(failed, same, "left").groupBy(columns).agg(
+    return spread.hint("shuffle_hash").join(failed, same, "left").groupBy(columns).agg(
         F.count("failed_order").alias("consecutive_failures")
     )
 
