@@ -1,0 +1,33 @@
+"""Small tables with nulls, empty and long texts, ties, repeated rows and columns of clashing names."""
+
+import pytest
+
+from tidelane.llm.frames import find_package
+
+SF_DIR = "/root/testdata/sf0.001"
+
+
+@pytest.fixture(scope="session", autouse=True)
+def package(spark):
+    find_package(spark)
+
+
+@pytest.fixture(scope="session")
+def documents(spark):
+    return spark.read.parquet(f"{SF_DIR}/documents.parquet")
+
+
+@pytest.fixture(scope="session")
+def odd(spark):
+    """``doc_id, text, lang, source, n_chars`` and columns named like those that operators add."""
+    lorem = " ".join(f"word{i}" for i in range(60))
+    rows = [
+        (1, None), (2, ""), (3, "   \n\t "), (4, lorem), (4, lorem), (5, lorem), (6, lorem + " tail"), (7, "x" * 70000),
+        (8, " ".join(f"w{i % 900}" for i in range(40000))), (None, "no id here"), (9, "One"), (10, "ONE"), (11, "!!! ???"), (12, "▁ é日本\U0001f600 ▁▁ \x00 \n\n"),
+    ]
+    return spark.createDataFrame([(i, t, None if i == 9 else "en", None if i == 10 else "s", 0, "a", 1) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long, found string, block int")
+
+
+@pytest.fixture(scope="session")
+def nothing(odd):
+    return odd.limit(0)

@@ -1,0 +1,74 @@
+import numpy as np
+import pytest
+import sentencepiece
+
+from tests.llm.conftest import SF_DIR
+from tidelane.llm import pieces
+from tidelane.llm.queries import PIECE_MODEL, QUERIES
+
+
+@pytest.fixture(scope="module")
+def texts(documents):
+    return [r.text for r in documents.select("text").limit(60).collect()] + ["", " x", "a  b\n c  d ", "x" * 400, "ab " * 300 + "ab" * 200, "é日本\U0001f600 ﬁ①"]
+
+
+def test_without_dropout_as_the_library(texts):
+    model, library = pieces.load(PIECE_MODEL), sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
+    ids, counts = pieces.encode_slice(model, texts, np.arange(len(texts)), 0.0, 1, 8)
+    at = np.r_[0, np.cumsum(counts)]
+    for text, a, b in zip(texts, at, at[1:], strict=False):
+        assert ids[a:b].tolist() == library.encode(text)
+
+
+def slow(model, text, skip):
+    """Merge one stretch: the best pair that is not skipped, the leftmost on a tie, until there is none."""
+    symbols = [(int(model.single[ord(c)]), i, i + 1) for i, c in enumerate(text)]
+    while True:
+        best = None
+        for (a, s, m), (b, _, e) in zip(symbols, symbols[1:], strict=False):
+            piece = int(model.pair(np.array([a]), np.array([b]))[0])
+            if piece >= 0 and not skip(s, m, e) and (best is None or (model.rank[piece], s) < best[0]):
+                best = ((model.rank[piece], s), piece, s, e)
+        if best is None:
+            return [p for p, _, _ in symbols]
+        _, piece, s, e = best
+        at = next(i for i, x in enumerate(symbols) if x[1] == s)
+        symbols[at : at + 2] = [(piece, s, e)]
+
+
+@pytest.mark.parametrize("rate", [0.1, 0.5, 0.9])
+def test_rows_heap_and_brute_force_agree(rate):
+    model = pieces.load(PIECE_MODEL)
+    for text in ("▁information", "▁thereabouts", "▁▁▁▁entertainment", "▁a"):
+        symbols, key = np.array([int(model.single[ord(c)]) for c in text]), np.array([12345], np.uint64)
+        skip = lambda s, m, e: bool(pieces._dropped(key, np.array([s]), np.array([m]), np.array([e]), rate)[0])  # noqa: E731,B023
+        want = slow(model, text, skip)
+        rows = [found[0].tolist() for _, found in pieces._merge_rows(model, symbols[None, :], key, rate)]
+        assert rows == [want] and pieces._merge_long(model, symbols, key[0], rate).tolist() == want
+
+
+def test_varied_keyed_and_lossless(texts):
+    model, keys = pieces.load(PIECE_MODEL), np.arange(66)
+    runs = [pieces.encode_slice(model, texts, keys, 0.3, seed, 8) for seed in (1, 1, 2)]
+    assert runs[0][0].tolist() == runs[1][0].tolist() != runs[2][0].tolist()
+    for ids, counts in runs:
+        data, sizes = pieces.decode_slice(model, ids, counts)
+        assert data.tobytes() == "".join(texts).encode() and sizes.tolist() == [len(t.encode()) for t in texts]
+    ids, counts = pieces.encode_slice(model, ["information"], np.array([5]), 0.3, 1, 8)
+    many, n = pieces.encode_slice(model, [" ".join(["information"] * 50)], np.array([5]), 0.3, 1, 8)
+    assert len({tuple(x) for x in np.array_split(many, 50)}) > 1 or n[0] % 50
+
+
+def test_odd_rows(spark, odd, nothing):
+    out = pieces.encode(odd, PIECE_MODEL, "found")
+    assert out.columns == [*(c for c in odd.columns if c != "found"), "found"]
+    assert out.where("NOT found.lossless").count() == 0 and out.count() == odd.count()
+    assert out.where("coalesce(text, '') = '' AND found.n_tokens > 0").count() == 0
+    back = pieces.decode(out.select("doc_id", "text", "found.ids"), PIECE_MODEL, "ids", "back")
+    assert back.where("coalesce(text, '') != back").count() == 0
+    assert pieces.encode(nothing, PIECE_MODEL, "found").count() == 0
+
+
+def test_query(spark, documents):
+    out = QUERIES["op2_piece_dropout"](spark, SF_DIR)
+    assert out.where("lossless AND size(ids) = n_tokens").count() == documents.count()

@@ -1,0 +1,88 @@
+import hashlib
+import random
+import re
+import time
+
+import pytest
+
+from tests.llm.conftest import SF_DIR
+from tidelane.llm import pii
+from tidelane.llm.queries import QUERIES
+
+
+def luhn(digits):
+    total = 0
+    for i, d in enumerate(reversed(digits)):
+        d = int(d) * (1 + i % 2)
+        total += d - 9 * (d > 9)
+    return total % 10 == 0
+
+
+def brute(text):
+    text = text or ""
+    out = [("email", *m.span()) for m in re.finditer(r"[A-Za-z0-9._%+-]+@[A-Za-z0-9-]+(\.[A-Za-z0-9-]+)+", text)]
+    out += [("ip", *m.span()) for m in re.finditer(r"[0-9]+(\.[0-9]+)(\.[0-9]+)(\.[0-9]+)", text) if all(int(p) <= 255 for p in m.group().split("."))]
+    for kind, pattern, least, most, check in (("card", r"[0-9]([\x20-]?[0-9])+", 14, 19, luhn), ("phone", r"\+[0-9][\x20().0-9-]+[0-9]", 10, 15, bool)):
+        for m in re.finditer(pattern, text):
+            digits = re.sub(r"[^0-9]", "", m.group())
+            if least <= len(digits) <= most and check(digits):
+                out.append((kind, *m.span()))
+    return sorted(out, key=lambda s: (s[1], pii.BASE.index(s[0])))
+
+
+def listed(spans):
+    return ",".join(f"{k}:{a}:{b}" for k, a, b in spans)
+
+
+def check(rows, found):
+    have = sorted((str(r.doc_id), r.n_email, r.n_ip, r.n_card, r.n_phone, r.base_sha256) for r in found)
+    want = []
+    for i, text in rows:
+        base = brute(text)
+        want.append((str(i), *(sum(s[0] == k for s in base) for k in pii.BASE), hashlib.sha256(listed(base).encode()).hexdigest()))
+    assert have == sorted(want)
+
+
+@pytest.mark.parametrize("sf", [SF_DIR, "/root/testdata/sf0.01"])
+def test_query(spark, sf):
+    found = QUERIES["op4_personal_data"](spark, sf).collect()
+    rows = [(r.doc_id, r.text) for r in spark.read.parquet(f"{sf}/documents.parquet").collect()]
+    check(rows, found)
+    texts = dict(rows)
+    for r in found:  # base spans stay among all spans
+        assert set(listed(brute(texts[r.doc_id])).split(",")) - {""} <= set(r.spans.split(","))
+
+
+def test_random_strings():
+    random.seed(4)
+    for _ in range(20000):
+        text = "".join(random.choice("a@.-1+ 2(9%é") for _ in range(random.randrange(40)))
+        assert [s[:3] for s in pii.find(text) if s[0] in pii.BASE] == brute(text), text
+    for _ in range(5000):
+        text = "".join(random.choice("0123456789 -..+") for _ in range(random.randrange(60)))
+        assert [s[:3] for s in pii.find(text) if s[0] in pii.BASE] == brute(text), text
+
+
+@pytest.mark.parametrize("piece", ["a", "1", "1.", "a@", "a.", "+1", "1 ", "@", "AB12", "1-", "aa:"])
+def test_long_runs_take_linear_time(piece):
+    start = time.monotonic()
+    pii.find(piece * (300_000 // len(piece)))
+    assert time.monotonic() - start < 5
+
+
+def test_added_kinds_and_scores():
+    kinds = lambda text: [s[0] for s in pii.find(text)]
+    assert kinds("IBAN DE89 3704 0044 0532 0130 00 ok") == ["iban"] and kinds("GB82WEST12345698765432") == ["iban"] and kinds("DE88 3704 0044 0532 0130 00") == []
+    assert kinds("my ssn: 123-45-6789") == ["ssn"] and kinds("part 123-45-6789") == [] and kinds("ssn 000-45-6789") == []
+    assert kinds("device 00:1B:44:11:3A:B7") == ["mac"]
+    card = "4111 1111 1111 1111"
+    plain, near, doubt = (pii.find(t)[0][3] for t in (card, f"visa card {card}", f"example {card}"))
+    assert doubt < plain < near
+    assert pii.mod97("GB82WEST12345698765432") and not pii.mod97("GB82WEST12345698765431")
+
+
+def test_odd_rows(spark, odd, nothing):
+    rows = [(r.doc_id, r.text) for r in odd.collect()]
+    check(rows, pii.digest(odd, ["doc_id"]).collect())
+    assert pii.find_personal(odd, "found").columns == odd.columns
+    assert pii.digest(nothing, ["doc_id"]).count() == 0

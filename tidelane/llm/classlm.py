@@ -6,7 +6,7 @@ likelihood; their bigram counts have a fixed bound, so the driver does this. Eve
 moved, in parallel and by the same gain, to the class that suits all its neighbours best.
 
 Smoothing: class transitions are pulled to class frequencies; words never seen in training form one class whose mass is
-that of words seen once, spread over as many unseen words as there are known ones, plus one.
+that of words seen once, after every class alike, spread over as many unseen words as there are known ones, plus one.
 
 Words are known by a 64-bit hash. For scoring, texts are dealt into blocks of about ``block_bytes``; each block gets
 the model's rows for its own distinct words, so no task needs the whole vocabulary.
@@ -258,12 +258,16 @@ class Model:
         self.transitions: np.ndarray | None = None
 
     def logs(self, pairs: np.ndarray) -> np.ndarray:
-        """log10 of the smoothed class transitions, from their counts."""
+        """log10 of the smoothed class transitions, from their counts.
+
+        The unseen class has the same share after every class: that of words seen once.
+        """
         width = self.classes + 2
-        base = self.class_n.astype(float)
-        base[self.unseen] = self.once
-        base = (base + 1) / (base.sum() + width)
-        return np.log10((pairs + width * base) / (pairs.sum(1, keepdims=True) + width))
+        unseen = (self.once + 1) / (self.tokens + self.once + 2)
+        base = (self.class_n + 1.0) / (self.tokens + width - 1)
+        out = (1 - unseen) * (pairs + width * base) / (pairs.sum(1, keepdims=True) + width)
+        out[:, self.unseen] = unseen
+        return np.log10(out)
 
 
 def train(texts: DataFrame, core: int = 1000, classes: int = 64) -> Model:
