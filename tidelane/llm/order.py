@@ -26,7 +26,7 @@ ROUNDS = 4
 
 
 def permuted(number: np.ndarray, n: int, key: int) -> np.ndarray:
-    """The slots of some of the numbers below ``n``; all of them together are a permutation."""
+    """The slots of some of the numbers below ``n``; all of them together are a permutation. ``key``: 64 bits."""
     half = max(1, -(-max(1, n - 1).bit_length() // 2))
     mask = np.uint64((1 << half) - 1)
     keys = [np.uint64((key * 0x9E3779B97F4A7C15 + r * 0xC2B2AE3D27D4EB4F) % 2**64) for r in range(ROUNDS)]

@@ -108,13 +108,16 @@ def at_most(k: int, n: int, p: float) -> float:
 
 
 def choose(good: list[int], bad: list[int], cutoffs: tuple[float, ...], limit: float, level: float) -> float:
-    """The best cutoff that passes, or infinity. ``good[i]``: good documents above exactly ``i`` of the cutoffs."""
+    """The best cutoff that passes, or infinity. ``good[i]``: good documents above exactly ``i`` of the cutoffs.
+
+    The mildest cutoff is the highest, so what exceeds it exceeds all.
+    """
     n, m, best, found = sum(good), sum(bad), 0.0, math.inf
     for i, cutoff in enumerate(cutoffs):
-        k = sum(good[i + 1 :])
+        k = sum(good[len(cutoffs) - i :])
         if not n or k >= n * limit or at_most(k, n, limit) > level:
             break
-        gain = (sum(bad[i + 1 :]) / m if m else 0) - k / n
+        gain = (sum(bad[len(cutoffs) - i :]) / m if m else 0) - k / n
         if gain > best + 1e-12:
             best, found = gain, cutoff
     return found
