@@ -26,6 +26,9 @@ VERSION = b"WARC/1.1"
 PROFILE = "http://netpreserve.org/warc/1.1/revisit/identical-payload-digest"
 NEEDED = ("warc-type", "warc-record-id", "warc-date", "content-length")
 
+#: Parts that the pages of one payload are dealt to.
+SALTS = 64
+
 SEPARATOR = struct.pack("<II", SKIPPABLE_MAGIC[0], 0)
 _UNSAFE = re.compile(r"[\x00-\x20\x7f]")
 
@@ -140,7 +143,8 @@ def train_dictionary(pages: DataFrame, size: int = 1 << 16, sample: int = 400, c
 
     It changes the archives' size only. Too few pages to train on give a dictionary of their plain bytes.
     """
-    taken = pages.select("payload").orderBy(F.xxhash64("payload"), "payload").limit(sample).select(F.substring("payload", 1, characters)).collect()
+    cut = pages.select(F.substring("payload", 1, characters).alias("payload"))
+    taken = cut.orderBy(F.xxhash64("payload"), "payload").limit(sample).collect()
     built = [build("urn:page:0", "http://example.com/", p[0].encode(), 0, b"", None, "1970-01-01T00:00:00Z") for p in taken]
     try:
         return zstandard.train_dictionary(size, built).as_bytes()
@@ -182,16 +186,18 @@ def write_archives(pages: DataFrame, path: str, least_payload: int = 0, archive_
     rows = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload.cast("binary")).alias("sha1"), F.octet_length(payload).cast("long").alias("size"))
     # Only payloads that occur more than once; a row for each, without the payload.
     first = rows.where(F.col("size") >= least_payload).groupBy("sha1").agg(F.min("page_id").alias("least"), F.count("*").alias("n")).where("n > 1 AND least IS NOT NULL").drop("n")
-    met = rows.join(first, "sha1", "left")
+    total = rows.agg(F.sum("size").alias("n")).first().n or 0
+    archives = max(1, -(-total // archive_bytes))
+    # One shuffle deals the pages to archives and meets their payload's first page; a frequent payload is spread by salts.
+    dealt = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS))).repartition(archives, "sha1", "salt")
+    spread = first.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))).repartition(archives, "sha1", "salt")
+    met = dealt.join(spread.hint("shuffle_hash"), ["sha1", "salt"], "left")
     again = F.col("least").isNotNull() & ~F.col("page_id").eqNullSafe(F.col("least"))
     urn = lambda c: F.concat(F.lit("urn:page:"), F.coalesce(F.col(c).cast("string"), F.lit("null")))
     made = met.select(
         urn("page_id").alias("record_id"), "url", F.when(~again, F.col("payload")).alias("payload"), "size", "sha1", F.when(again, urn("least")).alias("refers"),
     )
-    total = rows.agg(F.sum("size").alias("n")).first().n or 0
-    archives = max(1, -(-total // archive_bytes))
-    dealt = made.repartition(archives, F.xxhash64("record_id", "url"))
-    packed = dealt.mapInArrow(_pack(train_dictionary(rows), date), "value binary")
+    packed = made.mapInArrow(_pack(train_dictionary(rows), date), "value binary")
     packed.select(F.col("value").cast("string").alias("value")).write.option("lineSep", SEPARATOR.decode("ascii")).text(path)
 
 
