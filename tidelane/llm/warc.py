@@ -138,13 +138,16 @@ def records(data: bytes, largest: int = 1 << 30) -> Iterator[dict]:
         yield parse(b"") | {"error": str(error)}
 
 
-def train_dictionary(pages: DataFrame, size: int = 1 << 16, sample: int = 400, characters: int = 1 << 14) -> bytes:
-    """A compression dictionary from ``sample`` rows at most (those of least hash) and so many characters of each.
+def train_dictionary(pages: DataFrame, count: int, size: int = 1 << 16, sample: int = 200, characters: int = 1 << 13) -> bytes:
+    """A compression dictionary from ``sample`` of ``count`` rows at most and so many characters of each.
 
-    It changes the archives' size only. Too few pages to train on give a dictionary of their plain bytes.
+    Rows are taken by the hash of their id and payload: about twice as many as needed pass a threshold, and the least hashes
+    are taken of those. The sample changes the archives' size only. Too few pages to train on give a dictionary of their
+    plain bytes.
     """
-    cut = pages.select(F.substring("payload", 1, characters).alias("payload"))
-    taken = cut.orderBy(F.xxhash64("payload"), "payload").limit(sample).collect()
+    place = F.pmod(F.xxhash64("page_id", "payload"), F.lit(1 << 40)).alias("place")
+    near = pages.select(place, F.substring("payload", 1, characters).alias("payload")).where(F.col("place") < int(min(1, 2 * sample / max(count, 1)) * (1 << 40)))
+    taken = near.orderBy("place", "payload").limit(sample).select("payload").collect()
     built = [build("urn:page:0", "http://example.com/", p[0].encode(), 0, b"", None, "1970-01-01T00:00:00Z") for p in taken]
     try:
         return zstandard.train_dictionary(size, built).as_bytes()
@@ -186,8 +189,8 @@ def write_archives(pages: DataFrame, path: str, least_payload: int = 0, archive_
     rows = pages.select("page_id", "url", payload.alias("payload"), F.sha1(payload.cast("binary")).alias("sha1"), F.octet_length(payload).cast("long").alias("size"))
     # Only payloads that occur more than once; a row for each, without the payload.
     first = rows.where(F.col("size") >= least_payload).groupBy("sha1").agg(F.min("page_id").alias("least"), F.count("*").alias("n")).where("n > 1 AND least IS NOT NULL").drop("n")
-    total = rows.agg(F.sum("size").alias("n")).first().n or 0
-    archives = max(1, -(-total // archive_bytes))
+    total = rows.agg(F.sum("size").alias("n"), F.count("*").alias("pages")).first()
+    archives = max(1, -(-(total.n or 0) // archive_bytes))
     # One shuffle deals the pages to archives and meets their payload's first page; a frequent payload is spread by salts.
     dealt = rows.withColumn("salt", F.pmod(F.xxhash64("page_id", "url"), F.lit(SALTS))).repartition(archives, "sha1", "salt")
     spread = first.withColumn("salt", F.explode(F.sequence(F.lit(0).cast("long"), F.lit(SALTS - 1).cast("long")))).repartition(archives, "sha1", "salt")
@@ -197,7 +200,7 @@ def write_archives(pages: DataFrame, path: str, least_payload: int = 0, archive_
     made = met.select(
         urn("page_id").alias("record_id"), "url", F.when(~again, F.col("payload")).alias("payload"), "size", "sha1", F.when(again, urn("least")).alias("refers"),
     )
-    packed = made.mapInArrow(_pack(train_dictionary(rows), date), "value binary")
+    packed = made.mapInArrow(_pack(train_dictionary(rows, total.pages), date), "value binary")
     packed.select(F.col("value").cast("string").alias("value")).write.option("lineSep", SEPARATOR.decode("ascii")).text(path)
 
 
