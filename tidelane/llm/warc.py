@@ -138,7 +138,7 @@ def records(data: bytes, largest: int = 1 << 30) -> Iterator[dict]:
         yield parse(b"") | {"error": str(error)}
 
 
-def train_dictionary(pages: DataFrame, count: int, size: int = 1 << 16, sample: int = 200, characters: int = 1 << 13) -> bytes:
+def train_dictionary(pages: DataFrame, count: int, size: int = 1 << 16, sample: int = 200, characters: int = 1 << 14) -> bytes:
     """A compression dictionary from ``sample`` of ``count`` rows at most and so many characters of each.
 
     Rows are taken by the hash of their id and payload: about twice as many as needed pass a threshold, and the least hashes
