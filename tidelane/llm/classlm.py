@@ -168,7 +168,7 @@ def _gather_contexts(core: _Core, kind: np.ndarray, width: int):
     def batch_of(word, context, n):
         at = np.flatnonzero(np.r_[True, word[1:] != word[:-1]])
         bounds = pa.array(np.r_[at, len(word)].astype(np.int32))
-        return pa.RecordBatch.from_arrays([_long(word[at]), pa.ListArray.from_arrays(bounds, _long(context + n * 512))], ["word", "seen"])
+        return pa.RecordBatch.from_arrays([_long(word[at]), pa.ListArray.from_arrays(bounds, _long(context + n.astype(np.int64) * 512))], ["word", "seen"])
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         kept, size = [], 0
@@ -183,7 +183,7 @@ def _gather_contexts(core: _Core, kind: np.ndarray, width: int):
                 before = np.r_[kind[core.size], kinds[:-1]][others]
                 after = np.r_[kinds[1:], 0][others] + width  # a word is never last: END follows it
                 word = tokens[others]
-                kept.append(packed(np.r_[word, word], np.r_[before, after], np.ones(2 * len(word), np.int64)))
+                kept.append(packed(np.r_[word, word], np.r_[before, after].astype(np.int16), np.ones(2 * len(word), np.int32)))
                 size += len(kept[-1][0])
                 if size > 2 * GATHER:
                     kept = [packed(*map(np.concatenate, zip(*kept, strict=True)))]
