@@ -142,7 +142,7 @@ def train_dictionary(pages: DataFrame, count: int, size: int = 1 << 16, sample:
     """A compression dictionary from ``sample`` of ``count`` rows at most and so many characters of each.
 
     Rows are taken by the hash of their id and payload: about twice as many as needed pass a threshold, and the least hashes
-    are taken of those. The sample changes the archives' size only. Too few pages to train on give a dictionary of their
+    are taken of those. The dictionary is an eighth of the sample at most. It changes the archives' size only. Too few pages to train on give a dictionary of their
     plain bytes.
     """
     place = F.pmod(F.xxhash64("page_id", "payload"), F.lit(1 << 40)).alias("place")
@@ -150,7 +150,7 @@ def train_dictionary(pages: DataFrame, count: int, size: int = 1 << 16, sample:
     taken = near.orderBy("place", "payload").limit(sample).select("payload").collect()
     built = [build("urn:page:0", "http://example.com/", p[0].encode(), 0, b"", None, "1970-01-01T00:00:00Z") for p in taken]
     try:
-        return zstandard.train_dictionary(size, built).as_bytes()
+        return zstandard.train_dictionary(min(size, max(1 << 10, sum(map(len, built)) // 8)), built).as_bytes()
     except zstandard.ZstdError:
         return (b"".join(built) + build("urn:page:0", None, b"", 0, b"", None, "1970-01-01T00:00:00Z"))[-size:]
 
