@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import itertools
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -29,7 +30,7 @@ def _table(spark, name):
 
 def _counting_clock():
     """A clock that moves one second per call, for repeatable ledgers."""
-    ticks = iter(range(1_000_000))
+    ticks = itertools.count()
     return lambda: _START + dt.timedelta(seconds=next(ticks))
 
 

@@ -235,3 +235,50 @@ def test_clock_is_the_callers(spark, setup):
     setup.run(ID, Tables(t=spark.range(1)), clock=lambda: dt.datetime(2020, 1, 1, 0, 0, 0, 5))
     assert {r["at"] for r in L.read_ledger(spark, setup.ledger).collect()} == {dt.datetime(2020, 1, 1, 0, 0, 0, 5)}
     assert sync_module.utc_now().tzinfo is None
+
+
+class _Flaky:
+    """A source whose first read of a table fails when it runs, as one does whose files have changed."""
+
+    def __init__(self, spark):
+        self.spark, self.reads = spark, 0
+
+    def read(self, name):
+        self.reads += 1
+        rows = self.spark.range(3)
+        return rows.where("raise_error('files changed') IS NULL") if self.reads == 1 else rows
+
+
+def _sync(spark, source, ledger):
+    root = new_folder(spark, "flaky")
+    plan = [TablePlan("a", "full_refresh")]
+    return sync_tables(spark, plan, source, f"{root}/tables", ledger or f"{root}/ledger", "c", wait=lambda s: None)
+
+
+def test_a_retry_reads_the_source_anew(spark):
+    source = _Flaky(spark)
+    (result,) = _sync(spark, source, None)
+    assert result.success and result.rows == 3 and source.reads == 2
+
+
+def test_a_failing_ledger_write_keeps_the_results(spark, monkeypatch):
+    append, calls = L.ledger_append, []
+
+    def fail_at_ends(folder, events):
+        calls.append(1)
+        if len(calls) > 1:
+            raise OSError("disk full")
+        append(folder, events)
+
+    monkeypatch.setattr(L, "ledger_append", fail_at_ends)
+    (result,) = _sync(spark, _Flaky(spark), None)
+    assert not result.success and "disk full" in result.error
+
+
+def test_a_plan_with_more_columns_is_taken(spark):
+    root = new_folder(spark, "plan")
+    plan = spark.createDataFrame([(1, "a", "full_refresh")], "position int, name string, sync_mode string")
+    source = _Flaky(spark)
+    source.reads = 1
+    (result,) = sync_tables(spark, plan, source, f"{root}/tables", f"{root}/ledger", "c")
+    assert result.success

@@ -146,3 +146,42 @@ def test_small_increment_of_a_wide_scan_is_one_file(spark, table):
     table.create(spark.range(0).schema)
     table.append(spark.range(0, 10_000, 1, 64).where("id % 100 = 0"), "l_1", "id", rebalance=True)
     assert len(table.read().inputFiles()) == 1
+
+
+def test_a_failed_repeat_leaves_the_old_rows(spark, table):
+    table.create(spark.range(0).schema)
+    table.append(spark.range(5), "l")
+    with pytest.raises(Exception, match="not today"):
+        table.refresh().append(spark.range(5).where(F.raise_error(F.lit("not today")).isNull()), "l")
+    assert ids(table) == list(range(5))
+
+
+def test_nan_is_never_the_largest_cursor(spark, table):
+    rows = spark.sql("SELECT * FROM VALUES (1D), (2D), (double('NaN')) AS v(c)")
+    table.create(rows.schema)
+    assert table.append(rows, "l", cursor="c").max_cursor.value == "2.0"
+
+
+def test_bigint_widened_to_a_narrow_decimal_stays_readable(spark, table):
+    big = 2**63 - 1
+    table.create(T.StructType().add("n", "long"))
+    table.append(spark.createDataFrame([(big,)], "n long"), "l_1")
+    evolve(table, T.StructType().add("n", "decimal(5,2)"))
+    table.refresh().append(spark.createDataFrame([(Decimal("123.45"),)], "n decimal(5,2)"), "l_2")
+    assert sorted(r["n"] for r in table.refresh().read().collect()) == [Decimal("123.45"), Decimal(big)]
+    with pytest.raises(S.IncompatibleSchema):
+        S.apply_changes(T.StructType().add("n", "long"), T.StructType().add("n", "decimal(38,30)"), [{"name": "n", "change_type": S.TYPE_WIDEN}])
+
+
+def test_array_items_are_never_cut(spark):
+    batch = spark.createDataFrame([([1.9, 2.5],)], "a array<double>")
+    with pytest.raises(S.IncompatibleSchema, match="item type"):
+        S.align_batch(batch, T.StructType().add("a", T.ArrayType(T.LongType())))
+    wider = S.align_batch(spark.createDataFrame([([1, 2],)], "a array<bigint>"), T.StructType().add("a", T.ArrayType(T.DoubleType())))
+    assert wider.first()["a"] == [1.0, 2.0]
+
+
+def test_columns_that_differ_in_case_are_refused(table):
+    table.create(T.StructType().add("v", "long"))
+    with pytest.raises(S.IncompatibleSchema, match="case"):
+        evolve(table, T.StructType().add("V", "long"))

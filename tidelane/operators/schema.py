@@ -93,16 +93,31 @@ def apply_changes(dest: T.StructType, source: T.StructType, changes: Iterable[Ma
     fields = []
     for old in dest.fields:
         new = incoming.get(old.name)
-        if changed.get(old.name) == TYPE_WIDEN:
+        if changed.get(old.name) == TYPE_WIDEN and isinstance(new.dataType, T.DecimalType):
+            fields.append(T.StructField(old.name, _decimal_for(old, new.dataType), True, old.metadata))
+        elif changed.get(old.name) == TYPE_WIDEN:
             fields.append(stored_field(new))
         elif new is not None and isinstance(old.dataType, T.DecimalType):
             fields.append(T.StructField(old.name, _common_decimal(old, new), True, old.metadata))
         else:
             fields.append(T.StructField(old.name, old.dataType, True, old.metadata))
     fields += [stored_field(f) for f in source.fields if changed.get(f.name) == ADD_COLUMN]
+    names = [f.name.lower() for f in fields]
+    if twice := sorted({n for n in names if names.count(n) > 1}):
+        raise IncompatibleSchema(f"incompatible schema change: columns differ in case only: {', '.join(twice)}")
     return T.StructType(fields)
 
 
+def _decimal_for(old: T.StructField, new: T.DecimalType) -> T.DecimalType:
+    # What is stored must stay readable: a bigint may have 19 digits, floating point is kept to nine decimals at least.
+    whole = isinstance(old.dataType, T.IntegralType)
+    scale = new.scale if whole else max(new.scale, T.DecimalType(38, 9).scale)
+    digits = max(19 if whole else 38 - scale, new.precision - new.scale) + scale
+    if digits > T.DecimalType(38, 9).precision:
+        raise IncompatibleSchema(f"incompatible type of column {old.name}: no decimal holds both {old.dataType.simpleString()} and {new.simpleString()}")
+    return T.DecimalType(digits, scale)
+
+
 def _common_decimal(old: T.StructField, new: T.StructField) -> T.DataType:
     # Two NUMERIC columns are the same canonical type, yet the destination must hold every digit of both.
     a, b = old.dataType, new.dataType
@@ -129,6 +144,14 @@ def local_changes(dest: T.StructType, source: T.StructType) -> list[dict]:
     return changes + [{"name": n, "change_type": REMOVE_COLUMN} for n in old if n not in new]
 
 
+def _items_shrink(source: T.DataType, target: T.DataType) -> bool:
+    """Whether a cast between two array types could lose part of an item."""
+    if not (isinstance(source, T.ArrayType) and isinstance(target, T.ArrayType)) or source.elementType == target.elementType:
+        return False
+    old, new = (canonical(T.StructField("item", t.elementType))[0] for t in (source, target))
+    return old != new and not widens(old, new)
+
+
 def _aligned(source: T.StructField, target: T.StructField) -> Column:
     column = F.col(f"`{source.name}`")
     old, new = canonical(source)[0], canonical(target)[0]
@@ -139,6 +162,8 @@ def _aligned(source: T.StructField, target: T.StructField) -> Column:
         column = F.to_json(column)
     elif old != new and not widens(old, new):
         raise IncompatibleSchema(f"incompatible type of column {source.name}: {old} cannot become {new}")
+    elif _items_shrink(source.dataType, target.dataType):
+        raise IncompatibleSchema(f"incompatible item type of column {source.name}: {source.dataType.simpleString()} cannot become {target.dataType.simpleString()}")
     elif source.dataType != target.dataType:
         column = column.cast(target.dataType)
     return column.alias(target.name, metadata=target.metadata or {})

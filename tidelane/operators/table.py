@@ -27,7 +27,7 @@ from pyspark.sql import types as T
 
 from tidelane.frames import empty_frame, small_frame
 from tidelane.operators.schema import align_batch
-from tidelane.sources.files import child_names, delete_folder, folder_bytes, path_exists
+from tidelane.sources.files import child_names, delete_folder, folder_bytes, path_exists, replace_folder
 from tidelane.sources.scan import Cursor, encode_cursor
 from tidelane.types import stored_schema
 
@@ -172,8 +172,11 @@ class SyncTable:
     ) -> WriteResult:
         metrics = [F.count(F.lit(1)).alias("rows")]
         if cursor is not None:
+            floating = isinstance(schema[cursor].dataType, (T.FloatType, T.DoubleType))
+            # NaN is above every number, so as the largest cursor it would end all later loads.
+            counted = F.when(~F.isnan(cursor), F.col(cursor)) if floating else F.col(cursor)
             metrics += [
-                encode_cursor(F.max(cursor), schema[cursor].dataType).alias("max_cursor"),
+                encode_cursor(F.max(counted), schema[cursor].dataType).alias("max_cursor"),
                 F.count_if(F.col(cursor).isNull()).alias("null_cursors"),
             ]
         observed = Observation()
@@ -186,7 +189,10 @@ class SyncTable:
         writer = rows.observe(observed, *metrics).write.mode("overwrite")
         if records_per_file:
             writer = writer.option("maxRecordsPerFile", records_per_file)
-        writer.parquet(path)
+        # Readers keep an earlier attempt's rows until this one is complete.
+        aside = f"{path.rpartition('/')[0]}/_attempt-{uuid.uuid4().hex}"
+        writer.parquet(aside)
+        replace_folder(self.spark, aside, path)
         seen = observed.get
         best = seen.get("max_cursor")
         return WriteResult(

@@ -8,7 +8,7 @@ import time
 import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass
+from dataclasses import dataclass, fields
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -146,7 +146,8 @@ def sync_tables(
     the driver.
     """
     if isinstance(plan, DataFrame):
-        plan = [TablePlan(**row.asDict()) for row in plan.collect()]
+        own = [f.name for f in fields(TablePlan) if f.name in plan.columns]
+        plan = [TablePlan(**row.asDict()) for row in plan.select(*own).collect()]
     plan = list(plan)
     run = _Run(spark, source, destination, ledger, connection, run_id or uuid.uuid4().hex, clock,
                attempts, wait, delivery, records_per_file)
@@ -240,6 +241,7 @@ class _Run:
         # Under fair scheduling each table has a pool of its own, so a large one does not starve the rest.
         self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", p.plan.destination)
         self.spark.sparkContext.setJobDescription(f"sync {p.plan.name}")
+        p.started = time.monotonic()
         try:
             if p.error is not None:
                 raise RuntimeError(p.error)
@@ -253,9 +255,12 @@ class _Run:
             return TableResult(p.plan.name, True, done.rows, took, None, p.changes)
         except Exception as error:
             took = int((time.monotonic() - p.started) * 1_000_000)
-            event = self._event(p, L.FAILED, duration_us=took, error=str(error))
-            L.ledger_append(self.ledger, L.event_rows(self.spark, [event]))
-            return TableResult(p.plan.name, False, 0, took, str(error), p.changes)
+            event, told = self._event(p, L.FAILED, duration_us=took, error=str(error)), str(error)
+            try:
+                L.ledger_append(self.ledger, L.event_rows(self.spark, [event]))
+            except Exception as unwritten:  # the other tables' results must not be lost with it
+                told += f"; and the ledger could not be written: {unwritten}"
+            return TableResult(p.plan.name, False, 0, took, told, p.changes)
 
     def _fit_schema(self, p: _Prepared) -> None:
         if p.plan.sync_mode == "full_refresh":
@@ -265,10 +270,12 @@ class _Run:
         p.table.evolve(apply_changes(p.table.schema(), p.rows.schema, p.changes))
 
     def _load_once(self, p: _Prepared) -> LoadResult:
+        rows = self.source.read(p.plan.name) if p.rows is None else p.rows
+        p.rows = None  # a retry lists the source's files anew
         if p.plan.sync_mode == "full_refresh":
-            return full_refresh(p.rows, p.table, self.records_per_file)
+            return full_refresh(rows, p.table, self.records_per_file)
         return incremental_load(
-            p.rows, p.table, p.plan.cursor_field, p.cursor, connection=self.connection,
+            rows, p.table, p.plan.cursor_field, p.cursor, connection=self.connection,
             delivery=self.delivery, records_per_file=self.records_per_file,
         )
 

@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import functools
-import tempfile
 import uuid
 
 from pyspark.sql import SparkSession
@@ -21,22 +19,15 @@ RECOMMENDED_CONF = {
 }
 
 
-@functools.cache
-def _local_folder() -> str:
-    return "file://" + tempfile.mkdtemp(prefix="tidelane-")
-
-
 def shared_folder(spark: SparkSession) -> str:
-    """The folder every executor can reach, as named by ``spark.checkpoint.dir``.
+    """The folder every executor can reach: ``spark.checkpoint.dir``, or else a folder below the session's warehouse.
 
-    Only a local session may do without that setting; it then gets a temporary folder of its own.
+    On a cluster both must be on storage that all executors share.
     """
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    if spark.conf.get("spark.master", "").startswith("local"):
-        return _local_folder()
-    raise RuntimeError("set spark.checkpoint.dir to a folder that every executor can reach")
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tidelane"
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:

@@ -80,15 +80,17 @@ class JdbcSource:
     splits: Mapping[str, Split] = field(default_factory=dict)
 
     def catalog_options(self) -> dict[str, str]:
+        schema = self.schema.replace("'", "''")
         query = (
             "(SELECT table_name FROM information_schema.tables "
-            f"WHERE table_schema = '{self.schema}' AND table_type = 'BASE TABLE') t"
+            f"WHERE table_schema = '{schema}' AND table_type = 'BASE TABLE') t"
         )
         return {**self.properties, "url": self.url, "dbtable": query}
 
     def table_options(self, name: str) -> dict[str, str]:
+        schema, table = (x.replace('"', '""') for x in (self.schema, name))
         options = {
-            **self.properties, "url": self.url, "dbtable": f'"{self.schema}"."{name}"',
+            **self.properties, "url": self.url, "dbtable": f'"{schema}"."{table}"',
             "fetchsize": str(self.fetch_size),
         }
         if split := self.splits.get(name):

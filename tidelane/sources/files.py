@@ -32,3 +32,11 @@ def folder_bytes(spark: SparkSession, folder: str) -> int:
 def delete_folder(spark: SparkSession, folder: str) -> None:
     store, path = _handle(spark, folder)
     store.delete(path, True)
+
+
+def replace_folder(spark: SparkSession, new: str, path: str) -> None:
+    """Put the complete folder ``new`` in the place of ``path``."""
+    store, target = _handle(spark, path)
+    store.delete(target, True)
+    if not store.rename(_handle(spark, new)[1], target):
+        raise OSError(f"cannot move {new} to {path}")

@@ -2,9 +2,7 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable
-
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
@@ -20,10 +18,15 @@ def _start(stream: DataFrame, table: SyncTable, checkpoint: str, name: str, **tr
     # checkpoint: the new columns are taken up here, an incompatible one is refused.
     table.evolve(apply_changes(table.schema(), stream.schema, local_changes(table.schema(), stream.schema)))
 
+    query: list[str] = []
+
     def write(batch: DataFrame, batch_id: int) -> None:
-        # Each batch has a folder of its own, so a batch that is replayed after a crash replaces itself.
+        # Each batch has a folder of its own, so a batch that is replayed after a crash replaces itself. Batch numbers
+        # begin anew with a new checkpoint, so the folder is also named after the query that the checkpoint belongs to.
+        if not query:
+            query.append(batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"])
         target = SyncTable(batch.sparkSession, table.path.rsplit("/", 1)[0], table.name)
-        target.append(batch, f"s_{name}_{batch_id}")
+        target.append(batch, f"s_{name}_{query[0]}_{batch_id}")
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
@@ -40,17 +43,6 @@ def stream_scheduled_load(
     return _start(stream, table, checkpoint, name, processingTime=interval)
 
 
-def scheduled_sync(spark: SparkSession, run: Callable[[], object], interval: str, checkpoint: str) -> StreamingQuery:
-    """Call ``run``, such as a ``sync_tables`` over a whole plan, on an interval until stopped.
-
-    A slow run delays the next one instead of overlapping it. An error stops the schedule and shows in the
-    query; errors of single tables do not, since ``sync_tables`` keeps them with their table.
-    """
-    ticks = spark.readStream.format("rate").option("rowsPerSecond", 1).load()
-    writer = ticks.writeStream.foreachBatch(lambda batch, batch_id: run())
-    return writer.option("checkpointLocation", checkpoint).trigger(processingTime=interval).start()
-
-
 def drop_repeats(stream: DataFrame, keys: list[str], cursor: str, delay: str) -> DataFrame:
     """Drop exact repeats of a delivery that arrive within ``delay`` of each other.
 
