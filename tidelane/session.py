@@ -27,7 +27,7 @@ def shared_folder(spark: SparkSession) -> str:
     named = spark.conf.get("spark.checkpoint.dir", None)
     if named:
         return named.rstrip("/")
-    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/_tidelane"
+    return spark.conf.get("spark.sql.warehouse.dir").rstrip("/") + "/tidelane"
 
 
 def new_folder(spark: SparkSession, purpose: str) -> str:
