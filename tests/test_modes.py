@@ -8,6 +8,7 @@ from tidelane.operators.dedup import latest_rows
 from tidelane.operators.table import SyncTable
 from tidelane.plans import modes
 from tidelane.session import new_folder
+from tidelane.sources.files import child_names, write_text
 from tidelane.sources.scan import Cursor, cursor_literal, incremental_scan, max_cursor
 
 
@@ -124,3 +125,39 @@ def test_latest_rows_of_a_hot_key_shrink_before_the_shuffle(spark):
     rows = spark.range(0, 10_000, 1, 8).selectExpr("IF(id % 3 = 0, 0, id) AS k", "id AS c")
     plan = latest_rows(rows, ["k"], "c", [])._jdf.queryExecution().executedPlan().toString()
     assert "Partial" in plan and "WindowGroupLimit" in plan
+
+
+def test_a_cursor_that_contradicts_the_table_is_corrected(spark, table):
+    table.create(spark.range(0).schema)
+    first = modes.incremental_load(spark.range(4), table, "id")
+    second = modes.incremental_load(spark.range(8), table, "id", first.cursor)
+    for stale in (None, Cursor("1", "bigint"), first.cursor):
+        assert modes.incremental_load(spark.range(9), table, "id", stale).start == first.cursor
+    assert modes.incremental_load(spark.range(12), table, "id", Cursor("8", "bigint")).start == Cursor("8", "bigint")
+    assert second.cursor == Cursor("7", "bigint")
+    assert sorted(r["id"] for r in table.read().collect()) == list(range(12))
+
+
+def test_a_torn_note_of_the_last_load_falls_back_to_the_one_before(spark, table):
+    table.create(spark.range(0).schema)
+    first = modes.incremental_load(spark.range(4), table, "id")
+    (folder,) = child_names(spark, f"{table.path}/data/{table._state().data}/last")
+    write_text(spark, f"{table.path}/data/{table._state().data}/last/{folder}/{2:012}.json", '{"load_id": ')
+    assert table.last_load("default").end == first.cursor
+    modes.incremental_load(spark.range(6), table, "id", first.cursor)
+    assert table.last_load("default").end == Cursor("5", "bigint") and table.read().count() == 6
+
+
+def test_rows_without_cursor_come_once_when_increments_follow_a_full_copy(spark, table):
+    modes.full_refresh(spark.sql("SELECT id, CAST(NULL AS BIGINT) AS c FROM range(4)"), table)
+    rows = spark.sql("SELECT id, IF(id < 4, NULL, id) AS c FROM range(7)")
+    done = modes.incremental_load(rows, table, "c")
+    assert (done.rows, table.read().count()) == (3, 7)
+
+
+def test_other_feeds_and_a_truncated_table_start_where_they_say(spark, table):
+    table.create(spark.range(0).schema)
+    modes.incremental_load(spark.range(4), table, "id")
+    assert modes.incremental_load(spark.range(3), table, "id", connection="other").rows == 3
+    table.truncate()
+    assert modes.incremental_load(spark.range(9), table, "id", Cursor("5", "bigint")).rows == 3

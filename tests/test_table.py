@@ -185,3 +185,27 @@ def test_columns_that_differ_in_case_are_refused(table):
     table.create(T.StructType().add("v", "long"))
     with pytest.raises(S.IncompatibleSchema, match="case"):
         evolve(table, T.StructType().add("V", "long"))
+
+
+def test_opening_a_table_of_many_versions_takes_one_job(spark):
+    root = new_folder(spark, "versions")
+    table = SyncTable(spark, root, "t")
+    table.create(spark.range(0).schema)
+    for _ in range(19):
+        table.truncate()
+    context = spark.sparkContext
+    context.setJobGroup("opening", "opening")
+    try:
+        assert SyncTable(spark, root, "t").schema() == table.schema()
+        assert len(context.statusTracker().getJobIdsForGroup("opening")) <= 1
+    finally:
+        context.setLocalProperty("spark.jobGroup.id", None)
+
+
+def test_a_failed_repeat_leaves_the_rows_of_the_attempt_before(spark):
+    table = SyncTable(spark, new_folder(spark, "repeat"), "t")
+    table.create(spark.range(0).schema)
+    table.append(spark.range(5), "l_1")
+    with pytest.raises(Exception, match="lost"):
+        table.append(spark.range(5).where("raise_error('lost') IS NULL"), "l_1")
+    assert table.read().count() == 5

@@ -4,11 +4,13 @@ Layout under ``<root>/<name>``::
 
     log/version=<n>/part-*.json             what readers of version n see: data folder, epochs, schemas
     data/<folder>/epoch=<k>/load_id=<id>/   Parquet files of one load
+    data/<folder>/last/<feed>/<n>.json      the last load of each feed: where it began and where it ends
 
 A version becomes visible when its first log file appears, which is one atomic rename, so readers see
 the old rows or the new ones and never an empty table. An epoch groups loads that were written with
 the same column types: widening a column opens a new epoch and costs no rewrite, because a reader casts
-older epochs. Each load has a folder of its own, so repeating a load replaces it.
+older epochs. Each load has a folder of its own, so repeating a load replaces it. A feed is one chain of
+loads, such as those of a connection or a stream; only its last load can come again.
 
 One writer per table at a time is assumed. Where a catalog with table transactions is available, its
 own append, alter and replace operations are the better choice.
@@ -17,17 +19,21 @@ own append, alter and replace operations are the better choice.
 from __future__ import annotations
 
 import functools
+import hashlib
 import json
 import uuid
+from collections.abc import Callable
 from dataclasses import dataclass, replace
 
-from pyspark.sql import DataFrame, Observation, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelane.frames import empty_frame, small_frame
 from tidelane.operators.schema import align_batch
-from tidelane.sources.files import child_names, delete_folder, folder_bytes, path_exists, replace_folder
+from tidelane.sources.files import (
+    child_names, delete_folder, folder_bytes, path_exists, read_text, replace_folder, write_text,
+)
 from tidelane.sources.scan import Cursor, encode_cursor
 from tidelane.types import stored_schema
 
@@ -35,7 +41,19 @@ _LOG_ROW = T.StructType([
     T.StructField("seq", T.IntegerType()), T.StructField("data", T.StringType()),
     T.StructField("epoch", T.IntegerType()), T.StructField("schema", T.StringType()),
 ])
-_LOG = T.StructType([*_LOG_ROW.fields, T.StructField("version", T.LongType())])
+_VERSION = "version="
+_MERGED = "full"
+WHOLE = "whole"  # the feed of full copies
+
+
+def _feed_folder(feed: str) -> str:
+    return hashlib.md5(feed.encode()).hexdigest()
+
+
+def largest(cursor: str, kind: T.DataType) -> Column:
+    """The largest cursor. NaN is above every number, so it would end all later loads; it is left out."""
+    floating = isinstance(kind, (T.FloatType, T.DoubleType))
+    return F.max(F.when(~F.isnan(cursor), F.col(cursor)) if floating else F.col(cursor))
 
 
 @dataclass(frozen=True)
@@ -48,6 +66,15 @@ class WriteResult:
     null_cursors: int = 0
 
 
+@dataclass(frozen=True)
+class LastLoad:
+    """The last load of a feed. One without cursors is a full copy."""
+
+    load_id: str
+    start: Cursor | None = None
+    end: Cursor | None = None
+
+
 @dataclass(frozen=True)
 class _State:
     version: int
@@ -79,20 +106,21 @@ class SyncTable:
         return self._known
 
     def _read_log(self) -> _State | None:
-        if not path_exists(self.spark, f"{self.path}/log"):
-            return None
-        log = self.spark.read.schema(_LOG).option("mode", "FAILFAST").json(f"{self.path}/log")
-        # Only the rows of the current version come back: one, and one more for each schema change.
-        newest = self.spark.sql("SELECT * FROM {log} WHERE version = (SELECT max(version) FROM {log})", log=log)
-        rows = sorted(newest.collect(), key=lambda r: r["seq"])
-        if not rows:
-            return None
-        epochs = {r["epoch"]: T.StructType.fromJson(json.loads(r["schema"])) for r in rows}
-        return _State(rows[-1]["version"], rows[-1]["seq"], rows[-1]["data"], epochs)
+        versions = [int(n.removeprefix(_VERSION)) for n in child_names(self.spark, f"{self.path}/log")]
+        # A folder without files is a publication that failed. Only the newest version's rows are read: one, and
+        # one more for each schema change.
+        for version in sorted(versions, reverse=True):
+            folder = f"{self.path}/log/{_VERSION}{version}"
+            if any(n.endswith(".json") for n in child_names(self.spark, folder)):
+                log = self.spark.read.schema(_LOG_ROW).option("mode", "FAILFAST").json(folder)
+                rows = sorted(log.collect(), key=lambda r: r["seq"])
+                epochs = {r["epoch"]: T.StructType.fromJson(json.loads(r["schema"])) for r in rows}
+                return _State(version, rows[-1]["seq"], rows[-1]["data"], epochs)
+        return None
 
     def _publish(self, state: _State) -> None:
         row = {"seq": state.seq, "data": state.data, "epoch": state.epoch, "schema": state.schema.json()}
-        small_frame(self.spark, [row], _LOG_ROW).write.mode("append").json(f"{self.path}/log/version={state.version}")
+        small_frame(self.spark, [row], _LOG_ROW).write.mode("append").json(f"{self.path}/log/{_VERSION}{state.version}")
         self._known = state
 
     def refresh(self) -> SyncTable:
@@ -105,6 +133,33 @@ class SyncTable:
         state = self._state()
         return state and state.schema
 
+    # -- feeds ------------------------------------------------------------------------------------
+
+    def _last_path(self, data: str) -> str:
+        return f"{self.path}/data/{data}/last"
+
+    def last_load(self, feed: str) -> LastLoad | None:
+        """The last load of a feed in the current version; that of a full copy is under ``WHOLE``."""
+        state = self._state()
+        return state and self._read_last(f"{self._last_path(state.data)}/{_feed_folder(feed)}")
+
+    def _read_last(self, folder: str) -> LastLoad | None:
+        for name in reversed(child_names(self.spark, folder)):
+            try:
+                row = json.loads(read_text(self.spark, f"{folder}/{name}"))
+            except json.JSONDecodeError:
+                continue  # its writer died; the entry before it still holds
+            return LastLoad(row["load_id"], *(c and Cursor(*c) for c in (row["start"], row["end"])))
+        return None
+
+    def _record(self, data: str, feed: str, last: LastLoad) -> None:
+        folder = f"{self._last_path(data)}/{_feed_folder(feed)}"
+        before = child_names(self.spark, folder)
+        number = int(before[-1].removesuffix(".json")) + 1 if before else 1
+        write_text(self.spark, f"{folder}/{number:012}.json", json.dumps(vars(last)))
+        for name in before:
+            delete_folder(self.spark, f"{folder}/{name}")
+
     # -- reading ----------------------------------------------------------------------------------
 
     def _epoch_path(self, data: str, epoch: int) -> str:
@@ -115,11 +170,12 @@ class SyncTable:
         state = self._state()
         if state is None:
             raise LookupError(f"no such table: {self.name}")
+        return self._read_all(state, state.schema)
+
+    def _read_all(self, state: _State, target: T.StructType, **more: Column) -> DataFrame:
         parts = [self._read_epoch(state.data, k, s) for k, s in sorted(state.epochs.items())]
-        parts = [align_batch(p, state.schema) for p in parts if p is not None]
-        if not parts:
-            return empty_frame(self.spark, state.schema)
-        return functools.reduce(DataFrame.unionAll, parts)
+        parts = [align_batch(p.withColumns(more) if more else p, target) for p in parts if p is not None]
+        return functools.reduce(DataFrame.unionAll, parts) if parts else empty_frame(self.spark, target)
 
     def _read_epoch(self, data: str, epoch: int, schema: T.StructType) -> DataFrame | None:
         path = self._epoch_path(data, epoch)
@@ -150,10 +206,12 @@ class SyncTable:
     def append(
         self, batch: DataFrame, load_id: str, cursor: str | None = None,
         records_per_file: int = 0, rebalance: bool = False, sort_by_cursor: bool = False,
+        feed: str | None = None, start: Cursor | None = None,
     ) -> WriteResult:
         """Add one load. The same ``load_id`` again replaces that load, also with no rows at all.
 
-        ``sort_by_cursor`` sorts within each file, without a shuffle, so that later filters on the cursor
+        With a ``feed``, the load is noted as its last one before readers see it, so that it can be found, and
+        repeated, even if the run dies before anything else is recorded. ``sort_by_cursor`` sorts within each file, without a shuffle, so that later filters on the cursor
         can skip parts of files.
         """
         state = self._state()
@@ -164,19 +222,19 @@ class SyncTable:
         return self._write(
             batch, state.schema, f"{self._epoch_path(state.data, state.epoch)}/load_id={load_id}",
             cursor, records_per_file, rebalance, sort_by_cursor,
+            lambda best: feed and self._record(state.data, feed, LastLoad(load_id, start, best or start)),
         )
 
     def _write(
         self, batch: DataFrame, schema: T.StructType, path: str,
         cursor: str | None = None, records_per_file: int = 0, rebalance: bool = False, sort_by_cursor: bool = False,
+        before_publishing: Callable[[Cursor | None], object] = lambda best: None, by: str | None = None,
     ) -> WriteResult:
         metrics = [F.count(F.lit(1)).alias("rows")]
         if cursor is not None:
-            floating = isinstance(schema[cursor].dataType, (T.FloatType, T.DoubleType))
-            # NaN is above every number, so as the largest cursor it would end all later loads.
-            counted = F.when(~F.isnan(cursor), F.col(cursor)) if floating else F.col(cursor)
+            kind = schema[cursor].dataType
             metrics += [
-                encode_cursor(F.max(counted), schema[cursor].dataType).alias("max_cursor"),
+                encode_cursor(largest(cursor, kind), kind).alias("max_cursor"),
                 F.count_if(F.col(cursor).isNull()).alias("null_cursors"),
             ]
         observed = Observation()
@@ -189,24 +247,28 @@ class SyncTable:
         writer = rows.observe(observed, *metrics).write.mode("overwrite")
         if records_per_file:
             writer = writer.option("maxRecordsPerFile", records_per_file)
+        if by:
+            writer = writer.partitionBy(by)
         # Readers keep an earlier attempt's rows until this one is complete.
         aside = f"{path.rpartition('/')[0]}/_attempt-{uuid.uuid4().hex}"
         writer.parquet(aside)
-        replace_folder(self.spark, aside, path)
         seen = observed.get
         best = seen.get("max_cursor")
-        return WriteResult(
-            seen["rows"] or 0,
-            folder_bytes(self.spark, path),
-            None if best is None else Cursor(best, schema[cursor].dataType.simpleString()),
-            seen.get("null_cursors") or 0,
-        )
+        best = None if best is None else Cursor(best, schema[cursor].dataType.simpleString())
+        before_publishing(best)
+        replace_folder(self.spark, aside, path)
+        return WriteResult(seen["rows"] or 0, folder_bytes(self.spark, path), best, seen.get("null_cursors") or 0)
 
     def stage(self, rows: DataFrame, records_per_file: int = 0) -> tuple[str, T.StructType, WriteResult]:
         """Write a full copy aside, unseen by readers."""
         folder, schema = uuid.uuid4().hex, stored_schema(rows.schema)
-        path = f"{self._epoch_path(folder, 1)}/load_id=full"
-        return folder, schema, self._write(rows, schema, path, records_per_file=records_per_file)
+        path = f"{self._epoch_path(folder, 1)}/load_id={_MERGED}"
+        note = LastLoad(_MERGED)
+        written = self._write(
+            rows, schema, path, records_per_file=records_per_file,
+            before_publishing=lambda _: self._record(folder, WHOLE, note),
+        )
+        return folder, schema, written
 
     def swap(self, folder: str, schema: T.StructType) -> None:
         """Publish a staged copy as the next version, in one atomic step."""
@@ -218,9 +280,23 @@ class SyncTable:
         self.swap(uuid.uuid4().hex, self._state().schema)
 
     def rewrite(self) -> WriteResult:
-        """Merge all loads and epochs into one, for tables that were widened or loaded many times."""
-        folder, schema, result = self.stage(self.read())
-        self.swap(folder, schema)
+        """Merge all loads and epochs into one, for tables that were widened or loaded many times.
+
+        The last load of each feed stays apart under its own id, since it may still come again.
+        """
+        state = self._state()
+        feeds = child_names(self.spark, self._last_path(state.data))
+        last = {feed: self._read_last(f"{self._last_path(state.data)}/{feed}") for feed in feeds}
+        ids = [load.load_id for load in last.values() if load is not None]
+        own = F.regexp_extract("_metadata.file_path", "/load_id=([^/]+)/", 1)
+        target = T.StructType([*state.schema.fields, T.StructField("load_id", T.StringType())])
+        rows = self._read_all(state, target, load_id=F.when(own.isin(ids), own).otherwise(_MERGED))
+        folder = uuid.uuid4().hex
+        result = self._write(rows, target, self._epoch_path(folder, 1), by="load_id")
+        for feed, load in last.items():
+            if load is not None:
+                write_text(self.spark, f"{self._last_path(folder)}/{feed}/{1:012}.json", json.dumps(vars(load)))
+        self.swap(folder, state.schema)
         return result
 
     def expire_versions(self) -> None:

@@ -4,14 +4,14 @@ from __future__ import annotations
 
 import hashlib
 import uuid
-from dataclasses import dataclass
+from dataclasses import dataclass, field
 from typing import Any
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelane.operators.table import SyncTable
-from tidelane.sources.scan import Cursor, full_scan, incremental_scan
+from tidelane.operators.table import WHOLE, SyncTable, largest
+from tidelane.sources.scan import Cursor, encode_cursor, full_scan, incremental_scan
 
 EXACTLY_ONCE = "exactly_once"
 AT_LEAST_ONCE = "at_least_once"
@@ -22,6 +22,7 @@ class LoadResult:
     rows: int
     cursor: Cursor | None = None
     null_cursors: int = 0
+    start: Cursor | None = field(default=None, compare=False)  # where the load began
 
 
 def load_id(connection: str, table: str, start: Cursor | None) -> str:
@@ -40,19 +41,46 @@ def full_refresh(source: DataFrame, table: SyncTable, records_per_file: int = 0)
     return LoadResult(written.rows)
 
 
+def _start(table: SyncTable, feed: str, cursor: str, after: Cursor | None) -> tuple[Cursor | None, bool]:
+    """Where the next load of a feed begins by the table's own records, and whether a full copy lies before it.
+
+    ``after`` is where the last load ended, or where it began if its end was never recorded. Anything else is out of
+    date, after a ledger repair for example: then the last load is repeated. The first load after a full copy
+    begins at the copy's largest cursor.
+    """
+    last = table.last_load(feed)
+    if last is not None:
+        return (after if after in (last.start, last.end) else last.start), False
+    if table.last_load(WHOLE) is None:
+        return after, False
+    kind = table.schema()[cursor].dataType
+    best = table.read().agg(encode_cursor(largest(cursor, kind), kind)).head()[0]
+    return (None if best is None else Cursor(best, kind.simpleString())), True
+
+
 def incremental_load(
     source: DataFrame, table: SyncTable, cursor: str, after: Cursor | None = None, *, connection: str = "default",
     lookback: Any = None, delivery: str = EXACTLY_ONCE, records_per_file: int = 0, sort_by_cursor: bool = False,
+    rebalance: bool = False,
 ) -> LoadResult:
     """Append the rows past ``after`` and return the new cursor, which stays at ``after`` without rows.
 
-    An updated row is appended as another version; ``latest_rows`` picks the last one.
-    ``delivery="at_least_once"`` keeps the rows of failed attempts, as plain appends do.
+    An updated row is appended as another version; ``latest_rows`` picks the last one. An ``after`` that
+    contradicts what the table holds is corrected, so that no row is loaded twice; the result tells the start taken.
+    ``delivery="at_least_once"`` begins at ``after`` whatever the table holds and keeps the rows of failed
+    attempts, as plain appends do. ``rebalance`` shuffles the rows into files of even size; it is off by default,
+    and worth it where a small increment comes out of a scan of many tasks.
     """
-    rows = incremental_scan(source, cursor, after, lookback)
-    name = load_id(connection, table.name, after) if delivery == EXACTLY_ONCE else "r_" + uuid.uuid4().hex
-    written = table.append(rows, name, cursor, records_per_file, after is not None, sort_by_cursor)
-    return LoadResult(written.rows, written.max_cursor or after, written.null_cursors)
+    exact = delivery == EXACTLY_ONCE
+    start, copied = _start(table, connection, cursor, after) if exact else (after, False)
+    rows = incremental_scan(source, cursor, start, lookback)
+    if copied:
+        rows = rows.where(F.col(cursor).isNotNull())  # those without a cursor came with the copy
+    name = load_id(connection, table.name, start) if exact else "r_" + uuid.uuid4().hex
+    written = table.append(
+        rows, name, cursor, records_per_file, rebalance, sort_by_cursor, feed=connection, start=start
+    )
+    return LoadResult(written.rows, written.max_cursor or start, written.null_cursors, start)
 
 
 # Rows are only ever added at the source: the mechanics are the same, only the promise differs.

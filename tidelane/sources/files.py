@@ -34,6 +34,25 @@ def delete_folder(spark: SparkSession, folder: str) -> None:
     store.delete(path, True)
 
 
+def read_text(spark: SparkSession, path: str) -> str:
+    """A file of a few hundred bytes."""
+    store, hadoop_path = _handle(spark, path)
+    stream = store.open(hadoop_path)
+    try:
+        return spark._jvm.org.apache.commons.io.IOUtils.toString(stream, "UTF-8")
+    finally:
+        stream.close()
+
+
+def write_text(spark: SparkSession, path: str, text: str) -> None:
+    store, hadoop_path = _handle(spark, path)
+    stream = store.create(hadoop_path, False)
+    try:
+        stream.write(bytearray(text.encode()))
+    finally:
+        stream.close()
+
+
 def replace_folder(spark: SparkSession, new: str, path: str) -> None:
     """Put the complete folder ``new`` in the place of ``path``."""
     store, target = _handle(spark, path)

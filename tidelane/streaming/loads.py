@@ -26,7 +26,8 @@ def _start(stream: DataFrame, table: SyncTable, checkpoint: str, name: str, **tr
         if not query:
             query.append(batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"])
         target = SyncTable(batch.sparkSession, table.path.rsplit("/", 1)[0], table.name)
-        target.append(batch, f"s_{name}_{query[0]}_{batch_id}")
+        feed = f"s_{name}_{query[0]}"
+        target.append(batch, f"{feed}_{batch_id}", feed=feed)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
