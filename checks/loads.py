@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import itertools
+import time
 
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -16,7 +17,7 @@ from tidelane.operators import ledger as L
 from tidelane.operators.monitor import mask_columns
 from tidelane.operators.table import SyncTable
 from tidelane.plans import modes
-from tidelane.plans.sync import TablePlan, sync_tables as sync, with_retry
+from tidelane.plans.sync import TablePlan, results_frame, sync_tables as sync, with_retry
 from tidelane.session import new_folder
 from tidelane.sources.connectors import FileSource
 from tidelane.types import canonical
@@ -170,10 +171,10 @@ def table_summary(spark, sf_dir):
 @register("""
     SELECT o_orderkey, CASE WHEN bytes >= 1048576 THEN printf('%.1f MB', bytes / 1048576.0)
            WHEN bytes >= 1024 THEN printf('%.1f KB', bytes / 1024.0) ELSE bytes || ' B' END AS size
-    FROM (SELECT o_orderkey, (o_orderkey * o_custkey) % 4000000 AS bytes FROM orders)
+    FROM (SELECT o_orderkey, o_orderkey * o_orderkey * o_custkey AS bytes FROM orders)
 """)
 def readable_size(spark, sf_dir):
-    size = F.col("o_orderkey") * F.col("o_custkey") % 4_000_000
+    size = F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_custkey")
     return read(spark, sf_dir, "orders").select("o_orderkey", format_bytes(size).alias("size"))
 
 
@@ -245,14 +246,14 @@ def removed_column(spark, sf_dir):
 
 
 _WIDENED = """
-    SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus,
+    SELECT o_orderkey, CAST(o_custkey AS VARCHAR) AS o_custkey, o_orderstatus, o_orderpriority,
            CAST(o_totalprice AS DECIMAL(38, 9)) AS o_totalprice, CAST(CAST(o_orderdate AS DATE) AS TIMESTAMP) AS o_orderdate
     FROM orders
 """
 
 
 def _widened_orders(spark, sf_dir):
-    orders, table = read(spark, sf_dir, "orders").drop("o_orderpriority"), _table(spark, "orders")
+    orders, table = read(spark, sf_dir, "orders"), _table(spark, "orders")
     narrow = orders.withColumn("o_orderdate", F.col("o_orderdate").cast("date"))
     wide = orders.withColumns({
         "o_custkey": F.col("o_custkey").cast("string"), "o_totalprice": F.col("o_totalprice").cast("decimal(38,9)"),
@@ -276,6 +277,39 @@ def rewrite_table(spark, sf_dir):
     return table.read()
 
 
+@register("""
+    SELECT CAST(o_orderkey AS DECIMAL(21, 2)) AS o_orderkey, o_custkey, o_orderstatus, o_totalprice, o_orderdate, o_orderpriority
+    FROM orders
+""")
+def widen_to_decimal(spark, sf_dir):
+    """A bigint column whose source becomes a decimal too narrow for what is stored."""
+    orders, table = read(spark, sf_dir, "orders"), _table(spark, "orders")
+    table.create(orders.schema)
+    table.append(orders.where("o_orderstatus = 'F'"), "l_1")
+    _evolve(table, orders.where("o_orderstatus <> 'F'").withColumn("o_orderkey", F.col("o_orderkey").cast("decimal(9,2)")), "l_2")
+    return table.refresh().read()
+
+
+@register("""
+    SELECT 'vectors' AS table_name, count(*) AS rows, true AS refused FROM embeddings
+""")
+def array_item_drift(spark, sf_dir):
+    """Items that would be cut to whole numbers are refused; the rows loaded before stay as they are."""
+    vectors, table = read(spark, sf_dir, "embeddings"), _table(spark, "vectors")
+    column = next(f.name for f in vectors.schema.fields if isinstance(f.dataType, T.ArrayType))
+    whole = vectors.withColumn(column, F.transform(column, lambda x: F.floor(x).cast("bigint")))
+    table.create(whole.schema)
+    table.append(whole, "l_1")
+    try:
+        table.append(vectors, "l_2")
+        refused = False
+    except schema.IncompatibleSchema:
+        refused = True
+    return table.read().agg(F.count(F.lit(1)).alias("rows")).select(
+        F.lit(table.name).alias("table_name"), "rows", F.lit(refused).alias("refused")
+    )
+
+
 @register("""
     SELECT s_suppkey, s_name, CAST(s_nationkey AS VARCHAR) AS s_nationkey,
            CASE WHEN s_suppkey < 50 THEN 'old' || s_name END AS s_legacy,
@@ -409,6 +443,28 @@ def table_timeout(spark, sf_dir):
     return L.read_ledger(spark, f"{root}/ledger").select("table_name", "event", "rows", "error")
 
 
+@register("""
+    SELECT 'nation' AS table_name, true AS success, CAST(count(*) AS BIGINT) AS rows FROM nation
+    UNION ALL SELECT 'orders', true, CAST(count(*) AS BIGINT) FROM orders
+    UNION ALL SELECT 'absent', false, 0
+    UNION ALL SELECT 'stuck', false, 0
+""")
+def isolated_tables(spark, sf_dir):
+    """A table that cannot be opened and one whose source never answers hold up no other."""
+    root, source = new_folder(spark, "loads"), FileSource(spark, sf_dir)
+
+    class Stuck:
+        def read(self, name):
+            if name == "stuck":
+                time.sleep(60)
+            return source.read(name)
+
+    plan = [TablePlan("stuck", "full_refresh", timeout_minutes=0.02), TablePlan("absent", "full_refresh")]
+    plan += [TablePlan("nation", "full_refresh"), TablePlan("orders", "incremental", "o_orderdate")]
+    results = sync(spark, plan, Stuck(), f"{root}/tables", f"{root}/ledger", "check", run_id="r0")
+    return results_frame(spark, "r0", results).select("table_name", "success", "rows")
+
+
 @register(_EVENTS)
 def retry_load(spark, sf_dir):
     """A load whose first attempt dies after it wrote: the second replaces what the first left."""

@@ -282,3 +282,49 @@ def test_a_plan_with_more_columns_is_taken(spark):
     source.reads = 1
     (result,) = sync_tables(spark, plan, source, f"{root}/tables", f"{root}/ledger", "c")
     assert result.success
+
+
+def test_a_source_that_never_answers_holds_up_no_other_table(spark, setup):
+    def stuck():
+        time.sleep(60)
+
+    plan = [TablePlan("a", "full_refresh", timeout_minutes=1 / 60), TablePlan("b", "full_refresh")]
+    begun = time.monotonic()
+    late, other = setup.run(plan, Tables(a=stuck, b=lambda: spark.range(3)))
+    assert time.monotonic() - begun < 40
+    assert (late.success, late.error, other.success, other.rows) == (False, "deadline exceeded after 1 s", True, 3)
+
+
+def test_a_ledger_that_cannot_be_read_fails_each_table(spark, setup):
+    setup.run(ID, Tables(t=spark.range(3)))
+    spark.range(1).select(F.lit("{torn").alias("value")).write.text(f"{setup.ledger}/torn")
+    plan = [*ID, TablePlan("u", "full_refresh")]
+    results = setup.run(plan, Tables(t=spark.range(5), u=spark.range(2)))
+    assert [(r.table_name, r.success) for r in results] == [("t", False), ("u", False)]
+    assert all(r.error.startswith("the ledger cannot be read") for r in results)
+    assert setup.rows("t").count() == 3
+
+
+def test_durations_leave_out_the_wait_for_a_worker(spark, setup):
+    def slow():
+        time.sleep(3)
+        return spark.range(1)
+
+    plan = [TablePlan("a", "full_refresh"), TablePlan("b", "full_refresh")]
+    first, second = setup.run(plan, Tables(a=slow, b=spark.range(1)), parallel_tables=1)
+    assert first.duration_us >= 3_000_000 > second.duration_us
+
+
+def test_table_options_reach_the_load(spark, setup):
+    plan = [TablePlan("t", "incremental", "id", lookback=2, sort_by_cursor=True, rebalance=True)]
+    setup.run(plan, Tables(t=spark.range(5)))
+    assert setup.run(plan, Tables(t=spark.range(6)))[0].rows == 3
+    strict = [TablePlan("u", "incremental", "id", strict_items=True)]
+    setup.run(strict, Tables(u=spark.sql("SELECT id, array(id) AS x FROM range(2)")))
+    (refused,) = setup.run(strict, Tables(u=spark.sql("SELECT id, array('a') AS x FROM range(4)")))
+    assert not refused.success and "incompatible schema" in refused.error
+
+
+def test_a_plan_frame_can_be_run(spark, setup):
+    (result,) = setup.run(inspect.plan_frame(spark, ID), Tables(t=spark.range(4)))
+    assert result.success and result.rows == 4

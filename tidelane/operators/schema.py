@@ -131,17 +131,32 @@ def _common_decimal(old: T.StructField, new: T.StructField) -> T.DataType:
 
 
 def local_changes(dest: T.StructType, source: T.StructType) -> list[dict]:
-    """The changes of one table from two schemas at hand, for streams and single loads."""
-    old = {f.name: canonical(f)[0] for f in dest.fields}
-    new = {f.name: canonical(f)[0] for f in source.fields}
+    """The changes of one table by name and kind, from two schemas at hand, for streams and single loads."""
+    return [{k: c[k] for k in ("name", "change_type")} for c in changed_columns(dest, source)]
+
+
+def changed_columns(dest: T.StructType, source: T.StructType, strict_items: bool = False) -> list[dict]:
+    """The rows of ``schema_diff`` for one table, from two schemas at hand."""
+    old = {f.name: (*canonical(f), i) for i, f in enumerate(dest.fields, 1)}
+    new = {f.name: (*canonical(f), i) for i, f in enumerate(source.fields, 1)}
     changes = []
-    for name, kind in new.items():
-        if name not in old:
-            changes.append({"name": name, "change_type": ADD_COLUMN})
-        elif kind != old[name]:
-            change = TYPE_WIDEN if widens(old[name], kind) else TYPE_INCOMPATIBLE
-            changes.append({"name": name, "change_type": change})
-    return changes + [{"name": n, "change_type": REMOVE_COLUMN} for n in old if n not in new]
+    for name in [*new, *(n for n in old if n not in new)]:
+        (was, was_item, at), (now, item, to) = old.get(name, (None,) * 3), new.get(name, (None,) * 3)
+        if was is None:
+            change = ADD_COLUMN
+        elif now is None:
+            change = REMOVE_COLUMN
+        elif was != now:
+            change = TYPE_WIDEN if widens(was, now) else TYPE_INCOMPATIBLE
+        elif strict_items and was_item != item:
+            change = TYPE_INCOMPATIBLE
+        else:
+            continue
+        changes.append({
+            "name": name, "change_type": change, "old_type": was, "old_item_type": was_item,
+            "new_type": now, "new_item_type": item, "ordinal": to or at,
+        })
+    return changes
 
 
 def _items_shrink(source: T.DataType, target: T.DataType) -> bool:

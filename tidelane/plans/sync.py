@@ -9,6 +9,7 @@ import uuid
 from collections.abc import Callable, Iterable
 from concurrent.futures import ThreadPoolExecutor
 from dataclasses import dataclass, fields
+from typing import Any
 
 from pyspark import inheritable_thread_target
 from pyspark.sql import DataFrame, SparkSession
@@ -19,15 +20,16 @@ from tidelane.frames import small_frame
 from tidelane.functions.text import is_fatal_message
 from tidelane.operators import ledger as L
 from tidelane.operators.monitor import CURSOR_MODES, SYNC_MODES
-from tidelane.operators.schema import TYPE_INCOMPATIBLE, IncompatibleSchema, apply_changes, schema_diff
+from tidelane.operators.schema import TYPE_INCOMPATIBLE, IncompatibleSchema, apply_changes, changed_columns
 from tidelane.operators.table import SyncTable
 from tidelane.plans.modes import EXACTLY_ONCE, LoadResult, full_refresh, incremental_load
 from tidelane.sources.connectors import Source
 from tidelane.sources.scan import Cursor
-from tidelane.types import schema_rows, stored_schema
+from tidelane.types import stored_schema
 
 DEFAULT_TIMEOUT_MINUTES = 30
 DEFAULT_ATTEMPTS = 3
+PLAN_KEYS = ("name", "sync_mode")
 
 
 @dataclass(frozen=True)
@@ -37,6 +39,10 @@ class TablePlan:
     cursor_field: str | None = None
     destination_table: str | None = None
     timeout_minutes: float = 0
+    lookback: Any = None  # a number or timedelta: how far an increment reads back behind its cursor
+    sort_by_cursor: bool = False
+    strict_items: bool = False
+    rebalance: bool = False
 
     @property
     def destination(self) -> str:
@@ -97,7 +103,7 @@ class _Deadline:
     """Cancels the Spark jobs a thread started once its time is up."""
 
     def __init__(self, spark: SparkSession, seconds: float):
-        self._context = spark.sparkContext
+        self._spark, self._context = spark, spark.sparkContext
         self._tag = f"tidelane-{uuid.uuid4().hex}"
         self._seconds = seconds
         self._over = threading.Event()
@@ -110,6 +116,7 @@ class _Deadline:
     def __enter__(self) -> _Deadline:
         self._context.setInterruptOnCancel(True)
         self._context.addJobTag(self._tag)
+        self._ends = time.monotonic() + self._seconds
         self._timer.start()
         return self
 
@@ -132,6 +139,28 @@ class _Deadline:
         self.check()
         return done
 
+    def open(self, step: Callable):
+        """A step that may hang outside Spark and changes nothing: it is left behind when time is up."""
+        done: list = []
+
+        def attempt():
+            try:
+                done.append((step(), None))
+            except Exception as error:
+                done.append((None, error))
+
+        thread = threading.Thread(target=inheritable_thread_target(self._spark)(attempt), daemon=True)
+        thread.start()
+        thread.join(max(0.0, self._ends - time.monotonic()))
+        if not done:
+            self._over.wait(1)
+            raise TableTimeout(f"deadline exceeded after {self._seconds:g} s")
+        value, error = done[0]
+        if error is not None:
+            self.check()
+            raise error
+        return value
+
 
 def sync_tables(
     spark: SparkSession, plan: Iterable[TablePlan] | DataFrame, source: Source, destination: str, ledger: str,
@@ -141,26 +170,28 @@ def sync_tables(
 ) -> list[TableResult]:
     """Sync every planned table and return one result for each; a failure stays with its table.
 
-    Starts are recorded before anything is read, ends only after the write is done, so after a crash the
-    next run begins at the last completed cursor. Only the plan, schemas and one-row counts pass through
-    the driver.
+    Each table is opened, compared, loaded and recorded by one worker, under one deadline. Starts are
+    recorded before rows are read, ends only after the write is done, so after a crash the next run begins at the
+    last completed cursor. Only the plan, schemas and one-row counts pass through the driver.
     """
     if isinstance(plan, DataFrame):
         own = [f.name for f in fields(TablePlan) if f.name in plan.columns]
-        plan = [TablePlan(**row.asDict()) for row in plan.select(*own).collect()]
+        rows = (row.asDict() for row in plan.select(*own).collect())
+        plan = [TablePlan(**{k: v for k, v in row.items() if v is not None or k in PLAN_KEYS}) for row in rows]
     plan = list(plan)
     run = _Run(spark, source, destination, ledger, connection, run_id or uuid.uuid4().hex, clock,
                attempts, wait, delivery, records_per_file)
+    run.read_cursors(plan)
+    taken: set[str] = set()
+    tasks = []
+    for p in plan:
+        refused = f"destination {p.destination} is planned twice" if p.destination in taken else None
+        taken.add(p.destination)
+        tasks.append(_Prepared(p, SyncTable(spark, destination, p.destination), refused, run.cursors.get(p.name)))
     with ThreadPoolExecutor(parallel_tables) as pool:
-        prepared = list(pool.map(inheritable_thread_target(spark)(run.prepare), plan))
-        taken = set()
-        for p in prepared:
-            if p.plan.destination in taken:
-                p.error = p.error or f"destination {p.plan.destination} is planned twice"
-            taken.add(p.plan.destination)
-        run.compare([p for p in prepared if p.error is None])
-        run.record_starts(prepared)
-        return list(pool.map(inheritable_thread_target(spark)(run.load), prepared))
+        # Wrapped once for each table: threads of one wrapper share their job tags, and a deadline would end them all.
+        running = [pool.submit(inheritable_thread_target(spark)(run.sync), task) for task in tasks]
+        return [r.result() for r in running]
 
 
 def results_frame(spark: SparkSession, run_id: str, results: Iterable[TableResult]) -> DataFrame:
@@ -172,10 +203,9 @@ def results_frame(spark: SparkSession, run_id: str, results: Iterable[TableResul
 class _Prepared:
     plan: TablePlan
     table: SyncTable
-    started: float
     error: str | None = None
-    rows: DataFrame | None = None
     cursor: Cursor | None = None
+    rows: DataFrame | None = None
     changes: tuple = ()
 
 
@@ -186,82 +216,81 @@ class _Run:
         self.connection, self.run_id, self.clock = connection, run_id, clock
         self.attempts, self.wait, self.delivery = attempts, wait, delivery
         self.records_per_file = records_per_file
-        state = L.safe_cursor(L.read_ledger(spark, ledger).where(F.col("connection") == connection))
-        self.cursors = {
-            r["table_name"]: Cursor(r["cursor_value"], r["cursor_type"])
-            for r in state.collect() if r["cursor_value"] is not None
-        }
+        self.cursors: dict[str, Cursor] = {}
+        self.unreadable: str | None = None
 
-    def prepare(self, plan: TablePlan) -> _Prepared:
-        """Open both ends of one table; an error becomes that table's result."""
-        table = SyncTable(self.spark, self.destination, plan.destination)
-        ready = _Prepared(plan, table, time.monotonic(), cursor=self.cursors.get(plan.name))
+    def read_cursors(self, plan: list[TablePlan]) -> None:
+        """Where the planned tables resume. A ledger that cannot be read fails each of them."""
+        names = T.StructType([T.StructField("table_name", T.StringType())])
+        planned = small_frame(self.spark, [{"table_name": p.name} for p in plan], names)
         try:
-            if plan.sync_mode not in SYNC_MODES:
-                raise ValueError(f"unknown sync mode: {plan.sync_mode}")
-            if plan.sync_mode in CURSOR_MODES and not plan.cursor_field:
-                raise ValueError(f"cursor_field is required for {plan.sync_mode} mode")
-            ready.rows = self.source.read(plan.name)
-            table.schema()
+            events = L.read_ledger(self.spark, self.ledger).where(F.col("connection") == self.connection)
+            state = L.safe_cursor(events.join(planned, "table_name", "left_semi"))
+            self.cursors = {
+                r["table_name"]: Cursor(r["cursor_value"], r["cursor_type"])
+                for r in state.collect() if r["cursor_value"] is not None
+            }
         except Exception as error:
-            ready.error = str(error)
-        return ready
-
-    def compare(self, prepared: list[_Prepared]) -> None:
-        """Find the drift of all tables in one job over their schemas."""
-        existing = {
-            p.plan.destination: p for p in prepared
-            if p.table.schema() is not None and p.table.schema() != stored_schema(p.rows.schema)
-        }
-        if not existing:
-            return
-        changes = schema_diff(
-            schema_rows(self.spark, {n: p.rows.schema for n, p in existing.items()}),
-            schema_rows(self.spark, {n: p.table.schema() for n, p in existing.items()}),
-        )
-        for row in changes.collect():
-            existing[row["table_name"]].changes += (row.asDict(),)
-        for p in existing.values():
-            if any(c["change_type"] == TYPE_INCOMPATIBLE for c in p.changes):
-                p.error = f"incompatible schema change on {p.plan.name}: incompatible schema change detected"
-
-    def _event(self, p: _Prepared, event: str, **more) -> dict:
-        old = p.cursor or Cursor(None, None)
-        return {
-            "connection": self.connection, "table_name": p.plan.name, "run_id": self.run_id, "event": event,
-            "at": self.clock(), "cursor_old": old.value, "cursor_type": old.type, **more,
-        }
-
-    def record_starts(self, prepared: list[_Prepared]) -> None:
-        starts = [self._event(p, L.STARTED) for p in prepared if p.error is None]
-        if starts:
-            L.ledger_append(self.ledger, L.event_rows(self.spark, starts))
+            self.unreadable = f"the ledger cannot be read: {error}"
 
-    def load(self, p: _Prepared) -> TableResult:
+    def sync(self, p: _Prepared) -> TableResult:
         # Under fair scheduling each table has a pool of its own, so a large one does not starve the rest.
         self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", p.plan.destination)
         self.spark.sparkContext.setJobDescription(f"sync {p.plan.name}")
-        p.started = time.monotonic()
+        started = time.monotonic()
         try:
-            if p.error is not None:
-                raise RuntimeError(p.error)
+            self._check_plan(p)
             with _Deadline(self.spark, p.plan.timeout) as deadline:
+                late = None
+                try:
+                    deadline.open(lambda: self._open(p))
+                except TableTimeout as error:
+                    late = error  # begun all the same
+                L.ledger_append(self.ledger, L.event_rows(self.spark, [self._event(p, L.STARTED)]))
+                if late is not None:
+                    raise late
                 deadline.run(lambda: self._fit_schema(p))
                 done = with_retry(lambda: deadline.run(lambda: self._load_once(p)), self.attempts, self.wait)
-            took = int((time.monotonic() - p.started) * 1_000_000)
+            took = int((time.monotonic() - started) * 1_000_000)
             new = done.cursor or p.cursor or Cursor(None, None)
             event = self._event(p, L.COMPLETED, rows=done.rows, duration_us=took, cursor_new=new.value)
             L.ledger_append(self.ledger, L.event_rows(self.spark, [event | {"cursor_type": new.type}]))
             return TableResult(p.plan.name, True, done.rows, took, None, p.changes)
         except Exception as error:
-            took = int((time.monotonic() - p.started) * 1_000_000)
-            event, told = self._event(p, L.FAILED, duration_us=took, error=str(error)), str(error)
-            try:
-                L.ledger_append(self.ledger, L.event_rows(self.spark, [event]))
-            except Exception as unwritten:  # the other tables' results must not be lost with it
-                told += f"; and the ledger could not be written: {unwritten}"
+            took, told = int((time.monotonic() - started) * 1_000_000), str(error)
+            if self.unreadable is None:
+                try:
+                    event = self._event(p, L.FAILED, duration_us=took, error=told)
+                    L.ledger_append(self.ledger, L.event_rows(self.spark, [event]))
+                except Exception as unwritten:  # the other tables' results must not be lost with it
+                    told += f"; and the ledger could not be written: {unwritten}"
             return TableResult(p.plan.name, False, 0, took, told, p.changes)
 
+    def _check_plan(self, p: _Prepared) -> None:
+        if p.error or self.unreadable:
+            raise RuntimeError(p.error or self.unreadable)
+        if p.plan.sync_mode not in SYNC_MODES:
+            raise ValueError(f"unknown sync mode: {p.plan.sync_mode}")
+        if p.plan.sync_mode in CURSOR_MODES and not p.plan.cursor_field:
+            raise ValueError(f"cursor_field is required for {p.plan.sync_mode} mode")
+
+    def _open(self, p: _Prepared) -> None:
+        """Open both ends of a table and compare them."""
+        p.rows = self.source.read(p.plan.name)
+        old, new = p.table.schema(), p.rows.schema
+        if old is None or old == stored_schema(new):
+            return
+        p.changes = tuple(changed_columns(old, new, p.plan.strict_items))
+        if any(c["change_type"] == TYPE_INCOMPATIBLE for c in p.changes):
+            raise IncompatibleSchema(f"incompatible schema change on {p.plan.name}; the table is not loaded")
+
+    def _event(self, p: _Prepared, event: str, **more) -> dict:
+        old = p.cursor or Cursor(None, None)
+        return {
+            "connection": self.connection, "table_name": p.plan.name, "run_id": self.run_id, "event": event,
+            "at": self.clock(), "cursor_old": old.value, "cursor_type": old.type, **more,
+        }
+
     def _fit_schema(self, p: _Prepared) -> None:
         if p.plan.sync_mode == "full_refresh":
             return  # the new version brings the source's schema with it
@@ -275,7 +304,7 @@ class _Run:
         if p.plan.sync_mode == "full_refresh":
             return full_refresh(rows, p.table, self.records_per_file)
         return incremental_load(
-            rows, p.table, p.plan.cursor_field, p.cursor, connection=self.connection,
+            rows, p.table, p.plan.cursor_field, p.cursor, connection=self.connection, lookback=p.plan.lookback,
             delivery=self.delivery, records_per_file=self.records_per_file,
+            sort_by_cursor=p.plan.sort_by_cursor, rebalance=p.plan.rebalance,
         )
-
