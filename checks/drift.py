@@ -4,14 +4,14 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
+from checks import expected
 from checks.registry import pick, pick_sql, read, register
 from tidelane.functions import typemap
-from tidelane.functions.typemap import WIDENINGS
 from tidelane.operators import monitor, schema
 from tidelane.types import CANONICAL_TYPES
 
 TYPES = list(CANONICAL_TYPES)
-_SAFE = ", ".join(f"('{old}', '{new}')" for old, wider in WIDENINGS.items() for new in wider)
+_SAFE = expected.WIDENINGS
 
 
 def _side(spark, sf_dir, number, kept):
@@ -144,10 +144,10 @@ def schema_change_report(spark, sf_dir):
 
 @register(f"""
     SELECT name, sync_mode, cursor_field, destination_table, timeout_minutes FROM ({PLAN_SQL})
-    WHERE name NOT IN (SELECT 't' || CAST(o_custkey AS VARCHAR) FROM orders WHERE o_orderpriority = '1-URGENT')
+    WHERE name NOT IN (SELECT 't' || CAST(o_custkey AS VARCHAR) FROM orders WHERE o_totalprice > 450000)
 """)
 def missing_tables(spark, sf_dir):
-    have = read(spark, sf_dir, "orders").where("o_orderpriority = '1-URGENT'").select(
+    have = read(spark, sf_dir, "orders").where("o_totalprice > 450000").select(
         F.concat(F.lit("t"), F.col("o_custkey").cast("string")).alias("table_name")
     )
     return monitor.missing_tables(plan(spark, sf_dir), have)

@@ -7,6 +7,7 @@ import datetime as dt
 from pyspark.sql import functions as F
 
 from checks.ledgers import LEDGER_SQL, ledger
+from checks import expected
 from checks.registry import pick, pick_sql, read, register
 from tidelane.functions import text
 from tidelane.operators import monitor
@@ -93,12 +94,9 @@ _WORDS = [
     "Quota exceeded", "service unavailable", "server busy", "broken pipe", "unexpected EOF", "timeout: unauthorized",
     "no such table", "", "disk full",
 ]
-_FATAL = " OR ".join(f"contains(e, '{p}')" for p in text.FATAL_PATTERNS)
-_RETRYABLE = " OR ".join(f"contains(e, '{p}')" for p in text.RETRYABLE_PATTERNS)
-
-
 @register(f"""
-    SELECT doc_id, CASE WHEN {_FATAL} THEN 'fatal' WHEN {_RETRYABLE} THEN 'retryable' ELSE 'other' END AS class
+    SELECT doc_id, CASE WHEN regexp_matches(e, '{expected.FATAL}') THEN 'fatal'
+           WHEN regexp_matches(e, '{expected.RETRYABLE}') THEN 'retryable' ELSE 'other' END AS class
     FROM (SELECT doc_id, lower(text || ' ' || {pick_sql(_WORDS, 'doc_id')}) AS e FROM documents)
 """)
 def classify_error(spark, sf_dir):

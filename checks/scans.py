@@ -6,6 +6,7 @@ import datetime as dt
 
 from pyspark.sql import functions as F
 
+from checks import expected
 from checks.registry import pick, pick_sql, read, register
 from tidelane.functions import typemap
 from tidelane.functions.typemap import ARRAY_OIDS, DESTINATION_TYPES, SCALAR_OIDS, TYPE_NAMES
@@ -98,29 +99,28 @@ def _split(columns: str) -> list[str]:
 
 
 def _mapped_sql(number: str) -> str:
-    kinds = "\n".join(f"WHEN {n} THEN '{t}'" for n, t in SCALAR_OIDS.items())
-    items = "\n".join(f"WHEN {n} THEN '{t}'" for n, t in ARRAY_OIDS.items())
+    kind, item = expected.TYPE_OF_NUMBER.format(number), expected.ITEM_OF_NUMBER.format(number)
     return f"""
-        coalesce(CASE {number} {kinds} END, CASE WHEN {number} IN ({_list(ARRAY_OIDS)}) THEN 'REPEATED' END,
-                 'STRING') AS type,
-        CASE {number} {items} END AS item_type,
-        {number} IN ({_list([*SCALAR_OIDS, *ARRAY_OIDS])}) AS known
+        coalesce(CASE {kind} END, CASE WHEN (CASE {item} END) IS NOT NULL THEN 'REPEATED' END, 'STRING') AS type,
+        CASE {item} END AS item_type, coalesce(CASE {kind} END, CASE {item} END) IS NOT NULL AS known
     """
 
 
-def _list(values) -> str:
-    return ", ".join(map(str, values))
+def _columns_sql(where: str) -> str:
+    return f"""
+        SELECT {_NAMESPACE} AS namespace, s_name AS table_name, l_linenumber - 2 AS ordinal,
+               concat('c', CAST(l_orderkey AS VARCHAR)) AS name, l_partkey AS type_oid,
+               NOT (l_tax > 0.04) AS nullable, {_mapped_sql('l_partkey')}
+        FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
+        JOIN nation ON s_nationkey = n_nationkey
+        WHERE l_linenumber > 2 AND l_returnflag <> 'R' AND {where}
+    """
 
 
-@register(f"""
-    SELECT n_name AS namespace, s_name AS table_name, l_linenumber - 2 AS ordinal,
-           concat('c', CAST(l_orderkey AS VARCHAR)) AS name, l_partkey AS type_oid,
-           NOT (l_tax > 0.04) AS nullable, {_mapped_sql('l_partkey')}
-    FROM lineitem JOIN part ON l_partkey = p_partkey JOIN supplier ON l_suppkey = s_suppkey
-    JOIN nation ON s_nationkey = n_nationkey
-    WHERE l_linenumber > 2 AND l_returnflag <> 'R'
-""")
-def describe_schema(spark, sf_dir):
+_NAMESPACE = "CASE WHEN n_regionkey < 3 THEN 'public' ELSE n_name END"
+
+
+def _described(spark, sf_dir, schema):
     attributes = read(spark, sf_dir, "lineitem").selectExpr(
         "l_suppkey AS attrelid", "concat('c', CAST(l_orderkey AS STRING)) AS attname", "l_partkey AS atttypid",
         "l_linenumber - 2 AS attnum", "l_tax > 0.04 AS attnotnull", "l_returnflag = 'R' AS attisdropped",
@@ -128,9 +128,19 @@ def describe_schema(spark, sf_dir):
     classes = read(spark, sf_dir, "supplier").selectExpr(
         "s_suppkey AS class_oid", "s_name AS relname", "s_nationkey AS relnamespace"
     )
-    namespaces = read(spark, sf_dir, "nation").selectExpr("n_nationkey AS namespace_oid", "n_name AS nspname")
+    namespaces = read(spark, sf_dir, "nation").selectExpr("n_nationkey AS namespace_oid", f"{_NAMESPACE} AS nspname")
     types = read(spark, sf_dir, "part").selectExpr("p_partkey AS type_oid")
-    return describe(attributes, classes, namespaces, types, schema=None)
+    return describe(attributes, classes, namespaces, types, schema)
+
+
+@register(_columns_sql(f"{_NAMESPACE} = 'public'"))
+def describe_schema(spark, sf_dir):
+    return _described(spark, sf_dir, "public")
+
+
+@register(_columns_sql("true"))
+def describe_all_schemas(spark, sf_dir):
+    return _described(spark, sf_dir, None)
 
 
 @register(f"""
@@ -142,12 +152,12 @@ def map_source_types(spark, sf_dir):
 
 
 _SUFFIX = "CASE o_orderstatus WHEN 'F' THEN '' WHEN 'O' THEN '[]' ELSE '[][]' END"
-_NAMED = "\n".join(f"WHEN '{n}' THEN '{t}'" for n, t in TYPE_NAMES.items())
+_NAMED = expected.TYPE_OF_NAME.format("base")
 
 
 @register(f"""
     WITH n AS (
-        SELECT o_orderkey, base || {_SUFFIX} AS type_name, CASE base {_NAMED} END AS base_type, o_orderstatus
+        SELECT o_orderkey, base || {_SUFFIX} AS type_name, CASE {_NAMED} END AS base_type, o_orderstatus
         FROM (SELECT *, {pick_sql(NAMES, 'o_custkey')} AS base FROM orders)
     )
     SELECT o_orderkey, type_name,
@@ -164,8 +174,8 @@ def map_source_type_names(spark, sf_dir):
     return typemap.map_source_type_names(named)
 
 
-_TO_DEST = "\n".join(f"WHEN '{c}' THEN '{d}'" for c, d in DESTINATION_TYPES.items())
-_FROM_DEST = "\n".join(f"WHEN '{d}' THEN '{c}'" for c, d in DESTINATION_TYPES.items())
+_TO_DEST = expected.TO_DESTINATION.format("coalesce(item_type, type)")
+_FROM_DEST = expected.FROM_DESTINATION.format("dest_type")
 
 
 @register(f"""
@@ -177,7 +187,7 @@ _FROM_DEST = "\n".join(f"WHEN '{d}' THEN '{c}'" for c, d in DESTINATION_TYPES.it
         FROM orders
     )
     SELECT o_orderkey, type, item_type, nullable,
-           coalesce(CASE coalesce(item_type, type) {_TO_DEST} END, 'STRING') AS dest_type,
+           coalesce(CASE {_TO_DEST} END, 'STRING') AS dest_type,
            CASE WHEN type = 'REPEATED' THEN 'REPEATED' WHEN nullable THEN 'NULLABLE' ELSE 'REQUIRED' END AS mode
     FROM s
 """)
@@ -196,7 +206,7 @@ def dest_type_map(spark, sf_dir):
         SELECT o_orderkey, {pick_sql(DESTINATIONS, 'o_custkey')} AS dest_type,
                CASE o_orderstatus WHEN 'F' THEN 'NULLABLE' WHEN 'O' THEN 'REQUIRED' ELSE 'REPEATED' END AS mode
         FROM orders
-    ), t AS (SELECT *, coalesce(CASE dest_type {_FROM_DEST} END, 'STRING') AS scalar FROM d)
+    ), t AS (SELECT *, coalesce(CASE {_FROM_DEST} END, 'STRING') AS scalar FROM d)
     SELECT o_orderkey, dest_type, mode, CASE WHEN mode = 'REPEATED' THEN 'REPEATED' ELSE scalar END AS type,
            CASE WHEN mode = 'REPEATED' THEN scalar END AS item_type, mode <> 'REQUIRED' AS nullable
     FROM t

@@ -5,7 +5,9 @@ from pyspark.sql import functions as F
 
 from tidelane import session
 from tidelane.operators import jsonl
-from tidelane.sources.connectors import CatalogSource, FileSource, JdbcSource, Split
+from tidelane.operators.schema import changed_columns
+from tidelane.sources.connectors import CatalogSource, FileSource, JdbcSource, Split, with_source_types
+from tidelane.types import canonical
 
 
 def test_file_source(spark):
@@ -74,3 +76,26 @@ def test_summary_counts_bytes_as_files_do(spark):
 def test_shared_folder_is_the_sessions(spark):
     assert session.shared_folder(spark) == spark.conf.get("spark.checkpoint.dir")
     assert session.new_folder(spark, "x") != session.new_folder(spark, "x")
+
+
+def test_json_columns_of_a_database_are_told_from_strings(spark):
+    rows = spark.sql("SELECT 1L AS id, '{}' AS doc, 'x' AS note, array('{}') AS docs")
+    columns = spark.sql("SELECT * FROM VALUES ('id', 20L), ('doc', 3802L), ('note', 25L), ('docs', 3807L) AS t(name, type_oid)")
+    typed = with_source_types(rows, columns)
+    assert [canonical(f)[0] for f in typed.schema.fields] == ["INT64", "JSON", "STRING", "REPEATED"]
+    plain = changed_columns(typed.schema, rows.schema)
+    assert [(c["name"], c["change_type"]) for c in plain] == [("doc", "type_incompatible")]
+
+
+def test_names_in_catalog_queries_are_quoted(spark):
+    options = JdbcSource(spark, "jdbc:postgresql://host/db", schema="a'b").type_options("o'c")
+    assert "n.nspname = 'a''b' AND c.relname = 'o''c'" in options["dbtable"]
+
+
+@pytest.mark.parametrize("inside", ["plain/t", "with space", "a+b%20c/t"])
+def test_summary_names_the_folder_below_the_root(spark, inside):
+    root = f"{session.new_folder(spark, 'jsonl')}/{inside}"
+    for table, rows in (("t", 3), ("two words", 2), ("c+d", 1)):
+        jsonl.append_jsonl(spark.range(rows), f"{root}/{table}", "l_1")
+    found = {(r["table_name"], r["rows"]) for r in jsonl.table_summary(spark, root).collect()}
+    assert found == {("t", 3), ("two words", 2), ("c+d", 1)}

@@ -89,3 +89,15 @@ def test_durations(spark):
 
 def test_mask_tells_nothing(spark):
     assert apply(spark, lambda c: text.mask(), ["", "x", "a very long secret"]) == ["***"] * 3
+
+
+def test_every_unicode_space_is_trimmed_from_settings(spark):
+    spaces = [c for c in map(chr, range(0x3001)) if c.isspace() and not "\x1c" <= c <= "\x1f"]
+    lines = [f"{c}password:{c}x" for c in spaces] + [f"password:{c}" for c in spaces]
+    assert apply(spark, text.credential_field, lines) == ["password"] * len(spaces) + [None] * len(spaces)
+
+
+def test_error_classes_stay_in_generated_code(spark):
+    frame = spark.range(1).select(text.classify_error(F.concat(F.lit("x"), F.col("id").cast("string"))).alias("c"))
+    plan = frame._jdf.queryExecution().executedPlan().toString()
+    assert "lambdafunction" not in plan and "*(1) Project" in plan

@@ -24,6 +24,11 @@ RETRYABLE_PATTERNS = (
 # Settings that must refer to an environment variable, and the masks.
 CREDENTIAL_FIELDS = ("password", "slack_webhook", "credentials_file")
 REDACTED = "[REDACTED]"
+# What counts as a space around a setting.
+SPACES = (
+    " \t\n\r\x0b\x0c\x85\xa0\u1680\u2000\u2001\u2002\u2003\u2004\u2005\u2006\u2007\u2008\u2009\u200a"
+    "\u2028\u2029\u202f\u205f\u3000"
+)
 MASK = "***"
 
 KIB = 1024
@@ -50,16 +55,14 @@ def _any_of(text: Column, patterns: tuple[str, ...]) -> Column:
 
 def classify_error(message: Column) -> Column:
     """``fatal``, ``retryable`` or ``other``; a fatal pattern outranks a retryable one."""
-    def kind(text: Column) -> Column:
-        return (
-            F.when(text.isNull(), None)
-            .when(_any_of(text, FATAL_PATTERNS), "fatal")
-            .when(_any_of(text, RETRYABLE_PATTERNS), "retryable")
-            .otherwise("other")
-        )
-
-    # Bound to a variable, the lower-case text is made once and not again for each pattern.
-    return F.transform(F.array(F.lower(message)), kind)[0]
+    # One alternation for each class: the text is lowered twice at most, and the expression stays in generated code.
+    lowered = F.lower(message)
+    return (
+        F.when(message.isNull(), None)
+        .when(lowered.rlike("|".join(FATAL_PATTERNS)), "fatal")
+        .when(lowered.rlike("|".join(RETRYABLE_PATTERNS)), "retryable")
+        .otherwise("other")
+    )
 
 
 def is_fatal_message(message: str) -> bool:
@@ -70,11 +73,11 @@ def is_fatal_message(message: str) -> bool:
 
 def credential_field(line: Column) -> Column:
     """The credential setting a line fills with a literal value, or NULL."""
-    trimmed = F.trim(line, F.lit(" \t\n\r\x0b\x0c\x85\xa0"))
+    trimmed = F.trim(line, F.lit(SPACES))
     finding = F.lit(None).cast("string")
     for field in reversed(CREDENTIAL_FIELDS):
         start = len(field) + 1
-        value = F.trim(F.substring(trimmed, F.lit(start + 1), F.length(trimmed)), F.lit(" \t\n\r\x0b\x0c\x85\xa0"))
+        value = F.trim(F.substring(trimmed, F.lit(start + 1), F.length(trimmed)), F.lit(SPACES))
         hit = F.startswith(trimmed, F.lit(field + ":")) & (F.length(value) > 0) & ~F.contains(value, F.lit("${"))
         finding = F.when(hit, field).otherwise(finding)
     return finding

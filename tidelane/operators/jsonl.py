@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -9,6 +10,7 @@ from pyspark.sql import functions as F
 
 from tidelane.frames import JSON_TIMES
 from tidelane.functions.text import format_bytes
+from tidelane.sources.files import qualified
 
 
 def append_jsonl(rows: DataFrame, path: str, load_id: str | None = None) -> None:
@@ -27,9 +29,12 @@ def read_jsonl(spark: SparkSession, path: str, schema) -> DataFrame:
 def table_summary(spark: SparkSession, root: str) -> DataFrame:
     """Rows and size of every JSON-lines table below ``root``."""
     lines = spark.read.option("recursiveFileLookup", "true").text(root)
-    # The first folder below the root names the table; sizes count each line's bytes and its end.
-    below_root = F.substring_index("_metadata.file_path", f"/{root.rstrip('/').rsplit('/', 1)[-1]}/", -1)
-    table = F.substring_index(below_root, "/", 1)
+    # The first folder below the root names the table; sizes count each line's bytes and its end. Paths are compared
+    # without their scheme, which Spark and the store write with different numbers of slashes.
+    scheme = "^[A-Za-z][A-Za-z0-9+.-]*:/*"
+    start = len(re.sub(scheme, "", qualified(spark, root)).strip("/"))
+    below_root = F.substr(F.regexp_replace("_metadata.file_path", scheme, ""), F.lit(start + 2))
+    table = F.url_decode(F.replace(F.substring_index(below_root, "/", 1), F.lit("+"), F.lit("%2B")))
     sized = lines.select(table.alias("table_name"), (F.octet_length("value") + 1).cast("bigint").alias("b"))
     return (
         sized.groupBy("table_name").agg(F.count(F.lit(1)).alias("rows"), F.sum("b").alias("bytes"))

@@ -48,12 +48,14 @@ def schema_change_report(changes: DataFrame) -> DataFrame:
         .when(change == TYPE_WIDEN, F.concat(F.lit("  ↑ Type widened: "), "name", arrow))
         .when(change == TYPE_INCOMPATIBLE, F.concat(F.lit("  ⛔ Incompatible type change: "), "name", arrow))
     )
-    lines = changes.select("table_name", "name", line.alias("line"))
     banner = "⛔ INCOMPATIBLE CHANGES DETECTED — sync halted for this table"
-    halted = changes.where(change == TYPE_INCOMPATIBLE).select("table_name").distinct()
-    return lines.unionAll(
-        halted.select("table_name", F.lit(None).cast("string").alias("name"), F.lit(banner).alias("line"))
-    )
+    entries = F.array_compact(F.array(
+        F.struct("name", line.alias("line")),
+        F.when(change == TYPE_INCOMPATIBLE, F.struct(F.lit(None).cast("string").alias("name"), F.lit(banner).alias("line"))),
+    ))
+    # Each change brings its line and, if need be, its table's banner, so the changes are found only once; a column
+    # has one change, so only banners repeat.
+    return changes.select("table_name", F.inline(entries)).distinct()
 
 
 def _micros(at: Column) -> Column:

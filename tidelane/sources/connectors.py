@@ -11,8 +11,12 @@ from dataclasses import dataclass, field
 from typing import Protocol
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
+from tidelane.functions.typemap import map_source_types
 from tidelane.sources.files import child_names
+from tidelane.types import as_json
 
 
 class Source(Protocol):
@@ -69,7 +73,8 @@ class JdbcSource:
     """Tables of one schema of a relational database.
 
     Cursor filters and column choices are pushed into the database. A table named in ``splits`` is
-    read over several connections at once; others take one.
+    read over several connections at once; others take one. With ``typed``, which is for PostgreSQL, columns keep the
+    canonical types of the database's own catalog; Spark's reader alone gives JSON columns as plain strings.
     """
 
     spark: SparkSession
@@ -78,6 +83,7 @@ class JdbcSource:
     schema: str = "public"
     fetch_size: int = 10_000
     splits: Mapping[str, Split] = field(default_factory=dict)
+    typed: bool = False
 
     def catalog_options(self) -> dict[str, str]:
         schema = self.schema.replace("'", "''")
@@ -100,9 +106,31 @@ class JdbcSource:
             }
         return options
 
+    def type_options(self, name: str) -> dict[str, str]:
+        schema, table = (x.replace("'", "''") for x in (self.schema, name))
+        query = (
+            "(SELECT a.attname AS name, CAST(a.atttypid AS bigint) AS type_oid FROM pg_attribute a "
+            "JOIN pg_class c ON a.attrelid = c.oid JOIN pg_namespace n ON c.relnamespace = n.oid "
+            f"WHERE n.nspname = '{schema}' AND c.relname = '{table}' AND a.attnum > 0 AND NOT a.attisdropped) t"
+        )
+        return {**self.properties, "url": self.url, "dbtable": query}
+
     def table_names(self) -> list[str]:
-        names = self.spark.read.format("jdbc").options(**self.catalog_options()).load()
-        return sorted(r[0] for r in names.collect())
+        return sorted(r[0] for r in self._load(self.catalog_options()).collect())
 
     def read(self, name: str) -> DataFrame:
-        return self.spark.read.format("jdbc").options(**self.table_options(name)).load()
+        rows = self._load(self.table_options(name))
+        return with_source_types(rows, self._load(self.type_options(name))) if self.typed else rows
+
+    def _load(self, options: Mapping[str, str]) -> DataFrame:
+        return self.spark.read.format("jdbc").options(**options).load()
+
+
+def with_source_types(rows: DataFrame, columns: DataFrame) -> DataFrame:
+    """Tag the JSON columns of a table, from the ``(name, type_oid)`` of its columns."""
+    known = map_source_types(columns).where("type = 'JSON'").select("name").collect()
+    tagged = {r["name"] for r in known}
+    return rows.select([
+        as_json(f"`{f.name}`", f.name) if f.name in tagged and isinstance(f.dataType, T.StringType) else F.col(f"`{f.name}`")
+        for f in rows.schema.fields
+    ])

@@ -15,6 +15,12 @@ def path_exists(spark: SparkSession, path: str) -> bool:
     return store.exists(hadoop_path)
 
 
+def qualified(spark: SparkSession, path: str) -> str:
+    """A path in full, encoded as in ``_metadata.file_path``."""
+    store, hadoop_path = _handle(spark, path)
+    return store.makeQualified(hadoop_path).toUri().toASCIIString()
+
+
 def child_names(spark: SparkSession, folder: str) -> list[str]:
     """Names directly under a folder, hidden ones left out; empty when the folder is absent."""
     store, path = _handle(spark, folder)
