@@ -136,6 +136,17 @@ def quarantine_corrupt_ledger(spark, sf_dir):
     return L.read_ledger(spark, L.repair_ledger(spark, f"{root}/ledger", f"{root}/repaired").ledger)
 
 
+@register(LEDGER_SQL)
+def compact_ledger(spark, sf_dir):
+    """Events appended by day, then merged, twice over for the last day as after a run that died while merging."""
+    root, events = f"{new_folder(spark, 'ledger')}/ledger", ledger(spark, sf_dir)
+    late = F.col("at") > F.lit("2024-01-16").cast("timestamp_ntz")
+    for part in (events.where(~late), events.where(late), events.where(late)):
+        L.ledger_append(root, part)
+    L.compact_in_place(spark, root)
+    return L.read_ledger(spark, root)
+
+
 @register(f"""
     SELECT CASE event_type WHEN 'click' THEN 'not json at all {{{{{{'
            ELSE '{{"connection":"' || CASE WHEN user_id < 50 THEN 'prod' ELSE 'test' END || '","ta' END AS line

@@ -12,6 +12,7 @@ from tidelane.plans import sync as sync_module
 from tidelane.plans.modes import LoadResult
 from tidelane.plans.sync import TablePlan, TableTimeout, results_frame, sync_tables, with_retry
 from tidelane.session import new_folder
+from tidelane.sources.files import child_names
 
 
 class Tables:
@@ -127,7 +128,7 @@ def test_starts_are_recorded_before_reading(spark, setup):
         raise ValueError("permission denied")
 
     (result,) = setup.run(ID, Tables(t=spark.range(3).select(dies("id").alias("id"))))
-    assert not result.success and result.error.startswith("fatal error (not retrying)")
+    assert not result.success and result.error.startswith("fatal, not tried again")
     assert setup.events() == [("t", "started"), ("t", "failed")]
 
 
@@ -171,8 +172,8 @@ def test_retry_waits_twice_as_long_each_time():
 
 
 @pytest.mark.parametrize("error, calls_made, message", [
-    (ConnectionError("no route"), 3, "failed after 3 attempts: no route"),
-    (RuntimeError("Access Denied"), 1, "fatal error \\(not retrying\\): Access Denied"),
+    (ConnectionError("no route"), 3, "gave up after 3 attempts: no route"),
+    (RuntimeError("Access Denied"), 1, "fatal, not tried again: Access Denied"),
 ])
 def test_retry_gives_up(error, calls_made, message):
     calls = []
@@ -328,3 +329,13 @@ def test_table_options_reach_the_load(spark, setup):
 def test_a_plan_frame_can_be_run(spark, setup):
     (result,) = setup.run(inspect.plan_frame(spark, ID), Tables(t=spark.range(4)))
     assert result.success and result.rows == 4
+
+
+def test_a_long_ledger_is_compacted_before_a_run(spark, setup):
+    for upto in (2, 4, 6):
+        setup.run(ID, Tables(t=spark.range(upto)))
+    before = {tuple(r) for r in L.read_ledger(spark, setup.ledger).collect()}
+    setup.run(ID, Tables(t=spark.range(7)), compact_ledger_above=4)
+    assert len(child_names(spark, setup.ledger)) == 3  # the compacted events, one start and one end
+    assert before < {tuple(r) for r in L.read_ledger(spark, setup.ledger).collect()}
+    assert sorted(r["id"] for r in setup.rows("t").collect()) == list(range(7))

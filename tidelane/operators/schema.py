@@ -200,6 +200,7 @@ def align_batch(batch: DataFrame, target: T.StructType) -> DataFrame:
 def schema_preview(plan: DataFrame, source: DataFrame) -> DataFrame:
     """What a sync would see, without moving data: every planned table's columns and one line for each."""
     columns = source.withColumnRenamed("name", "column_name").withColumnRenamed("table_name", "name")
+    # The line's layout.
     line = F.concat(
         F.format_string("- %-20s %s", F.col("column_name"), F.col("type")),
         F.when(F.col("item_type").isNotNull(), F.concat(F.lit(" [items: "), "item_type", F.lit("]"))).otherwise(""),

@@ -104,8 +104,11 @@ def batch_slices(df: DataFrame, batch_size: int, by: list[str]) -> DataFrame:
     block = F.lit(10_000).cast("bigint")
     blocks = F.sequence(F.lit(0).cast("bigint"), F.floor((last - 1) / block))
     numbers = F.sequence(F.col("_block") * block + 1, F.least(last, (F.col("_block") + 1) * block))
+    # Blocks are dealt out before they are expanded, so that a group of very many batches is not one task's work.
+    tasks = int(df.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     return (
         counted.withColumn("_block", F.explode(blocks))
+        .repartition(tasks, *by, "_block")
         .withColumn("batch_no", F.explode(numbers))
         .withColumn("batch_rows", F.least(F.lit(batch_size), F.col("n") - (F.col("batch_no") - 1) * batch_size))
         .drop("n", "_block")

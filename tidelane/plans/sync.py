@@ -24,6 +24,7 @@ from tidelane.operators.schema import TYPE_INCOMPATIBLE, IncompatibleSchema, app
 from tidelane.operators.table import SyncTable
 from tidelane.plans.modes import EXACTLY_ONCE, LoadResult, full_refresh, incremental_load
 from tidelane.sources.connectors import Source
+from tidelane.sources.files import child_names
 from tidelane.sources.scan import Cursor
 from tidelane.types import stored_schema
 
@@ -93,9 +94,9 @@ def with_retry(task: Callable[[], LoadResult], attempts: int = DEFAULT_ATTEMPTS,
             raise
         except Exception as error:
             if isinstance(error, IncompatibleSchema) or is_fatal_message(str(error)):
-                raise RuntimeError(f"fatal error (not retrying): {error}") from error
+                raise RuntimeError(f"fatal, not tried again: {error}") from error
             if attempt == attempts:
-                raise RuntimeError(f"failed after {attempts} attempts: {error}") from error
+                raise RuntimeError(f"gave up after {attempts} attempts: {error}") from error
             wait(2 ** (attempt - 1))
 
 
@@ -166,13 +167,14 @@ def sync_tables(
     spark: SparkSession, plan: Iterable[TablePlan] | DataFrame, source: Source, destination: str, ledger: str,
     connection: str, *, run_id: str | None = None, clock: Callable[[], dt.datetime] = utc_now,
     parallel_tables: int = 8, attempts: int = DEFAULT_ATTEMPTS, wait: Callable = time.sleep,
-    delivery: str = EXACTLY_ONCE, records_per_file: int = 0,
+    delivery: str = EXACTLY_ONCE, records_per_file: int = 0, compact_ledger_above: int = 0,
 ) -> list[TableResult]:
     """Sync every planned table and return one result for each; a failure stays with its table.
 
     Each table is opened, compared, loaded and recorded by one worker, under one deadline. Starts are
     recorded before rows are read, ends only after the write is done, so after a crash the next run begins at the
-    last completed cursor. Only the plan, schemas and one-row counts pass through the driver.
+    last completed cursor. Only the plan, schemas and one-row counts pass through the driver. A ledger of more than
+    ``compact_ledger_above`` event folders (0: never) is compacted first; no other run may use it then.
     """
     if isinstance(plan, DataFrame):
         own = [f.name for f in fields(TablePlan) if f.name in plan.columns]
@@ -181,6 +183,8 @@ def sync_tables(
     plan = list(plan)
     run = _Run(spark, source, destination, ledger, connection, run_id or uuid.uuid4().hex, clock,
                attempts, wait, delivery, records_per_file)
+    if compact_ledger_above and len(child_names(spark, ledger)) > compact_ledger_above:
+        run.compact()
     run.read_cursors(plan)
     taken: set[str] = set()
     tasks = []
@@ -219,6 +223,12 @@ class _Run:
         self.cursors: dict[str, Cursor] = {}
         self.unreadable: str | None = None
 
+    def compact(self) -> None:
+        try:
+            L.compact_in_place(self.spark, self.ledger)
+        except Exception:
+            pass  # an upkeep step; a ledger that cannot be read is reported for each table below
+
     def read_cursors(self, plan: list[TablePlan]) -> None:
         """Where the planned tables resume. A ledger that cannot be read fails each of them."""
         names = T.StructType([T.StructField("table_name", T.StringType())])
