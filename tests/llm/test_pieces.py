@@ -72,3 +72,23 @@ def test_odd_rows(spark, odd, nothing):
 def test_query(spark, documents):
     out = QUERIES["op2_piece_dropout"](spark, SF_DIR)
     assert out.where("lossless AND size(ids) = n_tokens").count() == documents.count()
+
+
+def test_every_occurrence_draws_its_own_drops():
+    model = pieces.load(PIECE_MODEL)
+    word, n = "▁entertainment", 400
+    texts, keys = ["entertainment " * n + "x"] * 3, np.array([5, 6, 5])
+    ids, counts = pieces.encode_slice(model, texts, keys, 0.3, 1)
+    one, other, again = np.split(ids, np.cumsum(counts)[:-1])
+    assert one.tolist() == again.tolist() != other.tolist()
+    begins = model.shown[model.at[one]] == ord(" ")
+    variants = {tuple(x.tolist()) for x in np.split(one, np.flatnonzero(begins)[1:])}
+    assert len(variants) > 50
+
+    # Each occurrence is the stretch merged alone with its own key.
+    symbols = np.array([int(model.single[ord(c)]) for c in word])
+    many = pieces.mix(np.arange(1, n + 1, dtype=np.uint64))
+    found = {}
+    for (at, place), rows in pieces._merge_rows(model, symbols[None, :], many, 0.3, np.zeros(n, np.int64)):
+        found |= {i: rows[p].tolist() for i, p in zip(at.tolist(), place.tolist(), strict=True)}
+    assert [found[i] for i in range(n)] == [pieces._merge_long(model, symbols, k, 0.3).tolist() for k in many]

@@ -2,13 +2,14 @@
 
 A text gets one space in front; spaces become U+2581. The agenda holds every adjacent pair of symbols that forms a piece;
 the best score goes first, the leftmost on a tie. Each candidate merge is skipped when a hash keyed by the seed falls
-below the dropout rate. The hash depends on the candidate alone (its stretch of text and its place), so the same seed
-gives the same pieces on any cluster, and a candidate can be judged when it is made rather than when it is taken.
+below the dropout rate. The hash depends on the candidate alone (its document's key, the ordinal of its stretch, the
+stretch's text and its place there), so every occurrence of a word draws its own drops, the same seed gives the same
+pieces on any cluster, and a candidate can be judged when it is made rather than when it is taken.
 
 No piece has a space after another character, so texts are encoded stretch by stretch, each from a space to the next.
-Equal stretches are encoded once per slice and stream: every occurrence draws one of ``streams`` dropout streams by a
-hash of its document's key and its ordinal. Stretches of equal length are merged together as the rows of one array, one
-merge each per round; long ones by a heap. Characters without a piece, and U+2581 itself, become byte pieces.
+Stretches of equal length are merged together as the rows of one array, one merge each per round; long ones by a heap.
+Equal stretches of a slice share a row for as long as their drops are the same; where they differ, the row is split.
+Characters without a piece, and U+2581 itself, become byte pieces.
 """
 
 from __future__ import annotations
@@ -107,49 +108,82 @@ def _dropped(key, start, middle, end, rate: float):
     return (mix(key + places[0] + places[1] + places[2]) >> np.uint64(32)).astype(np.float64) < rate * 2.0**32
 
 
-def _merge_rows(pieces: Pieces, symbols: np.ndarray, key: np.ndarray, rate: float) -> Iterator[tuple[np.ndarray, np.ndarray]]:
-    """Merge the rows of an array; yields row numbers with their final symbols, as they come to an end."""
-    rows, width = np.arange(len(symbols)), symbols.shape[1]
+def _split(made: np.ndarray, places: tuple[np.ndarray, np.ndarray, np.ndarray], key: np.ndarray, group: np.ndarray, rate: float):
+    """Draw the drops of new candidates (a row's pieces or -1, at most 64, with their places) for every stretch of each row.
+
+    Gives the earlier row of each row and its drops as bits, and the row of each stretch; rows that no stretch is left
+    with go. Without any drop the first two are None.
+    """
+    bits = np.zeros(len(group), np.uint64)
+    for c in range(made.shape[1]) if rate else ():
+        own = np.flatnonzero(made[group, c] >= 0)
+        at = group[own]
+        bits[own[_dropped(key[own], *(x[at, c] for x in places), rate)]] |= np.uint64(1 << c)
+    hit = np.flatnonzero(bits)
+    if not len(hit):
+        return None, None, group
+    hit = hit[np.lexsort((bits[hit], group[hit]))]
+    row, drops = group[hit], bits[hit]
+    new = np.r_[True, (row[1:] != row[:-1]) | (drops[1:] != drops[:-1])]
+    group = group.copy()
+    group[hit] = len(made) + np.cumsum(new) - 1
+    parent, drops = np.r_[np.arange(len(made)), row[new]], np.r_[np.zeros(len(made), np.uint64), drops[new]]
+    stay = np.bincount(group, minlength=len(parent)) > 0
+    return parent[stay], drops[stay], (np.cumsum(stay) - 1)[group]
+
+
+def _merge_rows(pieces: Pieces, symbols: np.ndarray, key: np.ndarray, rate: float, group: np.ndarray | None = None) -> Iterator[tuple[tuple[np.ndarray, np.ndarray], np.ndarray]]:
+    """Merge the rows of an array for all stretches: ``key`` and ``group`` give the key of each and its row.
+
+    Yields stretches' numbers, with the place of each among the rows of final symbols that follow, as they come to an end.
+    """
+    stretch, width = np.arange(len(key)), symbols.shape[1]
+    group = stretch if group is None else group
     symbols = symbols.astype(np.int32)
     start = np.broadcast_to(np.arange(width, dtype=np.uint8), symbols.shape).copy()
     end = start + np.uint8(1)
-
-    def candidates(left, right, s, m, e, k):
-        made = pieces.pair(left, right)
-        there = np.nonzero(made >= 0)
-        skip = _dropped(k[there[0]], s[there], m[there], e[there], rate)
-        made[tuple(x[skip] for x in there)] = -1
-        return made
-
-    made = candidates(symbols[:, :-1], symbols[:, 1:], start[:, :-1], end[:, :-1], end[:, 1:], key)
+    made = pieces.pair(symbols[:, :-1], symbols[:, 1:])
+    parent, drops, group = _split(made, (start[:, :-1], end[:, :-1], end[:, 1:]), key, group, rate)
+    if parent is not None:
+        symbols, start, end, made = (x[parent] for x in (symbols, start, end, made))
+        made[(drops[:, None] >> np.arange(width - 1, dtype=np.uint64)) & np.uint64(1) > 0] = -1
     rank = np.where(made >= 0, pieces.rank[made], _NONE)
     while width > 1:
         best = np.argmin(rank, axis=1)
-        each = np.arange(len(rows))
+        each = np.arange(len(symbols))
         more = rank[each, best] < _NONE
         if not more.all():
-            yield rows[~more], symbols[~more]
+            on = more[group]
+            yield (stretch[~on], (np.cumsum(~more) - 1)[group[~on]]), symbols[~more]
             if not more.any():
                 return
-            rows, symbols, start, end, made, rank, best, key = (x[more] for x in (rows, symbols, start, end, made, rank, best, key))
-            each = np.arange(len(rows))
+            symbols, start, end, made, rank, best = (x[more] for x in (symbols, start, end, made, rank, best))
+            stretch, key, group = stretch[on], key[on], (np.cumsum(more) - 1)[group[on]]
+            each = np.arange(len(symbols))
         symbols[each, best] = made[each, best]
         end[each, best] = end[each, best + 1]
         width -= 1
         stay = np.ones(symbols.shape, bool)
         stay[each, best + 1] = False
-        symbols, start, end = (x[stay].reshape(len(rows), width) for x in (symbols, start, end))
+        symbols, start, end = (x[stay].reshape(len(symbols), width) for x in (symbols, start, end))
         stay = np.ones(made.shape, bool)
         stay[each, best] = False
-        made, rank = (x[stay].reshape(len(rows), width - 1) for x in (made, rank))
-        for shift in (-1, 0):
-            at = best + shift
+        made, rank = (x[stay].reshape(len(symbols), width - 1) for x in (made, rank))
+        new, places = np.full((len(symbols), 2), -1, np.int32), np.zeros((3, len(symbols), 2), np.uint8)
+        for c, at in enumerate((best - 1, best)):
             ok = np.flatnonzero((at >= 0) & (at + 1 < width))
-            r, c = each[ok], at[ok]
-            new = candidates(symbols[r, c], symbols[r, c + 1], start[r, c], end[r, c], end[r, c + 1], key[ok])
-            made[r, c] = new
-            rank[r, c] = np.where(new >= 0, pieces.rank[new], _NONE)
-    yield rows, symbols
+            at = at[ok]
+            new[ok, c] = pieces.pair(symbols[ok, at], symbols[ok, at + 1])
+            places[:, ok, c] = start[ok, at], end[ok, at], end[ok, at + 1]
+        parent, drops, group = _split(new, tuple(places), key, group, rate)
+        if parent is not None:
+            symbols, start, end, made, rank, best, new = (x[parent] for x in (symbols, start, end, made, rank, best, new))
+            new[(drops[:, None] >> np.arange(2, dtype=np.uint64)) & np.uint64(1) > 0] = -1
+        for c, at in enumerate((best - 1, best)):
+            ok = np.flatnonzero((at >= 0) & (at + 1 < width))
+            made[ok, at[ok]] = new[ok, c]
+            rank[ok, at[ok]] = np.where(new[ok, c] >= 0, pieces.rank[new[ok, c]], _NONE)
+    yield (stretch, group), symbols
 
 
 def _merge_long(pieces: Pieces, symbols: np.ndarray, key: np.ndarray, rate: float) -> np.ndarray:
@@ -200,8 +234,11 @@ def _bytes_of(pieces: Pieces, tokens: np.ndarray, owner: np.ndarray) -> tuple[np
     return out, owner[at]
 
 
-def encode_slice(pieces: Pieces, texts: list[str], keys: np.ndarray, rate: float, seed: int, streams: int) -> tuple[np.ndarray, np.ndarray]:
-    """Piece ids of some texts, one after another, and how many each text has. ``keys``: a number for each text."""
+def encode_slice(pieces: Pieces, texts: list[str], keys: np.ndarray, rate: float, seed: int, streams: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """Piece ids of some texts, one after another, and how many each text has. ``keys``: a number for each text.
+
+    Every stretch draws its own drops; with ``streams``, equal ones draw from so many sets of them.
+    """
     parts = [" " + t if t else "" for t in texts]
     code = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32).astype(np.int64)
     first = np.r_[0, np.cumsum([len(p) for p in parts])].astype(np.int64)
@@ -217,33 +254,39 @@ def encode_slice(pieces: Pieces, texts: list[str], keys: np.ndarray, rate: float
     length = np.diff(np.r_[start, len(code)])
     text = np.searchsorted(first, start, "right") - 1
     ordinal = np.arange(len(start)) - np.searchsorted(start, first)[text]
-    # A hash of each stretch, of its stream and of the seed.
+    # A hash of each stretch, and one of it, its place in its document and the seed.
     sums = np.zeros(len(code) + 1, np.uint64)
     place = np.arange(len(code)) - np.repeat(start, length)
     np.cumsum(mix(code.astype(np.uint64) + (place.astype(np.uint64) << np.uint64(21))), out=sums[1:])
-    stream = mix(keys[text].astype(np.uint64) + ordinal.astype(np.uint64) * _ODD[1] + np.uint64(seed)) % np.uint64(max(1, streams if rate else 1))
-    key = mix(sums[start + length] - sums[start] + mix(stream + np.uint64(seed) * _ODD[2]))
-    _, one, same = np.unique(key, return_index=True, return_inverse=True)
+    content = sums[start + length] - sums[start]
+    stream = mix(keys[text].astype(np.uint64) + ordinal.astype(np.uint64) * _ODD[1] + np.uint64(seed))
+    if streams is not None:
+        stream %= np.uint64(streams)
+    key = mix(content + mix(stream + np.uint64(seed) * _ODD[2])) if rate else content
     symbols = pieces.single[code].astype(np.int64)
     symbols[symbols < 0] = -code[symbols < 0] - 1
-    tokens, owners = [], []
-    sizes = length[one]
-    for size in np.unique(sizes):
-        own = np.flatnonzero(sizes == size)
-        if size <= ROW_CHARACTERS:
-            rows = symbols[start[one[own]][:, None] + np.arange(size)]
-            for which, found in _merge_rows(pieces, rows, key[one[own]], rate):
-                tokens.append(found.ravel())
-                owners.append(np.repeat(own[which], found.shape[1]))
+    tokens, owners, made = [], [], 0
+    same = np.empty(len(start), np.int64)  # the number of each stretch's tokens
+    by_size = np.argsort(length, kind="stable")
+    for own in np.split(by_size, np.flatnonzero(np.diff(length[by_size])) + 1):
+        size = length[own[0]]
+        long = size > ROW_CHARACTERS
+        _, one, group = np.unique((key if long else content)[own], return_index=True, return_inverse=True)
+        one = own[one]
+        if long:
+            same[own] = made + group
+            for u in one:
+                tokens.append(_merge_long(pieces, symbols[start[u] : start[u] + size], key[u], rate))
+                owners.append(np.full(len(tokens[-1]), made))
+                made += 1
         else:
-            for u in own:
-                found = _merge_long(pieces, symbols[start[one[u]] : start[one[u]] + size], key[one[u]], rate)
-                tokens.append(found)
-                owners.append(np.full(len(found), u))
-    token, owner = np.concatenate(tokens), np.concatenate(owners)
-    order = np.argsort(owner, kind="stable")
-    token, owner = _bytes_of(pieces, token[order], owner[order])
-    n = np.bincount(owner, minlength=len(one))
+            for (at, place), found in _merge_rows(pieces, symbols[start[one][:, None] + np.arange(size)], key[own], rate, group):
+                same[own[at]] = made + place
+                tokens.append(found.ravel())
+                owners.append(np.repeat(np.arange(made, made + len(found)), found.shape[1]))
+                made += len(found)
+    token, owner = _bytes_of(pieces, np.concatenate(tokens), np.concatenate(owners))
+    n = np.bincount(owner, minlength=made)
     begin = np.cumsum(n) - n
     each = n[same]
     where = np.repeat(begin[same] - (np.cumsum(each) - each), each) + np.arange(each.sum())
@@ -262,13 +305,13 @@ def decode_slice(pieces: Pieces, tokens: np.ndarray, counts: np.ndarray) -> tupl
     return data[keep], total - (total > 0)
 
 
-def _run(path: str, text: str, key: str, into: str, rate: float, seed: int, streams: int):
+def _run(path: str, text: str, key: str, into: str, rate: float, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(path)
         for batch in batches:
             for rows, raw in slices(batch, text, 3 << 20):
                 texts = raw.cast(pa.string() if pa.types.is_binary(raw.type) else pa.large_string()).to_pylist()
-                tokens, counts = encode_slice(pieces, texts, rows[key].to_numpy(), rate, seed, streams)
+                tokens, counts = encode_slice(pieces, texts, rows[key].to_numpy(), rate, seed)
                 back, sizes = decode_slice(pieces, tokens, counts)
                 want = [t.encode() for t in texts]
                 at = np.r_[0, np.cumsum(sizes)].tolist()
@@ -282,11 +325,11 @@ def _run(path: str, text: str, key: str, into: str, rate: float, seed: int, stre
     return run
 
 
-def encode(docs: DataFrame, model: str, into: str, key: str = "doc_id", rate: float = 0.1, seed: int = 1, streams: int = 8) -> DataFrame:
+def encode(docs: DataFrame, model: str, into: str, key: str = "doc_id", rate: float = 0.1, seed: int = 1) -> DataFrame:
     """``docs`` with a struct column ``into``: ``ids``, ``n_tokens`` and ``lossless`` (decoding gives the text back).
 
     ``model`` is the path of the model's file on every executor. ``rate`` is the share of candidate merges that are
-    skipped; 0 gives the model's usual encoding. Null and empty texts have no ids. The dropout of a text depends on
+    skipped, drawn for each occurrence of a word; 0 gives the model's usual encoding. Null and empty texts have no ids. The dropout of a text depends on
     ``key``, the text and the seed only; rows without a key share one. Repeated rows are encoded alike. Other columns
     pass through; an earlier column ``into`` is replaced.
     """
@@ -295,7 +338,7 @@ def encode(docs: DataFrame, model: str, into: str, key: str = "doc_id", rate: fl
     hashed = unused(docs, "dropout_key")
     docs = docs.drop(into).withColumn(hashed, F.xxhash64(key))
     schema = docs.drop(hashed).withColumn(into, F.lit(None).cast("struct<ids:array<int>,n_tokens:long,lossless:boolean>")).schema
-    return docs.mapInArrow(_run(model, "text", hashed, into, rate, seed, streams), schema)
+    return docs.mapInArrow(_run(model, "text", hashed, into, rate, seed), schema)
 
 
 def _decode(path: str, ids: str, into: str):
