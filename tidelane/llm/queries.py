@@ -1,4 +1,4 @@
-"""The queries of the ten operators, each over its whole table, with the SQL of those that SQL can express."""
+"""The queries of the thirteen operators, each over its whole table, with the SQL of those that SQL can express."""
 
 from __future__ import annotations
 
@@ -8,7 +8,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tidelane.llm import classlm, decontaminate, lines, neardup, order, pieces, pii, quality, urls, warc
+from tidelane.llm import classlm, clusters, decontaminate, infill, langid, lines, neardup, order, pieces, pii, quality, urls, warc
 from tidelane.llm.frames import find_package, written
 from tidelane.session import new_folder
 
@@ -165,3 +165,62 @@ def op9_zstd_archives(spark, sf_dir):
 def op10_near_duplicates(spark, sf_dir):
     """The near-duplicate class of each document."""
     return neardup.near_duplicates(read(spark, sf_dir, "documents")).select("doc_id", "class_id")
+
+
+def _clusters_sql(rounds: int = 10) -> str:
+    """All rounds in a row, one comparison of all vectors with all centroids each."""
+    steps = []
+    for i in range(rounds + 1):
+        steps.append(f"""a{i} AS MATERIALIZED (SELECT r, c, dist FROM (SELECT r, c, sum((x - m) * (x - m)) AS dist FROM e JOIN c{i} USING (d) GROUP BY r, c)
+            QUALIFY row_number() OVER (PARTITION BY r ORDER BY dist, c) = 1)""")
+        if i < rounds:
+            steps.append(f"""s{i} AS (SELECT c, d, sum(x) AS s, count(*) AS n FROM a{i} JOIN e USING (r) GROUP BY c, d),
+                c{i + 1} AS MATERIALIZED (SELECT c, d, coalesce((s - ((s % n) + n) % n) // n, m) AS m FROM c{i} LEFT JOIN s{i} USING (c, d))""")
+    return f"""
+    WITH v AS MATERIALIZED (SELECT row_number() OVER () AS r, vec_id, list_transform(embedding, lambda x: CAST(floor(1024 * CAST(x AS DOUBLE)) AS BIGINT)) AS v FROM embeddings
+            WHERE len(embedding) = 64 AND len(list_filter(embedding, lambda x: x IS NOT NULL AND isfinite(x))) = 64),
+        e AS MATERIALIZED (SELECT r, unnest(v) AS x, generate_subscripts(v, 1) AS d FROM v),
+        c0 AS MATERIALIZED (SELECT c, unnest(v) AS m, generate_subscripts(v, 1) AS d FROM (SELECT v, row_number() OVER (ORDER BY sha256('3:' || coalesce(CAST(vec_id AS VARCHAR), '')), v) - 1 AS c FROM v) WHERE c < 8),
+        {", ".join(steps)},
+        h AS (SELECT c, sha256(string_agg(CAST(m AS VARCHAR), ',' ORDER BY d)) AS centroid_sha256 FROM c{rounds} GROUP BY c)
+    SELECT vec_id, CAST(c AS INTEGER) AS cluster, CAST(dist AS BIGINT) AS distance, CAST(sum(dist) OVER (PARTITION BY c) AS BIGINT) AS cluster_inertia,
+        CAST(sum(dist) OVER () AS BIGINT) AS inertia, centroid_sha256
+    FROM a{rounds} JOIN v USING (r) JOIN h USING (c)
+    """
+
+
+@register(_clusters_sql())
+def op11_drift_clusters(spark, sf_dir):
+    """The cluster of each vector after ten rounds, exact, with squared distances and inertia."""
+    return clusters.cluster_vectors(read(spark, sf_dir, "embeddings"))
+
+
+@register(
+    """
+    WITH d AS (SELECT doc_id, coalesce(text, '') AS t, sha256('7:' || coalesce(CAST(doc_id AS VARCHAR), '')) AS h FROM documents),
+    u AS (SELECT *, regexp_extract_all(t, '[^\n]*\n|[^\n]+') AS lines FROM d),
+    k AS (SELECT *, len(lines) AS n, CAST('0x' || h[1:8] AS BIGINT) % (len(lines) + 1) AS k1, CAST('0x' || h[9:16] AS BIGINT) % (len(lines) + 1) AS k2,
+        CAST('0x' || h[17:24] AS BIGINT) AS h3, CAST('0x' || h[25:32] AS BIGINT) AS h4 FROM u),
+    p AS (SELECT doc_id, t, n, array_to_string(lines[:least(k1, k2)], '') AS pre, array_to_string(lines[least(k1, k2) + 1:greatest(k1, k2)], '') AS mid,
+        array_to_string(lines[greatest(k1, k2) + 1:], '') AS suf,
+        CASE WHEN t = '' OR contains(t, '<P>') OR contains(t, '<S>') OR contains(t, '<M>') OR h3 % 100 >= 100 THEN 'plain' WHEN h4 % 100 < 50 THEN 'spm' ELSE 'psm' END AS form FROM k)
+    SELECT doc_id, CAST(n AS BIGINT) AS n, form, CASE WHEN form <> 'plain' THEN CAST(length(pre) AS BIGINT) END AS prefix_chars, CASE WHEN form <> 'plain' THEN CAST(length(mid) AS BIGINT) END AS middle_chars,
+        sha256(CASE form WHEN 'plain' THEN t WHEN 'psm' THEN '<P>' || pre || '<S>' || suf || '<M>' || mid ELSE '<S>' || suf || '<P>' || pre || '<M>' || mid END) AS output_sha256,
+        sha256(t) AS restored_sha256 FROM p
+    """
+)
+def op12_fill_in_middle(spark, sf_dir):
+    """All documents rearranged by lines, and restored from what was written."""
+    made = infill.fill_in_middle(read(spark, sf_dir, "documents").select("doc_id", "text"), "made").select("doc_id", "made.*")
+    back = infill.restored(made, "output", "form", "restored")
+    digest = lambda c: F.sha2(F.col(c).cast("binary"), 256).alias(f"{c}_sha256")
+    return back.select("doc_id", "n", "form", "prefix_chars", "middle_chars", digest("output"), digest("restored"))
+
+
+@register()
+def op13_language(spark, sf_dir):
+    """The language of each document, learned from the labels of those whose crc32(doc_id) mod 4 is not 2."""
+    docs = read(spark, sf_dir, "documents")
+    held_out = F.coalesce(F.crc32(F.col("doc_id").cast("string").cast("binary")) % 4 == 2, F.lit(False))
+    found = langid.identify(docs.select("doc_id", "text"), langid.learn(docs, ~held_out), "found")
+    return found.select("doc_id", held_out.alias("held_out"), F.col("found.lang").alias("lang_pred"), "found.score", "found.margin", "found.accepted")
