@@ -81,6 +81,61 @@ def incremental_daily(spark, sf_dir):
     )
 
 
+@register("""
+    SELECT event_id, count(*) AS times FROM (
+        SELECT event_id FROM events
+        UNION ALL SELECT event_id FROM events WHERE ts <= '2024-01-16'
+            AND ts > (SELECT max(ts) FROM events WHERE ts <= '2024-01-22') - INTERVAL 10 DAY)
+    GROUP BY 1
+""")
+def lookback_after_purge(spark, sf_dir):
+    """A source that lost its newest rows is read back; the cursor stays, and the next load adds without replacing."""
+    root, source, clock = new_folder(spark, "loads"), FileSource(spark, sf_dir), _counting_clock()
+    for number, (days, seen) in enumerate(((None, "ts <= '2024-01-22'"), (10, "ts <= '2024-01-16'"), (None, "true"))):
+        plan = TablePlan("events", "incremental", "ts", lookback=days and dt.timedelta(days=days))
+        (result,) = sync(
+            spark, [plan], _Snapshot(source, {"events": seen}), f"{root}/tables", f"{root}/ledger", "check", run_id=f"r{number}", clock=clock
+        )
+        if not result.success:
+            raise RuntimeError(result.error)
+    loaded = SyncTable(spark, f"{root}/tables", "events").read()
+    return loaded.groupBy("event_id").agg(F.count(F.lit(1)).alias("times"))
+
+
+@register(_EVENTS)
+def two_feeds_after_refresh(spark, sf_dir):
+    """Two connections fill one table. One begins with a full copy, which says nothing about where the other stands."""
+    root, source, clock = new_folder(spark, "loads"), FileSource(spark, sf_dir), _counting_clock()
+    runs = (
+        ("a", "full_refresh", "user_id % 2 = 0 AND ts <= '2024-01-20'"), ("a", "incremental", "user_id % 2 = 0"),
+        ("b", "incremental", "user_id % 2 = 1 AND ts <= '2024-01-10'"), ("b", "incremental", "user_id % 2 = 1"),
+        ("a", "incremental", "user_id % 2 = 0"),
+    )
+    for number, (connection, mode, seen) in enumerate(runs):
+        (result,) = sync(
+            spark, [TablePlan("events", mode, "ts")], _Snapshot(source, {"events": seen}), f"{root}/tables", f"{root}/ledger", connection,
+            run_id=f"r{number}", clock=clock,
+        )
+        if not result.success:
+            raise RuntimeError(result.error)
+    return SyncTable(spark, f"{root}/tables", "events").read()
+
+
+@register("SELECT * FROM orders")
+def keyset_load(spark, sf_dir):
+    """Rows that were committed late with the cursor value a load ended at are loaded once, with the next load."""
+    root, source, clock = new_folder(spark, "loads"), FileSource(spark, sf_dir), _counting_clock()
+    plan = TablePlan("orders", "incremental", "o_orderdate", tie_keys=("o_orderkey",))
+    day = "o_orderdate < '1995-06-17' OR o_orderdate = '1995-06-17'"
+    for number, seen in enumerate((f"{day} AND o_orderkey % 3 = 0", f"{day} AND o_orderkey % 3 < 2", day, "true", "true")):
+        (result,) = sync(
+            spark, [plan], _Snapshot(source, {"orders": seen}), f"{root}/tables", f"{root}/ledger", "check", run_id=f"r{number}", clock=clock
+        )
+        if not result.success:
+            raise RuntimeError(result.error)
+    return SyncTable(spark, f"{root}/tables", "orders").read()
+
+
 @register("SELECT * FROM conversations")
 def append_only_load(spark, sf_dir):
     plan = TablePlan("conversations", "append_only", "conv_id", destination_table="talks")

@@ -1,4 +1,5 @@
 import datetime as dt
+from concurrent.futures import ThreadPoolExecutor
 from decimal import Decimal
 
 import pytest
@@ -6,8 +7,10 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelane.operators import schema as S
-from tidelane.operators.table import SyncTable
+from tidelane.operators.table import ConcurrentWrite, SyncTable
+from tidelane.plans import modes
 from tidelane.session import new_folder
+from tidelane.sources.files import read_text
 from tidelane.types import as_json, canonical
 
 
@@ -209,3 +212,99 @@ def test_a_failed_repeat_leaves_the_rows_of_the_attempt_before(spark):
     with pytest.raises(Exception, match="lost"):
         table.append(spark.range(5).where("raise_error('lost') IS NULL"), "l_1")
     assert table.read().count() == 5
+
+
+def test_readers_keep_their_rows_while_a_load_is_replaced(spark, table):
+    table.create(spark.range(0).schema)
+    table.append(spark.range(5), "l_1")
+    before = table.read()
+    table.append(spark.range(7), "l_1")
+    assert before.count() == 5 and ids(table) == list(range(7))
+
+
+def test_a_writer_that_dies_before_its_commit_changes_nothing(spark, table, monkeypatch):
+    table.create(spark.range(0).schema)
+    table.append(spark.range(5), "l_1")
+    monkeypatch.setattr("tidelane.operators.table.create_file", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+    with pytest.raises(OSError, match="gone"):
+        table.append(spark.range(7), "l_1")
+    assert ids(table) == list(range(5))
+
+
+def two(spark):
+    root = new_folder(spark, "writers")
+    table = SyncTable(spark, root, "t")
+    table.create(spark.range(0).schema)
+    writers = [SyncTable(spark, root, "t") for _ in range(2)]
+    for writer in writers:
+        writer.schema()  # both know the table as it is now
+    return table, *writers
+
+
+def test_loads_of_two_writers_both_count(spark):
+    table, a, b = two(spark)
+    a.append(spark.range(3), "l_a", feed="a", number=1)
+    b.append(spark.range(10, 12), "l_b", feed="b", number=1)
+    a.append(spark.range(20, 21), "l_a2", feed="a", number=2)
+    assert ids(table) == [0, 1, 2, 10, 11, 20]
+
+
+def test_of_two_refreshes_one_is_refused(spark):
+    table, a, b = two(spark)
+    staged = [w.stage(spark.range(n)) for w, n in ((a, 10), (b, 20))]
+    a.swap(*staged[0][:2])
+    with pytest.raises(ConcurrentWrite):
+        b.swap(*staged[1][:2])
+    assert len(ids(table)) == 10
+
+
+def test_writers_that_meet_in_one_feed_one_load_or_around_a_replacement_are_refused(spark):
+    table, a, b = two(spark)
+    a.append(spark.range(3), "f#1", feed="f", number=1)
+    with pytest.raises(ConcurrentWrite):
+        b.append(spark.range(3), "f#1", feed="f", number=1)
+    a.schema(), b.refresh().schema()
+    a.append(spark.range(1), "l")
+    with pytest.raises(ConcurrentWrite):
+        b.append(spark.range(1), "l")
+    b.schema()
+    a.truncate()
+    with pytest.raises(ConcurrentWrite):
+        b.append(spark.range(1), "l_9")
+    b.refresh().schema()
+    a.append(spark.range(2), "l_1")
+    with pytest.raises(ConcurrentWrite):
+        b.rewrite()
+    b.refresh().schema()
+    evolve(a, T.StructType().add("id", "long").add("x", "string"))
+    with pytest.raises(ConcurrentWrite):
+        evolve(b, T.StructType().add("id", "long").add("y", "string"))
+    assert ids(table) == [0, 1]
+
+
+def test_two_runs_over_one_table_never_lose_rows(spark):
+    root = new_folder(spark, "writers")
+    SyncTable(spark, root, "t").create(spark.range(0).schema)
+
+    def refresh(n):
+        try:
+            return modes.full_refresh(spark.range(n), SyncTable(spark, root, "t")).rows
+        except ConcurrentWrite:
+            return None
+
+    with ThreadPoolExecutor(4) as pool:
+        done = list(pool.map(refresh, (10, 20, 30, 40)))
+    told = [n for n in done if n is not None]
+    assert told and SyncTable(spark, root, "t").read().count() in told
+
+
+def test_opening_reads_few_commits_however_many_there_are(spark, table, monkeypatch):
+    table.create(spark.range(0).schema)
+    for i in range(45):
+        table.append(spark.range(i, i + 1), f"l_{i}")
+    read = []
+    monkeypatch.setattr("tidelane.operators.table.read_text", lambda s, p: read.append(p) or read_text(s, p))
+    assert ids(table) == list(range(45)) and len(read) <= 20
+    table.expire_versions()
+    table.append(spark.range(45, 46), "l_45")
+    assert ids(table) == list(range(46))

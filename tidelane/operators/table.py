@@ -2,52 +2,45 @@
 
 Layout under ``<root>/<name>``::
 
-    log/version=<n>/part-*.json             what readers of version n see: data folder, epochs, schemas
-    data/<folder>/epoch=<k>/load_id=<id>/   Parquet files of one load
-    data/<folder>/last/<feed>/<n>.json      the last load of each feed: where it began and where it ends
-
-A version becomes visible when its first log file appears, which is one atomic rename, so readers see
-the old rows or the new ones and never an empty table. An epoch groups loads that were written with
-the same column types: widening a column opens a new epoch and costs no rewrite, because a reader casts
-older epochs. Each load has a folder of its own, so repeating a load replaces it. A feed is one chain of
-loads, such as those of a connection or a stream; only its last load can come again.
-
-One writer per table at a time is assumed. Where a catalog with table transactions is available, its
-own append, alter and replace operations are the better choice.
+    log/<seq>.json     commits, JSON lines: an epoch's schema, a load and its folder, or a new beginning
+    data/<folder>/     Parquet files of one attempt at one load
+    ties/<folder>/     digests of a load's rows at its largest cursor, if it is to be tie-safe
+
+A commit is one file that appears whole and under a number no other writer has taken. Readers see the folders that commits
+name, so a repeated load keeps its old rows visible until its new ones take their place, and a full copy replaces all
+others in one step. An epoch groups loads of the same column types: widening a column opens a new epoch and
+costs no rewrite, because a reader casts older epochs. A feed is one chain of loads, such as those of a connection or a
+stream; its loads are numbered, and only the last can come again.
+
+Writers may meet: loads of different feeds both count; of two writers that replace the table, change its schema or add to one feed, the
+later one is refused (``ConcurrentWrite``). This rests on a rename that fails if the name is taken, which HDFS and local disks
+have; an object store needs a committer that gives the same. Where a catalog with table transactions is
+available, its own append, alter and replace operations are the better choice.
 """
 
 from __future__ import annotations
 
 import functools
-import hashlib
 import json
 import uuid
-from collections.abc import Callable
-from dataclasses import dataclass, replace
+from dataclasses import asdict, dataclass, field
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelane.frames import empty_frame, small_frame
+from tidelane.frames import empty_frame
 from tidelane.operators.schema import align_batch
-from tidelane.sources.files import (
-    child_names, delete_folder, folder_bytes, path_exists, read_text, replace_folder, write_text,
-)
-from tidelane.sources.scan import Cursor, encode_cursor
+from tidelane.sources.files import child_names, create_file, delete_folder, folder_bytes, read_text
+from tidelane.sources.scan import Cursor, cursor_literal, encode_cursor, row_digest
 from tidelane.types import stored_schema
 
-_LOG_ROW = T.StructType([
-    T.StructField("seq", T.IntegerType()), T.StructField("data", T.StringType()),
-    T.StructField("epoch", T.IntegerType()), T.StructField("schema", T.StringType()),
-])
-_VERSION = "version="
-_MERGED = "full"
-WHOLE = "whole"  # the feed of full copies
+#: Every so many commits one repeats the whole state, so that opening a table reads no more files than this.
+SNAPSHOT_EVERY = 20
 
 
-def _feed_folder(feed: str) -> str:
-    return hashlib.md5(feed.encode()).hexdigest()
+class ConcurrentWrite(Exception):
+    """Another writer changed the table in a way that this write was not made for."""
 
 
 def largest(cursor: str, kind: T.DataType) -> Column:
@@ -64,23 +57,33 @@ class WriteResult:
     bytes: int = 0
     max_cursor: Cursor | None = None
     null_cursors: int = 0
+    end: Cursor | None = None  # the larger one of ``max_cursor`` and the load's start
 
 
 @dataclass(frozen=True)
-class LastLoad:
-    """The last load of a feed. One without cursors is a full copy."""
+class Load:
+    """One load: where its rows are, and which link of its feed it is."""
 
     load_id: str
+    folder: str
+    epoch: int
+    feed: str | None = None
+    number: int = 0
     start: Cursor | None = None
     end: Cursor | None = None
+    cursor: str | None = None
+    copy: bool = False  # a full copy: all of the feed's rows so far
+    after_copy: bool = False
+    ties_before: str | None = None
+    ties_after: str | None = None
 
 
 @dataclass(frozen=True)
 class _State:
-    version: int
     seq: int
-    data: str
-    epochs: dict[int, T.StructType]
+    began: int  # the commit that replaced all rows before it
+    epochs: dict[int, T.StructType] = field(default_factory=dict)
+    loads: dict[str, Load] = field(default_factory=dict)  # by id, oldest first
 
     @property
     def epoch(self) -> int:
@@ -90,6 +93,28 @@ class _State:
     def schema(self) -> T.StructType:
         return self.epochs[self.epoch]
 
+    def last(self, feed: str | None) -> Load | None:
+        own = [load for load in self.loads.values() if feed is not None and load.feed == feed]
+        return max(own, key=lambda load: load.number, default=None)
+
+    def lines(self) -> list[dict]:
+        schemas = [{"epoch": k, "schema": s.jsonValue()} for k, s in sorted(self.epochs.items())]
+        return [{"began": self.began}, *schemas, *({"load": asdict(load)} for load in self.loads.values())]
+
+    def after(self, seq: int, lines: list[dict]) -> _State:
+        """The state after a commit."""
+        began, epochs, loads = self.began, dict(self.epochs), dict(self.loads)
+        for line in lines:
+            if "began" in line:
+                began, epochs, loads = line["began"], {}, {}
+            elif "schema" in line:
+                epochs[line["epoch"]] = T.StructType.fromJson(line["schema"])
+            else:
+                row = line["load"]
+                loads.pop(row["load_id"], None)
+                loads[row["load_id"]] = Load(**row | {c: row[c] and Cursor(*row[c]) for c in ("start", "end")})
+        return _State(seq, began, epochs, loads)
+
 
 class SyncTable:
     def __init__(self, spark: SparkSession, root: str, name: str):
@@ -105,24 +130,34 @@ class SyncTable:
             self._known = self._read_log()
         return self._known
 
+    def _file(self, seq: int) -> str:
+        return f"{self.path}/log/{seq:012}.json"
+
     def _read_log(self) -> _State | None:
-        versions = [int(n.removeprefix(_VERSION)) for n in child_names(self.spark, f"{self.path}/log")]
-        # A folder without files is a publication that failed. Only the newest version's rows are read: one, and
-        # one more for each schema change.
-        for version in sorted(versions, reverse=True):
-            folder = f"{self.path}/log/{_VERSION}{version}"
-            if any(n.endswith(".json") for n in child_names(self.spark, folder)):
-                log = self.spark.read.schema(_LOG_ROW).option("mode", "FAILFAST").json(folder)
-                rows = sorted(log.collect(), key=lambda r: r["seq"])
-                epochs = {r["epoch"]: T.StructType.fromJson(json.loads(r["schema"])) for r in rows}
-                return _State(version, rows[-1]["seq"], rows[-1]["data"], epochs)
-        return None
-
-    def _publish(self, state: _State) -> None:
-        row = {"seq": state.seq, "data": state.data, "epoch": state.epoch, "schema": state.schema.json()}
-        small_frame(self.spark, [row], _LOG_ROW).write.mode("append").json(f"{self.path}/log/{_VERSION}{state.version}")
+        names = child_names(self.spark, f"{self.path}/log")
+        if not names:
+            return None
+        last = int(names[-1].removesuffix(".json"))
+        state = _State(0, 0)
+        for seq in range(last - (last - 1) % SNAPSHOT_EVERY, last + 1):
+            state = state.after(seq, [json.loads(x) for x in read_text(self.spark, self._file(seq)).splitlines()])
+        return state
+
+    def _commit(self, before: _State | None, *lines: dict) -> None:
+        """Publish a change of the state ``before``, unless another writer has published one."""
+        before = before or _State(0, 0)
+        state = before.after(before.seq + 1, json.loads(json.dumps(lines)))
+        if state.seq % SNAPSHOT_EVERY == 1:
+            lines = state.lines()
+        if not create_file(self.spark, self._file(state.seq), "".join(json.dumps(x) + "\n" for x in lines)):
+            self._known = None
+            raise ConcurrentWrite(f"another writer changed {self.name} meanwhile")
         self._known = state
 
+    def _replace_all(self, before: _State | None, epochs: dict[int, T.StructType], *loads: Load) -> None:
+        began = before.seq + 1 if before else 1
+        self._commit(before, *_State(began, began, epochs, {x.load_id: x for x in loads}).lines())
+
     def refresh(self) -> SyncTable:
         """Forget what was read, to see what another writer published since."""
         self._known = None
@@ -133,63 +168,40 @@ class SyncTable:
         state = self._state()
         return state and state.schema
 
-    # -- feeds ------------------------------------------------------------------------------------
-
-    def _last_path(self, data: str) -> str:
-        return f"{self.path}/data/{data}/last"
-
-    def last_load(self, feed: str) -> LastLoad | None:
-        """The last load of a feed in the current version; that of a full copy is under ``WHOLE``."""
+    def last_load(self, feed: str) -> Load | None:
+        """The last load of a feed since all rows were last replaced."""
         state = self._state()
-        return state and self._read_last(f"{self._last_path(state.data)}/{_feed_folder(feed)}")
-
-    def _read_last(self, folder: str) -> LastLoad | None:
-        for name in reversed(child_names(self.spark, folder)):
-            try:
-                row = json.loads(read_text(self.spark, f"{folder}/{name}"))
-            except json.JSONDecodeError:
-                continue  # its writer died; the entry before it still holds
-            return LastLoad(row["load_id"], *(c and Cursor(*c) for c in (row["start"], row["end"])))
-        return None
-
-    def _record(self, data: str, feed: str, last: LastLoad) -> None:
-        folder = f"{self._last_path(data)}/{_feed_folder(feed)}"
-        before = child_names(self.spark, folder)
-        number = int(before[-1].removesuffix(".json")) + 1 if before else 1
-        write_text(self.spark, f"{folder}/{number:012}.json", json.dumps(vars(last)))
-        for name in before:
-            delete_folder(self.spark, f"{folder}/{name}")
+        return state and state.last(feed)
 
     # -- reading ----------------------------------------------------------------------------------
 
-    def _epoch_path(self, data: str, epoch: int) -> str:
-        return f"{self.path}/data/{data}/epoch={epoch}"
-
     def read(self) -> DataFrame:
-        """All rows of the current version. Filters and column choices reach the files of each epoch."""
-        state = self._state()
+        """All rows there are now. Filters and column choices reach the files of each epoch."""
+        state = self._read_log()
         if state is None:
             raise LookupError(f"no such table: {self.name}")
-        return self._read_all(state, state.schema)
+        return self._read_loads(state, state.loads.values())
 
-    def _read_all(self, state: _State, target: T.StructType, **more: Column) -> DataFrame:
-        parts = [self._read_epoch(state.data, k, s) for k, s in sorted(state.epochs.items())]
-        parts = [align_batch(p.withColumns(more) if more else p, target) for p in parts if p is not None]
-        return functools.reduce(DataFrame.unionAll, parts) if parts else empty_frame(self.spark, target)
+    def read_load(self, load: Load) -> DataFrame:
+        """The rows of one load."""
+        return self._read_loads(self._state(), [load])
 
-    def _read_epoch(self, data: str, epoch: int, schema: T.StructType) -> DataFrame | None:
-        path = self._epoch_path(data, epoch)
-        if not path_exists(self.spark, path):
-            return None
-        # Listing files recursively keeps the load folders from being read as a column.
-        return self.spark.read.schema(schema).option("recursiveFileLookup", "true").parquet(path)
+    def _read_loads(self, state: _State, loads) -> DataFrame:
+        parts = []
+        for epoch, schema in sorted(state.epochs.items()):
+            if paths := [f"{self.path}/data/{load.folder}" for load in loads if load.epoch == epoch]:
+                parts.append(align_batch(self.spark.read.schema(schema).parquet(*paths), state.schema))
+        return functools.reduce(DataFrame.unionAll, parts) if parts else empty_frame(self.spark, state.schema)
 
     # -- schema changes ---------------------------------------------------------------------------
 
     def create(self, source: T.StructType) -> None:
         """Create an empty table for a source schema; an existing table is left as it is."""
         if self._state() is None:
-            self._publish(_State(1, 1, uuid.uuid4().hex, {1: stored_schema(source)}))
+            try:
+                self._replace_all(None, {1: stored_schema(source)})
+            except ConcurrentWrite:
+                pass  # it exists now
 
     def evolve(self, schema: T.StructType) -> None:
         """Adopt the schema ``apply_changes`` gave: metadata only, in one commit."""
@@ -199,44 +211,52 @@ class SyncTable:
         old = {f.name: f.dataType for f in state.schema.fields}
         retyped = any(f.name in old and f.dataType != old[f.name] for f in schema.fields)
         epoch = state.epoch + 1 if retyped else state.epoch
-        self._publish(replace(state, seq=state.seq + 1, epochs={**state.epochs, epoch: schema}))
+        self._commit(state, {"epoch": epoch, "schema": schema.jsonValue()})
 
     # -- writing ----------------------------------------------------------------------------------
 
     def append(
         self, batch: DataFrame, load_id: str, cursor: str | None = None,
-        records_per_file: int = 0, rebalance: bool = False, sort_by_cursor: bool = False,
-        feed: str | None = None, start: Cursor | None = None,
+        records_per_file: int = 0, rebalance: bool = False, sort_by_cursor: bool = False, *,
+        feed: str | None = None, number: int = 0, start: Cursor | None = None, after_copy: bool = False,
+        tie_keys: list[str] | None = None, ties_before: str | None = None,
     ) -> WriteResult:
         """Add one load. The same ``load_id`` again replaces that load, also with no rows at all.
 
-        With a ``feed``, the load is noted as its last one before readers see it, so that it can be found, and
-        repeated, even if the run dies before anything else is recorded. ``sort_by_cursor`` sorts within each file, without a shuffle, so that later filters on the cursor
-        can skip parts of files.
+        With a ``feed``, the load is published as link ``number`` of it, so that it can be found, and repeated, even if
+        the run dies before anything else is recorded. ``sort_by_cursor`` sorts within each file, without a shuffle, so that
+        later filters on the cursor can skip parts of files. ``tie_keys`` keeps digests of the rows at the end.
         """
         state = self._state()
-        for epoch in state.epochs:
-            # An attempt that died before a column was widened left its rows in an earlier epoch.
-            if epoch != state.epoch:
-                delete_folder(self.spark, f"{self._epoch_path(state.data, epoch)}/load_id={load_id}")
-        return self._write(
-            batch, state.schema, f"{self._epoch_path(state.data, state.epoch)}/load_id={load_id}",
-            cursor, records_per_file, rebalance, sort_by_cursor,
-            lambda best: feed and self._record(state.data, feed, LastLoad(load_id, start, best or start)),
-        )
+        before = state.last(feed)
+        folder, done = self._write(batch, state.schema, cursor, records_per_file, rebalance, sort_by_cursor, start)
+        ties = ties_before if done.end == start and not done.rows else None
+        if tie_keys and done.end is not None and not ties:
+            new = self.spark.read.schema(state.schema).parquet(f"{self.path}/data/{folder}")
+            ties = self.note_ties(new, cursor, done.end, tie_keys, ties_before if done.end == start else None)
+        load = Load(load_id, folder, state.epoch, feed, number, start, done.end, cursor, False, after_copy, ties_before, ties)
+        while True:
+            try:
+                self._commit(state, {"load": asdict(load)})
+                return done
+            except ConcurrentWrite:
+                known, state = state, self._state()
+                same = (state.began, state.epochs, state.loads.get(load_id), state.last(feed))
+                if same != (known.began, known.epochs, known.loads.get(load_id), before):
+                    raise
 
     def _write(
-        self, batch: DataFrame, schema: T.StructType, path: str,
-        cursor: str | None = None, records_per_file: int = 0, rebalance: bool = False, sort_by_cursor: bool = False,
-        before_publishing: Callable[[Cursor | None], object] = lambda best: None, by: str | None = None,
-    ) -> WriteResult:
+        self, batch: DataFrame, schema: T.StructType, cursor: str | None = None, records_per_file: int = 0,
+        rebalance: bool = False, sort_by_cursor: bool = False, start: Cursor | None = None,
+    ) -> tuple[str, WriteResult]:
+        """Write rows to a folder of their own, which readers see once a commit names it."""
         metrics = [F.count(F.lit(1)).alias("rows")]
         if cursor is not None:
             kind = schema[cursor].dataType
-            metrics += [
-                encode_cursor(largest(cursor, kind), kind).alias("max_cursor"),
-                F.count_if(F.col(cursor).isNull()).alias("null_cursors"),
-            ]
+            best = largest(cursor, kind)
+            metrics += [encode_cursor(best, kind).alias("max_cursor"), F.count_if(F.col(cursor).isNull()).alias("null_cursors")]
+            # A source may lose its newest rows; the cursor does not go back with them.
+            metrics.append((best.isNotNull() if start is None else best > cursor_literal(start).cast(kind)).alias("onward"))
         observed = Observation()
         rows = align_batch(batch, schema)
         if rebalance:
@@ -244,68 +264,69 @@ class SyncTable:
             rows = rows.hint("rebalance")
         if sort_by_cursor:
             rows = rows.sortWithinPartitions(cursor)
-        writer = rows.observe(observed, *metrics).write.mode("overwrite")
+        writer = rows.observe(observed, *metrics).write
         if records_per_file:
             writer = writer.option("maxRecordsPerFile", records_per_file)
-        if by:
-            writer = writer.partitionBy(by)
-        # Readers keep an earlier attempt's rows until this one is complete.
-        aside = f"{path.rpartition('/')[0]}/_attempt-{uuid.uuid4().hex}"
-        writer.parquet(aside)
+        folder = uuid.uuid4().hex
+        writer.parquet(f"{self.path}/data/{folder}")
         seen = observed.get
         best = seen.get("max_cursor")
         best = None if best is None else Cursor(best, schema[cursor].dataType.simpleString())
-        before_publishing(best)
-        replace_folder(self.spark, aside, path)
-        return WriteResult(seen["rows"] or 0, folder_bytes(self.spark, path), best, seen.get("null_cursors") or 0)
+        size = folder_bytes(self.spark, f"{self.path}/data/{folder}")
+        end = best if seen.get("onward") else start
+        return folder, WriteResult(seen["rows"] or 0, size, best, seen.get("null_cursors") or 0, end)
+
+    # -- ties at the cursor -----------------------------------------------------------------------
+
+    def note_ties(self, rows: DataFrame, cursor: str, end: Cursor, keys: list[str], more: str | None = None) -> str:
+        """Write digests of the rows at the cursor ``end``, and those noted as ``more``; readers do not see them."""
+        digests = rows.where(F.col(cursor) == cursor_literal(end).cast(rows.schema[cursor].dataType)).select(row_digest(rows, keys))
+        if more:
+            digests = digests.unionAll(self.ties(more))
+        name = uuid.uuid4().hex
+        digests.distinct().write.parquet(f"{self.path}/ties/{name}")
+        return name
 
-    def stage(self, rows: DataFrame, records_per_file: int = 0) -> tuple[str, T.StructType, WriteResult]:
+    def ties(self, name: str) -> DataFrame:
+        return self.spark.read.schema("digest binary").parquet(f"{self.path}/ties/{name}")
+
+    # -- replacing --------------------------------------------------------------------------------
+
+    def stage(self, rows: DataFrame, records_per_file: int = 0, cursor: str | None = None) -> tuple[str, T.StructType, WriteResult]:
         """Write a full copy aside, unseen by readers."""
-        folder, schema = uuid.uuid4().hex, stored_schema(rows.schema)
-        path = f"{self._epoch_path(folder, 1)}/load_id={_MERGED}"
-        note = LastLoad(_MERGED)
-        written = self._write(
-            rows, schema, path, records_per_file=records_per_file,
-            before_publishing=lambda _: self._record(folder, WHOLE, note),
-        )
+        self._state()  # what the copy will replace
+        schema = stored_schema(rows.schema)
+        folder, written = self._write(rows, schema, cursor, records_per_file)
         return folder, schema, written
 
-    def swap(self, folder: str, schema: T.StructType) -> None:
-        """Publish a staged copy as the next version, in one atomic step."""
-        state = self._state()
-        self._publish(_State(state.version + 1 if state else 1, 1, folder, {1: schema}))
+    def swap(self, folder: str | None, schema: T.StructType, feed: str | None = None, cursor: str | None = None, end: Cursor | None = None) -> None:
+        """Publish a staged copy in place of all rows, in one atomic step; without a folder, an empty table."""
+        copy = [Load("copy", folder, 1, feed, 1, None, end, cursor, True)] if folder else []
+        self._replace_all(self._state(), {1: schema}, *copy)
 
     def truncate(self) -> None:
         """Remove all rows and keep the table."""
-        self.swap(uuid.uuid4().hex, self._state().schema)
+        self.swap(None, self._state().schema)
 
     def rewrite(self) -> WriteResult:
-        """Merge all loads and epochs into one, for tables that were widened or loaded many times.
+        """Merge loads into one, for tables that were widened or loaded many times.
 
-        The last load of each feed stays apart under its own id, since it may still come again.
+        The last load of each feed stays apart as it is, since it may still come again.
         """
         state = self._state()
-        feeds = child_names(self.spark, self._last_path(state.data))
-        last = {feed: self._read_last(f"{self._last_path(state.data)}/{feed}") for feed in feeds}
-        ids = [load.load_id for load in last.values() if load is not None]
-        own = F.regexp_extract("_metadata.file_path", "/load_id=([^/]+)/", 1)
-        target = T.StructType([*state.schema.fields, T.StructField("load_id", T.StringType())])
-        rows = self._read_all(state, target, load_id=F.when(own.isin(ids), own).otherwise(_MERGED))
-        folder = uuid.uuid4().hex
-        result = self._write(rows, target, self._epoch_path(folder, 1), by="load_id")
-        for feed, load in last.items():
-            if load is not None:
-                write_text(self.spark, f"{self._last_path(folder)}/{feed}/{1:012}.json", json.dumps(vars(load)))
-        self.swap(folder, state.schema)
-        return result
+        last = {load.load_id for feed in {x.feed for x in state.loads.values()} if (load := state.last(feed))}
+        folder, done = self._write(self._read_loads(state, [v for k, v in state.loads.items() if k not in last]), state.schema)
+        self._replace_all(state, state.epochs, Load("merged", folder, state.epoch), *(v for k, v in state.loads.items() if k in last))
+        return done
 
     def expire_versions(self) -> None:
-        """Delete what the current version does not use. Run it apart from loads, once readers moved on."""
+        """Delete what no commit in use names. Run it apart from loads, once readers moved on."""
         state = self.refresh()._state()
-        for folder in child_names(self.spark, f"{self.path}/data"):
-            if folder != state.data:
-                delete_folder(self.spark, f"{self.path}/data/{folder}")
-        for version in child_names(self.spark, f"{self.path}/log"):
-            if version != f"version={state.version}":
-                delete_folder(self.spark, f"{self.path}/log/{version}")
-
+        used = {x for v in state.loads.values() for x in (v.folder, v.ties_before, v.ties_after)}
+        for kind in ("data", "ties"):
+            for folder in child_names(self.spark, f"{self.path}/{kind}"):
+                if folder not in used:
+                    delete_folder(self.spark, f"{self.path}/{kind}/{folder}")
+        for name in child_names(self.spark, f"{self.path}/log"):
+            if int(name.removesuffix(".json")) < state.seq - (state.seq - 1) % SNAPSHOT_EVERY:
+                delete_folder(self.spark, f"{self.path}/log/{name}")

@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import hashlib
 import uuid
 from dataclasses import dataclass, field
 from typing import Any
@@ -10,8 +9,9 @@ from typing import Any
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelane.operators.table import WHOLE, SyncTable, largest
-from tidelane.sources.scan import Cursor, encode_cursor, full_scan, incremental_scan
+from tidelane.operators.schema import align_batch
+from tidelane.operators.table import SyncTable, largest
+from tidelane.sources.scan import Cursor, encode_cursor, full_scan, incremental_scan, tie_safe_scan
 
 EXACTLY_ONCE = "exactly_once"
 AT_LEAST_ONCE = "at_least_once"
@@ -25,62 +25,93 @@ class LoadResult:
     start: Cursor | None = field(default=None, compare=False)  # where the load began
 
 
-def load_id(connection: str, table: str, start: Cursor | None) -> str:
-    """The name of a load, fixed by where it starts: a retry or a re-run after a crash replaces it.
+def load_id(feed: str, number: int) -> str:
+    """The name of a load, fixed by its place in its feed: a retry or a re-run after a crash replaces it."""
+    return f"{feed}#{number}"
 
-    The leading letter keeps a reader from taking the id for a number.
-    """
-    text = "\x1f".join((connection, table, *(start or ("", ""))))
-    return "l_" + hashlib.md5(text.encode()).hexdigest()
 
+def full_refresh(source: DataFrame, table: SyncTable, records_per_file: int = 0, *, connection: str = "default", cursor: str | None = None) -> LoadResult:
+    """Replace the table by the source: written aside first, then published in one step.
 
-def full_refresh(source: DataFrame, table: SyncTable, records_per_file: int = 0) -> LoadResult:
-    """Replace the table by the source: written aside first, then published in one step."""
-    folder, schema, written = table.stage(full_scan(source), records_per_file)
-    table.swap(folder, schema)
+    The copy belongs to the connection's feed. With ``cursor``, its largest cursor is measured while writing, so that the
+    feed's first increment begins there without another scan.
+    """
+    folder, schema, written = table.stage(full_scan(source), records_per_file, cursor)
+    table.swap(folder, schema, connection, cursor, written.end)
     return LoadResult(written.rows)
 
 
-def _start(table: SyncTable, feed: str, cursor: str, after: Cursor | None) -> tuple[Cursor | None, bool]:
-    """Where the next load of a feed begins by the table's own records, and whether a full copy lies before it.
+@dataclass(frozen=True)
+class _Link:
+    """Which load of a feed comes next."""
+
+    number: int
+    start: Cursor | None
+    after_copy: bool = False
+    ties: str | None = None
+
+
+def _next_link(table: SyncTable, feed: str, cursor: str, after: Cursor | None) -> _Link:
+    """The next load of a feed by the table's own records.
 
-    ``after`` is where the last load ended, or where it began if its end was never recorded. Anything else is out of
-    date, after a ledger repair for example: then the last load is repeated. The first load after a full copy
-    begins at the copy's largest cursor.
+    ``after`` is where the last load ended, or anything else if its end was never recorded or is out of date, after a
+    ledger repair for example: then the last load is repeated. The first load after the feed's full copy begins at the
+    copy's largest cursor; copies of other feeds say nothing about this one.
     """
     last = table.last_load(feed)
-    if last is not None:
-        return (after if after in (last.start, last.end) else last.start), False
-    if table.last_load(WHOLE) is None:
-        return after, False
-    kind = table.schema()[cursor].dataType
-    best = table.read().agg(encode_cursor(largest(cursor, kind), kind)).head()[0]
-    return (None if best is None else Cursor(best, kind.simpleString())), True
+    if last is None:
+        return _Link(1, after)
+    if last.copy:
+        end = last.end
+        if last.cursor != cursor:
+            kind = table.schema()[cursor].dataType
+            best = table.read_load(last).agg(encode_cursor(largest(cursor, kind), kind)).head()[0]
+            end = None if best is None else Cursor(best, kind.simpleString())
+        return _Link(last.number + 1, end, True)
+    if after is not None and after == last.end:
+        return _Link(last.number + 1, after, False, last.ties_after)
+    return _Link(last.number, last.start, last.after_copy, last.ties_before)
 
 
 def incremental_load(
     source: DataFrame, table: SyncTable, cursor: str, after: Cursor | None = None, *, connection: str = "default",
     lookback: Any = None, delivery: str = EXACTLY_ONCE, records_per_file: int = 0, sort_by_cursor: bool = False,
-    rebalance: bool = False,
+    rebalance: bool = False, tie_keys: list[str] | None = None,
 ) -> LoadResult:
-    """Append the rows past ``after`` and return the new cursor, which stays at ``after`` without rows.
+    """Append the rows past ``after`` and return the new cursor, which never goes back and stays without rows.
 
     An updated row is appended as another version; ``latest_rows`` picks the last one. An ``after`` that
     contradicts what the table holds is corrected, so that no row is loaded twice; the result tells the start taken.
+    ``tie_keys`` names columns that together with the cursor tell rows apart: then rows that were committed later with the
+    start's own cursor value are loaded too, and those already loaded, known by digests kept with the last load, are not.
     ``delivery="at_least_once"`` begins at ``after`` whatever the table holds and keeps the rows of failed
     attempts, as plain appends do. ``rebalance`` shuffles the rows into files of even size; it is off by default,
     and worth it where a small increment comes out of a scan of many tasks.
     """
     exact = delivery == EXACTLY_ONCE
-    start, copied = _start(table, connection, cursor, after) if exact else (after, False)
-    rows = incremental_scan(source, cursor, start, lookback)
-    if copied:
+    if tie_keys and (lookback is not None or not exact):
+        raise ValueError("tie_keys replaces lookback and needs exactly-once delivery")
+    last = table.last_load(connection)
+    link = _next_link(table, connection, cursor, after) if exact else _Link(last.number + 1 if last else 1, after)
+    ties = None
+    if tie_keys:
+        if link.start is not None:
+            # Without digests of the last load, those of the feed's copy, or else of all rows at this cursor.
+            held = table.read_load(last) if last and last.copy else table.read()
+            ties = link.ties or table.note_ties(held, cursor, link.start, tie_keys)
+            rows = tie_safe_scan(align_batch(source, table.schema()), cursor, link.start, table.ties(ties), tie_keys)
+        else:
+            rows = source
+    else:
+        rows = incremental_scan(source, cursor, link.start, lookback)
+    if link.after_copy:
         rows = rows.where(F.col(cursor).isNotNull())  # those without a cursor came with the copy
-    name = load_id(connection, table.name, start) if exact else "r_" + uuid.uuid4().hex
+    name = load_id(connection, link.number) if exact else "r_" + uuid.uuid4().hex
     written = table.append(
-        rows, name, cursor, records_per_file, rebalance, sort_by_cursor, feed=connection, start=start
+        rows, name, cursor, records_per_file, rebalance, sort_by_cursor, feed=connection, number=link.number,
+        start=link.start, after_copy=link.after_copy, tie_keys=tie_keys, ties_before=ties,
     )
-    return LoadResult(written.rows, written.max_cursor or start, written.null_cursors, start)
+    return LoadResult(written.rows, written.end, written.null_cursors, link.start)
 
 
 # Rows are only ever added at the source: the mechanics are the same, only the promise differs.

@@ -21,7 +21,7 @@ from tidelane.functions.text import is_fatal_message
 from tidelane.operators import ledger as L
 from tidelane.operators.monitor import CURSOR_MODES, SYNC_MODES
 from tidelane.operators.schema import TYPE_INCOMPATIBLE, IncompatibleSchema, apply_changes, changed_columns
-from tidelane.operators.table import SyncTable
+from tidelane.operators.table import ConcurrentWrite, SyncTable
 from tidelane.plans.modes import EXACTLY_ONCE, LoadResult, full_refresh, incremental_load
 from tidelane.sources.connectors import Source
 from tidelane.sources.files import child_names
@@ -44,6 +44,7 @@ class TablePlan:
     sort_by_cursor: bool = False
     strict_items: bool = False
     rebalance: bool = False
+    tie_keys: tuple[str, ...] | None = None  # what tells rows of one cursor value apart, for tie-safe increments
 
     @property
     def destination(self) -> str:
@@ -93,7 +94,7 @@ def with_retry(task: Callable[[], LoadResult], attempts: int = DEFAULT_ATTEMPTS,
         except TableTimeout:
             raise
         except Exception as error:
-            if isinstance(error, IncompatibleSchema) or is_fatal_message(str(error)):
+            if isinstance(error, (ConcurrentWrite, IncompatibleSchema)) or is_fatal_message(str(error)):
                 raise RuntimeError(f"fatal, not tried again: {error}") from error
             if attempt == attempts:
                 raise RuntimeError(f"gave up after {attempts} attempts: {error}") from error
@@ -312,9 +313,10 @@ class _Run:
         rows = self.source.read(p.plan.name) if p.rows is None else p.rows
         p.rows = None  # a retry lists the source's files anew
         if p.plan.sync_mode == "full_refresh":
-            return full_refresh(rows, p.table, self.records_per_file)
+            return full_refresh(rows, p.table, self.records_per_file, connection=self.connection, cursor=p.plan.cursor_field)
         return incremental_load(
             rows, p.table, p.plan.cursor_field, p.cursor, connection=self.connection, lookback=p.plan.lookback,
             delivery=self.delivery, records_per_file=self.records_per_file,
             sort_by_cursor=p.plan.sort_by_cursor, rebalance=p.plan.rebalance,
+            tie_keys=p.plan.tie_keys and list(p.plan.tie_keys),
         )

@@ -2,6 +2,9 @@
 
 from __future__ import annotations
 
+import uuid
+
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import SparkSession
 
 
@@ -65,3 +68,22 @@ def replace_folder(spark: SparkSession, new: str, path: str) -> None:
     store.delete(target, True)
     if not store.rename(_handle(spark, new)[1], target):
         raise OSError(f"cannot move {new} to {path}")
+
+
+def create_file(spark: SparkSession, path: str, text: str) -> bool:
+    """Make a small file appear whole, or return False if there is one already."""
+    store, target = _handle(spark, path)
+    folder, name = path.rsplit("/", 1)
+    aside = f"{folder}/_{uuid.uuid4().hex}-{name}"
+    write_text(spark, aside, text)
+    jvm = spark._jvm
+    context = jvm.org.apache.hadoop.fs.FileContext.getFileContext(target.toUri(), spark._jsparkSession.sessionState().newHadoopConf())
+    keep = spark.sparkContext._gateway.new_array(jvm.org.apache.hadoop.fs.Options.Rename, 0)
+    try:
+        context.rename(_handle(spark, aside)[1], store.makeQualified(target), keep)
+    except Py4JJavaError as error:
+        delete_folder(spark, aside)
+        if error.java_exception.getClass().getSimpleName() != "FileAlreadyExistsException":
+            raise
+        return False
+    return True

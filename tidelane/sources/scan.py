@@ -66,6 +66,36 @@ def incremental_scan(df: DataFrame, cursor: str, after: Any = None, lookback: An
     return df.where(F.col(cursor) > bound)
 
 
+def _digest_text(df: DataFrame, key: str) -> Column:
+    """A column as text that stays the same when its type is widened."""
+    kind = df.schema[key].dataType
+    if isinstance(kind, T.DateType):
+        return F.col(key).cast("timestamp_ntz").cast("string")
+    if isinstance(kind, (T.FloatType, T.DoubleType, T.DecimalType)):
+        number = F.col(key).cast("double") if isinstance(kind, T.FloatType) else F.col(key)
+        return F.regexp_replace(number.cast("string"), r"\.0+$|(\.[0-9]*[1-9])0+$", "$1")
+    return F.col(key).cast("string")
+
+
+def row_digest(df: DataFrame, keys: list[str]) -> Column:
+    """``digest``: 128 bits of some columns, by which rows of one cursor value are told apart."""
+    texts = F.struct(*(_digest_text(df, k).alias(f"k{i}") for i, k in enumerate(keys)))
+    return F.unhex(F.md5(F.to_json(texts, {"ignoreNullFields": "false"}))).alias("digest")
+
+
+def tie_safe_scan(df: DataFrame, cursor: str, after: Any, seen: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows past ``after``, and those at ``after`` itself whose digest of ``keys`` is not among ``seen`` (column ``digest``).
+
+    Only the rows at the one value are joined; both filters reach the scan. Where the cursor has many ties, Spark joins by
+    shuffle, else it broadcasts the digests by its own size check.
+    """
+    bound = cursor_literal(after)
+    ties = df.where(F.col(cursor) == bound)
+    known = seen.select(F.col("digest").alias("_seen"))
+    late = ties.withColumn("_digest", row_digest(ties, keys)).join(known, F.col("_digest") == F.col("_seen"), "left_anti").drop("_digest")
+    return df.where(F.col(cursor) > bound).unionAll(late)
+
+
 def max_cursor(df: DataFrame, cursor: str, old: Any = None, alias: str = "max_cursor") -> DataFrame:
     """Largest non-NULL cursor; the old value when there is none, so that a cursor never turns NULL."""
     best = F.max(cursor)

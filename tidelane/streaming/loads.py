@@ -27,7 +27,7 @@ def _start(stream: DataFrame, table: SyncTable, checkpoint: str, name: str, **tr
             query.append(batch.sparkSession.read.json(f"{checkpoint}/metadata").first()["id"])
         target = SyncTable(batch.sparkSession, table.path.rsplit("/", 1)[0], table.name)
         feed = f"s_{name}_{query[0]}"
-        target.append(batch, f"{feed}_{batch_id}", feed=feed)
+        target.append(batch, f"{feed}_{batch_id}", feed=feed, number=batch_id)
 
     return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**trigger).start()
 
