@@ -46,6 +46,22 @@ def stream_latest_rows(spark, sf_dir):
     return loads.stream_latest_rows(twice, table, f"{root}/checkpoint", "events", ["user_id"], "ts", ["event_id"])
 
 
+@register("""
+    SELECT event_id, ts, user_id, event_type, value, props FROM events
+    QUALIFY row_number() OVER (PARTITION BY user_id, event_type ORDER BY ts DESC, event_id DESC) = 1
+""")
+def stream_kept_latest(spark, sf_dir):
+    """The latest rows of a stream, kept in buckets; a second stream delivers everything once more."""
+    root = new_folder(spark, "streams")
+    table = SyncTable(spark, f"{root}/tables", "events")
+    for number in range(2):
+        query = loads.stream_kept_latest(
+            _stream(spark, sf_dir), table, f"{root}/checkpoint-{number}", ["user_id", "event_type"], "ts", ["event_id"], buckets=8
+        )
+        query.awaitTermination()
+    return table.read()
+
+
 @register(_EVENTS)
 def stream_drop_repeats(spark, sf_dir):
     root = new_folder(spark, "streams")

@@ -1,6 +1,8 @@
 import pytest
 from pyspark.sql import functions as F
 
+from tidelane.operators.commits import ConcurrentWrite
+from tidelane.operators.latest import merge_latest
 from tidelane.operators.schema import IncompatibleSchema
 from tidelane.operators.table import SyncTable
 from tidelane.session import new_folder
@@ -100,3 +102,62 @@ def test_repeats_in_later_batches_are_dropped(spark, place):
         once = loads.drop_repeats(stream, ["id"], "at", "1 day")
         loads.stream_append_only(once, table, checkpoint, "t").awaitTermination()
     assert sorted(r["id"] for r in table.refresh().read().collect()) == list(range(5))
+
+
+VERSIONS = "id long, version int, note string"
+
+
+def kept(spark, place, rows, buckets=16):
+    folder, checkpoint, table = place
+    arrive(spark.createDataFrame(rows, VERSIONS), folder)
+    stream = spark.readStream.schema(VERSIONS).parquet(folder)
+    loads.stream_kept_latest(stream, table, checkpoint, ["id"], "version", ["note"], buckets).awaitTermination()
+    return {r["id"]: (r["version"], r["note"]) for r in table.read().collect()}
+
+
+def test_kept_latest_rows_follow_arrivals_late_ones_too(spark, place):
+    assert kept(spark, place, [(1, 1, "a"), (2, 3, "b"), (2, 1, "z"), (None, 1, "n")]) == {1: (1, "a"), 2: (3, "b"), None: (1, "n")}
+    late = [(1, 2, "c"), (2, 2, "late"), (3, 1, "d"), (None, 2, None)]
+    assert kept(spark, place, late) == {1: (2, "c"), 2: (3, "b"), 3: (1, "d"), None: (2, None)}
+    assert kept(spark, place, [(1, 2, "d"), (2, None, "x")])[1] == (2, "d")  # equal cursors: the larger tie
+    assert len(place[2].read().collect()) == 4
+
+
+def test_a_batch_reads_and_writes_only_the_buckets_of_its_keys(spark, place):
+    table = place[2]
+    rows = spark.range(1000).selectExpr("id", "1 AS version", "'a' AS note")
+    table.create(rows.schema)
+    assert merge_latest(rows, table, ["id"], "version", [], 16) == list(range(16))
+    before = set(table.read().inputFiles())
+    read = []
+    part, SyncTable.part = SyncTable.part, lambda self, name: read.append(name) or part(self, name)
+    try:
+        (bucket,) = merge_latest(spark.sql("SELECT 7L AS id, 2 AS version, 'b' AS note"), table, ["id"], "version", [], 16)
+    finally:
+        SyncTable.part = part
+    after = set(table.read().inputFiles())
+    assert read == [f"bucket__={bucket}"] and len(before & after) == len(before) - 1
+    assert table.read().count() == 1000 and table.read().where("id = 7").first()["note"] == "b"
+    table.expire_versions()
+    assert table.read().count() == 1000
+    assert merge_latest(rows.limit(0), table, ["id"], "version", [], 16) == []
+
+
+def test_of_two_mergers_that_meet_one_is_refused(spark, place):
+    table = place[2]
+    rows = spark.range(10).selectExpr("id", "1 AS version", "'a' AS note")
+    table.create(rows.schema)
+    replace_parts = SyncTable.replace_parts
+
+    def late(self, *args):
+        SyncTable.replace_parts = replace_parts
+        merge_latest(rows, SyncTable(spark, table.path.rsplit("/", 1)[0], "t"), ["id"], "version", [], 4)
+        return replace_parts(self, *args)
+
+    SyncTable.replace_parts = late
+    try:
+        with pytest.raises(ConcurrentWrite):
+            merge_latest(rows, table, ["id"], "version", [], 4)
+    finally:
+        SyncTable.replace_parts = replace_parts
+    assert table.read().count() == 10

@@ -7,7 +7,8 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelane.operators import schema as S
-from tidelane.operators.table import ConcurrentWrite, SyncTable
+from tidelane.operators.commits import ConcurrentWrite
+from tidelane.operators.table import SyncTable
 from tidelane.plans import modes
 from tidelane.session import new_folder
 from tidelane.sources.files import read_text
@@ -225,7 +226,7 @@ def test_readers_keep_their_rows_while_a_load_is_replaced(spark, table):
 def test_a_writer_that_dies_before_its_commit_changes_nothing(spark, table, monkeypatch):
     table.create(spark.range(0).schema)
     table.append(spark.range(5), "l_1")
-    monkeypatch.setattr("tidelane.operators.table.create_file", lambda *_: (_ for _ in ()).throw(OSError("gone")))
+    monkeypatch.setattr("tidelane.operators.commits.create_file", lambda *_: (_ for _ in ()).throw(OSError("gone")))
     with pytest.raises(OSError, match="gone"):
         table.append(spark.range(7), "l_1")
     assert ids(table) == list(range(5))
@@ -303,7 +304,7 @@ def test_opening_reads_few_commits_however_many_there_are(spark, table, monkeypa
     for i in range(45):
         table.append(spark.range(i, i + 1), f"l_{i}")
     read = []
-    monkeypatch.setattr("tidelane.operators.table.read_text", lambda s, p: read.append(p) or read_text(s, p))
+    monkeypatch.setattr("tidelane.operators.commits.read_text", lambda s, p: read.append(p) or read_text(s, p))
     assert ids(table) == list(range(45)) and len(read) <= 20
     table.expire_versions()
     table.append(spark.range(45, 46), "l_45")

@@ -21,28 +21,20 @@ available, its own append, alter and replace operations are the better choice.
 from __future__ import annotations
 
 import functools
-import json
 import uuid
-from dataclasses import asdict, dataclass, field
+from dataclasses import asdict, dataclass
 
 from pyspark.sql import Column, DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelane.frames import empty_frame
+from tidelane.operators.commits import CommitLog, ConcurrentWrite, Load, State
 from tidelane.operators.schema import align_batch
-from tidelane.sources.files import child_names, create_file, delete_folder, folder_bytes, read_text
+from tidelane.sources.files import child_names, delete_folder, folder_bytes
 from tidelane.sources.scan import Cursor, cursor_literal, encode_cursor, row_digest
 from tidelane.types import stored_schema
 
-#: Every so many commits one repeats the whole state, so that opening a table reads no more files than this.
-SNAPSHOT_EVERY = 20
-
-
-class ConcurrentWrite(Exception):
-    """Another writer changed the table in a way that this write was not made for."""
-
-
 def largest(cursor: str, kind: T.DataType) -> Column:
     """The largest cursor. NaN is above every number, so it would end all later loads; it is left out."""
     floating = isinstance(kind, (T.FloatType, T.DoubleType))
@@ -60,103 +52,31 @@ class WriteResult:
     end: Cursor | None = None  # the larger one of ``max_cursor`` and the load's start
 
 
-@dataclass(frozen=True)
-class Load:
-    """One load: where its rows are, and which link of its feed it is."""
-
-    load_id: str
-    folder: str
-    epoch: int
-    feed: str | None = None
-    number: int = 0
-    start: Cursor | None = None
-    end: Cursor | None = None
-    cursor: str | None = None
-    copy: bool = False  # a full copy: all of the feed's rows so far
-    after_copy: bool = False
-    ties_before: str | None = None
-    ties_after: str | None = None
-
-
-@dataclass(frozen=True)
-class _State:
-    seq: int
-    began: int  # the commit that replaced all rows before it
-    epochs: dict[int, T.StructType] = field(default_factory=dict)
-    loads: dict[str, Load] = field(default_factory=dict)  # by id, oldest first
-
-    @property
-    def epoch(self) -> int:
-        return max(self.epochs)
-
-    @property
-    def schema(self) -> T.StructType:
-        return self.epochs[self.epoch]
-
-    def last(self, feed: str | None) -> Load | None:
-        own = [load for load in self.loads.values() if feed is not None and load.feed == feed]
-        return max(own, key=lambda load: load.number, default=None)
-
-    def lines(self) -> list[dict]:
-        schemas = [{"epoch": k, "schema": s.jsonValue()} for k, s in sorted(self.epochs.items())]
-        return [{"began": self.began}, *schemas, *({"load": asdict(load)} for load in self.loads.values())]
-
-    def after(self, seq: int, lines: list[dict]) -> _State:
-        """The state after a commit."""
-        began, epochs, loads = self.began, dict(self.epochs), dict(self.loads)
-        for line in lines:
-            if "began" in line:
-                began, epochs, loads = line["began"], {}, {}
-            elif "schema" in line:
-                epochs[line["epoch"]] = T.StructType.fromJson(line["schema"])
-            else:
-                row = line["load"]
-                loads.pop(row["load_id"], None)
-                loads[row["load_id"]] = Load(**row | {c: row[c] and Cursor(*row[c]) for c in ("start", "end")})
-        return _State(seq, began, epochs, loads)
-
-
 class SyncTable:
     def __init__(self, spark: SparkSession, root: str, name: str):
         self.spark = spark
         self.name = name
         self.path = f"{root.rstrip('/')}/{name}"
-        self._known: _State | None = None
+        self._log = CommitLog(spark, f"{self.path}/log")
+        self._known: State | None = None
 
     # -- state ------------------------------------------------------------------------------------
 
-    def _state(self) -> _State | None:
+    def _state(self) -> State | None:
         if self._known is None:
-            self._known = self._read_log()
+            self._known = self._log.read()
         return self._known
 
-    def _file(self, seq: int) -> str:
-        return f"{self.path}/log/{seq:012}.json"
-
-    def _read_log(self) -> _State | None:
-        names = child_names(self.spark, f"{self.path}/log")
-        if not names:
-            return None
-        last = int(names[-1].removesuffix(".json"))
-        state = _State(0, 0)
-        for seq in range(last - (last - 1) % SNAPSHOT_EVERY, last + 1):
-            state = state.after(seq, [json.loads(x) for x in read_text(self.spark, self._file(seq)).splitlines()])
-        return state
-
-    def _commit(self, before: _State | None, *lines: dict) -> None:
-        """Publish a change of the state ``before``, unless another writer has published one."""
-        before = before or _State(0, 0)
-        state = before.after(before.seq + 1, json.loads(json.dumps(lines)))
-        if state.seq % SNAPSHOT_EVERY == 1:
-            lines = state.lines()
-        if not create_file(self.spark, self._file(state.seq), "".join(json.dumps(x) + "\n" for x in lines)):
+    def _commit(self, before: State | None, *lines: dict) -> None:
+        try:
+            self._known = self._log.commit(before, *lines)
+        except ConcurrentWrite:
             self._known = None
-            raise ConcurrentWrite(f"another writer changed {self.name} meanwhile")
-        self._known = state
+            raise
 
-    def _replace_all(self, before: _State | None, epochs: dict[int, T.StructType], *loads: Load) -> None:
+    def _replace_all(self, before: State | None, epochs: dict[int, T.StructType], *loads: Load) -> None:
         began = before.seq + 1 if before else 1
-        self._commit(before, *_State(began, began, epochs, {x.load_id: x for x in loads}).lines())
+        self._commit(before, *State(began, began, epochs, {x.load_id: x for x in loads}).lines())
 
     def refresh(self) -> SyncTable:
         """Forget what was read, to see what another writer published since."""
@@ -177,7 +97,7 @@ class SyncTable:
 
     def read(self) -> DataFrame:
         """All rows there are now. Filters and column choices reach the files of each epoch."""
-        state = self._read_log()
+        state = self._log.read()
         if state is None:
             raise LookupError(f"no such table: {self.name}")
         return self._read_loads(state, state.loads.values())
@@ -186,7 +106,7 @@ class SyncTable:
         """The rows of one load."""
         return self._read_loads(self._state(), [load])
 
-    def _read_loads(self, state: _State, loads) -> DataFrame:
+    def _read_loads(self, state: State, loads) -> DataFrame:
         parts = []
         for epoch, schema in sorted(state.epochs.items()):
             if paths := [f"{self.path}/data/{load.folder}" for load in loads if load.epoch == epoch]:
@@ -304,6 +224,25 @@ class SyncTable:
         copy = [Load("copy", folder, 1, feed, 1, None, end, cursor, True)] if folder else []
         self._replace_all(self._state(), {1: schema}, *copy)
 
+    def replace_parts(self, rows: DataFrame, by: str, values: list[str]) -> None:
+        """Replace some parts of the table by ``rows``, whose column ``by`` tells the part, in one commit.
+
+        A part is a load named ``<by>=<value>``. ``rows`` should be dealt by that column, for a file a part. Refused if another
+        writer has published anything since this table was opened.
+        """
+        state = self._state()
+        folder = uuid.uuid4().hex
+        kept = align_batch(rows, T.StructType([*state.schema.fields, rows.schema[by]]))
+        kept.write.partitionBy(by).parquet(f"{self.path}/data/{folder}")
+        parts = (f"{by}={value}" for value in values)
+        written = set(child_names(self.spark, f"{self.path}/data/{folder}"))
+        self._commit(state, *({"load": asdict(Load(p, f"{folder}/{p}", state.epoch))} for p in parts if p in written))
+
+    def part(self, name: str) -> DataFrame | None:
+        """The rows of one load or part as this table was opened, None if there is none of that name."""
+        load = self._state().loads.get(name)
+        return load and self.read_load(load)
+
     def truncate(self) -> None:
         """Remove all rows and keep the table."""
         self.swap(None, self._state().schema)
@@ -322,11 +261,10 @@ class SyncTable:
     def expire_versions(self) -> None:
         """Delete what no commit in use names. Run it apart from loads, once readers moved on."""
         state = self.refresh()._state()
-        used = {x for v in state.loads.values() for x in (v.folder, v.ties_before, v.ties_after)}
+        used = {x and x.split("/")[0] for v in state.loads.values() for x in (v.folder, v.ties_before, v.ties_after)}
         for kind in ("data", "ties"):
             for folder in child_names(self.spark, f"{self.path}/{kind}"):
                 if folder not in used:
                     delete_folder(self.spark, f"{self.path}/{kind}/{folder}")
-        for name in child_names(self.spark, f"{self.path}/log"):
-            if int(name.removesuffix(".json")) < state.seq - (state.seq - 1) % SNAPSHOT_EVERY:
-                delete_folder(self.spark, f"{self.path}/log/{name}")
+        for path in self._log.old_files(state):
+            delete_folder(self.spark, path)

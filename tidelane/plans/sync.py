@@ -19,9 +19,10 @@ from pyspark.sql import types as T
 from tidelane.frames import small_frame
 from tidelane.functions.text import is_fatal_message
 from tidelane.operators import ledger as L
+from tidelane.operators.commits import ConcurrentWrite
 from tidelane.operators.monitor import CURSOR_MODES, SYNC_MODES
 from tidelane.operators.schema import TYPE_INCOMPATIBLE, IncompatibleSchema, apply_changes, changed_columns
-from tidelane.operators.table import ConcurrentWrite, SyncTable
+from tidelane.operators.table import SyncTable
 from tidelane.plans.modes import EXACTLY_ONCE, LoadResult, full_refresh, incremental_load
 from tidelane.sources.connectors import Source
 from tidelane.sources.files import child_names

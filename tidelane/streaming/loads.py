@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from tidelane.operators.dedup import latest_rows
+from tidelane.operators.latest import merge_latest
 from tidelane.operators.schema import apply_changes, local_changes
 from tidelane.operators.table import SyncTable
 
@@ -54,9 +55,32 @@ def drop_repeats(stream: DataFrame, keys: list[str], cursor: str, delay: str) ->
     return timed.dropDuplicatesWithinWatermark([*keys, cursor]).drop("_event_time")
 
 
+def stream_kept_latest(
+    stream: DataFrame, table: SyncTable, checkpoint: str, keys: list[str], cursor: str, ties: list[str], buckets: int = 64,
+    **trigger,
+) -> StreamingQuery:
+    """Keep a table at the latest version of every key, each micro-batch rewriting only the buckets of its keys.
+
+    The table holds nothing but latest rows; ``stream_latest_rows`` keeps all versions instead. A replayed batch changes nothing.
+    The default trigger takes in what arrived and stops; ``processingTime`` keeps it running.
+    """
+    if table.schema() is None:
+        table.create(stream.schema)
+    table.evolve(apply_changes(table.schema(), stream.schema, local_changes(table.schema(), stream.schema)))
+
+    def write(batch: DataFrame, batch_id: int) -> None:
+        merge_latest(batch, SyncTable(batch.sparkSession, table.path.rsplit("/", 1)[0], table.name), keys, cursor, ties, buckets)
+
+    how = trigger or {"availableNow": True}
+    return stream.writeStream.foreachBatch(write).option("checkpointLocation", checkpoint).trigger(**how).start()
+
+
 def stream_latest_rows(
     stream: DataFrame, table: SyncTable, checkpoint: str, name: str, keys: list[str], cursor: str, ties: list[str]
 ) -> DataFrame:
-    """Take in what arrived and give the latest version of every key over all that was ever appended."""
+    """Take in what arrived and give the latest version of every key over all that was ever appended.
+
+    All versions are kept, so this ranks the whole table; ``stream_kept_latest`` keeps the latest ones only.
+    """
     stream_append_only(stream, table, checkpoint, name).awaitTermination()
     return latest_rows(table.refresh().read(), keys, cursor, ties)
