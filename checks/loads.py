@@ -441,6 +441,19 @@ def batch_slices(spark, sf_dir):
     return modes.batch_slices(read(spark, sf_dir, "orders"), 100, ["o_orderpriority"])
 
 
+_LINE_ORDER = ("l_orderkey", "l_linenumber", "l_partkey", "l_suppkey", "l_shipdate")
+
+
+@register(f"""
+    SELECT l_returnflag, {', '.join(_LINE_ORDER)}, row_no, CAST(ceil(row_no / 500.0) AS BIGINT) AS batch_no FROM (
+        SELECT *, row_number() OVER (PARTITION BY l_returnflag ORDER BY {', '.join(_LINE_ORDER)}) AS row_no FROM lineitem)
+""")
+def numbered_batches(spark, sf_dir):
+    """The batch of every row; a group of a third of all rows is numbered by many tasks."""
+    lines = read(spark, sf_dir, "lineitem").select("l_returnflag", *_LINE_ORDER)
+    return modes.numbered_batches(lines, 500, ["l_returnflag"], list(_LINE_ORDER))
+
+
 @register("""
     SELECT * EXCLUDE (rn) FROM (
         SELECT *, row_number() OVER (PARTITION BY o_custkey ORDER BY o_orderdate DESC, o_orderkey DESC) AS rn FROM orders

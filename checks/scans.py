@@ -11,7 +11,7 @@ from checks.registry import pick, pick_sql, read, register
 from tidelane.functions import typemap
 from tidelane.functions.typemap import ARRAY_OIDS, DESTINATION_TYPES, SCALAR_OIDS, TYPE_NAMES
 from tidelane.sources import scan
-from tidelane.sources.connectors import FileSource
+from tidelane.sources.connectors import FileSource, split_conditions
 from tidelane.sources.describe import describe_schema as describe
 from tidelane.sources.describe import list_tables as base_tables
 from tidelane.types import CANONICAL_TYPES
@@ -33,6 +33,24 @@ def incremental_scan(spark, sf_dir):
     return scan.incremental_scan(read(spark, sf_dir, "events"), "ts", HALF_WAY)
 
 
+@register("""
+    SELECT split, n, n <= 2 * avg(n) OVER () AS even FROM (
+        SELECT 'l_shipdate' AS split, count(*) AS n FROM lineitem UNION ALL SELECT 'l_partkey', count(*) FROM lineitem)
+""")
+def split_scan(spark, sf_dir):
+    """A table read by conditions that quantiles gave: each row by one of them, in ranges of even size."""
+    lines = read(spark, sf_dir, "lineitem")
+    out = []
+    for column in ("l_shipdate", "l_partkey"):
+        conditions = split_conditions(lines, column, 16)
+        ranges = F.array(*(F.when(F.expr(c), F.lit(i)) for i, c in enumerate(conditions)))
+        met = lines.select(F.array_compact(ranges).alias("ranges"))
+        # A row that meets no condition, or two, is counted in none.
+        counted = met.where(F.size("ranges") == 1).groupBy("ranges").agg(F.count(F.lit(1)).alias("n"))
+        out.append(counted.agg(F.sum("n").alias("n"), (F.max("n") <= 2 * F.avg("n")).alias("even")).withColumn("split", F.lit(column)))
+    return out[0].unionByName(out[1])
+
+
 @register("SELECT * FROM events WHERE ts > TIMESTAMP '2024-01-14 12:00:00'")
 def lookback_scan(spark, sf_dir):
     return scan.incremental_scan(read(spark, sf_dir, "events"), "ts", HALF_WAY, dt.timedelta(hours=36))

@@ -1,10 +1,14 @@
 import datetime as dt
+import random
+import threading
+import time
 from concurrent.futures import ThreadPoolExecutor
 
 import pytest
 
 from tidelane.operators import ledger as L
 from tidelane.session import new_folder
+from tidelane.sources.files import child_names
 
 T0 = dt.datetime(2025, 4, 20, 10)
 
@@ -112,3 +116,84 @@ def test_fresh_ledger_needs_confirmation_and_keeps_a_backup(spark):
     fresh = L.repair_ledger(spark, f"{root}/l", f"{root}/second", confirm_fresh=True)
     assert L.read_ledger(spark, fresh.ledger).count() == 0
     assert [r["value"] for r in spark.read.text(fresh.quarantine).collect()] == ["not json at all {{{"]
+
+
+FOLDS = (L.safe_cursor, L.needs_resume, L.consecutive_failures, L.ledger_state)
+
+
+def random_events(spark, n, seed):
+    rng = random.Random(seed)
+    rows = [
+        {"connection": rng.choice(["p", "q"]), "table_name": f"t{rng.randrange(6)}", "run_id": f"r{rng.randrange(9)}", "event": rng.choice([L.STARTED, L.COMPLETED, L.FAILED, L.FAILED]),
+         "at": T0 + dt.timedelta(seconds=rng.randrange(40)), "cursor_old": str(i), "cursor_new": f"c{i}", "cursor_type": "string", "rows": i}
+        for i in range(n)
+    ]
+    # Events are told apart by time, run and kind; two of one order would leave the cursor open.
+    return list({(r["connection"], r["table_name"], r["at"], r["run_id"], r["event"] == L.STARTED): r for r in rows}.values())
+
+
+def test_folds_of_a_snapshot_and_later_events_are_those_of_all_events_in_any_order(spark):
+    root = new_folder(spark, "ledger")
+    rows = random_events(spark, 400, 1)  # dealt without regard to time: most are late
+    for i in range(8):
+        L.append_lines(spark, root, rows[i::8])
+        if i in (1, 2, 5):
+            assert L.snapshot_ledger(spark, root)
+    every, recent = L.read_ledger(spark, root), L.read_recent(spark, root)
+    assert every.count() == len(rows) > recent.count()
+    for fold in FOLDS:
+        assert sorted(map(str, fold(every).collect())) == sorted(map(str, fold(recent).collect())), fold.__name__
+
+
+def test_folded_files_are_not_read_again_and_compaction_keeps_it_so(spark):
+    root = new_folder(spark, "ledger")
+    for i in range(5):
+        L.ledger_append(root, events(spark, (L.STARTED, i, None), (L.COMPLETED, i, f"c{i}")))
+    assert L.snapshot_ledger(spark, root) and L.unfolded(spark, root) == []
+    assert L.read_recent(spark, root).count() == 2
+    L.append_lines(spark, root, [events(spark, (L.FAILED, 9, None)).head().asDict()])
+    read = L.read_recent(spark, root).inputFiles()
+    assert len(read) == 2 and len(L.unfolded(spark, root)) == 1
+    want = L.ledger_state(L.read_ledger(spark, root)).collect()
+    L.compact_in_place(spark, root)
+    assert L.unfolded(spark, root) == [] and len(child_names(spark, root)) == 1
+    assert L.ledger_state(L.read_recent(spark, root)).collect() == want
+
+
+def test_of_two_snapshots_at_once_one_counts(spark, monkeypatch):
+    root = new_folder(spark, "ledger")
+    L.ledger_append(root, events(spark, (L.STARTED, 1, None), (L.COMPLETED, 1, "c1")))
+    publish = L._publish_snapshot
+
+    def late(*args):
+        monkeypatch.setattr(L, "_publish_snapshot", publish)
+        assert L.snapshot_ledger(spark, root)
+        return publish(*args)
+
+    monkeypatch.setattr(L, "_publish_snapshot", late)
+    assert not L.snapshot_ledger(spark, root)
+    assert L.safe_cursor(L.read_recent(spark, root)).head()["cursor_value"] == "c1"
+    assert not L.snapshot_ledger(spark, new_folder(spark, "none")) and L.read_recent(spark, new_folder(spark, "none")).count() == 0
+
+
+def test_events_that_come_while_a_file_is_written_share_the_next(spark, monkeypatch):
+    path, files = new_folder(spark, "ledger"), []
+    busy = threading.Event()
+
+    def slow(spark, folder, rows):
+        files.append(len(rows))
+        busy.set()
+        time.sleep(0.3)
+
+    monkeypatch.setattr(L, "append_lines", slow)
+    writer = L.LedgerWriter(spark, path, linger=30)
+    with ThreadPoolExecutor(20) as pool:
+        first = writer.write({"event": "x"})
+        pool.submit(writer.flush)
+        busy.wait()
+        rest = [writer.write({"event": "x"}) for _ in range(19)]
+        assert not rest[0].done()
+        list(pool.map(lambda f: (writer.flush(), f.result(5)), rest))
+    assert first.done() and files == [1, 19]
+    lone = L.LedgerWriter(spark, path, linger=0.05).write({"event": "x"})
+    lone.result(5)  # nobody flushes: it is written after its wait

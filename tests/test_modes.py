@@ -251,3 +251,34 @@ def test_tie_filters_reach_the_scan(spark):
     plan = tie_safe_scan(orders, "o_orderdate", dt.datetime(1995, 6, 17), seen, ["o_orderdate", "o_orderkey"])
     text = plan._jdf.queryExecution().executedPlan().toString()
     assert "EqualTo(o_orderdate,1995-06-17T00:00)" in text and "GreaterThan(o_orderdate,1995-06-17T00:00)" in text
+
+
+def test_row_numbers_of_hot_null_tied_and_repeated_rows(spark):
+    rows = spark.sql("""
+        SELECT IF(id % 3 = 0, NULL, IF(id % 3 = 1, 'hot', concat('k', id % 40))) AS k, IF(id % 5 = 0, NULL, id % 17) AS o, id % 100 AS v FROM range(3000)
+    """)
+    found = modes.numbered_batches(rows, 100, ["k"], ["o"], 16).collect()
+    assert sorted(map(str, ((r.k, r.o, r.v) for r in found))) == sorted(map(str, map(tuple, rows.collect())))
+    groups = {}
+    for r in found:
+        groups.setdefault(r.k, []).append(r)
+        assert r.batch_no == (r.row_no - 1) // 100 + 1
+    for own in groups.values():
+        own.sort(key=lambda r: r.row_no)
+        assert [r.row_no for r in own] == list(range(1, len(own) + 1))
+        order = [(r.o is not None, r.o or 0) for r in own]
+        assert order == sorted(order)
+    assert modes.numbered_batches(rows.limit(0), 100, ["k"], ["o"]).count() == 0
+
+
+def test_a_hot_group_is_numbered_by_many_tasks(spark):
+    rows = spark.range(0, 20_000, 1, 8).selectExpr("IF(id % 10 < 9, 'hot', 'cold') AS k", "id AS o")
+    staged = []
+    real = modes.new_folder
+    modes.new_folder = lambda *args: staged.append(real(*args)) or staged[-1]
+    try:
+        assert modes.numbered_batches(rows, 500, ["k"], ["o"], 10).where("k = 'hot'").agg(F.max("row_no")).head()[0] == 18_000
+    finally:
+        modes.new_folder = real
+    sizes = [r["count"] for r in spark.read.parquet(staged[0]).where("k = 'hot'").groupBy("_range").count().collect()]
+    assert len(sizes) >= 8 and max(sizes) < 2 * 2000

@@ -1,12 +1,13 @@
 import json
 
 import pytest
+from pyspark.sql import DataFrameReader
 from pyspark.sql import functions as F
 
 from tidelane import session
 from tidelane.operators import jsonl
 from tidelane.operators.schema import changed_columns
-from tidelane.sources.connectors import CatalogSource, FileSource, JdbcSource, Split, with_source_types
+from tidelane.sources.connectors import CatalogSource, FileSource, JdbcSource, Split, split_conditions, with_source_types
 from tidelane.types import canonical
 
 
@@ -89,7 +90,7 @@ def test_json_columns_of_a_database_are_told_from_strings(spark):
 
 def test_names_in_catalog_queries_are_quoted(spark):
     options = JdbcSource(spark, "jdbc:postgresql://host/db", schema="a'b").type_options("o'c")
-    assert "n.nspname = 'a''b' AND c.relname = 'o''c'" in options["dbtable"]
+    assert """to_regclass('"a''b"."o''c"')""" in options["dbtable"]
 
 
 @pytest.mark.parametrize("inside", ["plain/t", "with space", "a+b%20c/t"])
@@ -99,3 +100,35 @@ def test_summary_names_the_folder_below_the_root(spark, inside):
         jsonl.append_jsonl(spark.range(rows), f"{root}/{table}", "l_1")
     found = {(r["table_name"], r["rows"]) for r in jsonl.table_summary(spark, root).collect()}
     assert found == {("t", 3), ("two words", 2), ("c+d", 1)}
+
+
+@pytest.mark.parametrize("sql", [
+    "id", "IF(id % 3 = 0, 7, id)", "IF(id % 10 = 0, NULL, id)", "DATE '2024-01-01' + CAST(id % 50 AS INT)", "id / 7",
+    "TIMESTAMP_NTZ '2024-01-01 00:00:00.000001' + make_interval(0, 0, 0, 0, id)", "7", "CAST(NULL AS INT)", "IF(id % 4 = 0, double('NaN'), id / 3)",
+])
+def test_split_conditions_meet_every_row_once_in_even_ranges(spark, sql):
+    rows = spark.sql(f"SELECT id, {sql} AS c FROM range(2000)")
+    conditions = split_conditions(rows, "c", 8)
+    met = rows.select(*(F.expr(c).eqNullSafe(F.lit(True)).cast("int").alias(f"r{i}") for i, c in enumerate(conditions)))
+    assert met.where(sum(F.col(c) for c in met.columns) != 1).count() == 0
+    sizes = sorted((met.where(F.col(c) == 1).count() for c in met.columns), reverse=True)
+    most = rows.groupBy("c").count().agg(F.max("count")).head()[0]
+    assert len(conditions) <= 18 and (sizes[0] <= max(2 * 2000 / 8, most) or "NaN" in sql)
+
+
+def test_split_conditions_of_an_older_copy_still_cover_everything(spark):
+    conditions = split_conditions(spark.range(100), "id", 4)
+    later = spark.range(-50, 500)
+    assert sum(later.where(c).count() for c in conditions) == 550
+    assert split_conditions(spark.range(0), "id", 4) == ["id IS NOT NULL", "id IS NULL"] == split_conditions(spark.range(9), "id", 1)
+
+
+def test_conditions_are_handed_to_the_jdbc_reader(spark, monkeypatch):
+    seen = {}
+    monkeypatch.setattr(DataFrameReader, "jdbc", lambda self, url, table, **more: seen.update(more, url=url, table=table))
+    source = JdbcSource(spark, "jdbc:postgresql://host/db", {"user": "u"}, splits={"orders": ["id < 5", "id >= 5", "id IS NULL"]})
+    source.read("orders")
+    assert seen == {
+        "url": "jdbc:postgresql://host/db", "table": '"public"."orders"', "predicates": ["id < 5", "id >= 5", "id IS NULL"],
+        "properties": {"user": "u", "fetchsize": "10000"},
+    }

@@ -65,15 +65,15 @@ def test_incremental_runs_advance_and_repeat_nothing(spark, setup):
 
 def test_crash_between_write_and_ledger_repeats_no_row(spark, setup, monkeypatch):
     setup.run(ID, Tables(t=spark.range(5)))
-    real = L.ledger_append
+    real = L.append_lines
 
-    def dies(path, events):
-        if "completed" in {r["event"] for r in events.collect()}:
+    def dies(spark, path, events):
+        if "completed" in {r["event"] for r in events}:
             raise KeyboardInterrupt
-        real(path, events)
+        real(spark, path, events)
 
     with monkeypatch.context() as patched:
-        patched.setattr(L, "ledger_append", dies)
+        patched.setattr(L, "append_lines", dies)
         with pytest.raises(KeyboardInterrupt):
             setup.run(ID, Tables(t=spark.range(9)))
     assert L.needs_resume(L.read_ledger(spark, setup.ledger)).head()["needs_resume"] is True
@@ -263,15 +263,15 @@ def test_a_retry_reads_the_source_anew(spark):
 
 
 def test_a_failing_ledger_write_keeps_the_results(spark, monkeypatch):
-    append, calls = L.ledger_append, []
+    append, calls = L.append_lines, []
 
-    def fail_at_ends(folder, events):
+    def fail_at_ends(spark, folder, events):
         calls.append(1)
         if len(calls) > 1:
             raise OSError("disk full")
-        append(folder, events)
+        append(spark, folder, events)
 
-    monkeypatch.setattr(L, "ledger_append", fail_at_ends)
+    monkeypatch.setattr(L, "append_lines", fail_at_ends)
     (result,) = _sync(spark, _Flaky(spark), None)
     assert not result.success and "disk full" in result.error
 
@@ -339,3 +339,28 @@ def test_a_long_ledger_is_compacted_before_a_run(spark, setup):
     assert len(child_names(spark, setup.ledger)) == 3  # the compacted events, one start and one end
     assert before < {tuple(r) for r in L.read_ledger(spark, setup.ledger).collect()}
     assert sorted(r["id"] for r in setup.rows("t").collect()) == list(range(7))
+
+
+def test_a_run_over_many_tables_leaves_few_ledger_files(spark, setup):
+    plan = [TablePlan(f"t{i}", "full_refresh") for i in range(100)]
+
+    class Same:
+        def read(self, name):
+            if name == "t7":
+                raise ValueError("no such table")
+            return spark.range(1)
+
+    results = setup.run(plan, Same())
+    assert sum(r.success for r in results) == 99
+    assert L.read_ledger(spark, setup.ledger).count() == 199  # a table that cannot be opened has not begun
+    assert len(child_names(spark, setup.ledger)) < 125
+
+
+def test_a_run_over_a_long_ledger_takes_a_snapshot_and_reads_no_old_file(spark, setup):
+    for upto in (2, 4, 6):
+        setup.run(ID, Tables(t=spark.range(upto)))
+    setup.run(ID, Tables(t=spark.range(7)), snapshot_ledger_above=4)
+    assert len(L.unfolded(spark, setup.ledger)) == 2
+    assert len(L.read_recent(spark, setup.ledger).inputFiles()) == 3
+    setup.run(ID, Tables(t=spark.range(9)))
+    assert sorted(r["id"] for r in setup.rows("t").collect()) == list(range(9))

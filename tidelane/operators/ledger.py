@@ -6,8 +6,12 @@ long history costs no more memory than another.
 
 from __future__ import annotations
 
+import datetime as dt
+import json
+import threading
 import uuid
 from collections.abc import Iterable
+from concurrent.futures import Future
 from typing import NamedTuple
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -15,7 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelane.frames import JSON_TIMES, empty_frame, small_frame
-from tidelane.sources.files import child_names, delete_folder, path_exists, replace_folder
+from tidelane.sources.files import child_names, create_file, delete_folder, path_exists, read_text, replace_folder
 
 STARTED, COMPLETED, FAILED = "started", "completed", "failed"
 KEYS = ["connection", "table_name"]
@@ -46,6 +50,56 @@ def ledger_append(ledger: str, events: DataFrame) -> None:
     ordered.write.options(**JSON_TIMES).option("ignoreNullFields", "false").json(f"{ledger}/{uuid.uuid4().hex}")
 
 
+def append_lines(spark: SparkSession, ledger: str, events: list[dict]) -> None:
+    """Add a few events of the running driver as one file, without a Spark job."""
+    lines = []
+    for event in events:
+        row = {name: event.get(name) for name in LEDGER.names}
+        lines.append({k: v.isoformat(timespec="microseconds") if isinstance(v, dt.datetime) else v for k, v in row.items()})
+    create_file(spark, f"{ledger}/{uuid.uuid4().hex}.json", "".join(json.dumps(x) + "\n" for x in lines))
+
+
+class LedgerWriter:
+    """Collects the events of a run's tables, so that a file holds all that came since the last one was written.
+
+    An event counts once its future is done. It waits for ``linger`` seconds at most, or for someone else's ``flush``.
+    """
+
+    def __init__(self, spark: SparkSession, ledger: str, linger: float = 1.0):
+        self._spark, self._ledger, self._linger = spark, ledger, linger
+        self._pending: list[tuple[dict, Future]] = []
+        self._timer: threading.Timer | None = None
+        self._state, self._writing = threading.Lock(), threading.Lock()
+
+    def write(self, event: dict) -> Future:
+        done: Future = Future()
+        with self._state:
+            self._pending.append((event, done))
+            if self._timer is None:
+                self._timer = threading.Timer(self._linger, self.flush)
+                self._timer.daemon = True
+                self._timer.start()
+        return done
+
+    def flush(self) -> None:
+        with self._writing:  # what comes meanwhile goes into the next file
+            with self._state:
+                taken, self._pending = self._pending, []
+                if self._timer is not None:
+                    self._timer.cancel()
+                    self._timer = None
+            if not taken:
+                return
+            try:
+                append_lines(self._spark, self._ledger, [event for event, _ in taken])
+            except BaseException as error:
+                for _, done in taken:
+                    done.set_exception(error)
+            else:
+                for _, done in taken:
+                    done.set_result(None)
+
+
 def event_rows(spark: SparkSession, events: Iterable[dict]) -> DataFrame:
     """A few events of the running driver as a one-file DataFrame."""
     return small_frame(spark, events, LEDGER)
@@ -59,6 +113,73 @@ def read_ledger(spark: SparkSession, ledger: str) -> DataFrame:
     return spark.read.schema(LEDGER).options(**options).json(ledger)
 
 
+def _read(spark: SparkSession, paths: list[str]) -> DataFrame:
+    return spark.read.schema(LEDGER).options(**JSON_TIMES, recursiveFileLookup="true", mode="FAILFAST").json(paths)
+
+
+class _Snapshot(NamedTuple):
+    number: int
+    events: str  # the folder of the events that still matter
+    folded: list[str]  # what they were taken from
+
+
+def _last_snapshot(spark: SparkSession, ledger: str) -> _Snapshot | None:
+    markers = [n for n in child_names(spark, f"{ledger}/_snapshots") if n.endswith(".json")]
+    if not markers:
+        return None
+    row = json.loads(read_text(spark, f"{ledger}/_snapshots/{markers[-1]}"))
+    return _Snapshot(int(markers[-1].removesuffix(".json")), row["events"], row["folded"])
+
+
+def unfolded(spark: SparkSession, ledger: str) -> list[str]:
+    """Names of the event files and folders that the last snapshot does not cover."""
+    last = _last_snapshot(spark, ledger)
+    return sorted(set(child_names(spark, ledger)) - set(last.folded if last else ()))
+
+
+def read_recent(spark: SparkSession, ledger: str) -> DataFrame:
+    """Events that give every fold the same result as all events do: the last snapshot's, and those it does not cover.
+
+    Which those are is told by name, not by time, so late events count as if they had come in time. Old files are not read.
+    """
+    last = _last_snapshot(spark, ledger)
+    paths = [f"{ledger}/{n}" for n in unfolded(spark, ledger)]
+    if last is not None:
+        paths.append(f"{ledger}/_snapshots/{last.events}")
+    # A run that died while merging may have left events twice.
+    return _read(spark, paths).distinct() if paths else empty_frame(spark, LEDGER)
+
+
+def _publish_snapshot(spark: SparkSession, ledger: str, number: int, events: str, folded: list[str]) -> bool:
+    text = json.dumps({"events": events, "folded": folded})
+    return create_file(spark, f"{ledger}/_snapshots/{number:012}.json", text)
+
+
+def snapshot_ledger(spark: SparkSession, ledger: str) -> bool:
+    """Note which events still matter, so that later runs read those and newer ones only.
+
+    Other runs may add events meanwhile: they are not covered yet. Of two snapshots at once one counts; the result tells.
+    """
+    last, names = _last_snapshot(spark, ledger), child_names(spark, ledger)
+    if not names:
+        return False
+    folder = uuid.uuid4().hex
+    covered = sorted(set(names) | set(last.folded if last else ()))
+    paths = [f"{ledger}/{n}" for n in names if last is None or n not in set(last.folded)]
+    if last is not None:
+        paths.append(f"{ledger}/_snapshots/{last.events}")
+    kept = resume_events(_read(spark, paths).distinct()).hint("rebalance")
+    kept.write.options(**JSON_TIMES).option("ignoreNullFields", "false").json(f"{ledger}/_snapshots/{folder}")
+    if not _publish_snapshot(spark, ledger, last.number + 1 if last else 1, folder, covered):
+        delete_folder(spark, f"{ledger}/_snapshots/{folder}")
+        return False
+    if last is not None:  # readers that began with it may still finish; the one before it is gone by now
+        for name in child_names(spark, f"{ledger}/_snapshots"):
+            if name not in (folder, last.events) and (not name.endswith(".json") or int(name.removesuffix(".json")) < last.number):
+                delete_folder(spark, f"{ledger}/_snapshots/{name}")
+    return True
+
+
 def is_valid_event(line: Column) -> Column:
     """Whether a ledger line is JSON of the ledger's columns and names a table and an event."""
     schema = T.StructType([*LEDGER.fields, T.StructField(_CORRUPT, T.StringType())])
@@ -104,7 +225,11 @@ def compact_in_place(spark: SparkSession, ledger: str) -> None:
     events = read_ledger(spark, ledger).distinct()
     aside = f"{ledger}/_compacted-{uuid.uuid4().hex}"
     events.write.options(**JSON_TIMES).option("ignoreNullFields", "false").json(aside)
-    replace_folder(spark, aside, f"{ledger}/{uuid.uuid4().hex}")
+    merged = uuid.uuid4().hex
+    snapshot = snapshot_ledger(spark, ledger) and _last_snapshot(spark, ledger) if _last_snapshot(spark, ledger) else None
+    replace_folder(spark, aside, f"{ledger}/{merged}")
+    if snapshot:  # it covers the same events under their new name
+        _publish_snapshot(spark, ledger, snapshot.number + 1, snapshot.events, [merged])
     for name in before:
         delete_folder(spark, f"{ledger}/{name}")
 
@@ -162,6 +287,29 @@ def _with_failures(folded: DataFrame, ledger: DataFrame, salts: int) -> DataFram
     )
 
 
+def resume_events(ledger: DataFrame, salts: int = 16) -> DataFrame:
+    """The events that still matter to every fold: each table's last start and last end, and the failures after it.
+
+    Taking them of two ledgers apart, and then of both results together, gives what taking them of all events gives. So
+    a ledger can be folded piece by piece, in any order, late events included.
+    """
+    whole = F.struct(event_order().alias("o"), F.struct(*LEDGER.names).alias("e"))
+    newest = {e: F.max(F.when(F.col("event") == e, whole)).alias(e) for e in (STARTED, COMPLETED)}
+    folded = ledger.groupBy(KEYS).agg(*newest.values())
+    ends = F.array_compact(F.array(F.col(f"{STARTED}.e"), F.col(f"{COMPLETED}.e")))
+    spread = folded.select(
+        *(F.col(k).alias(f"folded_{k}") for k in KEYS), F.col(f"{COMPLETED}.o").alias("completed_order"),
+        F.explode(F.array(*map(F.lit, range(salts)))).alias("folded_salt"),
+    )
+    failed = ledger.where(F.col("event") == FAILED).withColumn("salt", F.pmod(F.xxhash64("at", "run_id"), F.lit(salts)).cast("int"))
+    same = F.col("salt") == F.col("folded_salt")
+    for k in KEYS:
+        same &= F.col(k).eqNullSafe(F.col(f"folded_{k}"))
+    later = F.col("completed_order").isNull() | (event_order() > F.col("completed_order"))
+    failures = failed.join(spread.hint("shuffle_hash"), same).where(later).select(LEDGER.names)
+    return folded.select(F.inline(ends)).unionAll(failures)
+
+
 def consecutive_failures(ledger: DataFrame, salts: int = 16) -> DataFrame:
     """Failures since each table's last completed run."""
     folded = ledger.groupBy(KEYS).agg(_last(COMPLETED).alias("completed_order"))

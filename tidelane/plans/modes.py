@@ -6,11 +6,12 @@ import uuid
 from dataclasses import dataclass, field
 from typing import Any
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidelane.operators.schema import align_batch
 from tidelane.operators.table import SyncTable, largest
+from tidelane.session import new_folder
 from tidelane.sources.scan import Cursor, encode_cursor, full_scan, incremental_scan, tie_safe_scan
 
 EXACTLY_ONCE = "exactly_once"
@@ -126,7 +127,7 @@ def batch_count(rows: Column, batch_size: int) -> Column:
 def batch_slices(df: DataFrame, batch_size: int, by: list[str]) -> DataFrame:
     """The batches each group is loaded in, as ``(batch_no, batch_rows)``.
 
-    Only counts are needed: all batches but the last are full. While writing, ``records_per_file``
+    Only counts are needed: all batches but the last are full; ``numbered_batches`` gives the batch of every row. While writing, ``records_per_file``
     cuts the files in the same way.
     """
     counted = df.groupBy(*by).agg(F.count(F.lit(1)).alias("n"))
@@ -144,3 +145,34 @@ def batch_slices(df: DataFrame, batch_size: int, by: list[str]) -> DataFrame:
         .withColumn("batch_rows", F.least(F.lit(batch_size), F.col("n") - (F.col("batch_no") - 1) * batch_size))
         .drop("n", "_block")
     )
+
+
+def numbered_batches(df: DataFrame, batch_size: int, by: list[str], order: list[str], partitions: int | None = None) -> DataFrame:
+    """Every row with its ``row_no`` in its group, in the given order, and the ``batch_no`` of at most ``batch_size`` rows it falls in.
+
+    Numbers come in two passes. Rows are dealt to ranges of (group, order) and written to the shared folder, so both passes see the
+    same ranges; each range's rows of a group are counted, and numbered from where the ranges before it end. So a group of
+    any size is spread over as many tasks as it fills ranges. Rows of equal order are told apart by their other columns; equal
+    rows stay in one range, so a table that repeats one row very often should be numbered without the repeats. Null groups and
+    null orders count like others, nulls first. The written rows stay in the shared folder until it is cleared.
+    """
+    spark = df.sparkSession
+    parts = partitions or int(spark.conf.get("spark.sql.shuffle.partitions"))
+    ranged = df.withColumn("_mix", F.xxhash64(*df.columns)).repartitionByRange(parts, *by, *order, "_mix")
+    path = new_folder(spark, "numbered")
+    ranged.withColumn("_range", F.spark_partition_id()).write.parquet(path)
+    rows = spark.read.parquet(path)
+    counts = rows.groupBy("_range", *by).agg(F.count(F.lit(1)).alias("_n"))
+    # A row for each range and group: a group in this window has one for each range it fills.
+    before = Window.partitionBy(*by).orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = counts.select(
+        F.col("_range").alias("_of"), *(F.col(c).alias(f"_by{i}") for i, c in enumerate(by)),
+        F.coalesce(F.sum("_n").over(before), F.lit(0)).alias("_before"),
+    )
+    within = Window.partitionBy("_range", *by).orderBy(*order, "_mix")
+    same = F.col("_range") == F.col("_of")
+    for i, c in enumerate(by):
+        same &= F.col(c).eqNullSafe(F.col(f"_by{i}"))
+    number = F.col("_before") + F.row_number().over(within)
+    numbered = rows.join(offsets, same).withColumn("row_no", number.cast("bigint"))
+    return numbered.select(*df.columns, "row_no", batch_count(F.col("row_no"), batch_size).alias("batch_no"))

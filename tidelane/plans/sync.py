@@ -7,8 +7,8 @@ import threading
 import time
 import uuid
 from collections.abc import Callable, Iterable
-from concurrent.futures import ThreadPoolExecutor
-from dataclasses import dataclass, fields
+from concurrent.futures import Future, ThreadPoolExecutor
+from dataclasses import dataclass, fields, replace
 from typing import Any
 
 from pyspark import inheritable_thread_target
@@ -169,14 +169,15 @@ def sync_tables(
     spark: SparkSession, plan: Iterable[TablePlan] | DataFrame, source: Source, destination: str, ledger: str,
     connection: str, *, run_id: str | None = None, clock: Callable[[], dt.datetime] = utc_now,
     parallel_tables: int = 8, attempts: int = DEFAULT_ATTEMPTS, wait: Callable = time.sleep,
-    delivery: str = EXACTLY_ONCE, records_per_file: int = 0, compact_ledger_above: int = 0,
+    delivery: str = EXACTLY_ONCE, records_per_file: int = 0, compact_ledger_above: int = 0, snapshot_ledger_above: int = 500,
 ) -> list[TableResult]:
     """Sync every planned table and return one result for each; a failure stays with its table.
 
     Each table is opened, compared, loaded and recorded by one worker, under one deadline. Starts are
     recorded before rows are read, ends only after the write is done, so after a crash the next run begins at the
     last completed cursor. Only the plan, schemas and one-row counts pass through the driver. A ledger of more than
-    ``compact_ledger_above`` event folders (0: never) is compacted first; no other run may use it then.
+    ``compact_ledger_above`` event files (0: never) is compacted first; no other run may use it then. With more than
+    ``snapshot_ledger_above`` files since its last snapshot, a new one is taken first; other runs may go on.
     """
     if isinstance(plan, DataFrame):
         own = [f.name for f in fields(TablePlan) if f.name in plan.columns]
@@ -186,7 +187,9 @@ def sync_tables(
     run = _Run(spark, source, destination, ledger, connection, run_id or uuid.uuid4().hex, clock,
                attempts, wait, delivery, records_per_file)
     if compact_ledger_above and len(child_names(spark, ledger)) > compact_ledger_above:
-        run.compact()
+        run.keep_up(L.compact_in_place)
+    if snapshot_ledger_above and len(L.unfolded(spark, ledger)) > snapshot_ledger_above:
+        run.keep_up(L.snapshot_ledger)
     run.read_cursors(plan)
     taken: set[str] = set()
     tasks = []
@@ -197,7 +200,8 @@ def sync_tables(
     with ThreadPoolExecutor(parallel_tables) as pool:
         # Wrapped once for each table: threads of one wrapper share their job tags, and a deadline would end them all.
         running = [pool.submit(inheritable_thread_target(spark)(run.sync), task) for task in tasks]
-        return [r.result() for r in running]
+    run.events.flush()
+    return [run.recorded(*r.result()) for r in running]
 
 
 def results_frame(spark: SparkSession, run_id: str, results: Iterable[TableResult]) -> DataFrame:
@@ -224,10 +228,11 @@ class _Run:
         self.records_per_file = records_per_file
         self.cursors: dict[str, Cursor] = {}
         self.unreadable: str | None = None
+        self.events = L.LedgerWriter(spark, ledger)
 
-    def compact(self) -> None:
+    def keep_up(self, step: Callable) -> None:
         try:
-            L.compact_in_place(self.spark, self.ledger)
+            step(self.spark, self.ledger)
         except Exception:
             pass  # an upkeep step; a ledger that cannot be read is reported for each table below
 
@@ -236,7 +241,7 @@ class _Run:
         names = T.StructType([T.StructField("table_name", T.StringType())])
         planned = small_frame(self.spark, [{"table_name": p.name} for p in plan], names)
         try:
-            events = L.read_ledger(self.spark, self.ledger).where(F.col("connection") == self.connection)
+            events = L.read_recent(self.spark, self.ledger).where(F.col("connection") == self.connection)
             state = L.safe_cursor(events.join(planned, "table_name", "left_semi"))
             self.cursors = {
                 r["table_name"]: Cursor(r["cursor_value"], r["cursor_type"])
@@ -245,7 +250,17 @@ class _Run:
         except Exception as error:
             self.unreadable = f"the ledger cannot be read: {error}"
 
-    def sync(self, p: _Prepared) -> TableResult:
+    def recorded(self, result: TableResult, written: Future | None) -> TableResult:
+        """A result as it stands once its last event is in the ledger, or is known not to be."""
+        try:
+            if written is not None:
+                written.result()
+            return result
+        except Exception as error:  # the other tables' results must not be lost with it
+            told = f"the ledger could not be written: {error}"
+            return replace(result, success=False, rows=0, error=told if result.error is None else f"{result.error}; and {told}")
+
+    def sync(self, p: _Prepared) -> tuple[TableResult, Future | None]:
         # Under fair scheduling each table has a pool of its own, so a large one does not starve the rest.
         self.spark.sparkContext.setLocalProperty("spark.scheduler.pool", p.plan.destination)
         self.spark.sparkContext.setJobDescription(f"sync {p.plan.name}")
@@ -258,7 +273,9 @@ class _Run:
                     deadline.open(lambda: self._open(p))
                 except TableTimeout as error:
                     late = error  # begun all the same
-                L.ledger_append(self.ledger, L.event_rows(self.spark, [self._event(p, L.STARTED)]))
+                begun = self.events.write(self._event(p, L.STARTED))
+                self.events.flush()
+                begun.result()
                 if late is not None:
                     raise late
                 deadline.run(lambda: self._fit_schema(p))
@@ -266,17 +283,13 @@ class _Run:
             took = int((time.monotonic() - started) * 1_000_000)
             new = done.cursor or p.cursor or Cursor(None, None)
             event = self._event(p, L.COMPLETED, rows=done.rows, duration_us=took, cursor_new=new.value)
-            L.ledger_append(self.ledger, L.event_rows(self.spark, [event | {"cursor_type": new.type}]))
-            return TableResult(p.plan.name, True, done.rows, took, None, p.changes)
+            written = self.events.write(event | {"cursor_type": new.type})
+            return TableResult(p.plan.name, True, done.rows, took, None, p.changes), written
         except Exception as error:
-            took, told = int((time.monotonic() - started) * 1_000_000), str(error)
+            took, told, written = int((time.monotonic() - started) * 1_000_000), str(error), None
             if self.unreadable is None:
-                try:
-                    event = self._event(p, L.FAILED, duration_us=took, error=told)
-                    L.ledger_append(self.ledger, L.event_rows(self.spark, [event]))
-                except Exception as unwritten:  # the other tables' results must not be lost with it
-                    told += f"; and the ledger could not be written: {unwritten}"
-            return TableResult(p.plan.name, False, 0, took, told, p.changes)
+                written = self.events.write(self._event(p, L.FAILED, duration_us=took, error=told))
+            return TableResult(p.plan.name, False, 0, took, told, p.changes), written
 
     def _check_plan(self, p: _Prepared) -> None:
         if p.error or self.unreadable:

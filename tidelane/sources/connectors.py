@@ -6,7 +6,9 @@ as a wrapper around a Python data source, works as well.
 
 from __future__ import annotations
 
-from collections.abc import Mapping
+import datetime as dt
+from collections import Counter
+from collections.abc import Mapping, Sequence
 from dataclasses import dataclass, field
 from typing import Protocol
 
@@ -73,7 +75,8 @@ class JdbcSource:
     """Tables of one schema of a relational database.
 
     Cursor filters and column choices are pushed into the database. A table named in ``splits`` is
-    read over several connections at once; others take one. With ``typed``, which is for PostgreSQL, columns keep the
+    read over several connections at once, by even steps (``Split``) or by the conditions that ``split_conditions`` takes
+    from rows at hand; others take one. With ``typed``, which is for PostgreSQL, columns keep the
     canonical types of the database's own catalog; Spark's reader alone gives JSON columns as plain strings.
     """
 
@@ -82,7 +85,7 @@ class JdbcSource:
     properties: Mapping[str, str] = field(default_factory=dict)
     schema: str = "public"
     fetch_size: int = 10_000
-    splits: Mapping[str, Split] = field(default_factory=dict)
+    splits: Mapping[str, Split | Sequence[str]] = field(default_factory=dict)
     typed: bool = False
 
     def catalog_options(self) -> dict[str, str]:
@@ -99,7 +102,8 @@ class JdbcSource:
             **self.properties, "url": self.url, "dbtable": f'"{schema}"."{table}"',
             "fetchsize": str(self.fetch_size),
         }
-        if split := self.splits.get(name):
+        split = self.splits.get(name)
+        if isinstance(split, Split):
             options |= {
                 "partitionColumn": split.column, "lowerBound": split.lower,
                 "upperBound": split.upper, "numPartitions": str(split.partitions),
@@ -107,11 +111,10 @@ class JdbcSource:
         return options
 
     def type_options(self, name: str) -> dict[str, str]:
-        schema, table = (x.replace("'", "''") for x in (self.schema, name))
+        quoted = ".".join('"' + x.replace('"', '""') + '"' for x in (self.schema, name)).replace("'", "''")
         query = (
-            "(SELECT a.attname AS name, CAST(a.atttypid AS bigint) AS type_oid FROM pg_attribute a "
-            "JOIN pg_class c ON a.attrelid = c.oid JOIN pg_namespace n ON c.relnamespace = n.oid "
-            f"WHERE n.nspname = '{schema}' AND c.relname = '{table}' AND a.attnum > 0 AND NOT a.attisdropped) t"
+            "(SELECT attname AS name, CAST(atttypid AS bigint) AS type_oid FROM pg_attribute "
+            f"WHERE attrelid = to_regclass('{quoted}') AND attnum > 0 AND NOT attisdropped) t"
         )
         return {**self.properties, "url": self.url, "dbtable": query}
 
@@ -119,13 +122,51 @@ class JdbcSource:
         return sorted(r[0] for r in self._load(self.catalog_options()).collect())
 
     def read(self, name: str) -> DataFrame:
-        rows = self._load(self.table_options(name))
+        options = self.table_options(name)
+        split = self.splits.get(name)
+        if split and not isinstance(split, Split):
+            own = {k: v for k, v in options.items() if k not in ("url", "dbtable")}
+            rows = self.spark.read.jdbc(self.url, options["dbtable"], predicates=list(split), properties=own)
+        else:
+            rows = self._load(options)
         return with_source_types(rows, self._load(self.type_options(name))) if self.typed else rows
 
     def _load(self, options: Mapping[str, str]) -> DataFrame:
         return self.spark.read.format("jdbc").options(**options).load()
 
 
+def _sql_literal(value) -> str:
+    if isinstance(value, dt.datetime):
+        return f"TIMESTAMP '{value.replace(tzinfo=None).isoformat(' ')}'"
+    return f"DATE '{value.isoformat()}'" if isinstance(value, dt.date) else str(value)
+
+
+def split_conditions(rows: DataFrame, column: str, parts: int, accuracy: int = 10_000) -> list[str]:
+    """SQL conditions that divide a table into ranges of about equally many rows, for parallel reads.
+
+    Bounds are the quantiles of ``rows``: the table itself, a sample, or what was copied from it last time. Whatever they
+    are, each row meets exactly one condition: the first and the last range are open, NULLs have a condition of their own,
+    and so has a value that fills a range by itself. ``column`` is a number, date or timestamp without time zone. Only the bounds, at most
+    ``parts`` of them, come to the driver.
+    """
+    wanted = [i / parts for i in range(1, parts)]
+    found = rows.agg(F.percentile_approx(column, wanted, accuracy)).head()[0] if wanted else []
+    bounds = [b for b in found or () if b == b]  # NaN is above all numbers, so it falls in the last range
+    name = '"' + column.replace('"', '""') + '"' if not column.isidentifier() else column
+    # A bound that comes twice is a value of more rows than a range should have.
+    repeated = {b for b, n in Counter(bounds).items() if n > 1}
+    # Pairs (value, inclusive): a range begins after the one before it and ends here.
+    edges: list[tuple[object, bool]] = []
+    for bound in sorted(set(bounds)):
+        edges += [(bound, False), (bound, True)] if bound in repeated else [(bound, False)]
+    conditions, low = [], None
+    for value, inclusive in edges:
+        upper = f"{name} {'<=' if inclusive else '<'} {_sql_literal(value)}"
+        conditions.append(upper if low is None else f"{low} AND {upper}")
+        low = f"{name} {'>' if inclusive else '>='} {_sql_literal(value)}"
+    return [*conditions, low or f"{name} IS NOT NULL", f"{name} IS NULL"]
+
+
 def with_source_types(rows: DataFrame, columns: DataFrame) -> DataFrame:
     """Tag the JSON columns of a table, from the ``(name, type_oid)`` of its columns."""
     known = map_source_types(columns).where("type = 'JSON'").select("name").collect()
