@@ -54,8 +54,8 @@ def test_lists_as_of_each_day(spark):
     }
     rows = [(i, url, day(n)) for i, (url, n) in enumerate((u, n) for u in cases for n in range(0, 25))] + [(900, "http://example.com", None), (None, "http://example.com", day(7)), (0, "http://A.Example.com./p?q=//z#f", day(0))]
     frame = spark.createDataFrame([(*r, "x") for r in rows], "page_id long, url string, fetched date, key string")
-    for r in spark.createDataFrame([(u,) for u in cases], "url string").select("url", urls.keys_of(F.col("url")).alias("k")).collect():
-        assert sorted(r.k) == sorted(cases[r.url])
+    keyed = urls.with_keys(spark.createDataFrame([(u, 1) for u in cases], "url string, url_depth int"), "url", "k").collect()
+    assert sorted((r.url, r.k) for r in keyed) == sorted((u, k) for u, keys in cases.items() for k in keys)
     want = sorted((str(i), url, *brute(ENTRIES, cases.get(url, ["example.com", "com"]), at)) for i, url, at in set(rows) if url is not None)
     found = urls.listed(frame, entries).collect()
     assert sorted((str(r.page_id), r.url, r.n_entries, r.lists) for r in found if r.url is not None) == want
@@ -63,6 +63,15 @@ def test_lists_as_of_each_day(spark):
     assert urls.listed(frame, entries.limit(0)).where("blocked").count() == 0 and urls.listed(frame.limit(0), entries).count() == 0
 
 
+def test_very_long_urls(spark):
+    """90 KB of path steps, of host labels and of query: only depths that the lists have are looked up."""
+    rows = [(1, "http://long.org/" + "/".join(["ab"] * 30_000)), (2, "http://" + "a." * 30_000 + "long.org/x"), (3, "http://long.org/ab?" + "q/" * 45_000), (4, "long.org" + "/" * 90_000 + "ab")]
+    captures = spark.createDataFrame([(i, u, day(9)) for i, u in rows], "page_id long, url string, fetched date")
+    keys = ["long.org/ab", "long.org/ab/ab/ab", "long.org/" + "/".join(["ab"] * 29_999), "long.org", "a.long.org", "a." * 20_000 + "long.org", "x.org/a/b/c/d/e"]
+    entries = spark.createDataFrame([("l", k, "add", day(0)) for k in keys], "list string, key string, action string, day date")
+    assert {r.page_id: r.n_entries for r in urls.listed(captures, entries).collect()} == {1: 4, 2: 3, 3: 2, 4: 2}
+
+
 def test_lines_by_site(spark):
     rows = [(i, f"menu\nown {i}\n\n  \nmenu", "a", 1) for i in range(6)] + [(6, "menu\nother", "b", 1), (7, "copy", "c", 1), (8, "copy", "c", 1), (9, None, "c", 1), (10, "", None, 1), (11, "x", None, 1)]
     docs = spark.createDataFrame(rows, "doc_id long, text string, source string, line int")

@@ -1,6 +1,7 @@
 """Personal data: regular expressions propose spans, checksums confirm them, and words nearby adjust the score.
 
-Base kinds are email, ip, card (Luhn) and phone; their spans always count. Added kinds are iban (mod-97), ssn and mac; their spans count
+Base kinds are email, ip, card (Luhn) and phone; their spans always count. Added kinds are iban (its country's length and mod-97),
+ssn, mac and secret (keys and passwords: known forms, private key blocks, and mixed values that a name announces); their spans count
 from a score of ``least`` on: the kind's own score, plus what a passed checksum adds, plus or less what supporting or
 doubting words within ``REACH`` characters before or after add. Added spans never overlap base ones or each other.
 
@@ -19,7 +20,7 @@ from pyspark.sql import functions as F
 
 from tidelane.llm.frames import field, unused
 
-KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "mac")
+KINDS = ("email", "ip", "card", "phone", "iban", "ssn", "mac", "secret")
 BASE = KINDS[:4]
 REACH = 40
 
@@ -28,16 +29,30 @@ _DOMAIN = re.compile(r"[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+")
 _DOTTED = re.compile(r"[0-9]+(?:\.[0-9]+)*")
 _DIGITS = re.compile(r"[0-9](?:[ -]?[0-9])+")
 _PHONE = re.compile(r"\+[0-9][ ().0-9-]+[0-9]")
-_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Z]{2}[0-9]{2}(?: ?[A-Z0-9]{4}){2,7}(?: ?[A-Z0-9]{1,3})?(?![A-Za-z0-9])")
+_IBAN = re.compile(r"(?<![A-Za-z0-9])[A-Za-z]{2}[0-9]{2}(?=[ -]?[A-Za-z0-9]{4})", re.ASCII)
 _SSN = re.compile(r"(?<![0-9-])(?!000|666|9)[0-9]{3}-(?!00)[0-9]{2}-(?!0000)[0-9]{4}(?![0-9-])")
 _MAC = re.compile(r"(?<![0-9A-Fa-f:])(?:[0-9A-Fa-f]{2}:){5}[0-9A-Fa-f]{2}(?![0-9A-Fa-f:])")
+_NAMED = re.compile(r"(?:token|secret|passw(?:or)?d|api[_-]?key|access[_-]?key|auth[_-]?key)[\"']?\s{0,3}[:=]\s{0,3}[\"']?([A-Za-z0-9_./+-]{16,512}={0,2})", re.IGNORECASE | re.ASCII)
+_KEY_BLOCK = re.compile(r"-----BEGIN [A-Z ]{0,30}PRIVATE KEY-----")
+_KEY_END = re.compile(r"-----END [A-Z ]{0,30}PRIVATE KEY-----")
+# Forms of keys that common services issue.
+_ISSUED = re.compile(r"(?<![A-Za-z0-9_-])(?:AKIA[0-9A-Z]{16}|gh[opsu]_[A-Za-z0-9]{36,255}|xox[abprs]-[A-Za-z0-9-]{10,255}|sk-[A-Za-z0-9]{20,255}|AIza[A-Za-z0-9_-]{35})(?![A-Za-z0-9_])", re.ASCII)
+# Lengths of account numbers by country.
+IBAN_LENGTHS = {
+    text[:2]: int(text[2:]) for text in """
+    AD24 AE23 AL28 AT20 AZ28 BA20 BE16 BG22 BH22 BR29 BY28 CH21 CR22 CY28 CZ24 DE22 DJ27 DK18 DO28 EE20 EG29 ES24 FI18 FK18 FO18 FR27 GB22 GE22 GI23
+    GL18 GR27 GT28 HR21 HU28 IE22 IL23 IQ23 IS26 IT27 JO30 KW30 KZ20 LB28 LC32 LI21 LT20 LU20 LV21 LY25 MC27 MD24 ME22 MK19 MN20 MR27 MT31 MU30 NI28
+    NL18 NO15 OM23 PK24 PL28 PS29 PT25 QA29 RO24 RS22 RU33 SA24 SC31 SD18 SE24 SI19 SK24 SM27 SO23 ST25 SV28 TL23 TN24 TR26 UA29 VA22 VG24 XK20 YE30
+    """.split()
+}
 _NOT_DIGIT = re.compile(r"[^0-9]+")
 
 #: Own score and what a passed checksum adds.
-SCORES = {"email": (0.9, 0.0), "ip": (0.6, 0.0), "card": (0.4, 0.4), "phone": (0.7, 0.0), "iban": (0.2, 0.6), "ssn": (0.3, 0.0), "mac": (0.6, 0.0)}
+SCORES = {"email": (0.9, 0.0), "ip": (0.6, 0.0), "card": (0.4, 0.4), "phone": (0.7, 0.0), "iban": (0.2, 0.6), "ssn": (0.3, 0.0), "mac": (0.6, 0.0), "secret": (0.4, 0.5)}
 SUPPORT = {
     "email": ("mail", "contact", "correo"), "ip": ("ip", "address", "server"), "card": ("card", "visa", "credit", "payment"),
     "phone": ("phone", "tel", "call", "mobile"), "iban": ("iban", "bank", "account", "konto"), "ssn": ("ssn", "social", "security"), "mac": ("mac", "device"),
+    "secret": ("token", "secret", "password", "key", "credentials"),
 }
 DOUBT = ("example", "sample", "version", "isbn", "order")
 SUPPORT_ADDS, DOUBT_ADDS = 0.3, -0.3
@@ -55,6 +70,41 @@ def mod97(iban: str) -> bool:
     return int("".join(str(int(c, 36)) for c in iban[4:] + iban[:4])) % 97 == 1
 
 
+def _accounts(text: str) -> Iterator[tuple[int, int]]:
+    """Account numbers of their country's length, in one run or in groups of four; what follows is none of it."""
+    for found in _IBAN.finditer(text):
+        length = IBAN_LENGTHS.get(found.group()[:2].upper())
+        if length is None:
+            continue
+        taken, at = found.group(), found.end()
+        while len(taken) < length and at < len(text):
+            if len(taken) % 4 == 0 and text[at] in " -" and text[at - 1] not in " -":
+                at += 1
+            elif text[at].isascii() and text[at].isalnum():
+                taken, at = taken + text[at], at + 1
+            else:
+                break
+        ends = at == len(text) or not (text[at].isascii() and text[at].isalnum())
+        if len(taken) == length and ends and mod97(taken.upper()):
+            yield found.start(), at
+
+
+def _secrets(text: str) -> Iterator[tuple[int, int]]:
+    for found in _ISSUED.finditer(text):
+        yield found.span()
+    for found in _NAMED.finditer(text):
+        value = found.group(1)
+        # A word or a path is no key: keys mix digits and letters, and repeat few of them.
+        if any(c.isdigit() for c in value) and any(c.isalpha() for c in value) and len(set(value)) >= 8:
+            yield found.span(1)
+    end = 0
+    for found in _KEY_BLOCK.finditer(text) if "PRIVATE KEY-----" in text else ():
+        if found.start() >= end:
+            close = _KEY_END.search(text, found.end())
+            end = close.end() if close else found.end()
+            yield found.start(), end
+
+
 def _emails(text: str) -> Iterator[tuple[int, int]]:
     last = at = 0
     while (at := text.find("@", at)) >= 0:
@@ -103,7 +153,7 @@ def find(text: str, least: float = 0.5) -> list[tuple[str, int, int, float]]:
     found += [("phone", *s) for s in _numbers(_PHONE, text, 10, 15, lambda _: True)]
     out = [(k, a, b, score(k, text, a, b)) for k, a, b in found]
     taken = sorted((a, b) for _, a, b in found)
-    added = [("iban", *m.span()) for m in _IBAN.finditer(text) if mod97(m.group().replace(" ", ""))]
+    added = [("iban", *s) for s in _accounts(text)] + [("secret", *s) for s in _secrets(text)]
     added += [("ssn", *m.span()) for m in _SSN.finditer(text)]
     added += [("mac", *m.span()) for m in _MAC.finditer(text)] if ":" in text else []
     last = place = 0
@@ -149,14 +199,16 @@ def _digest(keep: list[str], spans: str):
             base = [[s for s in x if s[0] in BASE] for x in own]
             counts = [pa.array([sum(s[0] == k for s in x) for x in base], pa.int64()) for k in BASE]
             sha = pa.array([hashlib.sha256(_listed(x).encode()).hexdigest() for x in base], pa.string())
-            yield pa.RecordBatch.from_arrays([*(batch[c] for c in keep), *counts, sha, pa.array(map(_listed, own), pa.string())], [*keep, *(f"n_{k}" for k in BASE), "base_sha256", "spans"])
+            scores = pa.array([",".join(f"{s[3]:.2f}" for s in x) for x in own], pa.string())
+            columns = [*(batch[c] for c in keep), *counts, sha, pa.array(map(_listed, own), pa.string()), scores]
+            yield pa.RecordBatch.from_arrays(columns, [*keep, *(f"n_{k}" for k in BASE), "base_sha256", "spans", "scores"])
 
     return run
 
 
 def digest(docs: DataFrame, keep: list[str]) -> DataFrame:
-    """Counts of base spans, the SHA-256 of their list, and the list of all spans, for each row; only the columns ``keep`` stay."""
+    """Counts of base spans, the SHA-256 of their list, the list of all spans and that of their scores, for each row; only the columns ``keep`` stay."""
     spans = unused(docs, "found_spans")
     found = find_personal(docs.select(*keep, "text"), spans).drop("text")
-    schema = ", ".join([*(field(docs, c) for c in keep), *(f"n_{k} long" for k in BASE), "base_sha256 string", "spans string"])
+    schema = ", ".join([*(field(docs, c) for c in keep), *(f"n_{k} long" for k in BASE), "base_sha256 string", "spans string", "scores string"])
     return found.mapInArrow(_digest(keep, spans), schema)

@@ -87,8 +87,7 @@ _NUMBER = "CAST(conv(substr(md5(concat('key', key)), 1, 6), 16, 10) AS INT)"
 
 def _entries(pages: DataFrame) -> DataFrame:
     """Entries for hosts, parent domains and paths that occur: added, in part removed, in part added once more."""
-    hosts = pages.select(urls.host_of(F.col("url")).alias("host"), urls.keys_of(F.col("url")).alias("keys")).where("host != ''")
-    keys = hosts.select(F.explode("keys").alias("key")).where("key LIKE '%.%'").distinct()
+    keys = urls.with_keys(pages.select("url"), "url", "key").select("key").where("key LIKE '%.%'").distinct()
     keyed = keys.withColumn("n", F.expr(_NUMBER)).where("n % 3 = 0").withColumn("list", F.expr("element_at(array('ads', 'adult', 'malware', 'spam'), CAST(n % 4 AS INT) + 1)"))
     steps = F.expr("filter(array(struct('add' AS action, n % 400 AS day), struct('remove' AS action, 400 + n % 300 AS day), struct('add' AS action, 700 + n % 200 AS day)), (s, i) -> i <= n % 4)")
     return keyed.select("list", "key", F.inline(steps)).select("list", "key", "action", F.expr("date_add(DATE '2023-01-01', CAST(day AS INT))").alias("day"))
