@@ -100,7 +100,10 @@ def write_order(docs: DataFrame, path: str, length: int = 2047, width: int = 1,
     shards = max(1, -(-n // per_shard))
     # A record of any bytes is written as it is: the cast changes the type only.
     placed = records.select(F.floor(F.col("slot") / per_shard).alias("shard"), "slot", F.col("record").cast("string").alias("value"))
-    placed.repartition(shards, "shard").sortWithinPartitions("shard", "slot").select("value", "shard").write.partitionBy("shard").text(path)
+    # Slots are the numbers below n, so the ranges need no sample of the data: a task holds whole shards, next to each other.
+    tasks = min(shards, int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4)
+    ranged = placed.withColumn("range", F.floor(F.col("shard") * tasks / shards).cast("int")).repartitionById(tasks, "range")
+    ranged.sortWithinPartitions("shard", "slot").select("value", "shard").write.partitionBy("shard").text(path)
     return n
 
 
