@@ -36,6 +36,37 @@ def _side_sql(number, kept):
     """
 
 
+_VERSIONS = """
+    concat('t', CAST(o_custkey AS STRING)) AS table_name, concat('c', CAST(o_orderkey % 2 AS STRING)) AS name,
+    o_orderkey * 7 + o_custkey AS number, o_orderkey AS version, o_orderstatus <> 'F' AS nullable
+"""
+_RANKED = ", ".join(f"({i}, '{t}')" for i, t in enumerate(typemap.TYPE_ORDER))
+
+
+@register(f"""
+    WITH o AS (SELECT {_VERSIONS.replace('AS STRING', 'AS VARCHAR')} FROM orders),
+    v AS (SELECT table_name, name, nullable, {pick_sql(TYPES, 'number')} AS type,
+          CASE WHEN {pick_sql(TYPES, 'number')} = 'REPEATED' THEN {pick_sql(TYPES[:9], 'version')} END AS item FROM o),
+    k AS (SELECT table_name, name, count(*) AS versions, bool_or(nullable) AS nullable, count(item) AS n_items FROM v GROUP BY 1, 2),
+    c(rank, kind) AS (VALUES {_RANKED}),
+    t AS (SELECT table_name, name, arg_min(kind, rank) AS type FROM (
+            SELECT v.table_name, v.name, kind, rank FROM v JOIN c ON v.type = kind OR (v.type, kind) IN ({_SAFE})
+            GROUP BY 1, 2, 3, 4 HAVING count(*) = (SELECT versions FROM k WHERE k.table_name = v.table_name AND k.name = v.name)) GROUP BY 1, 2),
+    i AS (SELECT table_name, name, arg_min(kind, rank) AS item_type FROM (
+            SELECT v.table_name, v.name, kind, rank FROM v JOIN c ON v.item = kind OR (v.item, kind) IN ({_SAFE})
+            GROUP BY 1, 2, 3, 4 HAVING count(*) = (SELECT n_items FROM k WHERE k.table_name = v.table_name AND k.name = v.name)) GROUP BY 1, 2)
+    SELECT k.table_name, k.name, CASE WHEN t.type = 'REPEATED' AND item_type IS NULL THEN NULL ELSE t.type END AS type,
+           CASE WHEN t.type = 'REPEATED' THEN item_type END AS item_type, versions, nullable
+    FROM k LEFT JOIN t ON k.table_name = t.table_name AND k.name = t.name LEFT JOIN i ON k.table_name = i.table_name AND k.name = i.name
+""")
+def common_types(spark, sf_dir):
+    """Columns that changed their type over many versions, each brought to one type or found to have none."""
+    rows = spark.sql(f"SELECT {_VERSIONS} FROM {{orders}}", orders=read(spark, sf_dir, "orders"))
+    kind = pick(TYPES, "number")
+    typed = rows.withColumn("type", kind).withColumn("item_type", F.when(kind == "REPEATED", pick(TYPES[:9], "version")))
+    return schema.common_types(typed)
+
+
 # Urgent orders are columns only the source has, low ones only the destination; about half keep their type.
 _SOURCE_KEPT = "o_orderpriority <> '5-LOW'"
 _DEST_KEPT = "o_orderpriority <> '1-URGENT' AND o_totalprice > 20000"

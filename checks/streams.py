@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from pyspark.sql import functions as F
+
+from checks.ledgers import _KEYS, LEDGER_SQL, ledger_columns
 from checks.registry import read, register
 from tidelane.operators.table import SyncTable
 from tidelane.session import new_folder
-from tidelane.streaming import loads
+from tidelane.streaming import gaps, loads
 
 _EVENTS = "SELECT event_id, ts, user_id, event_type, value, props FROM events"
 
@@ -62,6 +65,25 @@ def stream_kept_latest(spark, sf_dir):
     return table.read()
 
 
+@register(f"""
+    WITH done AS (SELECT * FROM ({LEDGER_SQL}) WHERE event = 'completed'),
+    g AS (SELECT {_KEYS}, "at", lag("at") OVER (PARTITION BY {_KEYS} ORDER BY "at", run_id) AS gap_from FROM done)
+    SELECT {_KEYS}, gap_from, "at" AS gap_to, epoch_us("at") - epoch_us(gap_from) AS gap_us
+    FROM g WHERE epoch_us("at") - epoch_us(gap_from) > 86400000000
+    UNION ALL
+    SELECT {_KEYS}, max("at"), NULL, NULL FROM done GROUP BY 1, 2
+    HAVING (SELECT epoch_us(max("at")) FROM done) - epoch_us(max("at")) > 86400000000
+""")
+def stream_gaps(spark, sf_dir):
+    """Gaps told by a stream of ledger events, the open ones at its end included."""
+    root = new_folder(spark, "streams")
+    table = SyncTable(spark, f"{root}/tables", "gaps")
+    alerts = gaps.stream_gaps(_stream(spark, sf_dir).select(ledger_columns()), 43_200, "0 seconds")
+    loads.stream_append_only(alerts, table, f"{root}/checkpoint", "gaps").awaitTermination()
+    # A gap is told when it opens and again when it ends.
+    return table.read().groupBy("connection", "table_name", "gap_from").agg(F.max("gap_to").alias("gap_to"), F.max("gap_us").alias("gap_us"))
+
+
 @register(_EVENTS)
 def stream_drop_repeats(spark, sf_dir):
     root = new_folder(spark, "streams")

@@ -1,9 +1,11 @@
+import itertools
+
 import pytest
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tidelane.frames import small_frame
-from tidelane.functions.typemap import is_widening, map_source_type_names, map_source_types, widens
+from tidelane.functions.typemap import TYPE_ORDER, is_widening, map_source_type_names, map_source_types, widens
 from tidelane.operators import schema as S
 from tidelane.types import CANONICAL_TYPES, SCHEMA_ROWS, canonical, schema_from_rows, schema_rows, spark_type, stored_schema
 
@@ -149,3 +151,31 @@ def test_source_type_names(spark):
         "jsonb[][]": ("REPEATED", "REPEATED", True), "money": unknown, "money[]": unknown, "[]": unknown,
         "[]text": unknown,
     }
+
+
+def common(spark, *versions):
+    """``(type, item_type)`` versions of one column."""
+    rows = [("t", i, "c", k, item, i % 2 == 1) for i, (k, item) in enumerate(versions)]
+    frame = spark.createDataFrame(rows, "table_name string, ordinal int, name string, type string, item_type string, nullable boolean")
+    return [(r["type"], r["item_type"], r["versions"], r["nullable"]) for r in S.common_types(frame.repartition(3)).collect()]
+
+
+def test_the_common_type_of_many_versions_is_the_narrowest_that_all_widen_to(spark):
+    plain = lambda *kinds: [(k, None) for k in kinds]
+    assert common(spark, *plain("INT64", "INT64")) == [("INT64", None, 2, True)]
+    assert common(spark, *plain("NUMERIC", "INT64", "FLOAT64"))[0][0] == "NUMERIC"
+    assert common(spark, *plain("INT64", "FLOAT64"))[0][0] == "FLOAT64"
+    assert common(spark, *plain("DATE", "TIMESTAMP"))[0][0] == "TIMESTAMP"
+    assert common(spark, *plain("DATE", "INT64", "BOOL"))[0][0] == "STRING"  # each becomes text, none the other
+    assert common(spark, *plain("JSON", "STRING"))[0][0] is None and common(spark, *plain("BYTES", "INT64"))[0][0] is None
+    assert common(spark, ("REPEATED", "INT64"), ("REPEATED", "FLOAT64"))[0][:2] == ("REPEATED", "FLOAT64")
+    assert common(spark, ("REPEATED", "INT64"), ("REPEATED", "JSON"))[0][:2] == (None, None)
+    assert common(spark, ("REPEATED", "INT64"), ("STRING", None))[0][:2] == (None, None)
+    assert common(spark, *plain(None, "BOOL"))[0] == ("BOOL", None, 1, True) and common(spark) == []
+
+
+def test_the_common_type_is_reached_by_allowed_changes_only(spark):
+    for kinds in itertools.product(CANONICAL_TYPES[:9], repeat=3):
+        able = [t for t in TYPE_ORDER if all(t == k or widens(k, t) for k in kinds)]
+        if len(able) > 1:  # the choice widens to every other candidate
+            assert all(widens(able[0], other) for other in able[1:]), kinds

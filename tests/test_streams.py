@@ -1,12 +1,15 @@
+import datetime as dt
+
 import pytest
 from pyspark.sql import functions as F
 
+from tidelane.operators import ledger as L
 from tidelane.operators.commits import ConcurrentWrite
 from tidelane.operators.latest import merge_latest
 from tidelane.operators.schema import IncompatibleSchema
 from tidelane.operators.table import SyncTable
 from tidelane.session import new_folder
-from tidelane.streaming import loads
+from tidelane.streaming import gaps, loads
 
 
 @pytest.fixture
@@ -161,3 +164,37 @@ def test_of_two_mergers_that_meet_one_is_refused(spark, place):
     finally:
         SyncTable.replace_parts = replace_parts
     assert table.read().count() == 10
+
+
+def test_gaps_settle_as_time_passes():
+    limit = 10
+    assert gaps.merged([(5, 5), (1, 1), (30, 30), (12, 12), (41, 41)], limit) == [(1, 12), (30, 30), (41, 41)]
+    runs = [(1, 12), (30, 30)]
+    assert gaps.settle(runs, -1, 22, limit) == ([], runs, -1)  # just in time
+    assert gaps.settle(runs, -1, 23, limit) == ([(12, None)], runs, 12)
+    assert gaps.settle(runs, 12, 29, limit) == ([], runs, 12)
+    assert gaps.settle(runs, 12, 30, limit) == ([(12, 30)], [(30, 30)], 12)
+    assert gaps.settle(runs, -1, 99, limit) == ([(12, 30), (30, None)], [(30, 30)], 30)
+    assert gaps.settle([], -1, 99, limit) == ([], [], -1)
+
+
+def test_overdue_tables_are_told_while_the_stream_runs(spark, place):
+    folder, checkpoint, table = place
+
+    def runs(*times):
+        rows = [("p", name, f"r{m}", L.COMPLETED, dt.datetime(2024, 1, 1) + dt.timedelta(minutes=m)) for name, m in times]
+        columns = "connection string, table_name string, run_id string, event string, at timestamp_ntz"
+        arrive(spark.createDataFrame(rows, columns), folder)
+        events = spark.readStream.schema(columns).parquet(folder)
+        loads.stream_append_only(gaps.stream_gaps(events, 60 * 30, "10 minutes"), table, checkpoint, "t").awaitTermination()
+        alerts = table.read().collect()
+        minute = lambda t: t and int((t - dt.datetime(2024, 1, 1)).total_seconds() // 60)
+        return sorted((r.table_name, minute(r.gap_from), minute(r.gap_to) or 0) for r in alerts)
+
+    assert runs(("a", 0), ("b", 50), ("a", 5)) == []
+    assert runs(("b", 100), ("a", 45)) == []  # late, but in time: no gap for a
+    told = runs(("b", 120))
+    assert told == [("a", 45, 0)]  # open: an hour has passed since
+    told = runs(("a", 130), ("b", 175))
+    assert told == [("a", 45, 0), ("a", 45, 130)]
+    assert runs(("b", 230)) == [("a", 45, 0), ("a", 45, 130), ("a", 130, 0)]

@@ -41,6 +41,30 @@ WIDENINGS = {
 }
 
 
+#: Types by how much they hold: what a type widens to comes after it.
+TYPE_ORDER = ("BOOL", "INT64", "DATE", "FLOAT64", "TIMESTAMP", "NUMERIC", "JSON", "BYTES", "REPEATED", "STRING")
+
+
+def _mask(kinds) -> int:
+    return sum(1 << TYPE_ORDER.index(k) for k in kinds)
+
+
+def reachable(kind: Column) -> Column:
+    """The types a column of type ``kind`` may have or be widened to, as bits; an unknown type is a string."""
+    bits = F.lit(_mask(["STRING"]))
+    for name in TYPE_ORDER:
+        bits = F.when(kind == name, F.lit(_mask([name, *WIDENINGS.get(name, ())]))).otherwise(bits)
+    return bits
+
+
+def narrowest(bits: Column) -> Column:
+    """The type that holds least among some types; null if there is none."""
+    found = F.lit(None).cast("string")
+    for name in reversed(TYPE_ORDER):
+        found = F.when(bits.bitwiseAND(_mask([name])) != 0, F.lit(name)).otherwise(found)
+    return found
+
+
 def is_widening(old: Column, new: Column) -> Column:
     """Whether a destination column of type ``old`` may become type ``new``."""
     allowed = F.lit(False)

@@ -58,7 +58,7 @@ def schema_change_report(changes: DataFrame) -> DataFrame:
     return changes.select("table_name", F.inline(entries)).distinct()
 
 
-def _micros(at: Column) -> Column:
+def micros(at: Column) -> Column:
     """Microseconds of a time without zone, so that no daylight saving of the session bends a distance."""
     seconds = F.unix_date(at.cast("date")).cast("bigint") * 86_400 + F.hour(at) * 3600 + F.minute(at) * 60
     return seconds * 1_000_000 + (F.date_part(F.lit("SECOND"), at) * 1_000_000).cast("bigint")
@@ -74,13 +74,13 @@ def sync_gaps(ledger: DataFrame, interval_seconds: int) -> DataFrame:
     limit = 2 * interval_seconds * 1_000_000
     buckets = (
         ledger.where(F.col("event") == COMPLETED)
-        .groupBy(*KEYS, F.floor(_micros(F.col("at")) / limit).alias("bucket"))
+        .groupBy(*KEYS, F.floor(micros(F.col("at")) / limit).alias("bucket"))
         .agg(F.min("at").alias("first_at"), F.max("at").alias("last_at"))
     )
     order = W.partitionBy(KEYS).orderBy("bucket")
     return (
         buckets.withColumn("gap_from", F.lag("last_at").over(order))
-        .withColumn("gap_us", _micros(F.col("first_at")) - _micros(F.col("gap_from")))
+        .withColumn("gap_us", micros(F.col("first_at")) - micros(F.col("gap_from")))
         .where(F.col("gap_us") > limit)
         .select(*KEYS, "gap_from", F.col("first_at").alias("gap_to"), "gap_us")
     )

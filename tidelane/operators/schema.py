@@ -8,7 +8,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tidelane.functions.typemap import is_widening, widens
+from tidelane.functions.typemap import is_widening, narrowest, reachable, widens
 from tidelane.types import canonical, stored_field
 
 # Kinds of schema change.
@@ -58,6 +58,26 @@ def schema_diff(source: DataFrame, dest: DataFrame, strict_items: bool = False)
     )
 
 
+def common_types(rows: DataFrame) -> DataFrame:
+    """One type for each column that all its versions can be widened to, over any number of versions or files.
+
+    ``rows`` are schema-rows of every version. Gives ``table_name, name, type, item_type, versions, nullable``: the narrowest type
+    allowed for all versions, null where there is none, so that the table has to be halted; likewise for the items of arrays. Which types are still
+    possible is a set of bits, so versions are combined in any order, before the shuffle too. Null types are left out.
+    """
+    possible = F.bit_and(reachable(F.col("type"))).alias("_types")
+    items = F.bit_and(F.when(F.col("type") == "REPEATED", reachable(F.coalesce("item_type", F.lit("STRING"))))).alias("_items")
+    found = rows.where(F.col("type").isNotNull()).groupBy("table_name", "name").agg(
+        possible, items, F.count(F.lit(1)).alias("versions"), F.bool_or("nullable").alias("nullable")
+    )
+    item = narrowest(F.col("_items"))
+    kind = narrowest(F.col("_types"))
+    whole = F.when((kind == "REPEATED") & item.isNull(), F.lit(None)).otherwise(kind)
+    return found.select(
+        "table_name", "name", whole.alias("type"), F.when(kind == "REPEATED", item).alias("item_type"), "versions", "nullable"
+    )
+
+
 def change_order() -> list[Column]:
     """Sort keys that list a table's changes in source order, removed columns last."""
     return [F.col("table_name"), F.col("change_type") == REMOVE_COLUMN, F.col("ordinal")]
