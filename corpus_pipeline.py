@@ -16,6 +16,14 @@ from tidelane.llm.queries import PIECE_MODEL, read
 
 ORACLE_SQL = None
 
+#: A document that is no twentieth benchmark may still hold whole items: longer runs of hit words than this are cut out.
+LONGEST_SPAN = 25
+
+
+def _counted(docs: DataFrame) -> DataFrame:
+    """The documents with ``n_chars``, where they have it, as their texts are now."""
+    return docs.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else docs
+
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that the base rules and the calibrated rules let pass."""
@@ -23,10 +31,9 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, less their sources' boilerplate lines; one that would lose all of them is a copy and keeps them."""
+    """All documents, less their sources' boilerplate lines; one that would lose all of them keeps them if it has a copy."""
     found = unused(docs, "found")
-    out = lines.drop_boilerplate(docs, found, keep_whole=True).drop(found)
-    return out.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType)) if "n_chars" in docs.columns else out
+    return _counted(lines.drop_boilerplate(docs, found, keep_whole=True).drop(found))
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
@@ -35,8 +42,8 @@ def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def decontamination(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents of which less than a twentieth is in windows of benchmark items; their texts stay as they are."""
-    return decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"))
+    """Documents of which less than a twentieth is in windows of benchmark items, less the spans of over ``LONGEST_SPAN`` hit words."""
+    return _counted(decontaminate.decontaminate(docs, read(spark, sf_dir, "benchmark"), longest=LONGEST_SPAN))
 
 
 def encoding(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
