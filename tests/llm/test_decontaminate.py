@@ -2,6 +2,8 @@ import hashlib
 import random
 import re
 
+from pyspark.sql import functions as F
+
 from tests.llm.conftest import SF_DIR
 from tidelane.llm import decontaminate
 from tidelane.llm.queries import QUERIES
@@ -17,14 +19,14 @@ def brute(docs, items, window=13):
     windows = {}
     for name, text in items:
         own = words(text)
-        for i in range(max(1, len(own) - window + 1)) if own and name is not None else ():
-            windows.setdefault(tuple(own[i : i + window]), set()).add(str(name))
+        for i in range(max(1, len(own) - window + 1)) if own else ():
+            windows.setdefault(tuple(own[i : i + window]), set()).update(() if name is None else [str(name)])
     sizes = {len(w) for w in windows}
     for doc_id, text in docs:
         own, hit, names = words(text), set(), set()
         for size in sizes:
             for i in range(len(own) - size + 1):
-                if found := windows.get(tuple(own[i : i + size])):
+                if (found := windows.get(tuple(own[i : i + size]))) is not None:
                     names |= found
                     hit |= set(range(i, i + size))
         sha = hashlib.sha256(",".join(sorted(names)).encode()).hexdigest()
@@ -43,17 +45,43 @@ def test_query(spark, documents):
 def test_random_texts_in_one_and_many_automata(spark):
     random.seed(3)
     make = lambda n: " ".join(random.choice("abc") for _ in range(n))
-    items = [(i, make(random.choice([1, 2, 3, 4, 5, 9]))) for i in range(14) if i] + [(20, None), (21, ""), (22, "!!"), (None, "a b"), (23, "c a b"), (23, "b b c a")]
+    items = [(i, make(random.choice([1, 2, 3, 4, 5, 9]))) for i in range(14) if i] + [(20, None), (21, ""), (22, "!!"), (None, "b b a"), (None, "c c c a b a b c"), (23, "c a b"), (23, "b b c a")]
     docs = [(i, make(random.choice([0, 1, 3, 30, 60]))) for i in range(40)] + [(50, None)]
     docs += [(51, "A,b;C " * 20)]
     item_rows, doc_rows = spark.createDataFrame(items, "item_id long, text string"), spark.createDataFrame(docs, "doc_id long, text string")
     for window in (3, 4, 6):
-        for size in (5, 1000):
-            found = decontaminate.find_items(doc_rows, item_rows, "found", window, size).select("doc_id", "found.*").collect()
+        # One automaton, several, and blocks that documents are dealt to.
+        for size, most, group in ((1000, 1000, 1), (5, 1000, 1), (5, 0, 1 << 20), (1000, 0, 50)):
+            found = decontaminate.find_items(doc_rows, item_rows, "found", window, size, most, group).select("doc_id", "found.*").collect()
             have = sorted((r.doc_id, r.n_words, sum(s["end"] - s["start"] for s in r.spans), len(r["items"])) for r in found)
             assert have == sorted(b[:4] for b in brute(docs, items, window))
 
 
+def test_an_item_without_id_is_hit_and_not_named(spark):
+    docs, items = spark.createDataFrame([("a b c d",)], "text string"), spark.createDataFrame([(None, "a b c")], "item_id long, text string")
+    for most in (1000, 0):
+        found = decontaminate.find_items(docs, items, "found", 3, broadcast_words=most).first().found
+        assert [(s.start, s.end) for s in found.spans] == [(0, 3)] and found["items"] == []
+
+
+def test_blocks_give_the_rows_of_broadcast_automata(spark, documents):
+    items = spark.read.parquet(f"{SF_DIR}/benchmark.parquet")
+    wide = documents.withColumn("row_number", F.lit("clash")).union(documents.limit(3).withColumn("row_number", F.lit("again")))
+    rows = [sorted(map(str, decontaminate.find_items(wide, items, "found", broadcast_words=n, words_per_automaton=300).collect())) for n in (200_000, 0)]
+    assert rows[0] == rows[1] and len(rows[0]) == documents.count() + 3
+
+
+def test_long_items_are_cut_without_losing_windows(spark):
+    random.seed(5)
+    text = " ".join(random.choice("abcdefgh") for _ in range(400))
+    own = text.split()
+    docs = [(i, " ".join(own[i : i + 6])) for i in range(395)]
+    items = spark.createDataFrame([(1, text)], "item_id long, text string")
+    for most in (1000, 0):
+        found = decontaminate.find_items(spark.createDataFrame(docs, "doc_id long, text string"), items, "found", 6, 12, most)
+        assert found.where("size(found.spans) = 1 AND found.spans[0].end = 6").count() == 395
+
+
 def test_spans_are_bytes_of_the_text(spark):
     docs = spark.createDataFrame([("é, one Two THREE four! end",)], "text string")
     items = spark.createDataFrame([(1, "one two three")], "item_id long, text string")
