@@ -14,7 +14,7 @@ def texts(documents):
 
 def test_without_dropout_as_the_library(texts):
     model, library = pieces.load(PIECE_MODEL), sentencepiece.SentencePieceProcessor(model_file=PIECE_MODEL)
-    ids, counts = pieces.encode_slice(model, texts, np.arange(len(texts)), 0.0, 1, 8)
+    ids, counts = pieces.encode_slice(model, texts, np.arange(len(texts)), 0.0, 1)
     at = np.r_[0, np.cumsum(counts)]
     for text, a, b in zip(texts, at, at[1:], strict=False):
         assert ids[a:b].tolist() == library.encode(text)
@@ -49,13 +49,13 @@ def test_rows_heap_and_brute_force_agree(rate):
 
 def test_varied_keyed_and_lossless(texts):
     model, keys = pieces.load(PIECE_MODEL), np.arange(66)
-    runs = [pieces.encode_slice(model, texts, keys, 0.3, seed, 8) for seed in (1, 1, 2)]
+    runs = [pieces.encode_slice(model, texts, keys, 0.3, seed) for seed in (1, 1, 2)]
     assert runs[0][0].tolist() == runs[1][0].tolist() != runs[2][0].tolist()
     for ids, counts in runs:
         data, sizes = pieces.decode_slice(model, ids, counts)
         assert data.tobytes() == "".join(texts).encode() and sizes.tolist() == [len(t.encode()) for t in texts]
-    ids, counts = pieces.encode_slice(model, ["information"], np.array([5]), 0.3, 1, 8)
-    many, n = pieces.encode_slice(model, [" ".join(["information"] * 50)], np.array([5]), 0.3, 1, 8)
+    ids, counts = pieces.encode_slice(model, ["information"], np.array([5]), 0.3, 1)
+    many, n = pieces.encode_slice(model, [" ".join(["information"] * 50)], np.array([5]), 0.3, 1)
     assert len({tuple(x) for x in np.array_split(many, 50)}) > 1 or n[0] % 50
 
 

@@ -234,10 +234,10 @@ def _bytes_of(pieces: Pieces, tokens: np.ndarray, owner: np.ndarray) -> tuple[np
     return out, owner[at]
 
 
-def encode_slice(pieces: Pieces, texts: list[str], keys: np.ndarray, rate: float, seed: int, streams: int | None = None) -> tuple[np.ndarray, np.ndarray]:
+def encode_slice(pieces: Pieces, texts: list[str], keys: np.ndarray, rate: float, seed: int) -> tuple[np.ndarray, np.ndarray]:
     """Piece ids of some texts, one after another, and how many each text has. ``keys``: a number for each text.
 
-    Every stretch draws its own drops; with ``streams``, equal ones draw from so many sets of them.
+    Every stretch draws its own drops, also where it stands more than once.
     """
     parts = [" " + t if t else "" for t in texts]
     code = np.frombuffer("".join(parts).encode("utf-32-le"), np.uint32).astype(np.int64)
@@ -260,8 +260,6 @@ def encode_slice(pieces: Pieces, texts: list[str], keys: np.ndarray, rate: float
     np.cumsum(mix(code.astype(np.uint64) + (place.astype(np.uint64) << np.uint64(21))), out=sums[1:])
     content = sums[start + length] - sums[start]
     stream = mix(keys[text].astype(np.uint64) + ordinal.astype(np.uint64) * _ODD[1] + np.uint64(seed))
-    if streams is not None:
-        stream %= np.uint64(streams)
     key = mix(content + mix(stream + np.uint64(seed) * _ODD[2])) if rate else content
     symbols = pieces.single[code].astype(np.int64)
     symbols[symbols < 0] = -code[symbols < 0] - 1

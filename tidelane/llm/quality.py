@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from tidelane.llm.frames import unused
+from tidelane.llm.frames import unused, written
 from tidelane.llm.words import SPACED, mix, slices, words_of
 
 #: The rules' cutoffs, mildest first.
@@ -169,6 +169,7 @@ def keep_good(docs: DataFrame, labels: DataFrame) -> DataFrame:
     Empty and null texts fail the base rules. Without labels only the base rules reject.
     """
     into = unused(docs, "measured")
-    slim = measure(docs.select("doc_id", "lang", "text"), "measured").drop("text")
+    # Written once, since calibration reads the measures several times; texts are measured again only to be filtered.
+    slim = written(measure(docs.select("doc_id", "lang", "text"), "measured").drop("text"), "measures")
     cutoffs = calibrate(slim, labels, "measured")
     return measure(docs, into).where(~base_failed(into) & (F.size(failed_rules(cutoffs, into)) == 0)).drop(into)
