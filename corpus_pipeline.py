@@ -31,7 +31,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def line_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """All documents, less their sources' boilerplate lines; one that would lose all of them keeps them if it has a copy."""
+    """All documents, less their sources' boilerplate lines; one that would lose all keeps them if its source has a copy."""
     found = unused(docs, "found")
     return _counted(lines.drop_boilerplate(docs, found, keep_whole=True).drop(found))
 
