@@ -15,15 +15,15 @@ SF_DIR = "/root/testdata/sf0.001"
 
 
 def brute_lines(rows):
-    """Rows of doc_id, text, source without boilerplate lines; a text that has copies keeps them if it would lose all."""
-    copies = Counter(text for _, text, _ in rows)
+    """Rows of doc_id, text, source without boilerplate lines; a text with copies in its source keeps them if it would lose all."""
+    copies = Counter((text, source) for _, text, source in rows)
     pages, total = Counter(), Counter(source for _, _, source in rows)
     for _, text, source in rows:
         pages.update((source, line) for line in set((text or "").split("\n")) if line.strip(" "))
     bad = {k for k, n in pages.items() if n >= 5 and n > 0.1 * total[k[0]]}
     for doc_id, text, source in rows:
         stay = [line for line in (text or "").split("\n") if (source, line) not in bad]
-        whole = text is None or (copies[text] > 1 and not any(x.strip(" ") for x in stay))
+        whole = text is None or (copies[text, source] > 1 and not any(x.strip(" ") for x in stay))
         yield doc_id, text if whole else "\n".join(stay), source
 
 

@@ -38,19 +38,16 @@ def drop_boilerplate(docs: DataFrame, into: str, site: str = "source", ratio: fl
 
     A line is what stands between line feeds; blank ones (spaces only) are never boilerplate. A line is dropped when more than ``ratio`` of
     the site's pages, and at least ``least_pages``, hold it. With ``keep_whole`` a page that would lose all its lines
-    keeps them if another page, of any site, has the same text: a later stage then keeps one of the copies whole. Null texts stay null and count as pages; a null site is the
+    keeps them if another page of its site has the same text: a later stage then keeps one of the copies whole. Null texts stay null and count as pages; a null site is the
     site ''. Repeated rows are pages each. Other columns pass through; an earlier column ``into`` is replaced.
     """
     digest, place, gone = (unused(docs, name) for name in ("text_digest", "text_site", "gone_lines"))
     keyed = docs.withColumns({digest: _digest(F.coalesce(F.col("text").cast("string"), F.lit(""))), place: F.coalesce(F.col(site).cast("string"), F.lit(""))})
     own = keyed.select(place, digest, F.explode(_line_digests(F.col("text"))).alias("line"))
     bad = boilerplate(docs, site, ratio, least_pages).select(F.col("site").alias(place), "line")
-    lists = own.join(bad, [place, "line"]).groupBy(place, digest).agg(F.collect_set("line").alias(gone))
-    lists = lists.select(F.col(place).alias("list_site"), F.col(digest).alias("list_digest"), gone)
     copied = unused(docs, "text_copied")
-    if keep_whole:
-        copies = keyed.groupBy(digest).count().where("count > 1").select(F.col(digest).alias("copy_digest"))
-        lists = lists.join(copies, F.col("list_digest") == F.col("copy_digest"), "left").withColumn(copied, F.col("copy_digest").isNotNull()).drop("copy_digest")
+    lists = own.join(bad, [place, "line"]).groupBy(place, digest).agg(F.collect_set("line").alias(gone), F.count("*").alias(copied))
+    lists = lists.select(F.col(place).alias("list_site"), F.col(digest).alias("list_digest"), gone, (F.col(copied) > F.size(gone)).alias(copied))  # a page has each of its lines once
     met = keyed.join(lists, (F.col(place) == F.col("list_site")) & (F.col(digest) == F.col("list_digest")), "left")
     lines = _lines(F.col("text"))
     stay = F.filter(lines, lambda x: ~F.array_contains(gone, _digest(x)))
