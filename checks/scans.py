@@ -12,11 +12,10 @@ from tidelane.functions import typemap
 from tidelane.functions.typemap import ARRAY_OIDS, DESTINATION_TYPES, SCALAR_OIDS, TYPE_NAMES
 from tidelane.operators.jsonl import append_jsonl
 from tidelane.session import new_folder
-from tidelane.sources import scan
+from tidelane.sources import feed_source, scan
 from tidelane.sources.connectors import FileSource, split_conditions
 from tidelane.sources.describe import describe_schema as describe
 from tidelane.sources.describe import list_tables as base_tables
-from tidelane.sources.feed_source import JsonLinesFeed
 from tidelane.types import CANONICAL_TYPES
 
 HALF_WAY = dt.datetime(2024, 1, 16)
@@ -41,9 +40,9 @@ def feed_scan(spark, sf_dir):
     """JSON lines read back by a connector that is a data source: partitions by file, filters tested while reading."""
     events, path = read(spark, sf_dir, "events"), new_folder(spark, "feed")
     append_jsonl(events, path)
-    spark.dataSource.register(JsonLinesFeed)
+    feed_source.register(spark)
     spark.conf.set("spark.sql.python.filterPushdown.enabled", "true")
-    feed = spark.read.format(JsonLinesFeed.name()).schema(events.schema).option("path", path).option("pushdown", "true").load()
+    feed = spark.read.format("tidelane_feed").schema(events.schema).option("path", path).option("pushdown", "true").load()
     return scan.incremental_scan(feed, "ts", HALF_WAY).where("user_id >= 10")
 
 

@@ -1,15 +1,13 @@
 """The connector interface on Spark's own data source API."""
 
-import datetime as dt
 from decimal import Decimal
 
 import pytest
-from pyspark.sql import functions as F
 
 from tidelane.operators.jsonl import append_jsonl, read_jsonl
 from tidelane.operators.table import SyncTable
 from tidelane.session import new_folder
-from tidelane.sources.feed_source import Files, JsonLinesFeed
+from tidelane.sources.feed_source import Files, register
 from tidelane.streaming import loads
 
 PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
@@ -17,7 +15,7 @@ PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
 
 @pytest.fixture
 def feed(spark):
-    spark.dataSource.register(JsonLinesFeed)
+    register(spark)
     path = new_folder(spark, "feed")
     return path, lambda schema: spark.read.format("tidelane_feed").schema(schema).option("path", path)
 

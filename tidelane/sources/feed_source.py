@@ -3,7 +3,7 @@
 ``JsonLinesFeed`` reads what ``append_jsonl`` writes. Connectors to other systems follow the same pattern, and once registered are
 read as any format is::
 
-    spark.dataSource.register(JsonLinesFeed)
+    register(spark)
     spark.read.format("tidelane_feed").schema(schema).option("path", path).load().where("id > 7")
     spark.readStream.format("tidelane_feed").schema(schema).option("path", path).load()
 
@@ -24,6 +24,7 @@ from decimal import Decimal
 
 import pyarrow as pa
 import pyarrow.fs as pafs
+from pyspark.sql import SparkSession
 from pyspark.sql import types as T
 from pyspark.sql.datasource import (
     DataSource, DataSourceReader, DataSourceStreamReader, EqualTo, Filter, GreaterThan, GreaterThanOrEqual, InputPartition,
@@ -31,6 +32,8 @@ from pyspark.sql.datasource import (
 )
 from pyspark.sql.pandas.types import to_arrow_type
 
+from tidelane.session import share_package
+
 _COMPARISONS: dict[type, Callable] = {
     EqualTo: operator.eq, GreaterThan: operator.gt, GreaterThanOrEqual: operator.ge, LessThan: operator.lt, LessThanOrEqual: operator.le,
 }
@@ -169,3 +172,9 @@ class JsonLinesFeed(DataSource):
 
     def streamReader(self, schema: T.StructType) -> DataSourceStreamReader:
         return _StreamReader(Files(schema, self.options["path"]))
+
+
+def register(spark: SparkSession) -> None:
+    """Make the connector known to a session as ``tidelane_feed``."""
+    share_package(spark)
+    spark.dataSource.register(JsonLinesFeed)

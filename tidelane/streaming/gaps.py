@@ -11,6 +11,7 @@ from pyspark.sql.streaming.state import GroupState, GroupStateTimeout
 
 from tidelane.operators.ledger import COMPLETED, KEYS
 from tidelane.operators.monitor import micros
+from tidelane.session import share_package
 
 _ALERTS = "connection string, table_name string, from_us bigint, to_us bigint"
 _STATE = "first array<bigint>, last array<bigint>, told bigint"
@@ -69,6 +70,7 @@ def stream_gaps(events: DataFrame, interval_seconds: int, delay: str) -> DataFra
     ones are dropped. Per table the state holds its stretches of runs not yet settled, which are few.
     """
     limit = 2 * interval_seconds * 1_000_000
+    share_package(events.sparkSession)
     done = events.where(F.col("event") == COMPLETED).select(*KEYS, micros(F.col("at")).alias("us"))
     timed = done.withColumn("_event_time", F.timestamp_micros("us")).withWatermark("_event_time", delay)
     found = timed.groupBy(*KEYS).applyInPandasWithState(_watch(limit), _ALERTS, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
