@@ -307,7 +307,7 @@ def _run(path: str, text: str, key: str, into: str, rate: float, seed: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         pieces = load(path)
         for batch in batches:
-            for rows, raw in slices(batch, text, 3 << 20):
+            for rows, raw in slices(batch, text):
                 texts = raw.cast(pa.string() if pa.types.is_binary(raw.type) else pa.large_string()).to_pylist()
                 tokens, counts = encode_slice(pieces, texts, rows[key].to_numpy(), rate, seed)
                 back, sizes = decode_slice(pieces, tokens, counts)
