@@ -78,6 +78,18 @@ def test_sizes(spark):
     assert apply(spark, text.format_bytes, sizes, "bigint") == [wanted(s) for s in sizes]
 
 
+def test_large_sizes_round_as_their_doubles_do(spark):
+    """The shortest text of a large double may end in a half where its value does not."""
+    sizes = [random.Random(shift * 1000 + i).randrange(1 << shift, 1 << shift + 1) for shift in range(43, 63) for i in range(200)]
+    sizes += [2**53 - 1, 2**60 + 1, 2**63 - 1]
+
+    def wanted(size):
+        tenths = round(Fraction(float(size)) * 10 / 1024**2)
+        return f"{tenths // 10}.{tenths % 10} MB"
+
+    assert apply(spark, text.format_bytes, sizes, "bigint") == [wanted(s) for s in sizes]
+
+
 def test_durations(spark):
     cases = {
         0: "0s", 1: "1µs", 999: "999µs", 1000: "1ms", 1500: "1.5ms", 1_000_000: "1s", 45_000_000: "45s",

@@ -96,7 +96,12 @@ def mask() -> Column:
 def format_bytes(size: Column) -> Column:
     """Size as ``12 B``, ``3.4 KB`` or ``5.6 MB`` in steps of 1024, exact halves to even."""
     def scaled(step: int, unit: str) -> Column:
-        return F.format_string(f"%.1f {unit}", F.bround(size.cast("double") / step, 1))
+        # Dividing by a power of 2 and taking tenths of what is left are exact. Spark's own rounding goes by the shortest
+        # decimal text of a double, in which large sizes look like halves that they are not.
+        value = size.cast("double") / step
+        whole = F.floor(value)
+        tenths = whole * 10 + F.rint((value - whole) * 10).cast("bigint")
+        return F.format_string(f"%d.%d {unit}", _div(tenths, 10), tenths % 10)
 
     return (
         F.when(size >= MIB, scaled(MIB, "MB"))
