@@ -198,3 +198,23 @@ def test_overdue_tables_are_told_while_the_stream_runs(spark, place):
     told = runs(("a", 130), ("b", 175))
     assert told == [("a", 45, 0), ("a", 45, 130)]
     assert runs(("b", 230)) == [("a", 45, 0), ("a", 45, 130), ("a", 130, 0)]
+
+
+def test_tables_share_states_of_gaps(spark, place):
+    folder, checkpoint, table = place
+    columns = "connection string, table_name string, run_id string, event string, at timestamp_ntz"
+    start, limit = dt.datetime(2024, 1, 1), 3600
+    runs = {(c, f"t{i}"): sorted({(i * 37 + k * k * 13) % 900 for k in range(9)}) for c in ("p", None) for i in range(60)}
+    rows = [(*key, "r", L.COMPLETED, start + dt.timedelta(minutes=m)) for key, times in runs.items() for m in times]
+    arrive(spark.createDataFrame(rows, columns), folder)
+    events = spark.readStream.schema(columns).parquet(folder)
+    query = loads.stream_append_only(gaps.stream_gaps(events, limit // 2, "0 seconds", groups=7), table, checkpoint, "t")
+    query.awaitTermination()
+    assert max(p.stateOperators[0].numRowsTotal for p in query.recentProgress if p.stateOperators) <= 7
+    newest = max(times[-1] for times in runs.values())
+    want = [(*key, a, b) for key, times in runs.items() for a, b in zip(times, times[1:], strict=False) if b - a > 60]
+    want += [(*key, times[-1], None) for key, times in runs.items() if newest - times[-1] > 60]
+    minute = lambda t: t and int((t - start).total_seconds() // 60)
+    have = [(r.connection, r.table_name, minute(r.gap_from), minute(r.gap_to)) for r in table.read().collect()]
+    ended = {x[:3] for x in have if x[3] is not None}
+    assert sorted(map(str, (x for x in have if x[3] is not None or x[:3] not in ended))) == sorted(map(str, want))

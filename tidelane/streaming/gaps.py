@@ -1,4 +1,8 @@
-"""Gaps between completed runs, told as a stream: each table has a timer that runs out when its next run is overdue."""
+"""Gaps between completed runs, told as a stream: timers run out when the next run of a table is overdue.
+
+Tables share the states and timers of ``groups`` groups, since a call of a task's Python function costs milliseconds and the
+runs of one table hardly anything.
+"""
 
 from __future__ import annotations
 
@@ -14,7 +18,8 @@ from tidelane.operators.monitor import micros
 from tidelane.session import share_package
 
 _ALERTS = "connection string, table_name string, from_us bigint, to_us bigint"
-_STATE = "first array<bigint>, last array<bigint>, told bigint"
+_STATE = "connection array<string>, table_name array<string>, first array<array<bigint>>, last array<array<bigint>>, told array<bigint>"
+_GROUP = "_group"
 
 
 def merged(stretches: list[tuple[int, int]], limit: int) -> list[tuple[int, int]]:
@@ -44,35 +49,49 @@ def settle(stretches: list[tuple[int, int]], told: int, now: int, limit: int) ->
 
 
 def _watch(limit: int):
-    def watch(key: tuple, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
-        first, last, told = state.get if state.exists else ([], [], -1)
-        stretches = list(zip(first, last, strict=True))
+    def watch(_, frames: Iterator[pd.DataFrame], state: GroupState) -> Iterator[pd.DataFrame]:
+        tables = {}
+        for connection, name, first, last, told in zip(*state.get, strict=True) if state.exists else ():
+            tables[connection, name] = (list(zip(first, last, strict=True)), told)
         for frame in frames:
-            # A stretch of runs takes two numbers, however many runs it has.
-            stretches = merged(stretches + [(x, x) for x in frame["us"].tolist()], limit)
-        now = state.getCurrentWatermarkMs()
-        alerts, stretches, told = settle(stretches, told, now * 1000 + 999, limit)
-        state.update(([a for a, _ in stretches], [b for _, b in stretches], told))
-        # The next moment at which something becomes certain: a later stretch begins, or the first one is overdue.
-        due = [a for a, _ in stretches[1:2]] or ([stretches[0][1] + limit] if stretches and told < stretches[0][1] else [])
+            runs: dict[tuple, list[tuple[int, int]]] = {}
+            for connection, name, us in zip(*(frame[c].tolist() for c in (*KEYS, "us")), strict=True):
+                runs.setdefault((connection, name), []).append((us, us))
+            for key, new in runs.items():
+                stretches, told = tables.get(key, ([], -1))
+                # A stretch of runs takes two numbers, however many runs it has.
+                tables[key] = (merged(stretches + new, limit), told)
+        now, alerts, due = state.getCurrentWatermarkMs(), [], []
+        for key, (stretches, told) in tables.items():
+            found, stretches, told = settle(stretches, told, now * 1000 + 999, limit)
+            alerts += [(*key, a, b) for a, b in found]
+            tables[key] = (stretches, told)
+            # The next moment at which something becomes certain: a later stretch begins, or the first one is overdue.
+            due += [a for a, _ in stretches[1:2]] or ([stretches[0][1] + limit] if stretches and told < stretches[0][1] else [])
+        kept = [(*key, [a for a, _ in stretches], [b for _, b in stretches], told) for key, (stretches, told) in tables.items()]
+        state.update(tuple(map(list, zip(*kept, strict=True))))
         if due:
-            state.setTimeoutTimestamp(max(due[0] // 1000 + 1, now + 1))
-        yield pd.DataFrame([(*key, a, b) for a, b in alerts], columns=["connection", "table_name", "from_us", "to_us"]).astype({"to_us": "Int64"})
+            state.setTimeoutTimestamp(max(min(due) // 1000 + 1, now + 1))
+        if alerts:
+            yield pd.DataFrame(alerts, columns=["connection", "table_name", "from_us", "to_us"]).astype({"to_us": "Int64"})
 
     return watch
 
 
-def stream_gaps(events: DataFrame, interval_seconds: int, delay: str) -> DataFrame:
+def stream_gaps(events: DataFrame, interval_seconds: int, delay: str, groups: int = 4096) -> DataFrame:
     """Alerts over a stream of ledger events: stretches of more than twice the interval without a completed run.
 
     Columns ``connection, table_name, gap_from, gap_to, gap_us``. An alert without ``gap_to`` comes as soon as a table is
     overdue, by event time; one with it once a run has ended the gap. Events may come in any order within ``delay``; later
-    ones are dropped. Per table the state holds its stretches of runs not yet settled, which are few.
+    ones are dropped. Per table the state holds its stretches of runs not yet settled, which are few. The tables of a group,
+    by hash one of ``groups``, are read and written together, so more groups suit very many tables of which few run in a
+    batch. A checkpoint keeps the number that it began with.
     """
     limit = 2 * interval_seconds * 1_000_000
     share_package(events.sparkSession)
     done = events.where(F.col("event") == COMPLETED).select(*KEYS, micros(F.col("at")).alias("us"))
     timed = done.withColumn("_event_time", F.timestamp_micros("us")).withWatermark("_event_time", delay)
-    found = timed.groupBy(*KEYS).applyInPandasWithState(_watch(limit), _ALERTS, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
+    grouped = timed.withColumn(_GROUP, F.pmod(F.xxhash64(*KEYS), F.lit(groups))).groupBy(_GROUP)
+    found = grouped.applyInPandasWithState(_watch(limit), _ALERTS, _STATE, "append", GroupStateTimeout.EventTimeTimeout)
     zoneless = lambda c: (F.lit("1970-01-01").cast("timestamp_ntz") + F.make_dt_interval(secs=F.col(c).cast("decimal(20,0)").cast("decimal(28,6)") / F.lit(1_000_000))).cast("timestamp_ntz")
     return found.select(*KEYS, zoneless("from_us").alias("gap_from"), zoneless("to_us").alias("gap_to"), (F.col("to_us") - F.col("from_us")).alias("gap_us"))
