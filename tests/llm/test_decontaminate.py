@@ -108,3 +108,17 @@ def test_odd_rows(spark, odd, nothing):
     assert have == sorted((str(b[0]), b[1], b[3]) for b in brute(rows, [(1, "word3 word4 word5"), (2, "one")]))
     assert decontaminate.decontaminate(nothing, items).columns == odd.columns
     assert decontaminate.decontaminate(odd, items.limit(0)).count() == odd.count()
+
+
+def test_spans_are_cut_by_the_tasks_that_find_them(spark):
+    """A second function would need a second Python worker for each core, which stays in memory for the stages that follow."""
+    docs = spark.createDataFrame([(1, "p q a b c d e r s"), (2, "éあ a b c d x"), (3, None)], "doc_id long, text string")
+    items = spark.createDataFrame([("i", "a b c d e")], "item_id string, text string")
+    out = decontaminate.decontaminate(docs, items, 4, share=1, longest=4)
+    assert out._jdf.queryExecution().executedPlan().toString().count("MapInArrow") == 1
+    want = [(1, "p q  r s"), (2, "éあ a b c d x"), (3, None)]
+    assert sorted(map(tuple, out.collect())) == want
+    for most in (200_000, 0):
+        found = decontaminate.find_items(docs, items, "found", 4, broadcast_words=most, longest=4).collect()
+        assert sorted((r.doc_id, r.text) for r in found) == want
+        assert sorted((s.start, s.end) for r in found for s in r.found.spans) == [(1, 5), (2, 7)]

@@ -162,7 +162,27 @@ def _told(words: Words, spans: dict[int, list[tuple[int, int]]], items: dict[int
     return made
 
 
-def _stream(shared, text: str, found: str):
+def _with_found(rows: pa.RecordBatch, text: str, found: str, told: list[dict], longest: int | None) -> pa.RecordBatch:
+    """The rows with what was found in them; spans of more than ``longest`` hit words are cut out of their texts."""
+    at = rows.schema.get_field_index(found)
+    rows = rows.set_column(at, rows.schema.field(found), pa.array(told, rows.schema.field(found).type))
+    if longest is None:
+        return rows
+    made = []
+    for value, found_in in zip(rows[text].to_pylist(), told, strict=True):
+        spans = [s for s in found_in["spans"] if s["end"] - s["start"] > longest]
+        if spans:
+            raw, last, parts = value.encode(), 0, []
+            for s in spans:
+                parts.append(raw[last : s["byte_start"]])
+                last = s["byte_end"]
+            value = b"".join([*parts, raw[last:]]).decode()
+        made.append(value)
+    at = rows.schema.get_field_index(text)
+    return rows.set_column(at, rows.schema.field(text), pa.array(made, rows.schema.field(text).type))
+
+
+def _stream(shared, text: str, found: str, longest: int | None):
     """Stream texts through a few automata that every task holds."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -177,8 +197,7 @@ def _stream(shared, text: str, found: str):
                         spans[doc] += own
                     for doc, own in more[1].items():
                         items[doc] |= own
-                at = rows.schema.get_field_index(found)
-                yield rows.set_column(at, rows.schema.field(found), pa.array(_told(words, spans, items), rows.schema.field(found).type))
+                yield _with_found(rows, text, found, _told(words, spans, items), longest)
 
     return run
 
@@ -267,7 +286,7 @@ def _meet(window: int):
     return run
 
 
-def _finish(text: str, found: str, spans_in: str, items_in: str):
+def _finish(text: str, found: str, spans_in: str, items_in: str, longest: int | None):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for rows, texts in slices(batch, text):
@@ -276,13 +295,12 @@ def _finish(text: str, found: str, spans_in: str, items_in: str):
                 spans = {i: [(s["start"] + first[i], s["end"] + first[i]) for s in x] for i, x in enumerate(rows[spans_in].to_pylist()) if x}
                 items = {i: set(x) for i, x in enumerate(rows[items_in].to_pylist()) if x}
                 rows = rows.drop_columns([spans_in, items_in])
-                at = rows.schema.get_field_index(found)
-                yield rows.set_column(at, rows.schema.field(found), pa.array(_told(words, spans, items), rows.schema.field(found).type))
+                yield _with_found(rows, text, found, _told(words, spans, items), longest)
 
     return run
 
 
-def _by_blocks(out: DataFrame, into: str, pieces: DataFrame, total: int, window: int, limit: int, group_bytes: int) -> DataFrame:
+def _by_blocks(out: DataFrame, into: str, pieces: DataFrame, total: int, window: int, limit: int, group_bytes: int, longest: int | None) -> DataFrame:
     """The same as streaming every document through every automaton, for items of any number of words."""
     kind = out.schema
     blocks = -(-total // limit) + 1
@@ -303,18 +321,25 @@ def _by_blocks(out: DataFrame, into: str, pieces: DataFrame, total: int, window:
     )
     merged = met.groupBy(F.col("row").alias("of_row")).agg(F.flatten(F.collect_list("spans")).alias(spans), F.array_distinct(F.flatten(F.collect_list("items"))).alias(items))
     joined = kept.join(merged, F.col(row) == F.col("of_row"), "left").drop(row, "of_row")
-    return joined.mapInArrow(_finish("text", into, spans, items), kind)
+    return joined.mapInArrow(_finish("text", into, spans, items, longest), kind)
 
 
 def find_items(
-    docs: DataFrame, items: DataFrame, into: str, window: int = 13, words_per_automaton: int = 50_000, broadcast_words: int = 200_000, group_bytes: int = 1 << 24
+    docs: DataFrame,
+    items: DataFrame,
+    into: str,
+    window: int = 13,
+    words_per_automaton: int = 50_000,
+    broadcast_words: int = 200_000,
+    group_bytes: int = 1 << 24,
+    longest: int | None = None,
 ) -> DataFrame:
     """``docs`` with a struct column ``into``: ``n_words``, ``spans`` of hit words and ``items`` whose windows occur.
 
     Needs ``docs.text``, ``items.item_id`` and ``items.text``. Spans are merged, in words and in bytes of the UTF-8 text,
     ends exclusive. Null texts have no words; items without words are left out; words in a window of an item with a null id are hit, but
     no item is named. Items that share an id count as one. Other columns pass through; an earlier column ``into`` is replaced. Rows repeat
-    as given.
+    as given. With ``longest``, spans of more hit words than that are cut out of the texts by the same tasks; the spans told are those before.
     """
     if window < 1:
         raise ValueError("window must be at least 1")
@@ -324,7 +349,7 @@ def find_items(
     pieces = written(named.mapInArrow(_pieces(window, limit), "item_id string, words array<long>"), "items")
     total = pieces.agg(F.sum(F.size("words"))).first()[0] or 0
     if total > broadcast_words:
-        return _by_blocks(out, into, pieces, total, window, limit, group_bytes)
+        return _by_blocks(out, into, pieces, total, window, limit, group_bytes, longest)
     blocks, size = [[]], 0
     for row in pieces.orderBy("item_id", "words").toLocalIterator():  # no more than ``broadcast_words`` words
         if size + len(row.words) > limit:
@@ -333,7 +358,7 @@ def find_items(
         blocks[-1].append((row.item_id, np.array(row.words, np.int64).view(np.uint64).tolist()))
         size += len(row.words)
     shared = docs.sparkSession.sparkContext.broadcast([Automaton(block, window) for block in blocks])
-    return out.mapInArrow(_stream(shared, "text", into), out.schema)
+    return out.mapInArrow(_stream(shared, "text", into, longest), out.schema)
 
 
 def n_hit(found: str):
@@ -346,25 +371,6 @@ def contaminated(found: str, share: int = 20):
     return (n_hit(found) > 0) & (n_hit(found) * share >= F.col(f"{found}.n_words"))
 
 
-def _cut(text: str, found: str, longest: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            made = []
-            for value, found_in in zip(batch[text].to_pylist(), batch[found].to_pylist(), strict=True):
-                spans = [s for s in found_in["spans"] if s["end"] - s["start"] > longest]
-                if spans:
-                    raw, last, parts = value.encode(), 0, []
-                    for s in spans:
-                        parts.append(raw[last : s["byte_start"]])
-                        last = s["byte_end"]
-                    value = b"".join([*parts, raw[last:]]).decode()
-                made.append(value)
-            at = batch.schema.get_field_index(text)
-            yield batch.set_column(at, batch.schema.field(text), pa.array(made, batch.schema.field(text).type))
-
-    return run
-
-
 def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, share: int = 20, longest: int | None = None) -> DataFrame:
     """``docs`` without contaminated documents; the rest keeps its columns and rows.
 
@@ -372,7 +378,4 @@ def decontaminate(docs: DataFrame, items: DataFrame, window: int = 13, share: in
     cut out of the documents that stay; by default their texts are left as they are. Nulls as in ``find_items``.
     """
     found = unused(docs, "found")
-    out = find_items(docs, items, found, window).where(~contaminated(found, share))
-    if longest is not None:
-        out = out.mapInArrow(_cut("text", found, longest), out.schema)
-    return out.drop(found)
+    return find_items(docs, items, found, window, longest=longest).where(~contaminated(found, share)).drop(found)
