@@ -1,13 +1,17 @@
 """Near-duplicate classes by improved consistent weighted sampling over TF-IDF shingles.
 
-A shingle is five words (a shorter text is one shingle), weighted by its count in the text times an inverse document
-frequency that is 1 up to a share ``common`` of all documents and falls to 0 as the logarithm of N / df above it. So only
-shingles more common than that need to be known by the tasks, and at most (mean shingles of a document) / ``common``
-shingles are, whatever the number of documents.
+A shingle is five words (a shorter text is one shingle), weighted by its count in the text times its inverse document
+frequency ln((F + 1) / df), for every shingle. Copies of a text would lose weight on what they share, so one text of each of the
+F families is counted: a family is connected by links of plain counts, found in a first round like that of the result, whose samples are least
+hashes of the shingles, each as often as it is counted. Texts
+are dealt in blocks; a block's distinct shingles go to the tasks that count them, and those that two families or more hold come
+back to the block with their number. A shingle that does not come back is in one family at most. ``common`` asks for a
+shorter way instead: 1 for shingles in up to that share of all texts, above it falling as the logarithm of N / df.
 
 Equal texts are one node. Each gets ``bands * samples_each`` consistent weighted samples, each of which two texts share with a
 probability equal to their weighted Jaccard similarity. Texts that share all samples of a band meet in a bucket, with
-their whole texts. There all pairs are compared whose samples agree in 55 percent or more (at a similarity of 0.8 one
+their whole texts; a bucket of the same texts as one of an earlier band has no pair that is new, and is left out. There all
+pairs are compared whose samples agree in 55 percent or more (at a similarity of 0.8 one
 pair in 5,000 does not) and that no found link joins yet, each in the first band that it shares; only links that join
 something new leave the task, so their number is below that of the rows. Buckets of more than ``block_rows`` texts are compared
 in blocks dealt differently in each band; if such a bucket still holds several components, its pairs of blocks follow.
@@ -16,16 +20,19 @@ in blocks dealt differently in each band; if such a bucket still holds several c
 from __future__ import annotations
 
 import math
+import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelane.llm.components import components
 from tidelane.llm.frames import unused, written
 from tidelane.llm.words import LETTERS, mix, slices, words_of
+from tidelane.session import new_folder
 
 _FOLD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
 #: -ln of a uniform number in 65,536 steps; a sum of two is Gamma(2, 1).
@@ -34,6 +41,14 @@ _EXPONENTIAL = -np.log((np.arange(65536) + 0.5) / 65536).astype(np.float32)
 COUNTERS = 1 << 16
 #: Tasks that the copies of one text are dealt to where they meet their class.
 SALTS = 16
+#: Bands of the first round, which only tells families: at a similarity of 0.8 two texts share one with probability 0.986.
+FAMILY_BANDS = 6
+#: Distinct shingles of blocks that one task counts, about; there is one for every six bytes of text.
+PART_SHINGLES = 1 << 20
+#: A word character; texts without any are no nodes.
+WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
+#: Weights that leave every shingle its count.
+PLAIN = (np.zeros(0, np.uint64), np.zeros(0))
 
 
 def _shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
@@ -54,7 +69,9 @@ def _shingles(texts: pa.Array, size: int) -> tuple[np.ndarray, np.ndarray]:
 
 def _weighted(text: np.ndarray, shingle: np.ndarray, common: tuple[np.ndarray, np.ndarray]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
     """Distinct shingles of each text with their weights; those of weight 0 are left out."""
-    order = np.lexsort((shingle, text))
+    order = np.argsort(shingle)
+    number = text[order]
+    order = order[np.argsort(number.astype(np.uint16) if len(text) and number.max() < 1 << 16 else number, kind="stable")]
     text, shingle = text[order], shingle[order]
     at = np.flatnonzero(np.r_[True, (text[1:] != text[:-1]) | (shingle[1:] != shingle[:-1])]) if len(text) else np.zeros(0, np.int64)
     weight = np.diff(np.r_[at, len(text)]).astype(np.float64)
@@ -115,14 +132,130 @@ def common_shingles(texts: DataFrame, size: int, share: float) -> tuple[np.ndarr
     return known[order], np.maximum(weight, 0)[order]
 
 
+def _packed(numbers: np.ndarray) -> bytes:
+    """Numbers byte by byte, the low bytes of all first, so that those which are mostly 0 compress."""
+    return numbers.view(np.uint8).reshape(-1, numbers.itemsize).T.tobytes()
+
+
+def _unpacked(data: bytes, kind) -> np.ndarray:
+    return np.ascontiguousarray(np.frombuffer(data, np.uint8).reshape(np.dtype(kind).itemsize, -1).T).view(kind).ravel()
+
+
+def _pack_sorted(shingles: np.ndarray) -> bytes:
+    return _packed(np.diff(shingles, prepend=np.uint64(0)))
+
+
+def _unpack_sorted(data: bytes) -> np.ndarray:
+    return np.cumsum(_unpacked(data, np.uint64), dtype=np.uint64)
+
+
+def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """The first row of each node in the partition."""
+    seen = set()
+    for batch in batches:
+        keep = [i for i, node in enumerate(batch["node"].to_pylist()) if not (node in seen or seen.add(node))]
+        yield batch if len(keep) == len(batch) else batch.take(pa.array(keep, pa.int64()))
+
+
+class _Dealt:
+    """One row of each text that is a node, in blocks of about ``block_bytes``, in buckets of whole blocks until the table is dropped."""
+
+    def __init__(self, texts: DataFrame, total: int, block_bytes: int):
+        self.spark, self.name, self.bytes = texts.sparkSession, f"tidelane_{uuid.uuid4().hex}", total
+        texts = texts.where(F.col("node").isNotNull()).select("node", "text")
+        blocks = max(1, -(-total // block_bytes))
+        once = texts.mapInArrow(_once, "node string, text string").withColumn("deal", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int"))
+        # Some blocks share a file and a task, but no core is left without.
+        buckets = max(-(-blocks // 8), min(blocks, self.spark.sparkContext.defaultParallelism))
+        once = once.repartition(buckets, "deal").mapInArrow(_once, "node string, text string, deal int")
+        once.write.bucketBy(buckets, "deal").option("path", new_folder(self.spark, "texts")).saveAsTable(self.name)
+
+    def read(self) -> DataFrame:
+        return self.spark.table(self.name)
+
+    def meet(self, other: DataFrame, function, schema: str) -> DataFrame:
+        """What ``function`` makes of each block's texts and the rows of ``other`` that are dealt to it."""
+        return self.read().groupBy("deal").cogroup(other.groupBy("deal")).applyInArrow(function, schema)
+
+    def drop(self) -> None:
+        self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
+
+
+def _block_shingles(size: int, parts: int):
+    """A block's distinct shingles, sorted, and how many of its texts hold each, less those that are not counted."""
+
+    def run(texts: pa.Table, left_out: pa.Table) -> pa.Table:
+        deal = (texts if len(texts) else left_out)["deal"][0].as_py()
+        counted = pc.invert(pc.is_in(texts["node"], value_set=left_out["node"].combine_chunks()))
+        found, n = [], []
+        for part, own in slices(texts.append_column("counted", counted), "text"):
+            text, shingle = _shingles(own, size)
+            order = np.argsort(shingle, kind="stable")
+            text, shingle = text[order], shingle[order]
+            fresh = np.r_[True, shingle[1:] != shingle[:-1]] if len(shingle) else np.zeros(0, bool)
+            new = fresh.copy()
+            new[1:] |= text[1:] != text[:-1]
+            at = np.flatnonzero(fresh)
+            found.append(shingle[at])
+            n.append(np.add.reduceat((part["counted"].to_numpy()[text] & new).astype(np.uint32), at) if len(at) else np.zeros(0, np.uint32))
+        shingle, n = _summed(np.concatenate(found), np.concatenate(n)) if found else (np.zeros(0, np.uint64), np.zeros(0, np.uint32))
+        # Parts are equal ranges of the hash's upper half.
+        bounds = np.searchsorted(shingle, np.array([-(-(p << 32) // parts) << 32 for p in range(parts)], np.uint64))
+        runs = [(p, a, b) for p, (a, b) in enumerate(zip(bounds, [*bounds[1:], len(shingle)], strict=True)) if a < b]
+        return pa.table({
+            "part": pa.array([p for p, _, _ in runs], pa.int32()), "deal": pa.array([deal] * len(runs), pa.int32()),
+            "shingles": pa.array([_pack_sorted(shingle[a:b]) for _, a, b in runs], pa.binary()), "n": pa.array([_packed(n[a:b]) for _, a, b in runs], pa.binary()),
+        })
+
+    return run
+
+
+def _summed(shingle: np.ndarray, n: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct shingles, sorted, with their sums of ``n``."""
+    order = np.argsort(shingle, kind="stable")
+    shingle = shingle[order]
+    at = np.flatnonzero(np.r_[True, shingle[1:] != shingle[:-1]]) if len(shingle) else np.zeros(0, np.int64)
+    return shingle[at], np.add.reduceat(n[order], at).astype(np.uint32) if len(at) else n
+
+
+def _count_part(rows: pa.Table) -> pa.Table:
+    """For each block the shingles of this part that two counted texts or more hold, with their number."""
+    own = [_unpack_sorted(x.as_buffer()) for x in rows["shingles"]]
+    known, n = _summed(np.concatenate(own), np.concatenate([_unpacked(x.as_buffer(), np.uint32) for x in rows["n"]]))
+    known, n = known[n > 1], n[n > 1]
+    shingles, counts = [], []
+    for x in own:
+        at = np.searchsorted(known, x)
+        hit = known[np.minimum(at, len(known) - 1)] == x if len(known) else np.zeros(len(x), bool)
+        shingles.append(_pack_sorted(x[hit]))
+        counts.append(_packed(n[at[hit]]))
+    return pa.table({"deal": rows["deal"], "shingles": pa.array(shingles, pa.binary()), "n": pa.array(counts, pa.binary())})
+
+
+def frequencies(dealt: _Dealt, left_out: DataFrame, size: int) -> DataFrame:
+    """``deal, shingles, n``: of each block's shingles all that are in two texts or more, ``left_out`` (``deal, node``) not counted."""
+    parts = max(1, -(-dealt.bytes // (6 * PART_SHINGLES)))
+    runs = dealt.meet(left_out, _block_shingles(size, parts), "part int, deal int, shingles binary, n binary")
+    return runs.repartition(parts, "part").groupBy("part").applyInArrow(_count_part, "deal int, shingles binary, n binary").where(F.length("shingles") > 0)
+
+
+def _idf(n: np.ndarray, families: int) -> np.ndarray:
+    """Inverse document frequencies, as shares of that of a shingle in one family; never 0."""
+    return np.log((families + 1) / n) / np.log(families + 1)
+
+
 def samples(texts: pa.Array, size: int, common, hashes: int) -> tuple[np.ndarray, np.ndarray]:
     """Which texts have shingles, and their consistent weighted samples, a row for each such text."""
-    text, shingle, weight = _weighted(*_shingles(texts, size), common)
+    return _sampled(*_weighted(*_shingles(texts, size), common), hashes)
+
+
+def _sampled(text: np.ndarray, shingle: np.ndarray, weight: np.ndarray, hashes: int) -> tuple[np.ndarray, np.ndarray]:
     first = np.flatnonzero(np.r_[True, text[1:] != text[:-1]]) if len(text) else np.zeros(0, np.int64)
     out = np.empty((len(first), hashes), np.int32)
     if len(first):
         log_weight = np.log(weight).astype(np.float32)
-        plain = not log_weight.any()
+        other = np.flatnonzero(log_weight)
+        log_weight = log_weight[other]
         for j in range(hashes):
             x = (shingle ^ mix(np.array([j + 1], np.uint64))) * _FOLD[1]
             x ^= x >> np.uint64(32)
@@ -133,31 +266,93 @@ def samples(texts: pa.Array, size: int, common, hashes: int) -> tuple[np.ndarray
             c = np.log(_EXPONENTIAL[part[:, 2]] + _EXPONENTIAL[part[:, 3]])
             beta = ((x * _FOLD[4]) >> np.uint64(40)).astype(np.float32) * np.float32(2**-24)
             # t is 0 for a weight of 1. The least of ln c - r (t - beta) - r tells the shingle and its t.
-            step = 0 if plain else np.floor(log_weight / r + beta)
-            out[:, j] = np.minimum.reduceat(c - r * (step - beta + 1), first).astype(np.float32).view(np.int32)
+            step = 1 - beta
+            step[other] += np.floor(log_weight / r[other] + beta[other])
+            out[:, j] = np.minimum.reduceat(c - r * step, first).astype(np.float32).view(np.int32)
+    return text[first], out
+
+
+def _counted_samples(texts: pa.Array, size: int, hashes: int) -> tuple[np.ndarray, np.ndarray]:
+    """Like ``samples`` with plain counts: the least hashes of each text's shingles, the k-th of one being an element of its own."""
+    text, shingle, weight = _weighted(*_shingles(texts, size), PLAIN)
+    n = weight.astype(np.int64)
+    nth = np.arange(n.sum()) - np.repeat(np.cumsum(n) - n, n)
+    text, element = np.repeat(text, n), mix(np.repeat(shingle, n) + nth.astype(np.uint64) * _FOLD[0])
+    first = np.flatnonzero(np.r_[True, text[1:] != text[:-1]]) if len(text) else np.zeros(0, np.int64)
+    out = np.empty((len(first), hashes), np.int32)
+    for j in range(hashes) if len(first) else ():
+        x = (element ^ mix(np.array([j + 1], np.uint64))) * _FOLD[1]
+        x ^= x >> np.uint64(29)
+        x *= _FOLD[3]
+        out[:, j] = np.minimum.reduceat((x >> np.uint64(32)).astype(np.uint32), first).view(np.int32)
     return text[first], out
 
 
-def _sign(size: int, shared, bands: int, rows: int):
+#: One row for each text: its block, node, bucket of each band, samples, and how many families hold each of its shingles, sorted.
+SIGNED = "deal int, node string, bands array<long>, samples array<int>, held array<int>"
+
+
+def _signature(rows, found: np.ndarray, bands: int, each: int, held: pa.Array) -> list[pa.Array]:
+    """Columns of ``SIGNED`` but the counts, which are given; all texts have samples, or those that have none come last."""
+    keys = np.zeros((len(found), bands), np.uint64)
+    for k in range(each):
+        keys = mix(keys * _FOLD[0] + found[:, k::each].view(np.uint32).astype(np.uint64) + np.uint64(k + 1))
+    have = np.minimum(np.arange(len(rows) + 1, dtype=np.int32), np.int32(len(found)))
+    lists = [pa.ListArray.from_arrays(pa.array(have * np.int32(w)), pa.array(x.ravel())) for x, w in ((keys.view(np.int64), bands), (found, bands * each))]
+    return [rows["deal"], rows["node"], *lists, held]
+
+
+_SIGNED_NAMES = [x.split()[0] for x in SIGNED.split(", ")]
+
+
+def _sign(size: int, shared, bands: int, each: int):
+    """Signatures with the same weights for all blocks; plain counts if ``shared`` is none."""
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             for part, texts in slices(batch, "text"):
-                which, found = samples(texts, size, shared.value, bands * rows)
-                keys = np.zeros((len(which), bands), np.uint64)
-                for k in range(rows):
-                    keys = mix(keys * _FOLD[0] + found[:, k::rows].view(np.uint32).astype(np.uint64) + np.uint64(k + 1))
+                which, found = samples(texts, size, shared.value, bands * each) if shared else _counted_samples(texts, size, bands * each)
                 # Texts with words that all weigh 0 are nodes too, with empty lists: no bucket, so only equal ones are a class.
-                bare = np.setdiff1d(np.arange(len(texts)), which)
-                if len(bare):
-                    bare = bare[np.diff(words_of(texts.take(pa.array(bare)), LETTERS).first) > 0]
-                take = pa.array(np.r_[which, bare])
-                held = np.minimum(np.arange(len(which) + len(bare) + 1, dtype=np.int32), np.int32(len(which)))
-                lists = [pa.ListArray.from_arrays(pa.array(held * np.int32(w)), pa.array(x.ravel())) for x, w in ((keys.view(np.int64), bands), (found, bands * rows))]
-                yield pa.RecordBatch.from_arrays([part["id"].take(take), part["node"].take(take), *lists], ["id", "node", "bands", "samples"])
+                rows = part.take(pa.array(np.r_[which, np.setdiff1d(np.arange(len(texts)), which)]))
+                held = pa.ListArray.from_arrays(pa.array(np.zeros(len(rows) + 1, np.int32)), pa.array([], pa.int32()))
+                yield pa.RecordBatch.from_arrays(_signature(rows, found, bands, each, held), _SIGNED_NAMES)
+
+    return run
+
+
+def _sign_block(size: int, families: int, bands: int, each: int):
+    """Signatures of a block's texts by the counts of its shingles."""
+
+    def run(texts: pa.Table, counts: pa.Table) -> pa.Table:
+        known = np.concatenate([np.zeros(0, np.uint64), *(_unpack_sorted(x.as_buffer()) for x in counts["shingles"])])
+        n = np.concatenate([np.zeros(0, np.uint32), *(_unpacked(x.as_buffer(), np.uint32) for x in counts["n"])])
+        order = np.argsort(known)
+        known, n = known[order], n[order]
+        out = []
+        for part, own in slices(texts, "text"):
+            text, shingle, weight = _weighted(*_shingles(own, size), PLAIN)
+            held = np.ones(len(shingle), np.int32)
+            if len(known):
+                near = np.minimum(np.searchsorted(known, shingle), len(known) - 1)
+                hit = known[near] == shingle
+                held[hit] = n[near[hit]]
+            _, found = _sampled(text, shingle, weight * _idf(held, families), bands * each)
+            lists = pa.ListArray.from_arrays(pa.array(np.searchsorted(text, np.arange(len(own) + 1)).astype(np.int32)), pa.array(held))
+            rows = part.combine_chunks()
+            out.append(pa.Table.from_arrays(_signature(rows, found, bands, each, lists), _SIGNED_NAMES))
+        kinds = [pa.int32(), pa.string(), pa.list_(pa.int64()), pa.list_(pa.int32()), pa.list_(pa.int32())]
+        schema = pa.schema(list(zip(_SIGNED_NAMES, kinds, strict=True)))
+        return pa.concat_tables([x.cast(schema) for x in out]) if out else schema.empty_table()
 
     return run
 
 
+def _with_texts(texts: pa.Table, signed: pa.Table) -> pa.Table:
+    """Signatures with their texts."""
+    at = pc.index_in(signed["node"], value_set=texts["node"].combine_chunks())
+    return signed.drop_columns(["deal"]).append_column("text", texts["text"].take(at))
+
+
 def similarity(left: pa.Array, right: pa.Array, size: int, common) -> np.ndarray:
     """Weighted Jaccard similarity of texts, one by one with those of the other array."""
     pair, shingle, weight = (np.concatenate(x) for x in zip(*(_weighted(*_shingles(t, size), common) for t in (left, right)), strict=True))
@@ -207,7 +402,7 @@ def _links(band: int, rows: list[tuple], similar: float, likely: int) -> Iterato
                 root[root == root[j]] = root[i]
 
 
-def _compare(size: int, shared, similar: float, likely: int):
+def _compare(size: int, shared, families: int | None, similar: float, likely: int):
     """Links within each bucket's blocks; rows arrive sorted by band, key and the two blocks."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -219,7 +414,9 @@ def _compare(size: int, shared, similar: float, likely: int):
 
         for batch in batches:
             for part, texts in slices(batch, "text"):
-                text, shingle, weight = _weighted(*_shingles(texts, size), shared.value)
+                text, shingle, weight = _weighted(*_shingles(texts, size), shared.value if shared else PLAIN)
+                if families:
+                    weight *= _idf(part["held"].flatten().to_numpy(), families)
                 at = np.searchsorted(text, np.arange(len(texts) + 1))
                 lists = [part[c].flatten().to_numpy().reshape(len(part), -1) for c in ("bands", "samples")]
                 places = zip(*(part[c].to_pylist() for c in ("band", "key", "low", "high")), strict=True)
@@ -235,39 +432,25 @@ def _compare(size: int, shared, similar: float, likely: int):
     return run
 
 
-def near_duplicates(docs: DataFrame, similar: float = 0.8, size: int = 5, common: float = 0.1, bands: int = 12, samples_each: int = 3, block_rows: int = 1024) -> DataFrame:
-    """``doc_id``, ``node``, ``component`` and ``class_id`` for each row: the text's digest, its class's, its class's least ``doc_id``.
-
-    A class holds all texts connected by links of at least ``similar``; equal texts are one class even if all their shingles
-    weigh 0. Texts without words (or null) are classes of their own, also if they are equal: their node and component are
-    null and their class their ``doc_id``. A null ``doc_id`` never is a class's least; a class of such rows only has a null
-    id. So ``class_id`` does not tell classes apart when ids are null or repeated; ``component`` does. Repeated rows are of
-    one class. Other columns are ignored.
-    """
-    spark = docs.sparkSession
-    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
-    texts = docs.select(F.col("doc_id").alias("id"), F.md5(text.cast("binary")).alias("node"), text.alias("text"))
-    shared = spark.sparkContext.broadcast(common_shingles(texts.select("text"), size, common))
-    kind = docs.schema["doc_id"].dataType.simpleString()
-    signed = written(texts.mapInArrow(_sign(size, shared, bands, samples_each), f"id {kind}, node string, bands array<long>, samples array<int>"), "samples")
-    nodes = written(signed.groupBy("node").agg(F.min("id").alias("id"), F.first("bands").alias("bands"), F.first("samples").alias("samples")), "nodes")
-    placed = nodes.select("node", F.posexplode("bands").alias("band", "key"))
-    buckets = placed.groupBy("band", "key").agg(F.count("*").alias("n")).where("n > 1")
+def _classes(dealt: _Dealt, signed: DataFrame, size: int, shared, families: int | None, similar: float, likely: int, block_rows: int) -> DataFrame:
+    """``node, component`` of the nodes that are not their component's least, by links of at least ``similar``."""
+    placed = signed.select("node", F.posexplode("bands").alias("band", "key"))
+    buckets = placed.groupBy("band", "key").agg(F.count("*").alias("n"), F.bit_xor(F.xxhash64("node")).alias("members")).where("n > 1")
+    # A bucket of the same texts as one of an earlier band has no pair for which this is the first common band.
+    first = buckets.where(F.col("n") <= block_rows).groupBy("n", "members").agg(F.min(F.struct("band", "key")).alias("first"))
+    buckets = buckets.where(F.col("n") > block_rows).select("band", "key", "n").union(first.select("first.band", "first.key", "n"))
     blocks = F.ceil(F.col("n") / block_rows)
     placed = placed.join(buckets, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("node", "band"), blocks))
     placed = written(placed, "buckets")
-    involved = placed.select("node").distinct().join(nodes, "node")
-    same = (texts["node"] == involved["node"]) & texts["id"].eqNullSafe(involved["id"])
-    whole = texts.join(involved, same).select(involved["node"], "text", "bands", "samples").dropDuplicates(["node"])
-    whole = written(whole, "texts")
+    involved = signed.join(placed.select("node").distinct(), "node", "left_semi")
+    whole = written(dealt.meet(involved, _with_texts, "node string, bands array<long>, samples array<int>, held array<int>, text string"), "involved")
 
     def linked(rows: DataFrame) -> DataFrame:
         place = ["band", "key", "low", "high"]
         rows = rows.join(whole, "node").repartition(*place).sortWithinPartitions(*place, "node")
-        links = rows.mapInArrow(_compare(size, shared, similar, likely), "a string, b string")
+        links = rows.mapInArrow(_compare(size, shared, families, similar, likely), "a string, b string")
         return written(links, "links")
 
-    likely = math.ceil(0.55 * bands * samples_each)
     links = linked(placed.withColumns({"component": F.col("node"), "low": F.col("block"), "high": F.col("block")}))
     joined = components(links)
     large = placed.where(F.col("n") > block_rows)
@@ -277,17 +460,44 @@ def near_duplicates(docs: DataFrame, similar: float = 0.8, size: int = 5, common
         other = known.join(mixed, ["band", "key"]).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).where("other != block")
         more = linked(other.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other"))
         joined = components(links.union(more))
+    return joined
+
+
+def near_duplicates(
+    docs: DataFrame, similar: float = 0.8, size: int = 5, common: float | None = None, bands: int = 12, samples_each: int = 3, block_rows: int = 1024, block_bytes: int = 4 << 20
+) -> DataFrame:
+    """``doc_id``, ``node``, ``component`` and ``class_id`` for each row: the text's digest, its class's, its class's least ``doc_id``.
+
+    A class holds all texts connected by links of at least ``similar``; equal texts are one class even if all their shingles
+    weigh 0. Texts without words (or null) are classes of their own, also if they are equal: their node and component are
+    null and their class their ``doc_id``. A null ``doc_id`` never is a class's least; a class of such rows only has a null
+    id. So ``class_id`` does not tell classes apart when ids are null or repeated; ``component`` does. Repeated rows are of
+    one class. Other columns are ignored.
+    """
+    spark = docs.sparkSession
+    text = F.coalesce(F.col("text").cast("string"), F.lit(""))
+    texts = docs.select(F.col("doc_id").alias("id"), F.when(text.rlike(WORD), F.md5(text.cast("binary"))).alias("node"), text.alias("text"))
+    rows = written(texts.select(F.col("id").alias("doc_id"), "node", F.octet_length("text").alias("bytes")), "rows")
+    dealt = _Dealt(texts, rows.where(F.col("node").isNotNull()).agg(F.sum("bytes").alias("n")).first().n or 0, block_bytes)
+    if common is None:
+        shared = None
+        alike = written(dealt.read().mapInArrow(_sign(size, shared, FAMILY_BANDS, samples_each), SIGNED), "samples")
+        copies = _classes(dealt, alike, size, shared, None, similar, math.ceil(0.55 * FAMILY_BANDS * samples_each), block_rows)
+        families = max(1, alike.count() - copies.count())
+        left_out = alike.select("deal", "node").join(copies, "node", "left_semi")
+        signed = dealt.meet(frequencies(dealt, left_out, size), _sign_block(size, families, bands, samples_each), SIGNED)
+    else:
+        shared, families = spark.sparkContext.broadcast(common_shingles(texts.select("text"), size, common)), None
+        signed = dealt.read().mapInArrow(_sign(size, shared, bands, samples_each), SIGNED)
+    joined = _classes(dealt, written(signed, "samples"), size, shared, families, similar, math.ceil(0.55 * bands * samples_each), block_rows)
+    dealt.drop()
     # Exact copies share a node, and may be a third of all rows: they are dealt to ``SALTS`` tasks.
-    salted = signed.select("id", "node", F.pmod(F.xxhash64("id"), F.lit(SALTS)).cast("int").alias("salt"))
+    salted = rows.where(F.col("node").isNotNull()).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))
     spread = joined.withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    member = salted.join(spread, ["node", "salt"], "left").select("id", "node", F.coalesce("component", "node").alias("component"))
-    classes = member.groupBy("component").agg(F.min("id").alias("class_id"))
-    members = member.distinct().join(classes, "component").select("id", "node", "component", "class_id")
-    all_rows = texts.select("id", "node")
-    matched = (all_rows["node"] == members["node"]) & all_rows["id"].eqNullSafe(members["id"])
-    return all_rows.join(members, matched, "left").select(
-        all_rows["id"].alias("doc_id"), members["node"], members["component"], F.when(members["node"].isNull(), all_rows["id"]).otherwise(members["class_id"]).alias("class_id")
-    )
+    member = salted.join(spread, ["node", "salt"], "left").select("doc_id", "node", F.coalesce("component", "node").alias("component"))
+    classes = member.groupBy("component").agg(F.min("doc_id").alias("class_id"))
+    wordless = rows.where(F.col("node").isNull()).select("doc_id", "node", F.lit(None).cast("string").alias("component"), F.col("doc_id").alias("class_id"))
+    return member.join(classes, "component").select("doc_id", "node", "component", "class_id").union(wordless)
 
 
 def keep_one(docs: DataFrame) -> DataFrame:
@@ -303,5 +513,5 @@ def keep_one(docs: DataFrame) -> DataFrame:
     kept = kept.select(F.col("least.doc_id").alias(number), F.col("least.node").alias("least_node"))
     copies = own.join(kept, own["doc_id"].eqNullSafe(kept[number]) & (own[node] == kept["least_node"]), "left_semi").dropDuplicates(["doc_id", node])
     # Exactly the texts whose node is null.
-    wordless = docs.where(~F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(r"[0-9A-Za-z\x{80}-\x{10FFFF}]"))
+    wordless = docs.where(~F.coalesce(F.col("text").cast("string"), F.lit("")).rlike(WORD))
     return copies.drop(node).unionByName(wordless)
