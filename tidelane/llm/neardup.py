@@ -154,7 +154,8 @@ def _once(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     seen = set()
     for batch in batches:
         keep = [i for i, node in enumerate(batch["node"].to_pylist()) if not (node in seen or seen.add(node))]
-        yield batch if len(keep) == len(batch) else batch.take(pa.array(keep, pa.int64()))
+        for at in range(0, len(keep), 512):  # the JVM holds a whole batch outside its heap
+            yield batch.take(pa.array(keep[at : at + 512], pa.int64()))
 
 
 class _Dealt:
@@ -443,7 +444,7 @@ def _classes(dealt: _Dealt, signed: DataFrame, size: int, shared, families: int
     placed = placed.join(buckets, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("node", "band"), blocks))
     placed = written(placed, "buckets")
     involved = signed.join(placed.select("node").distinct(), "node", "left_semi")
-    whole = written(dealt.meet(involved, _with_texts, "node string, bands array<long>, samples array<int>, held array<int>, text string"), "involved")
+    whole = dealt.meet(involved, _with_texts, "node string, bands array<long>, samples array<int>, held array<int>, text string")
 
     def linked(rows: DataFrame) -> DataFrame:
         place = ["band", "key", "low", "high"]
