@@ -1,0 +1,59 @@
+"""What the pipeline's steps leave behind: few scratch files whatever the shuffle partitions, and no idle memory in Python workers."""
+
+import subprocess
+import sys
+from collections import Counter
+from pathlib import Path
+
+from tidelane.llm import neardup
+from tidelane.session import shared_folder
+
+ENCODE = """
+import re
+from pathlib import Path
+import numpy as np, pyarrow as pa
+from tidelane.llm import pieces
+from tidelane.llm.queries import PIECE_MODEL
+
+def held():
+    return sum(map(int, re.findall(r"\\nPss_Anon:\\s+(\\d+)", Path("/proc/self/smaps_rollup").read_text()))) / 1024
+
+def batch(n):
+    words = np.random.default_rng(n).integers(0, 200000, (n, 200)).tolist()
+    return pa.RecordBatch.from_arrays([pa.array(range(n)), pa.array([" ".join(f"w{w}" for w in x) for x in words])], ["key", "text"])
+
+run = pieces._run(PIECE_MODEL, "text", "key", "found", 0.1, 1)
+finished = getattr(__import__("tidelane.llm.words", fromlist=["x"]), "giving_back", lambda f: f)(run)
+list(map(len, finished(iter([batch(10)]))))  # the model stays
+one, before = batch(4000), held()
+for out in finished(iter([one])):
+    del out
+print(held() - before)
+"""
+
+
+def test_idle_worker_gives_memory_back():
+    root = str(Path(__file__).resolve().parents[2])
+    found = subprocess.run([sys.executable, "-c", ENCODE], cwd=root, capture_output=True, text=True, check=True, timeout=300)
+    assert float(found.stdout) < 30  # MB
+
+
+def test_few_scratch_files(spark, documents):
+    folder = Path(shared_folder(spark).removeprefix("file:"))
+    earlier = set(folder.glob("*"))
+    held = {"spark.sql.shuffle.partitions": "61", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    old = {k: spark.conf.get(k) for k in held}
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        n = neardup.near_duplicates(documents).count()
+    finally:
+        for k, v in old.items():
+            spark.conf.set(k, v)
+    assert n == documents.count()
+    files = Counter()
+    for path in folder.glob("*/part-*"):
+        if path.parent not in earlier:
+            files[path.parent.name.split("-")[0]] = max(files[path.parent.name.split("-")[0]], len(list(path.parent.glob("part-*"))))
+    assert {"samples", "buckets", "links", "components"} <= set(files)
+    assert max(files[k] for k in ("samples", "buckets", "links", "components")) <= spark.sparkContext.defaultParallelism, files

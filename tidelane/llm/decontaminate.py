@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelane.llm.frames import unused, written
-from tidelane.llm.words import LETTERS, Words, mix, slices, words_of
+from tidelane.llm.words import LETTERS, Words, giving_back, mix, slices, words_of
 
 SPAN = "array<struct<start:int,end:int,byte_start:int,byte_end:int>>"
 
@@ -358,7 +358,7 @@ def find_items(
         blocks[-1].append((row.item_id, np.array(row.words, np.int64).view(np.uint64).tolist()))
         size += len(row.words)
     shared = docs.sparkSession.sparkContext.broadcast([Automaton(block, window) for block in blocks])
-    return out.mapInArrow(_stream(shared, "text", into, longest), out.schema)
+    return out.mapInArrow(giving_back(_stream(shared, "text", into, longest)), out.schema)
 
 
 def n_hit(found: str):

@@ -10,9 +10,13 @@ from pyspark.sql import DataFrame, SparkSession
 from tidelane.session import new_folder
 
 
-def written(frame: DataFrame, purpose: str) -> DataFrame:
-    """The frame, written once to the shared folder and read again, so that later jobs depend on files only."""
+def written(frame: DataFrame, purpose: str, files: int | None = None) -> DataFrame:
+    """The frame, written once to the shared folder and read again, so that later jobs depend on files only.
+
+    ``files`` is the most files to write: many small ones cost time, and a helper process of Java for each where Hadoop's native library is missing.
+    """
     path = new_folder(frame.sparkSession, purpose)
+    frame = frame.coalesce(files) if files else frame
     frame.write.parquet(path)
     return frame.sparkSession.read.schema(frame.schema).parquet(path)
 

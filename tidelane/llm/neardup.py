@@ -31,7 +31,7 @@ from pyspark.sql import functions as F
 
 from tidelane.llm.components import components
 from tidelane.llm.frames import unused, written
-from tidelane.llm.words import LETTERS, mix, slices, words_of
+from tidelane.llm.words import LETTERS, give_back, giving_back, mix, slices, words_of
 from tidelane.session import new_folder
 
 _FOLD = [np.uint64(x) for x in (0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -45,6 +45,8 @@ SALTS = 16
 FAMILY_BANDS = 6
 #: Distinct shingles of blocks that one task counts, about; there is one for every six bytes of text.
 PART_SHINGLES = 1 << 20
+#: Text for each file of a scratch table, about, so that many shuffle partitions do not make many small files.
+FILE_BYTES = 16 << 20
 #: A word character; texts without any are no nodes.
 WORD = r"[0-9A-Za-z\x{80}-\x{10FFFF}]"
 #: Weights that leave every shingle its count.
@@ -165,10 +167,11 @@ class _Dealt:
         self.spark, self.name, self.bytes = texts.sparkSession, f"tidelane_{uuid.uuid4().hex}", total
         texts = texts.where(F.col("node").isNotNull()).select("node", "text")
         blocks = max(1, -(-total // block_bytes))
-        once = texts.mapInArrow(_once, "node string, text string").withColumn("deal", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int"))
+        self.files = max(self.spark.sparkContext.defaultParallelism, -(-total // FILE_BYTES))
+        once = texts.mapInArrow(giving_back(_once), "node string, text string").withColumn("deal", F.pmod(F.xxhash64("node"), F.lit(blocks)).cast("int"))
         # Some blocks share a file and a task, but no core is left without.
         buckets = max(-(-blocks // 8), min(blocks, self.spark.sparkContext.defaultParallelism))
-        once = once.repartition(buckets, "deal").mapInArrow(_once, "node string, text string, deal int")
+        once = once.repartition(buckets, "deal").mapInArrow(giving_back(_once), "node string, text string, deal int")
         once.write.bucketBy(buckets, "deal").option("path", new_folder(self.spark, "texts")).saveAsTable(self.name)
 
     def read(self) -> DataFrame:
@@ -176,7 +179,13 @@ class _Dealt:
 
     def meet(self, other: DataFrame, function, schema: str) -> DataFrame:
         """What ``function`` makes of each block's texts and the rows of ``other`` that are dealt to it."""
-        return self.read().groupBy("deal").cogroup(other.groupBy("deal")).applyInArrow(function, schema)
+
+        def run(texts: pa.Table, rows: pa.Table) -> pa.Table:
+            out = function(texts, rows)
+            give_back()
+            return out
+
+        return self.read().groupBy("deal").cogroup(other.groupBy("deal")).applyInArrow(run, schema)
 
     def drop(self) -> None:
         self.spark.sql(f"DROP TABLE IF EXISTS {self.name}")
@@ -442,25 +451,25 @@ def _classes(dealt: _Dealt, signed: DataFrame, size: int, shared, families: int
     buckets = buckets.where(F.col("n") > block_rows).select("band", "key", "n").union(first.select("first.band", "first.key", "n"))
     blocks = F.ceil(F.col("n") / block_rows)
     placed = placed.join(buckets, ["band", "key"]).withColumn("block", F.pmod(F.xxhash64("node", "band"), blocks))
-    placed = written(placed, "buckets")
+    placed = written(placed, "buckets", dealt.files)
     involved = signed.join(placed.select("node").distinct(), "node", "left_semi")
     whole = dealt.meet(involved, _with_texts, "node string, bands array<long>, samples array<int>, held array<int>, text string")
 
     def linked(rows: DataFrame) -> DataFrame:
         place = ["band", "key", "low", "high"]
         rows = rows.join(whole, "node").repartition(*place).sortWithinPartitions(*place, "node")
-        links = rows.mapInArrow(_compare(size, shared, families, similar, likely), "a string, b string")
-        return written(links, "links")
+        links = rows.mapInArrow(giving_back(_compare(size, shared, families, similar, likely)), "a string, b string")
+        return written(links, "links", dealt.files)
 
     links = linked(placed.withColumns({"component": F.col("node"), "low": F.col("block"), "high": F.col("block")}))
-    joined = components(links)
+    joined = components(links, dealt.files)
     large = placed.where(F.col("n") > block_rows)
     if not large.isEmpty():
         known = large.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
         mixed = known.groupBy("band", "key").agg(F.min("component").alias("least"), F.max("component").alias("most")).where("least != most").select("band", "key")
         other = known.join(mixed, ["band", "key"]).withColumn("other", F.explode(F.sequence(F.lit(0).cast("long"), blocks - 1))).where("other != block")
         more = linked(other.withColumns({"low": F.least("block", "other"), "high": F.greatest("block", "other")}).drop("other"))
-        joined = components(links.union(more))
+        joined = components(links.union(more), dealt.files)
     return joined
 
 
@@ -482,15 +491,15 @@ def near_duplicates(
     dealt = _Dealt(texts, rows.where(F.col("node").isNotNull()).agg(F.sum("bytes").alias("n")).first().n or 0, block_bytes)
     if common is None:
         shared = None
-        alike = written(dealt.read().mapInArrow(_sign(size, shared, FAMILY_BANDS, samples_each), SIGNED), "samples")
+        alike = written(dealt.read().mapInArrow(giving_back(_sign(size, shared, FAMILY_BANDS, samples_each)), SIGNED), "samples", dealt.files)
         copies = _classes(dealt, alike, size, shared, None, similar, math.ceil(0.55 * FAMILY_BANDS * samples_each), block_rows)
         families = max(1, alike.count() - copies.count())
         left_out = alike.select("deal", "node").join(copies, "node", "left_semi")
         signed = dealt.meet(frequencies(dealt, left_out, size), _sign_block(size, families, bands, samples_each), SIGNED)
     else:
         shared, families = spark.sparkContext.broadcast(common_shingles(texts.select("text"), size, common)), None
-        signed = dealt.read().mapInArrow(_sign(size, shared, bands, samples_each), SIGNED)
-    joined = _classes(dealt, written(signed, "samples"), size, shared, families, similar, math.ceil(0.55 * bands * samples_each), block_rows)
+        signed = dealt.read().mapInArrow(giving_back(_sign(size, shared, bands, samples_each)), SIGNED)
+    joined = _classes(dealt, written(signed, "samples", dealt.files), size, shared, families, similar, math.ceil(0.55 * bands * samples_each), block_rows)
     dealt.drop()
     # Exact copies share a node, and may be a third of all rows: they are dealt to ``SALTS`` tasks.
     salted = rows.where(F.col("node").isNotNull()).withColumn("salt", F.pmod(F.xxhash64("doc_id"), F.lit(SALTS)).cast("int"))

@@ -26,7 +26,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from tidelane.llm.frames import unused
-from tidelane.llm.words import mix, slices
+from tidelane.llm.words import giving_back, mix, slices
 
 SPACE = 0x2581
 #: Stands for a U+2581 of the text, which is no space.
@@ -336,7 +336,7 @@ def encode(docs: DataFrame, model: str, into: str, key: str = "doc_id", rate: fl
     hashed = unused(docs, "dropout_key")
     docs = docs.drop(into).withColumn(hashed, F.xxhash64(key))
     schema = docs.drop(hashed).withColumn(into, F.lit(None).cast("struct<ids:array<int>,n_tokens:long,lossless:boolean>")).schema
-    return docs.mapInArrow(_run(model, "text", hashed, into, rate, seed), schema)
+    return docs.mapInArrow(giving_back(_run(model, "text", hashed, into, rate, seed)), schema)
 
 
 def _decode(path: str, ids: str, into: str):

@@ -20,7 +20,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from tidelane.llm.frames import unused, written
-from tidelane.llm.words import SPACED, mix, slices, words_of
+from tidelane.llm.words import SPACED, giving_back, mix, slices, words_of
 
 #: The rules' cutoffs, mildest first.
 CUTOFFS = {
@@ -97,7 +97,7 @@ def _run(into: str):
 def measure(docs: DataFrame, into: str) -> DataFrame:
     """``docs`` with a struct column ``into`` of counts and rule values; null text counts as empty."""
     out = docs.withColumn(into, F.lit(None).cast(f"struct<{MEASURE}>"))
-    return out.mapInArrow(_run(into), out.schema)
+    return out.mapInArrow(giving_back(_run(into)), out.schema)
 
 
 def at_most(k: int, n: int, p: float) -> float:

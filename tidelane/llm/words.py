@@ -5,7 +5,9 @@ A word is known by the hash of its bytes. Two different words share a hash with
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import ctypes
+import functools
+from collections.abc import Callable, Iterator
 from dataclasses import dataclass
 
 import numpy as np
@@ -55,6 +57,25 @@ def _powers_to(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _powers[0][:n], _powers[1][:n]
 
 
+def give_back() -> None:
+    """Return memory that is free in this process to the system; else an idle Python worker keeps what its largest slice took."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # glibc only
+    if trim:
+        trim(0)
+
+
+def giving_back(run: Callable) -> Callable:
+    """``run``, a function for mapInArrow, that returns free memory after its last batch."""
+
+    @functools.wraps(run)
+    def whole(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        yield from run(batches)
+        give_back()
+
+    return whole
+
+
 @dataclass
 class Words:
     """Words of a slice of texts, in order."""
