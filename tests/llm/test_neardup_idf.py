@@ -90,6 +90,23 @@ def test_copies_do_not_lose_weight_on_what_they_share(spark):
         assert classes(spark, rows, **more) == want
 
 
+def test_near_copies_in_a_large_group_of_copies_are_found(spark):
+    """Most of the group is edited too much to be a near copy; that does not take weight from what the near copies share."""
+    random.seed(13)
+    base, rows = words("base", 200).split(), [(i, words(f"plain{i}", 150)) for i in range(200)]
+    for i in range(90):
+        copy = list(base)
+        for at in random.sample(range(200), 12 if i < 60 else 1):
+            copy[at] = f"e{random.random()}"
+        rows.append((1000 + i, " ".join(copy)))
+    own = [shingles(t) for _, t in rows]
+    near = joined([t for _, t in rows], own)
+    assert len({near[200 + i] for i in range(60)}) > 55 and len({near[260 + i] for i in range(30)}) == 1
+    for more in ({}, {"block_rows": 16}):
+        found = dict(classes(spark, rows, **more))
+        assert all(found[i] == i for i in range(200)) and len({found[1060 + i] for i in range(30)}) == 1
+
+
 def test_least_hashes_agree_as_often_as_counts_overlap():
     left, right = (" ".join(x) for x in ([f"w{i}" for i in [*range(300), *range(60), *range(60)]], [f"w{i}" for i in [*range(60, 400), *range(100)]]))
     texts = pa.array([left.encode(), right.encode()], pa.binary())

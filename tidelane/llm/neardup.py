@@ -3,7 +3,8 @@
 A shingle is five words (a shorter text is one shingle), weighted by its count in the text times its inverse document
 frequency ln((F + 1) / df), for every shingle. Copies of a text would lose weight on what they share, so one text of each of the
 F families is counted: a family is connected by links of plain counts, found in a first round like that of the result, whose samples are least
-hashes of the shingles, each as often as it is counted. Texts
+hashes of the shingles, each as often as it is counted. Half the similarity is enough for these links: in a group of copies many are edited too
+much to be near copies, and if each of them were counted, what the group shares would weigh less the larger the group is. Texts
 are dealt in blocks; a block's distinct shingles go to the tasks that count them, and those that two families or more hold come
 back to the block with their number. A shingle that does not come back is in one family at most. ``common`` asks for a
 shorter way instead: 1 for shingles in up to that share of all texts, above it falling as the logarithm of N / df.
@@ -41,8 +42,11 @@ _EXPONENTIAL = -np.log((np.arange(65536) + 0.5) / 65536).astype(np.float32)
 COUNTERS = 1 << 16
 #: Tasks that the copies of one text are dealt to where they meet their class.
 SALTS = 16
-#: Bands of the first round, which only tells families: at a similarity of 0.8 two texts share one with probability 0.986.
-FAMILY_BANDS = 6
+#: Bands of the first round, which only tells families, and samples of each: at a similarity of 0.4 two texts share a band with probability 0.877.
+FAMILY_BANDS = 12
+FAMILY_SAMPLES = 2
+#: Share of the similarity from which on texts are of one family.
+KIN = 0.5
 #: Distinct shingles of blocks that one task counts, about; there is one for every six bytes of text.
 PART_SHINGLES = 1 << 20
 #: Text for each file of a scratch table, about, so that many shuffle partitions do not make many small files.
@@ -374,13 +378,23 @@ def similarity(left: pa.Array, right: pa.Array, size: int, common) -> np.ndarray
     return np.divide(shared, total, out=np.zeros(len(left)), where=total > 0)
 
 
-def _links(band: int, rows: list[tuple], similar: float, likely: int) -> Iterator[tuple[str, str]]:
-    """Links that join what is not yet joined among some texts of a bucket.
+def _top(up: dict[str, str], name: str) -> str:
+    """The component that ``name`` is of, as far as the links in ``up`` tell."""
+    while name in up:
+        if up[name] in up:
+            up[name] = up[up[name]]
+        name = up[name]
+    return name
+
+
+def _links(band: int, rows: list[tuple], similar: float, likely: int, up: dict[str, str]) -> Iterator[tuple[str, str]]:
+    """Links that join what is not yet joined among some texts of a bucket, neither here nor, by ``up``, earlier in this task.
 
     Looks at pairs of different components whose first common band is this one, whose blocks are the two of this task,
     and whose samples agree ``likely`` times at least. Each text that has such pairs is compared with all others at once.
     """
     nodes, names, blocks, bands, found, shingles, weights = zip(*rows, strict=True)
+    names = [_top(up, x) for x in names]
     root = np.unique(names, return_inverse=True)[1]
     if root.max() == 0:
         return
@@ -410,16 +424,17 @@ def _links(band: int, rows: list[tuple], similar: float, likely: int) -> Iterato
             if root[j] != root[i]:
                 yield nodes[i], nodes[j]
                 root[root == root[j]] = root[i]
+                up[_top(up, names[j])] = _top(up, names[i])
 
 
 def _compare(size: int, shared, families: int | None, similar: float, likely: int):
-    """Links within each bucket's blocks; rows arrive sorted by band, key and the two blocks."""
+    """Links within each bucket's blocks; the rows of a band, key and two blocks arrive together."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        now, rows = None, []
+        now, rows, up = None, [], {}
 
         def flushed():
-            links = list(_links(now[0], rows, similar, likely)) if len(rows) > 1 else []
+            links = list(_links(now[0], rows, similar, likely, up)) if len(rows) > 1 else []
             return pa.RecordBatch.from_arrays([pa.array([x[k] for x in links], pa.string()) for k in (0, 1)], ["a", "b"])
 
         for batch in batches:
@@ -457,7 +472,8 @@ def _classes(dealt: _Dealt, signed: DataFrame, size: int, shared, families: int
 
     def linked(rows: DataFrame) -> DataFrame:
         place = ["band", "key", "low", "high"]
-        rows = rows.join(whole, "node").repartition(*place).sortWithinPartitions(*place, "node")
+        # One task for each file, so that the bands' links to the same texts meet in few tasks, which pass on those that join something new.
+        rows = rows.join(whole, "node").repartition(*place).sortWithinPartitions(*place, "node").coalesce(dealt.files)
         links = rows.mapInArrow(giving_back(_compare(size, shared, families, similar, likely)), "a string, b string")
         return written(links, "links", dealt.files)
 
@@ -491,8 +507,8 @@ def near_duplicates(
     dealt = _Dealt(texts, rows.where(F.col("node").isNotNull()).agg(F.sum("bytes").alias("n")).first().n or 0, block_bytes)
     if common is None:
         shared = None
-        alike = written(dealt.read().mapInArrow(giving_back(_sign(size, shared, FAMILY_BANDS, samples_each)), SIGNED), "samples", dealt.files)
-        copies = _classes(dealt, alike, size, shared, None, similar, math.ceil(0.55 * FAMILY_BANDS * samples_each), block_rows)
+        alike = written(dealt.read().mapInArrow(giving_back(_sign(size, shared, FAMILY_BANDS, FAMILY_SAMPLES)), SIGNED), "samples", dealt.files)
+        copies = _classes(dealt, alike, size, shared, None, KIN * similar, math.ceil(0.55 * KIN * FAMILY_BANDS * FAMILY_SAMPLES), block_rows)
         families = max(1, alike.count() - copies.count())
         left_out = alike.select("deal", "node").join(copies, "node", "left_semi")
         signed = dealt.meet(frequencies(dealt, left_out, size), _sign_block(size, families, bands, samples_each), SIGNED)
