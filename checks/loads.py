@@ -229,7 +229,8 @@ def table_summary(spark, sf_dir):
     FROM (SELECT o_orderkey, o_orderkey * o_orderkey * o_custkey AS bytes FROM orders)
 """)
 def readable_size(spark, sf_dir):
-    size = F.col("o_orderkey") * F.col("o_orderkey") * F.col("o_custkey")
+    key, customer = F.col("o_orderkey").cast("decimal(38,0)"), F.col("o_custkey").cast("decimal(38,0)")
+    size = key * key * customer  # beyond bigint for keys of some millions
     return read(spark, sf_dir, "orders").select("o_orderkey", format_bytes(size).alias("size"))
 
 

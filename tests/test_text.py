@@ -1,10 +1,12 @@
 import itertools
 import random
+from decimal import Decimal
 from fractions import Fraction
 
 import pytest
 from pyspark.sql import functions as F
 
+from checks import QUERIES
 from tidelane.functions import text
 from tidelane.operators import monitor
 
@@ -90,6 +92,31 @@ def test_large_sizes_round_as_their_doubles_do(spark):
     assert apply(spark, text.format_bytes, sizes, "bigint") == [wanted(s) for s in sizes]
 
 
+def test_sizes_beyond_bigint(spark):
+    """As decimals: the same text up to bigint, and every digit of the double beyond it."""
+    sizes = [random.Random(shift * 1000 + i).randrange(1 << shift, 1 << shift + 1) for shift in range(0, 126) for i in range(20)]
+    sizes += [0, 1023, 1024, 2**63 - 1, 2**63, 2**73 - 1, 2**73, 2**73 + 2**21, 10**38 - 1]
+
+    def wanted(size):
+        for step, unit in ((1024 * 1024, "MB"), (1024, "KB")):
+            if size >= step:
+                tenths = round(Fraction(float(size)) * 10 / step)
+                return f"{tenths // 10}.{tenths % 10} {unit}"
+        return f"{size} B"
+
+    have = apply(spark, text.format_bytes, [Decimal(s) for s in sizes] + [None], "decimal(38,0)")
+    assert have == [wanted(s) for s in sizes] + [None]
+
+
+def test_readable_size_of_large_keys(spark, tmp_path):
+    """Their product is beyond bigint."""
+    keys = [(2, 3), (9_000_000, 900_000), (8_999_999, 899_999), (6_000_000_000, 150_000_000), (None, 1), (7, None)]
+    spark.createDataFrame(keys, "o_orderkey long, o_custkey long").write.parquet(f"{tmp_path}/orders.parquet")
+    have = {tuple(r) for r in QUERIES["readable_size"](spark, str(tmp_path)).collect()}
+    tenths = {k: round(Fraction(float(k * k * c)) * 10 / 1024**2) for k, c in keys[1:4]}
+    assert have == {(2, "12 B"), (None, None), (7, None), *((k, f"{t // 10}.{t % 10} MB") for k, t in tenths.items())}
+
+
 def test_durations(spark):
     cases = {
         0: "0s", 1: "1µs", 999: "999µs", 1000: "1ms", 1500: "1.5ms", 1_000_000: "1s", 45_000_000: "45s",

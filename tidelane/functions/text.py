@@ -7,6 +7,7 @@ from __future__ import annotations
 
 import functools
 import operator
+from decimal import Decimal
 
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -33,6 +34,8 @@ MASK = "***"
 
 KIB = 1024
 MIB = 1024 * 1024
+#: From here on every double is whole.
+WHOLE = 2**53
 
 
 def redact_urls(message: Column) -> Column:
@@ -94,14 +97,16 @@ def mask() -> Column:
 
 
 def format_bytes(size: Column) -> Column:
-    """Size as ``12 B``, ``3.4 KB`` or ``5.6 MB`` in steps of 1024, exact halves to even."""
+    """Size, an integer or a decimal without places, as ``12 B``, ``3.4 KB`` or ``5.6 MB`` in steps of 1024, exact halves to even."""
     def scaled(step: int, unit: str) -> Column:
         # Dividing by a power of 2 and taking tenths of what is left are exact. Spark's own rounding goes by the shortest
         # decimal text of a double, in which large sizes look like halves that they are not.
         value = size.cast("double") / step
-        whole = F.floor(value)
-        tenths = whole * 10 + F.rint((value - whole) * 10).cast("bigint")
-        return F.format_string(f"%d.%d {unit}", _div(tenths, 10), tenths % 10)
+        high = F.floor(value / WHOLE)  # above 0 only for sizes beyond bigint, whose digits no bigint holds
+        low = value - high * float(WHOLE)
+        tenths = F.floor(low) * 10 + F.rint((low - F.floor(low)) * 10).cast("bigint")
+        digits = (high.cast("decimal(19,0)") * F.lit(Decimal(WHOLE)) + F.floor(low)).cast("string")
+        return F.when(high > 0, F.concat(digits, F.lit(f".0 {unit}"))).otherwise(F.format_string(f"%d.%d {unit}", _div(tenths, 10), tenths % 10))
 
     return (
         F.when(size >= MIB, scaled(MIB, "MB"))
